@@ -269,7 +269,7 @@ def bucket_report(detail: DataFrame, generation: int) -> DataFrame:
     """Per day, industry and conversion bucket. The published ``ad_reach_rate`` is the classic reach rate."""
     columns = [n for n in COMMON_METRICS if n != "ad_reach_rate"] + ["reach_rate"]
     out = rollup(
-        _with_pseudo_industry(detail), ["partition_date", "op_industry", "active_bucket"], columns, distinct_ads
+        _with_pseudo_industry(detail), ["partition_date", "op_industry", "active_bucket"], columns, generation
     )
     return out.withColumnRenamed("reach_rate", "ad_reach_rate")
 

@@ -14,6 +14,8 @@ def local_session(cpus: str | None = None, partitions: int | None = None) -> Spa
         SparkSession.builder.master(f"local[{n}]")
         .appName("adgrove")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(partitions or 8))
         .config("spark.sql.adaptive.enabled", "true")

@@ -12,7 +12,7 @@ from adgrove.plans import history, new_reach, retention
 from workload import report_sql as s
 from workload.views import accounts, ad_fact
 
-BRANDS = ["CHINA", "FRANCE", "GERMANY", "JAPAN", "UNITED STATES"]
+BRANDS = ["NATION_3", "NATION_8", "NATION_12", "NATION_17", "NATION_21"]
 MONEY = {
     "cost", "GMV", "gmv", "costs", "gmvc", "total_cost", "sum_cost_v0", "sum_cost_v1", "below_rate_cost",
     "dcvr_reached_cost", "achieve_cost",
