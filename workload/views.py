@@ -130,3 +130,100 @@ def accounts_sql(monthly: bool, day: str = "partition_date") -> str:
         from lineitem join orders on l_orderkey = o_orderkey) d
   join customer on c_custkey = account_id
   join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"""
+
+
+# --- creatives ------------------------------------------------------------------------------------
+
+HASH_BITS = 60
+# Sign of the summed bit votes of word hashes; stands in for the hash column that arrives with real ads.
+HASH_VALUE = " + ".join(f"(case when s{i} > 0 then cast({1 << i} as bigint) else 0 end)" for i in range(HASH_BITS))
+
+
+VOTES = [f"sum(((h >> {i}) & 1) * 2 - 1) as s{i}" for i in range(HASH_BITS)]
+
+
+CREATIVE = {
+    "idx": "doc_id",
+    "aid": "concat('a', cast(doc_id as {text}))",
+    "uid": "source",
+    "uname": "concat(lang, '-', source)",
+    "coname": "concat('co-', lang)",
+    "url": "concat('https://', source, '.example.com/', lang, '/', cast(n_chars % 40 as {text}), '/x')",
+    "city": "concat('c', cast(n_chars % 5 as {text}), ',c', cast(n_chars % 3 as {text}))",
+}
+
+
+def creative_projection(dialect: str) -> list[str]:
+    kind = "string" if dialect == "spark" else "varchar"
+    return [f"{e.format(text=kind)} as {n}" for n, e in CREATIVE.items()]
+
+
+def text_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = table(spark, sf_dir, "documents").selectExpr("doc_id", "explode(split(text, ' ')) as w")
+    hashed = words.selectExpr("doc_id", "cast(conv(substr(md5(w), 1, 15), 16, 10) as bigint) as h")
+    return hashed.groupBy("doc_id").agg(*[F.expr(v) for v in VOTES]).selectExpr("doc_id", f"{HASH_VALUE} as hash")
+
+
+def creatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ads from documents: identity, user, company, URL, cities, text hash, word list, industry levels."""
+    docs = table(spark, sf_dir, "documents")
+    base = docs.selectExpr(
+        "doc_id", *creative_projection("spark"), "split(text, ' ') as wordlist",
+        "array('ads', lang, source, concat(lang, '-', source)) as industry_type",
+    )
+    return base.join(text_hashes(spark, sf_dir), "doc_id").drop("doc_id")
+
+
+def creatives_sql() -> str:
+    return f"""select {', '.join(creative_projection('duckdb'))}, hash, lang from documents join (
+    select doc_id, {HASH_VALUE} as hash from (select doc_id, {', '.join(VOTES)} from (
+      select doc_id, cast('0x' || substr(md5(w), 1, 15) as bigint) as h
+      from (select doc_id, unnest(string_split(text, ' ')) as w from documents) t) u group by doc_id) v) hashes
+    using (doc_id)"""
+
+
+POOLED = 4
+
+
+def pooled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings summed over runs of 16 dimensions, as integers (exact in every engine)."""
+    pool = ", ".join(
+        f"aggregate(transform(slice(embedding, {16 * i + 1}, 16), x -> cast(round(x * 10000) as bigint)), 0L, (a, x) -> a + x)"
+        for i in range(POOLED)
+    )
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id as idx", "concat('a', vec_id) as aid", "concat('https://example.com/', label, '/', vec_id) as url",
+        f"array({pool}) as vector",
+    )
+
+
+def pooled_vectors_sql() -> str:
+    pool = ", ".join(
+        f"cast(list_sum([cast(round(x * 10000) as bigint) for x in embedding[{16 * i + 1}:{16 * i + 16}]]) as bigint) as v{i}"
+        for i in range(POOLED)
+    )
+    return (f"select vec_id as idx, 'a' || vec_id as aid, 'https://example.com/' || label || '/' || vec_id as url, "
+            f"{pool} from embeddings")
+
+
+def whole_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "embeddings").selectExpr(
+        "vec_id as idx", "transform(embedding, x -> cast(round(x * 10000) as bigint)) as vector"
+    )
+
+
+def page_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ads from pages with the sign code of the page's embedding as hash."""
+    sign = " + ".join(f"(case when embedding[{i}] >= 0 then {1 << i}L else 0L end)" for i in range(62))
+    return table(spark, sf_dir, "pages").join(
+        table(spark, sf_dir, "embeddings"), F.col("page_id") == F.col("vec_id")
+    ).selectExpr(
+        "page_id as aid", "url", f"{sign} as hash", "split(url, '/')[2] as uname", "concat('co', page_id % 7) as coname",
+        "concat('c', page_id % 5, ',c', page_id % 3) as city",
+    )
+
+
+def page_ads_sql() -> str:
+    sign = " + ".join(f"(case when embedding[{i + 1}] >= 0 then {1 << i}::bigint else 0 end)" for i in range(62))
+    return f"""select page_id as aid, url, {sign} as hash, split_part(url, '/', 3) as uname, 'co' || page_id % 7 as coname,
+    'c' || page_id % 5 || ',c' || page_id % 3 as city from pages join embeddings on page_id = vec_id"""
