@@ -8,9 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adgrove.operators.components import follow_pointers
-from adgrove.operators.dbscan import tune
 from adgrove.operators.numbering import number_rows
-from adgrove.operators.pairs import BUCKET_LIMIT, close_pairs
+from adgrove.operators.pairs import BUCKET_LIMIT, prepare_pairs
 from adgrove.operators.scratch import Scratch
 from adgrove.operators.spaces import HashSpace
 
@@ -42,8 +41,7 @@ def assign_incremental(
     keys, seen = scratch.cut(
         number_rows(keys, ["late", "at"], "kid", scratch), rows=F.count(F.lit(1)),
     )
-    space = tune(space, seen["rows"], keys)
-    pairs = close_pairs(keys, space, scratch, seen["rows"], (), ["late"], bucket_limit)
+    pairs = prepare_pairs(keys, seen["rows"], space, scratch, (), bucket_limit).close_pairs(keys, ["late"])
     # kid follows (history first, position), so the earlier key of a pair is the smaller one.
     later = F.when(F.col("a") > F.col("b"), F.struct(F.col("a").alias("kid"), F.col("late_a").alias("late"), "d", F.col("b").alias("other")))
     later = later.otherwise(F.struct(F.col("b").alias("kid"), F.col("late_b").alias("late"), "d", F.col("a").alias("other")))

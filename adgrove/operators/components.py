@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adgrove.operators.scratch import Scratch
+from adgrove.operators.skew import join_spread
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -29,23 +31,58 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[child], nodes[root[child]]
 
 
-def contract_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Combiner for core links: keeps a star forest per task, passes every other row on.
+LINK_FIELDS = ("a", "b", "d", "core_a", "core_b")
+LINK_SCHEMA = "a bigint, b bigint, d double, core_a boolean, core_b boolean"
+_ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("d", pa.float64()), ("core_a", pa.bool_()), ("core_b", pa.bool_())])
+_BUFFER, _FOREST = 1 << 18, 1 << 22
 
-    Whatever number of links a task sees, it emits at most one row per distinct node among them.
+
+def contract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Combiner for links between core keys: keeps a star forest per task, passes every other row on.
+
+    However many links a task sees, it emits at most about one row per distinct node among them. Links are
+    buffered and folded in when they outnumber the forest; a forest that grows large is emitted early.
     """
     child, parent = np.empty(0, np.int64), np.empty(0, np.int64)
-    for pdf in batches:
-        both = (pdf["core_a"] & pdf["core_b"]).to_numpy(dtype=bool)
-        if both.any():
-            links = pdf.loc[both]
-            child, parent = stars(
-                np.concatenate([child, links["a"].to_numpy()]), np.concatenate([parent, links["b"].to_numpy()])
-            )
-        if not both.all():
-            yield pdf.loc[~both]
+    waiting: list[tuple[np.ndarray, np.ndarray]] = []
+    held = 0
+
+    def fold() -> None:
+        nonlocal child, parent, held
+        child, parent = stars(
+            np.concatenate([child, *[a for a, _ in waiting]]), np.concatenate([parent, *[b for _, b in waiting]])
+        )
+        waiting.clear()
+        held = 0
+
+    def forest() -> pa.RecordBatch:
+        n = len(child)
+        yes = np.ones(n, dtype=bool)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(child), pa.array(parent), pa.array(np.zeros(n)), pa.array(yes), pa.array(yes)], schema=_ARROW
+        )
+
+    for batch in batches:
+        both = pc.and_(batch["core_a"], batch["core_b"])
+        links = batch.filter(both)
+        if links.num_rows:
+            waiting.append((links["a"].to_numpy(), links["b"].to_numpy()))
+            held += links.num_rows
+            if held >= max(_BUFFER, len(child)):
+                fold()
+                if len(child) > _FOREST:
+                    yield forest()
+                    child, parent = child[:0], parent[:0]
+        if links.num_rows < batch.num_rows:
+            yield pa.RecordBatch.from_arrays(batch.filter(pc.invert(both)).columns, schema=_ARROW)
+    if held:
+        fold()
     if len(child):
-        yield pd.DataFrame({"a": child, "b": parent, "d": 0.0, "core_a": True, "core_b": True})
+        yield forest()
+
+
+def _pair(u: str, w: str) -> Column:
+    return F.struct(F.col(u).alias("u"), F.col(w).alias("w"))
 
 
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -55,18 +92,22 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     aggregated groupBy joined back, never from a collected neighbour list, so a hub costs no single task.
     A round that leaves the edge set unchanged ends the loop; rounds grow with the logarithm of the size.
     """
-    current = edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).where("v <> m").distinct()
-    last = None
-    while True:
-        both_ways = current.select(F.col("v").alias("u"), F.col("m").alias("w")).unionByName(
-            current.select(F.col("m").alias("u"), F.col("v").alias("w"))
+    current, seen = scratch.cut(
+        edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).where("v <> m").distinct(),
+        rows=F.count(F.lit(1)), mark=F.bit_xor(F.xxhash64("v", "m")),
+    )
+    while seen["rows"]:
+        last = seen
+        both_ways = current.select(F.inline(F.array(_pair("v", "m"), _pair("m", "v"))))
+        smallest = both_ways.groupBy("u").agg(
+            F.least(F.min("w"), F.col("u")).alias("low"), F.count_if(F.col("w") > F.col("u")).alias("above")
         )
-        smallest = both_ways.groupBy("u").agg(F.least(F.min("w"), F.col("u")).alias("low"))
         large = (
-            both_ways.where("w > u").join(smallest, "u").select(F.col("w").alias("u"), F.col("low").alias("w")).distinct()
+            join_spread(both_ways.where("w > u"), smallest, ["u"], "above", last["rows"])
+            .select(F.col("w").alias("u"), F.col("low").alias("w")).distinct()
         )
-        lowest = large.groupBy("u").agg(F.min("w").alias("low"))
-        small = large.join(lowest, "u")
+        lowest = large.groupBy("u").agg(F.min("w").alias("low"), F.count(F.lit(1)).alias("links"))
+        small = join_spread(large, lowest, ["u"], "links", last["rows"])
         following = (
             small.select(F.col("w").alias("v"), F.col("low").alias("m"))
             .unionByName(lowest.select(F.col("u").alias("v"), F.col("low").alias("m")))
@@ -76,10 +117,8 @@ def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         current, seen = scratch.cut(
             following, rows=F.count(F.lit(1)), mark=F.bit_xor(F.xxhash64("v", "m"))
         )
-        state = (seen["rows"], seen["mark"])
-        if state == last or not seen["rows"]:
+        if seen == last:
             break
-        last = state
     # Every component is now one star around its smallest node.
     centres = current.select(F.col("m").alias("node"), F.col("m").alias("component")).distinct()
     return current.select(F.col("v").alias("node"), F.col("m").alias("component")).unionByName(centres)

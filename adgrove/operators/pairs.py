@@ -3,64 +3,83 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adgrove.operators.scratch import Scratch
-from adgrove.operators.spaces import A, B, Space
+from adgrove.operators.spaces import A, B, Space, VectorSpace
 
 BUCKET_LIMIT = 4096
 
 
-def distinct_keys(points: DataFrame, space: Space, part: Sequence[str] = (), **extra: Column) -> DataFrame:
+def distinct_keys(points: DataFrame, space: Space, part: Sequence[str] = ()) -> DataFrame:
     """One row per (part, key) with ``kid`` = smallest index and ``weight`` = number of points.
 
     Equal keys behave alike in every set-level operator, so copies (however many) meet once, here, with
     partial aggregation, and never as pairs.
     """
-    return points.groupBy(*part, *space.key_columns).agg(
-        F.min("idx").alias("kid"), F.count(F.lit(1)).alias("weight"), *[c.alias(n) for n, c in extra.items()]
-    )
+    keys = points.groupBy(*part, *space.key_columns).agg(F.min("idx").alias("kid"), F.count(F.lit(1)).alias("weight"))
+    # Pair work grows faster than bytes, so keys are spread over all cores however small their table is.
+    return keys.repartition(points.sparkSession.sparkContext.defaultParallelism, "kid")
 
 
-def close_pairs(
-    keys: DataFrame, space: Space, scratch: Scratch, n_keys: int,
-    part: Sequence[str] = (), carry: Sequence[str] = (), bucket_limit: int = BUCKET_LIMIT,
-) -> DataFrame:
-    """Unordered pairs of distinct keys below eps: a, b (kids), d, and ``carry`` columns of both sides.
+@dataclass(frozen=True)
+class PairSearch:
+    """Close pairs of one key table. Prepared once, then run over any table with the same keys.
 
     A bucket with more than ``bucket_limit`` keys on a side is cut into chunks; every left chunk meets every
     right chunk in a join group of its own, so a hot bucket becomes many bounded groups and stays complete.
-    The distance and the once-only rule are part of the join condition: candidates are never materialised.
+    ``hot`` lists only such buckets.
     """
-    need = list(dict.fromkeys([*part, "kid", *space.key_columns, *carry]))
-    slim = keys.select(*need)
-    left, right = space.left(slim), space.right(slim)
-    on = [*part, "bucket"]
+
+    space: Space
+    part: tuple[str, ...]
+    hot: DataFrame | None
+
+    def close_pairs(self, keys: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+        """Unordered pairs of distinct keys below eps: a, b (kids), d, and ``carry`` columns of both sides.
+
+        The distance and the once-only rule are part of the join condition: candidates are never materialised.
+        """
+        space, on = self.space, [*self.part, *self.space.bucket_columns]
+        slim = keys.select(*dict.fromkeys([*self.part, "kid", *space.key_columns, *carry]))
+        left, right = space.left(slim), space.right(slim)
+        if self.hot is not None:
+            left = _chunked(left, self.hot, on, "cut_left", "cut_right", ("x", "y"))
+            right = _chunked(right, self.hot, on, "cut_right", "cut_left", ("y", "x"))
+            on = [*on, "x", "y"]
+        left = left.select(*on, *[F.col(c).alias(A + c) for c in left.columns if c not in on])
+        right = right.select(*on, *[F.col(c).alias(B + c) for c in right.columns if c not in on])
+        met = left.join(right, on).where(F.col(A + "kid") != F.col(B + "kid")).withColumn("d", space.distance())
+        return met.where((F.col("d") < space.eps) & space.once()).select(
+            F.col(A + "kid").alias("a"), F.col(B + "kid").alias("b"), "d",
+            *[F.col(s + c).alias(f"{c}_{n}") for c in carry for s, n in ((A, "a"), (B, "b"))],
+        )
+
+
+def prepare_pairs(
+    keys: DataFrame, n_keys: int, space: Space, scratch: Scratch, part: Sequence[str] = (), bucket_limit: int = BUCKET_LIMIT
+) -> PairSearch:
+    """Tunes the blocking to the number of keys and finds hot buckets, from counts per bucket."""
+    space = space.tuned(n_keys, keys) if isinstance(space, VectorSpace) else space.tuned(n_keys)
+    on = [*part, *space.bucket_columns]
+    hot = None
     if n_keys > bucket_limit:
+        slim = keys.select(*dict.fromkeys([*part, *space.key_columns]))
         sizes = (
-            left.groupBy(*on).agg(F.count(F.lit(1)).alias("n_left"))
-            .join(right.groupBy(*on).agg(F.count(F.lit(1)).alias("n_right")), on)
+            space.left(slim).groupBy(*on).agg(F.count(F.lit(1)).alias("n_left"))
+            .join(space.right(slim).groupBy(*on).agg(F.count(F.lit(1)).alias("n_right")), on)
         )
         chunks = lambda n: F.ceil(F.col(n) / bucket_limit).cast("int")
-        hot, seen = scratch.cut(
+        found, seen = scratch.cut(
             sizes.where((F.col("n_left") > bucket_limit) | (F.col("n_right") > bucket_limit))
             .select(*on, chunks("n_left").alias("cut_left"), chunks("n_right").alias("cut_right")),
             rows=F.count(F.lit(1)),
         )
-        if seen["rows"]:
-            left = _chunked(left, hot, on, "cut_left", "cut_right", ("x", "y"))
-            right = _chunked(right, hot, on, "cut_right", "cut_left", ("y", "x"))
-            on = [*on, "x", "y"]
-    left = left.select(*on, *[F.col(c).alias(A + c) for c in left.columns if c not in on])
-    right = right.select(*on, *[F.col(c).alias(B + c) for c in right.columns if c not in on])
-    # The distance is a column between two filters, so it is computed once per candidate.
-    met = left.join(right, on).where(F.col(A + "kid") != F.col(B + "kid")).withColumn("d", space.distance())
-    return met.where((F.col("d") < space.eps) & space.once()).select(
-        *part, F.col(A + "kid").alias("a"), F.col(B + "kid").alias("b"), "d",
-        *[F.col(s + c).alias(f"{c}_{n}") for c in carry for s, n in ((A, "a"), (B, "b"))],
-    )
+        hot = found if seen["rows"] else None
+    return PairSearch(space, tuple(part), hot)
 
 
 def _chunked(side: DataFrame, hot: DataFrame, on: list[str], own: str, other: str, axes: tuple[str, str]) -> DataFrame:

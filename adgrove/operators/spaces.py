@@ -1,14 +1,13 @@
 """Where close pairs can be: exact blocking rules per distance.
 
 A space names its key columns, its distance between two key rows, and two ways to spread keys over buckets
-(``left`` and ``right``). Every pair closer than eps shares a bucket, and ``once`` picks one bucket when it
+(``left`` and ``right`` add ``bucket_columns``). Every pair closer than eps shares a bucket, and ``once`` picks one bucket when it
 shares several, so joining left and right buckets finds each pair exactly once and loses none.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import combinations, product
 
@@ -66,14 +65,12 @@ class HashSpace:
         return HashSpace(self.eps, self.bits, self.column, max(best, 1))
 
     def _choices(self) -> list[tuple[int, int]]:
-        """(mask that must agree, masks of earlier blocks that must differ) per choice of blocks."""
+        """(chosen blocks as a bit set, bits that must agree) per choice of blocks."""
         masks = self._block_masks(self.blocks)
-        out = []
-        for chosen in combinations(range(self.blocks), max(self.blocks - self.slack, 0)):
-            agree = sum(masks[j] for j in chosen)
-            differ = [masks[j] for j in range(chosen[-1] if chosen else 0) if j not in chosen]
-            out.append((agree, differ))
-        return out
+        return [
+            (sum(1 << j for j in chosen), sum(masks[j] for j in chosen))
+            for chosen in combinations(range(self.blocks), max(self.blocks - self.slack, 0))
+        ]
 
     def distance(self, a: str = A, b: str = B) -> Column:
         return dist.hash_distance(F.col(a + self.column), F.col(b + self.column))
@@ -81,21 +78,28 @@ class HashSpace:
     def self_distance(self) -> Column:
         return F.lit(0.0)
 
+    bucket_columns = ("choice", "value")
+
     def left(self, keys: DataFrame) -> DataFrame:
-        masks = F.array(*[F.lit(agree).cast("long") for agree, _ in self._choices()])
-        cells = F.transform(masks, lambda m, i: F.struct(i.alias("choice"), F.col(self.column).bitwiseAND(m).alias("value")))
-        return keys.withColumn("bucket", F.explode(cells))
+        cells = F.array(*[
+            F.struct(F.lit(chosen).alias("choice"), F.col(self.column).bitwiseAND(F.lit(agree).cast("long")).alias("value"))
+            for chosen, agree in self._choices()
+        ])
+        return keys.select("*", F.inline(cells))
 
     right = left
 
     def once(self) -> Column:
-        """The pair's first agreeing choice: each earlier block outside the choice differs."""
+        """The choice holds the pair's first agreeing blocks: no other agreeing block comes before its last one.
+
+        Plain bit arithmetic, so the join condition stays inside generated code.
+        """
         x = F.col(A + self.column).bitwiseXOR(F.col(B + self.column))
-        table = F.array(*[
-            F.array(*[F.lit(m).cast("long") for m in differ]).cast("array<bigint>") for _, differ in self._choices()
-        ])
-        earlier = F.get(table, F.col("bucket.choice"))
-        return _ordered() & F.forall(earlier, lambda m: x.bitwiseAND(m) != 0)
+        agreeing = F.lit(0)
+        for j, mask in enumerate(self._block_masks(self.blocks)):
+            agreeing = agreeing + F.when(x.bitwiseAND(F.lit(mask).cast("long")) == 0, F.lit(1 << j)).otherwise(F.lit(0))
+        other = agreeing - F.col("choice")
+        return _ordered() & ((other == 0) | (other.bitwiseAND(-other) > F.col("choice")))
 
 
 @dataclass(frozen=True)
@@ -146,28 +150,23 @@ class VectorSpace:
         width = self.eps * self.scale
         return [F.floor(F.col(self.column)[i] / width) for i in self.grid]
 
-    @staticmethod
-    def _names(n: int) -> list[str]:
-        return [f"c{i}" for i in range(n)]
+    @property
+    def bucket_columns(self) -> tuple[str, ...]:
+        return tuple(f"cell{i}" for i in self.grid)
 
     def left(self, keys: DataFrame) -> DataFrame:
-        names = self._names(len(self.grid))
-        cell = F.struct(*[c.alias(n) for c, n in zip(self._cell(), names)])
-        return keys.withColumn("bucket", cell).withColumn("visits", F.lit(False))
+        return keys.select("*", *[c.alias(n) for c, n in zip(self._cell(), self.bucket_columns)], F.lit(False).alias("visits"))
 
     def right(self, keys: DataFrame) -> DataFrame:
-        names, cell = self._names(len(self.grid)), self._cell()
+        cell = self._cell()
         forward = [s for s in product((-1, 0, 1), repeat=len(cell)) if s >= (0,) * len(cell)]
         cells = F.array(*[
             F.struct(
-                F.struct(*[(c - s).alias(n) for c, s, n in zip(cell, shift, names)]).alias("cell"),
-                F.lit(any(shift)).alias("visits"),
+                *[(c - s).alias(n) for c, s, n in zip(cell, shift, self.bucket_columns)], F.lit(any(shift)).alias("visits")
             )
             for shift in forward
         ])
-        return keys.withColumn("_c", F.explode(cells)).select(
-            "*", F.col("_c.cell").alias("bucket"), F.col("_c.visits").alias("visits")
-        ).drop("_c")
+        return keys.select("*", F.inline(cells))
 
     def once(self) -> Column:
         return F.col(B + "visits") | _ordered()
@@ -268,30 +267,27 @@ class MixedSpace:
     def self_distance(self) -> Column:
         return self.distance("", "")
 
-    def left(self, keys: DataFrame) -> DataFrame:
+    @property
+    def bucket_columns(self) -> tuple[str, ...]:
         agree = self._must_agree()
-        if agree:
-            return keys.withColumn("bucket", F.struct(*[F.col(self.columns[n]) for n in agree]))
+        return tuple(f"same_{n}" for n in agree) if agree else HashSpace.bucket_columns
+
+    def _blocking(self) -> HashSpace:
         hashes = self._hash_space()
         if hashes is None:
             raise ValueError("these weights and eps leave no part that close ads must share")
-        return hashes.left(keys)
+        return hashes
+
+    def left(self, keys: DataFrame) -> DataFrame:
+        agree = self._must_agree()
+        if agree:
+            return keys.select("*", *[F.col(self.columns[n]).alias(f"same_{n}") for n in agree])
+        return self._blocking().left(keys)
 
     right = left
 
     def once(self) -> Column:
-        return _ordered() if self._must_agree() else self._same_hash_once()
-
-    def _same_hash_once(self) -> Column:
-        return self._hash_space().once()
+        return _ordered() if self._must_agree() else self._blocking().once()
 
 
 Space = HashSpace | VectorSpace | MixedSpace
-
-
-def partitioned(columns: Sequence[str]) -> Column:
-    """Equality of the partition columns of the two sides."""
-    cond = F.lit(True)
-    for c in columns:
-        cond = cond & (F.col(A + c) == F.col(B + c))
-    return cond

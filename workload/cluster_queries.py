@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from adgrove.functions import dates
 from adgrove.functions import text as tx
-from adgrove.operators import words
+from adgrove.operators import embeddings, words
 from adgrove.operators.assign import assign_incremental
-from adgrove.operators.dbscan import dbscan, tune
-from adgrove.operators.pairs import close_pairs, degrees, distinct_keys
+from adgrove.operators.dbscan import dbscan
+from adgrove.operators.pairs import degrees, distinct_keys, prepare_pairs
 from adgrove.operators.scratch import Scratch
 from adgrove.operators.spaces import HashSpace, MixedSpace, Space, VectorSpace
 from adgrove.plans import clusters
@@ -66,8 +66,8 @@ def _names(spark, d):
 def neighbourhood(points: DataFrame, space: Space) -> tuple[DataFrame, DataFrame]:
     """Points with their key id, and the close pairs of keys with weights."""
     scratch = Scratch(points.sparkSession)
-    keys, seen = scratch.cut(distinct_keys(points, space, second=F.lit(0)), rows=F.count(F.lit(1)))
-    pairs = close_pairs(keys, tune(space, seen["rows"], keys), scratch, seen["rows"], (), ["weight"])
+    keys, seen = scratch.cut(distinct_keys(points, space), rows=F.count(F.lit(1)))
+    pairs = prepare_pairs(keys, seen["rows"], space, scratch).close_pairs(keys, ["weight"])
     members = points.select("idx", *space.key_columns).join(keys.select(*space.key_columns, "kid", "weight"), list(space.key_columns))
     return members, pairs
 
@@ -180,6 +180,17 @@ def _categories(spark, d):
     )
 
 
+def _text_embedding(spark, d):
+    """Vectors of labelled texts, 16 dimensions to keep the local run short."""
+    rows = words.labelled_texts(_label_rows(spark, d), 3).withColumn("words", F.split("wordlist", " "))
+    return embeddings.text_vectors(rows.select("doc_id", "label", "words"), dim=16).select("doc_id", "label", "vector")
+
+
+def _label_quality(spark, d):
+    docs = v.table(spark, d, "documents").select("doc_id", F.col("lang").alias("label"), F.split("text", " ").alias("words"))
+    return embeddings.label_quality(embeddings.text_vectors(docs, dim=16))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "dbscan_singleton": (_dbscan("singleton"), s.dbscan_hash("singleton")),
     "dbscan_shared_noise": (_dbscan("shared"), s.dbscan_hash("shared")),
@@ -204,6 +215,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "label_fallback": (_label_lines, s.label_lines()),
     "label_diagnostics": (
         lambda spark, d: words.label_diagnostics(_label_rows(spark, d), 3), s.label_diagnostics()),
+    "text_embedding": (_text_embedding, None),
+    "label_model_quality": (_label_quality, None),
     "partition_next_time": (_next_partition, s.next_partition()),
     "category_levels": (_categories, s.categories()),
 }

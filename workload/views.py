@@ -135,11 +135,18 @@ def accounts_sql(monthly: bool, day: str = "partition_date") -> str:
 # --- creatives ------------------------------------------------------------------------------------
 
 HASH_BITS = 60
-# Sign of the summed bit votes of word hashes; stands in for the hash column that arrives with real ads.
-HASH_VALUE = " + ".join(f"(case when s{i} > 0 then cast({1 << i} as bigint) else 0 end)" for i in range(HASH_BITS))
-
-
-VOTES = [f"sum(((h >> {i}) & 1) * 2 - 1) as s{i}" for i in range(HASH_BITS)]
+# Majority vote over the bits of the word hashes; stands in for the hash column that arrives with real ads.
+# Three 20-bit counters share one sum: bits k, k + 20 and k + 40 of a word hash add up in the same integer.
+LANES, LANE = 20, 20
+LANE_MASK = sum(1 << (LANE * j) for j in range(HASH_BITS // LANES))
+VOTES = ["count(*) as n", *[f"sum((h >> {k}) & {LANE_MASK}) as s{k}" for k in range(LANES)]]
+HASH_VALUE = " + ".join(
+    f"(case when 2 * ((s{i % LANES} >> {LANE * (i // LANES)}) & {(1 << LANE) - 1}) > n then cast({1 << i} as bigint) else 0 end)"
+    for i in range(HASH_BITS)
+)
+# The oracle counts each bit on its own.
+SQL_VOTES = ", ".join(f"sum(((h >> {i}) & 1) * 2 - 1) as s{i}" for i in range(HASH_BITS))
+SQL_HASH = " + ".join(f"(case when s{i} > 0 then cast({1 << i} as bigint) else 0 end)" for i in range(HASH_BITS))
 
 
 CREATIVE = {
@@ -176,7 +183,7 @@ def creatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def creatives_sql() -> str:
     return f"""select {', '.join(creative_projection('duckdb'))}, hash, lang from documents join (
-    select doc_id, {HASH_VALUE} as hash from (select doc_id, {', '.join(VOTES)} from (
+    select doc_id, {SQL_HASH} as hash from (select doc_id, {SQL_VOTES} from (
       select doc_id, cast('0x' || substr(md5(w), 1, 15) as bigint) as h
       from (select doc_id, unnest(string_split(text, ' ')) as w from documents) t) u group by doc_id) v) hashes
     using (doc_id)"""
