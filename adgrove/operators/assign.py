@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adgrove.operators.components import follow_pointers
 from adgrove.operators.numbering import number_rows
-from adgrove.operators.pairs import BUCKET_LIMIT, prepare_pairs
+from adgrove.operators.pairs import BUCKET_LIMIT, prepare_pairs, spread_keys
 from adgrove.operators.scratch import Scratch
 from adgrove.operators.spaces import HashSpace
 
@@ -33,13 +33,18 @@ def assign_incremental(
     """
     scratch = Scratch(batch.sparkSession)
     h = space.column
-    known = history.select(F.lit(0).alias("late"), F.col("pos").alias("at"), h, F.col("cluster_id").cast("long").alias("cluster_id"))
+    batch, _ = scratch.cut(batch.select("idx", h))
+    history, seen = scratch.cut(
+        history.select("pos", h, F.col("cluster_id").cast("long").alias("cluster_id")), last=F.max("cluster_id")
+    )
+    start_id = (seen["last"] or 0) + 1
+    known = history.select(F.lit(0).alias("late"), F.col("pos").alias("at"), h, "cluster_id")
     new = batch.select(F.lit(1).alias("late"), F.col("idx").alias("at"), h, F.lit(None).cast("long").alias("cluster_id"))
     keys = known.unionByName(new).groupBy(h).agg(
         F.min(F.struct("late", "at", "cluster_id")).alias("first")
     ).select(h, "first.*")
     keys, seen = scratch.cut(
-        number_rows(keys, ["late", "at"], "kid", scratch), rows=F.count(F.lit(1)),
+        spread_keys(number_rows(keys, ["late", "at"], "kid", scratch)), rows=F.count(F.lit(1)),
     )
     pairs = prepare_pairs(keys, seen["rows"], space, scratch, (), bucket_limit).close_pairs(keys, ["late"])
     # kid follows (history first, position), so the earlier key of a pair is the smaller one.
@@ -54,8 +59,6 @@ def assign_incremental(
         fresh.join(nearest, "kid", "left").select(F.col("kid").alias("node"), F.coalesce("target", "kid").alias("target")),
         scratch,
     )
-    start = history.agg((F.coalesce(F.max(F.col("cluster_id").cast("long")), F.lit(0)) + 1).alias("start_id"))
-    start_id = start.first()["start_id"]
     roots = fresh.join(ends.where("node = target"), F.col("kid") == F.col("node"), "left_semi")
     opened, counts = scratch.cut(
         number_rows(roots, ["kid"], "n", scratch).select("kid", (F.col("n") + start_id).alias("cluster_id")),
@@ -68,5 +71,7 @@ def assign_incremental(
         .join(ids, "kid").select(h, "cluster_id")
     )
     points = batch.select("idx", h).join(by_key, h).select("idx", "cluster_id")
-    bounds = start.select("start_id", (F.col("start_id") + counts["rows"]).alias("next_id"))
+    bounds = batch.sparkSession.createDataFrame(
+        [(start_id, start_id + counts["rows"])], "start_id bigint, next_id bigint"
+    )
     return Assignment(points, bounds)

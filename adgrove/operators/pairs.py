@@ -21,8 +21,12 @@ def distinct_keys(points: DataFrame, space: Space, part: Sequence[str] = ()) ->
     partial aggregation, and never as pairs.
     """
     keys = points.groupBy(*part, *space.key_columns).agg(F.min("idx").alias("kid"), F.count(F.lit(1)).alias("weight"))
-    # Pair work grows faster than bytes, so keys are spread over all cores however small their table is.
-    return keys.repartition(points.sparkSession.sparkContext.defaultParallelism, "kid")
+    return spread_keys(keys)
+
+
+def spread_keys(keys: DataFrame) -> DataFrame:
+    """Keys over all cores, however small their table is: pair work grows faster than bytes."""
+    return keys.repartition(keys.sparkSession.sparkContext.defaultParallelism, "kid")
 
 
 @dataclass(frozen=True)
@@ -53,7 +57,7 @@ class PairSearch:
         left = left.select(*on, *[F.col(c).alias(A + c) for c in left.columns if c not in on])
         right = right.select(*on, *[F.col(c).alias(B + c) for c in right.columns if c not in on])
         met = left.join(right, on).where(F.col(A + "kid") != F.col(B + "kid")).withColumn("d", space.distance())
-        return met.where((F.col("d") < space.eps) & space.once()).select(
+        return met.where(space.once() & (F.col("d") < space.eps)).select(
             F.col(A + "kid").alias("a"), F.col(B + "kid").alias("b"), "d",
             *[F.col(s + c).alias(f"{c}_{n}") for c in carry for s, n in ((A, "a"), (B, "b"))],
         )

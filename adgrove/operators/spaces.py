@@ -99,7 +99,9 @@ class HashSpace:
         for j, mask in enumerate(self._block_masks(self.blocks)):
             agreeing = agreeing + F.when(x.bitwiseAND(F.lit(mask).cast("long")) == 0, F.lit(1 << j)).otherwise(F.lit(0))
         other = agreeing - F.col("choice")
-        return _ordered() & ((other == 0) | (other.bitwiseAND(-other) > F.col("choice")))
+        first = (other == 0) | (other.bitwiseAND(-other) > F.col("choice"))
+        # Counting bits is cheaper than the distance and already rules most candidates out.
+        return _ordered() & (F.bit_count(x) <= self.slack) & first
 
 
 @dataclass(frozen=True)

@@ -81,11 +81,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """A table stored in fewer pieces than there are cores, spread by ``key``; larger tables stay as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 2 * cores else df
+
+
 def ad_fact(spark: SparkSession, sf_dir: str, monthly: bool = True) -> DataFrame:
     """Delivery fact: one row per line item. ``monthly`` dates records on the first of their month."""
     lines, orders, parts = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "part"))
     return (
-        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        spread(lines, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .selectExpr(*fact_projection("spark", monthly))
     )
@@ -107,7 +113,7 @@ def accounts(spark: SparkSession, sf_dir: str, monthly: bool = True, day: str =
     """Daily account snapshot: each account on the days it has records, by ``day`` of the fact."""
     d = DATES["spark"]["ship" if day == "partition_date" else "cohort"]
     days = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .selectExpr("o_custkey as account_id", f"{day_int(d, monthly)} as imp_date")
         .distinct()
@@ -166,7 +172,7 @@ def creative_projection(dialect: str) -> list[str]:
 
 
 def text_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "documents").selectExpr("doc_id", "explode(split(text, ' ')) as w")
+    words = spread(table(spark, sf_dir, "documents"), "doc_id").selectExpr("doc_id", "explode(split(text, ' ')) as w")
     hashed = words.selectExpr("doc_id", "cast(conv(substr(md5(w), 1, 15), 16, 10) as bigint) as h")
     return hashed.groupBy("doc_id").agg(*[F.expr(v) for v in VOTES]).selectExpr("doc_id", f"{HASH_VALUE} as hash")
 
