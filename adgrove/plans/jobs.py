@@ -25,9 +25,7 @@ def new_reach_day(
         ads = new_reach.ad_rows_gen1(fact, accounts, first_day, last_day)
     else:
         ads = new_reach.ad_rows_gen2(fact, accounts, channel, first_day, last_day)
-    scratch = Scratch(fact.sparkSession)
-    ads, _ = scratch.cut(ads)
-    detail, _ = scratch.cut(new_reach.ad_detail(ads, generation))
+    detail, _ = Scratch(fact.sparkSession).cut(new_reach.ad_detail(ads, generation))
     build = {
         "industry": lambda: new_reach.industry_report(detail, generation),
         "industry_bucket": lambda: new_reach.bucket_report(detail, generation),

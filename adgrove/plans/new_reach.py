@@ -12,6 +12,7 @@ from adgrove.functions import metrics as m
 from adgrove.functions import predicates as p
 from adgrove.functions.arith import flag, ratio
 from adgrove.operators import ad_totals as t
+from adgrove.operators.scratch import Scratch
 
 COMMON_METRICS = (
     "ad_num", "achieve_rate", "ad_reach_rate", "ac_reach_rate", "cost", "gmv", "click_num", "conversion_num",
@@ -167,8 +168,12 @@ def ad_detail(
     The account bias is computed per (day, industry, sub-industry, advertiser key) but joined on day and
     advertiser key alone, so an advertiser listed in two industries on one day fans out, as in the original
     report. Generation 2 counts a missing bias as 0.
+
+    The ads feed both sides of that join with different columns, so Spark could not share their plan and would
+    scan and aggregate the fact twice; they are written once to the shared folder instead (one row per ad).
     """
     c = F.col
+    ads, _ = Scratch(ads.sparkSession).cut(ads)
     account_bias = (
         ads.groupBy("partition_date", "op_industry", "op_industry2", "t_advertiser")
         .agg(F.sum("cost_micros").alias("cost_micros"), F.sum("gmvc").alias("gmvc"))
