@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adgrove.operators.scratch import Scratch
@@ -33,14 +33,16 @@ def spread_keys(keys: DataFrame) -> DataFrame:
 class PairSearch:
     """Close pairs of one key table. Prepared once, then run over any table with the same keys.
 
-    A bucket with more than ``bucket_limit`` keys on a side is cut into chunks; every left chunk meets every
-    right chunk in a join group of its own, so a hot bucket becomes many bounded groups and stays complete.
-    ``hot`` lists only such buckets.
+    ``hot`` lists the buckets with more than the limit of keys on a side. Where the space can, their keys are
+    spread over sub-buckets by the bits the bucket leaves open. Buckets that stay large (``cuts``) are cut into
+    chunks and every left chunk meets every right chunk in a join group of its own. Either way a hot bucket
+    becomes many bounded groups and stays complete.
     """
 
     space: Space
     part: tuple[str, ...]
     hot: DataFrame | None
+    cuts: DataFrame | None
 
     def close_pairs(self, keys: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         """Unordered pairs of distinct keys below eps: a, b (kids), d, and ``carry`` columns of both sides.
@@ -50,14 +52,28 @@ class PairSearch:
         space, on = self.space, [*self.part, *self.space.bucket_columns]
         slim = keys.select(*dict.fromkeys([*self.part, "kid", *space.key_columns, *carry]))
         left, right = space.left(slim), space.right(slim)
-        if self.hot is not None:
-            left = _chunked(left, self.hot, on, "cut_left", "cut_right", ("x", "y"))
-            right = _chunked(right, self.hot, on, "cut_right", "cut_left", ("y", "x"))
+        if self.hot is None:
+            return self._meet(left, right, on, space.once(), carry)
+        if not space.refines:
+            return self._meet(left, right, on, space.once(), carry, self.cuts)
+        cold = self._meet(left.join(self.hot, on, "left_anti"), right.join(self.hot, on, "left_anti"), on, space.once(), carry)
+        fine = self._meet(
+            space.refine(left.join(self.hot, on, "left_semi")), space.refine(right.join(self.hot, on, "left_semi")),
+            [*on, *space.refined_columns], space.once() & space.refined_once(), carry, self.cuts,
+        )
+        return cold.unionByName(fine)
+
+    def _meet(
+        self, left: DataFrame, right: DataFrame, on: list[str], once: Column, carry: Sequence[str], cuts: DataFrame | None = None
+    ) -> DataFrame:
+        if cuts is not None:
+            left = _chunked(left, cuts, on, "cut_left", "cut_right", ("x", "y"))
+            right = _chunked(right, cuts, on, "cut_right", "cut_left", ("y", "x"))
             on = [*on, "x", "y"]
         left = left.select(*on, *[F.col(c).alias(A + c) for c in left.columns if c not in on])
         right = right.select(*on, *[F.col(c).alias(B + c) for c in right.columns if c not in on])
-        met = left.join(right, on).where(F.col(A + "kid") != F.col(B + "kid")).withColumn("d", space.distance())
-        return met.where(space.once() & (F.col("d") < space.eps)).select(
+        met = left.join(right, on).where(F.col(A + "kid") != F.col(B + "kid")).withColumn("d", self.space.distance())
+        return met.where(once & (F.col("d") < self.space.eps)).select(
             F.col(A + "kid").alias("a"), F.col(B + "kid").alias("b"), "d",
             *[F.col(s + c).alias(f"{c}_{n}") for c in carry for s, n in ((A, "a"), (B, "b"))],
         )
@@ -69,21 +85,34 @@ def prepare_pairs(
     """Tunes the blocking to the number of keys and finds hot buckets, from counts per bucket."""
     space = space.tuned(n_keys, keys) if isinstance(space, VectorSpace) else space.tuned(n_keys)
     on = [*part, *space.bucket_columns]
-    hot = None
-    if n_keys > bucket_limit:
-        slim = keys.select(*dict.fromkeys([*part, *space.key_columns]))
-        sizes = (
-            space.left(slim).groupBy(*on).agg(F.count(F.lit(1)).alias("n_left"))
-            .join(space.right(slim).groupBy(*on).agg(F.count(F.lit(1)).alias("n_right")), on)
-        )
-        chunks = lambda n: F.ceil(F.col(n) / bucket_limit).cast("int")
-        found, seen = scratch.cut(
-            sizes.where((F.col("n_left") > bucket_limit) | (F.col("n_right") > bucket_limit))
-            .select(*on, chunks("n_left").alias("cut_left"), chunks("n_right").alias("cut_right")),
-            rows=F.count(F.lit(1)),
-        )
-        hot = found if seen["rows"] else None
-    return PairSearch(space, tuple(part), hot)
+    if n_keys <= bucket_limit:
+        return PairSearch(space, tuple(part), None, None)
+    slim = keys.select(*dict.fromkeys([*part, "kid", *space.key_columns]))
+    left, right = space.left(slim), space.right(slim)
+    hot = _oversized(left, right, on, bucket_limit, scratch)
+    if hot is None or not space.refines:
+        return PairSearch(space, tuple(part), hot, hot)
+    hot = hot.select(*on)
+    cuts = _oversized(
+        space.refine(left.join(hot, on, "left_semi")), space.refine(right.join(hot, on, "left_semi")),
+        [*on, *space.refined_columns], bucket_limit, scratch,
+    )
+    return PairSearch(space, tuple(part), hot, cuts)
+
+
+def _oversized(left: DataFrame, right: DataFrame, on: list[str], limit: int, scratch: Scratch) -> DataFrame | None:
+    """Buckets above the limit with the number of chunks per side; None when there is none."""
+    sizes = (
+        left.groupBy(*on).agg(F.count(F.lit(1)).alias("n_left"))
+        .join(right.groupBy(*on).agg(F.count(F.lit(1)).alias("n_right")), on)
+    )
+    chunks = lambda n: F.ceil(F.col(n) / limit).cast("int")
+    found, seen = scratch.cut(
+        sizes.where((F.col("n_left") > limit) | (F.col("n_right") > limit))
+        .select(*on, chunks("n_left").alias("cut_left"), chunks("n_right").alias("cut_right")),
+        rows=F.count(F.lit(1)),
+    )
+    return found if seen["rows"] else None
 
 
 def _chunked(side: DataFrame, hot: DataFrame, on: list[str], own: str, other: str, axes: tuple[str, str]) -> DataFrame:

@@ -103,6 +103,50 @@ class HashSpace:
         # Counting bits is cheaper than the distance and already rules most candidates out.
         return _ordered() & (F.bit_count(x) <= self.slack) & first
 
+    # Second level, for hot buckets only: their keys agree on the chosen bits, so the differing bits of a pair
+    # all lie in the rest. The rest is cut into blocks of its own and the same argument applies again.
+
+    refines = True
+    refined_columns = ("at", "sub", "subvalue")
+
+    def _rest_blocks(self) -> tuple[list[list[int]], list[tuple[int, ...]]]:
+        """Blocks of the remaining bits per choice, and the sub-choices of blocks that must agree."""
+        rests = [[b for b in range(self.bits) if not agree >> b & 1] for _, agree in self._choices()]
+        n = min(min(map(len, rests)), self.slack + 3)
+        while math.comb(n, self.slack) > 60 and n > self.slack + 1:
+            n -= 1
+        blocks = []
+        for rest in rests:
+            edges = [round(i * len(rest) / n) for i in range(n + 1)] if n else []
+            blocks.append([sum(1 << b for b in rest[lo:hi]) for lo, hi in zip(edges, edges[1:])])
+        return blocks, list(combinations(range(n), max(n - self.slack, 0)))
+
+    @staticmethod
+    def _table(rows: list[list[int]]) -> Column:
+        return F.array(*[F.array(*[F.lit(v).cast("long") for v in row]).cast("array<bigint>") for row in rows])
+
+    def refine(self, rows: DataFrame) -> DataFrame:
+        """Rows of hot buckets spread over sub-buckets."""
+        blocks, subs = self._rest_blocks()
+        masks = self._table([[sum(b[j] for j in sub) for sub in subs] for b in blocks])
+        choices = F.array(*[F.lit(chosen) for chosen, _ in self._choices()])
+        at = (F.array_position(choices, F.col("choice")) - 1).cast("int")
+        located = rows.withColumn("at", at)
+        values = F.transform(F.get(masks, F.col("at")), lambda m: F.col(self.column).bitwiseAND(m))
+        return located.select("*", F.posexplode(values).alias("sub", "subvalue"))
+
+    def refined_once(self) -> Column:
+        """The first agreeing sub-choice, by the rule of :meth:`once`."""
+        blocks, subs = self._rest_blocks()
+        x = F.col(A + self.column).bitwiseXOR(F.col(B + self.column))
+        own = F.get(self._table(blocks), F.col("at"))
+        agreeing = F.lit(0)
+        for j in range(len(blocks[0])):
+            agreeing = agreeing + F.when(x.bitwiseAND(F.get(own, F.lit(j))) == 0, F.lit(1 << j)).otherwise(F.lit(0))
+        chosen = F.get(F.array(*[F.lit(sum(1 << j for j in sub)) for sub in subs]), F.col("sub"))
+        other = agreeing - chosen
+        return (other == 0) | (other.bitwiseAND(-other) > chosen)
+
 
 @dataclass(frozen=True)
 class VectorSpace:
@@ -120,6 +164,7 @@ class VectorSpace:
     grid: tuple[int, ...] | None = None
     scale: float = 1.0
     max_grid: int = 3
+    refines = False
 
     @property
     def key_columns(self) -> tuple[str, ...]:
@@ -274,6 +319,18 @@ class MixedSpace:
         agree = self._must_agree()
         return tuple(f"same_{n}" for n in agree) if agree else HashSpace.bucket_columns
 
+    @property
+    def refines(self) -> bool:
+        return not self._must_agree()
+
+    refined_columns = HashSpace.refined_columns
+
+    def refine(self, rows: DataFrame) -> DataFrame:
+        return self._blocking().refine(rows)
+
+    def refined_once(self) -> Column:
+        return self._blocking().refined_once()
+
     def _blocking(self) -> HashSpace:
         hashes = self._hash_space()
         if hashes is None:
