@@ -72,7 +72,8 @@ class PairSearch:
             on = [*on, "x", "y"]
         left = left.select(*on, *[F.col(c).alias(A + c) for c in left.columns if c not in on])
         right = right.select(*on, *[F.col(c).alias(B + c) for c in right.columns if c not in on])
-        met = left.join(right, on).where(F.col(A + "kid") != F.col(B + "kid")).withColumn("d", self.space.distance())
+        # Sort-merge, never broadcast: size estimates do not see how many copies the buckets make of a key.
+        met = left.join(right.hint("merge"), on).where(F.col(A + "kid") != F.col(B + "kid")).withColumn("d", self.space.distance())
         return met.where(once & (F.col("d") < self.space.eps)).select(
             F.col(A + "kid").alias("a"), F.col(B + "kid").alias("b"), "d",
             *[F.col(s + c).alias(f"{c}_{n}") for c in carry for s, n in ((A, "a"), (B, "b"))],
