@@ -45,5 +45,10 @@ def below(bias: Column, use_amount_first: Column) -> Column:
 
 
 def weighted(value: Column, weight: Column) -> Column:
-    """Weighted mean as an aggregate; value and weight stay per row."""
+    """Weighted mean as an aggregate of an integer value; value and weight stay per row."""
     return ratio(F.sum(value * weight), F.sum(weight))
+
+
+def weighted_quotient(value: Column, weight: Column) -> Column:
+    """Weighted mean of a fractional value, summed as decimals so the result does not depend on row order."""
+    return ratio(F.sum((value * weight).cast("decimal(28,9)")), F.sum(weight))

@@ -75,8 +75,8 @@ def classic_rollup(ads: DataFrame, keys: Sequence[str], gmv_scale: int, count_sp
         F.sum("pcvr_micros").alias("pcvr_micros"),
         F.sum("pctr").alias("pctr_micros"),
         F.sum("exposure").alias("exposure"),
-        m.weighted(c("gsp_factor"), c("click")).alias("gsp_factor"),
-        m.weighted(c("real_gsp_factor"), c("click")).alias("real_gsp_factor"),
+        m.weighted_quotient(c("gsp_factor"), c("click")).alias("gsp_factor"),
+        m.weighted_quotient(c("real_gsp_factor"), c("click")).alias("real_gsp_factor"),
     )
     pcvr = ratio(c("pcvr_micros").cast("double") / m.MICROS, c("click_num"))
     cvr = ratio(c("conversion_num"), c("click_num"))

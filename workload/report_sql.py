@@ -36,8 +36,8 @@ CLASSIC = """sum(micros * reach) / nullif(sum(micros), 0) as achieve_rate,
     sum(click) / nullif(sum(exposure), 0) as ctr,
     sum(pctr_sum) / 1000000 / 1000000 / nullif(sum(exposure), 0)
       / nullif(sum(click) / nullif(sum(exposure), 0), 0) - 1 as pctr_bias,
-    sum(gsp * click) / nullif(sum(click), 0) as gsp_factor,
-    sum(rgsp * click) / nullif(sum(click), 0) as real_gsp_factor"""
+    sum(cast(gsp * click as decimal(28,9)))::double / nullif(sum(click), 0) as gsp_factor,
+    sum(cast(rgsp * click as decimal(28,9)))::double / nullif(sum(click), 0) as real_gsp_factor"""
 
 RATES = ["achieve_rate", "below_rate", "ec_rate_0", "ec_rate_2", "pcvr", "cvr", "pcvr_bias", "pctr", "ctr",
          "pctr_bias", "gsp_factor", "real_gsp_factor"]
