@@ -23,6 +23,11 @@ def _ordered() -> Column:
     return F.col(A + "kid") < F.col(B + "kid")
 
 
+def _up_to(chosen: int) -> int:
+    """All blocks up to the last chosen one, as a bit set."""
+    return (1 << chosen.bit_length()) - 1
+
+
 @dataclass(frozen=True)
 class HashSpace:
     """Hash distance below ``eps`` on one non-negative integer column of ``bits`` bits.
@@ -82,7 +87,10 @@ class HashSpace:
 
     def left(self, keys: DataFrame) -> DataFrame:
         cells = F.array(*[
-            F.struct(F.lit(chosen).alias("choice"), F.col(self.column).bitwiseAND(F.lit(agree).cast("long")).alias("value"))
+            F.struct(
+                F.lit(chosen).alias("choice"), F.lit(_up_to(chosen)).alias("upto"),
+                F.col(self.column).bitwiseAND(F.lit(agree).cast("long")).alias("value"),
+            )
             for chosen, agree in self._choices()
         ])
         return keys.select("*", F.inline(cells))
@@ -92,14 +100,13 @@ class HashSpace:
     def once(self) -> Column:
         """The choice holds the pair's first agreeing blocks: no other agreeing block comes before its last one.
 
-        Plain bit arithmetic, so the join condition stays inside generated code.
+        Short bit arithmetic: the condition stays inside generated code, and that small enough to be compiled.
         """
         x = F.col(A + self.column).bitwiseXOR(F.col(B + self.column))
         agreeing = F.lit(0)
         for j, mask in enumerate(self._block_masks(self.blocks)):
             agreeing = agreeing + F.when(x.bitwiseAND(F.lit(mask).cast("long")) == 0, F.lit(1 << j)).otherwise(F.lit(0))
-        other = agreeing - F.col("choice")
-        first = (other == 0) | (other.bitwiseAND(-other) > F.col("choice"))
+        first = agreeing.bitwiseAND(F.col(A + "upto")) == F.col("choice")
         # Counting bits is cheaper than the distance and already rules most candidates out.
         return _ordered() & (F.bit_count(x) <= self.slack) & first
 
@@ -143,9 +150,9 @@ class HashSpace:
         agreeing = F.lit(0)
         for j in range(len(blocks[0])):
             agreeing = agreeing + F.when(x.bitwiseAND(F.get(own, F.lit(j))) == 0, F.lit(1 << j)).otherwise(F.lit(0))
-        chosen = F.get(F.array(*[F.lit(sum(1 << j for j in sub)) for sub in subs]), F.col("sub"))
-        other = agreeing - chosen
-        return (other == 0) | (other.bitwiseAND(-other) > chosen)
+        chosen = [sum(1 << j for j in sub) for sub in subs]
+        pick = lambda values: F.get(F.array(*[F.lit(v) for v in values]), F.col("sub"))
+        return agreeing.bitwiseAND(pick([_up_to(c) for c in chosen])) == pick(chosen)
 
 
 @dataclass(frozen=True)
