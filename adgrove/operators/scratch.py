@@ -45,3 +45,9 @@ class Scratch:
             df.write.parquet(path)
             values = {}
         return self.spark.read.schema(df.schema).parquet(path), values
+
+    def release(self) -> None:
+        """Deletes this owner's tables; call it when no DataFrame read from them is needed any more."""
+        jvm = self.spark._jvm
+        path = jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

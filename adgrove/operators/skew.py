@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_KEYS = 1000
-SMALL = 1_000_000
 
 
 def join_spread(big: DataFrame, small: DataFrame, on: Sequence[str], weight: str, total: int) -> DataFrame:
@@ -16,11 +15,9 @@ def join_spread(big: DataFrame, small: DataFrame, on: Sequence[str], weight: str
 
     The weights add up to ``total``, so at most ``HOT_KEYS`` keys hold more than total / HOT_KEYS rows each.
     Those few rows of ``small`` are broadcast, which leaves their rows of ``big`` where they are; all other
-    keys are shuffled and none of them is large. ``weight`` is dropped. Small inputs join plainly.
+    keys are shuffled and none of them is large. ``weight`` is dropped. There is one path for every size.
     """
     on = list(on)
-    if total <= SMALL:
-        return big.join(small.drop(weight), on)
     is_hot = F.col(weight) > total / HOT_KEYS
     hot, cold = small.where(is_hot).drop(weight), small.where(~is_hot).drop(weight)
     kept = big.join(F.broadcast(hot), on)

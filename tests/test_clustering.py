@@ -62,7 +62,6 @@ def test_hash_clusters(spark, noise, eps, min_points):
 
 
 def test_hot_buckets_and_blocks_change_nothing(spark, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL", 0)
     monkeypatch.setattr(skew, "HOT_KEYS", 10)
     rng = random.Random(9)
     cases = [[(h,) for h in random_hashes(rng, 60, 14)] for _ in range(6)]
@@ -136,7 +135,6 @@ def test_assignment(spark, seed):
 
 
 def test_components_of_long_and_hub_graphs(spark, monkeypatch):
-    monkeypatch.setattr(skew, "SMALL", 0)
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(5000, 4000)]
     random.Random(0).shuffle(edges)
     df = spark.createDataFrame(edges, "a bigint, b bigint")
