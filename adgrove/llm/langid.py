@@ -34,7 +34,7 @@ def normal(text: str) -> bytes:
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id") -> dict[str, bytes]:
-    """Raw-content dictionary of each language, from a bounded sample of at most ``SAMPLE`` rows a language.
+    """Raw-content dictionary of each language, the most frequent first, from a bounded sample of at most ``SAMPLE`` rows a language.
 
     Rows with NULL language, NULL text or a text without letters teach nothing. A language's texts are dealt out in
     equal pieces until its content is full, so one long text cannot fill it alone.
@@ -54,7 +54,8 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
             spare -= more
             parts.append(t[: share + more])
         content[name] = b"".join(parts)
-    return dict(sorted(content.items()))
+    common = {r[lang]: r["count"] for r in usable.where(F.col(lang).isin(list(content))).groupBy(lang).count().collect()}
+    return {name: content[name] for name in sorted(content, key=lambda n: (-common[n], n))}
 
 
 def predict(
@@ -67,7 +68,7 @@ def predict(
     over the second language in bytes and in share of the size. ``accepted`` is false where the lead is below
     ``margin`` of the size: a caller that wants to reject narrow results takes ``und`` there. A text that is NULL or
     has no letter is ``und`` with score 0, and so is every text if no language was learned. Equal sizes go to the
-    first name. Every row is judged on its own, so repeated rows and ids repeat their result.
+    first name, which ``learn`` makes the most frequent. Every row is judged on its own, so repeated rows and ids repeat their result.
     """
     names = list(content)
 
