@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from adgrove.llm import langid
+from adgrove.llm import langid, warc
 
 QUERIES = {
+    "op3_arc_to_warc": (warc.query, warc.SQL),
     "op10_language_id": (langid.query, None),
 }
