@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from adgrove.llm import langid, warc
+from adgrove.llm import langid, tokens, warc
 
 QUERIES = {
+    "op2_token_codes": (tokens.query, None),
     "op3_arc_to_warc": (warc.query, warc.SQL),
     "op10_language_id": (langid.query, None),
 }
