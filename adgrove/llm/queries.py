@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from adgrove.llm import langid, tokens, warc
+from adgrove.llm import langid, tokens, toxicity, warc
 
 QUERIES = {
+    "op5_toxicity_cnn": (toxicity.query, None),
     "op2_token_codes": (tokens.query, None),
     "op3_arc_to_warc": (warc.query, warc.SQL),
     "op10_language_id": (langid.query, None),

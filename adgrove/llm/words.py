@@ -59,11 +59,18 @@ def steps(offsets: np.ndarray, limit: int = STEP) -> Iterator[tuple[int, int]]:
         low = high
 
 
-def split_words(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words of the rows whose bytes lie between consecutive ``offsets``."""
+def letter_table() -> np.ndarray:
+    """Marks ASCII letters and digits and every byte of other characters."""
+    table = np.zeros(256, bool)
+    table[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+    return table
+
+
+def split_words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray | None = None) -> Words:
+    """Words of the rows whose bytes lie between consecutive ``offsets``; ``table`` marks other bytes as word bytes."""
     base = offsets[0]
     data, offsets = data[base: offsets[-1]], offsets - base
-    solid = (data != 32) & ((data < 9) | (data > 13))
+    solid = (data != 32) & ((data < 9) | (data > 13)) if table is None else table[data]
     before = np.empty(len(data) + 1, bool)
     before[0], before[1:] = False, solid
     before[offsets] = False
