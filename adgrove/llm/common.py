@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -78,6 +79,47 @@ def map_rows(
     return out.select(*[F.col("_row").getField(c).alias(c) for c in keep], *new.names)
 
 
+def map_runs(
+    df: DataFrame, keys: Sequence[str], partitions: int | None, make: Callable[[], Step], schema: str | T.StructType
+) -> DataFrame:
+    """Applies a function to the rows of each key as one batch, many keys in a task.
+
+    Unlike a grouped map there is no call from the JVM for each key. Rows of a key meet in one task, so the caller
+    must know a bound for them.
+    """
+    dealt = df.repartition(*([partitions] if partitions else []), *keys).sortWithinPartitions(*keys)
+    count = len(keys)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        step, held, last = make(), [], None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if held:
+                whole = pa.Table.from_batches(held).combine_chunks().to_batches()
+                yield from step(whole[0])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(count)]
+            change = np.zeros(batch.num_rows, bool)
+            for c in columns:
+                change[1:] |= c[1:] != c[:-1]
+            first = tuple(c[0] for c in columns)
+            cuts = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+            for i, (low, high) in enumerate(zip(cuts[:-1], cuts[1:])):
+                if i or first != last:
+                    yield from flush()
+                    held = []
+                if high > low:
+                    held.append(batch.slice(low, high - low))
+            last = tuple(c[-1] for c in columns)
+        yield from flush()
+
+    names = [*keys, *[c for c in dealt.columns if c not in keys]]
+    return dealt.select(*names).mapInArrow(run, schema)
+
+
 MOST_GROUPS = 1000
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from adgrove.llm import langid, tokens, topk, toxicity, warc
+from adgrove.llm import langid, neardup, tokens, topk, toxicity, warc
 
 QUERIES = {
+    "op7_near_duplicates": (neardup.query, None),
     "op6_exact_top_k": (topk.query, topk.SQL),
     "op5_toxicity_cnn": (toxicity.query, None),
     "op2_token_codes": (tokens.query, None),
