@@ -56,13 +56,17 @@ def gunzip(data: bytes) -> bytes:
     """All members of a gzip file, or the bytes themselves where they are not compressed."""
     if data[:2] != b"\x1f\x8b":
         return data
-    parts = []
-    while data[:2] == b"\x1f\x8b":
+    view, at, parts = memoryview(data), 0, []
+    while at < len(data) and data[at: at + 2] == b"\x1f\x8b":
         reader = zlib.decompressobj(31)
-        parts.append(reader.decompress(data))
-        if not reader.eof:
-            raise ValueError("a gzip member is cut off")
-        data = reader.unused_data
+        # Fed in short pieces: what a member leaves over of its last piece is copied.
+        while not reader.eof:
+            piece = view[at: at + 8192]
+            if not piece:
+                raise ValueError("a gzip member is cut off")
+            parts.append(reader.decompress(piece))
+            at += len(piece)
+        at -= len(reader.unused_data)
     return b"".join(parts)
 
 
@@ -278,8 +282,10 @@ def convert(spark: SparkSession, arcs: DataFrame, folder: str, scratch: Scratch,
     others become revisits of it. Payloads stay in their files: only index rows are shuffled, a file is converted
     by one task, and files are bounded by the roll size of their writer.
     """
-    arcs = arcs.select("path").repartition("path")
-    index, seen = scratch.cut(map_arrow(arcs, _index, INDEX), rows=F.count(F.lit(1)))
+    files = max(1, arcs.count())
+    index, seen = scratch.cut(
+        map_arrow(arcs.select("path").repartition(files, "path"), _index, INDEX), rows=F.count(F.lit(1))
+    )
     number = F.col("key").cast("decimal(38,0)")
     place = F.struct(
         number.isNotNull().alias("known"), number.alias("number"), "path", "offset", "record_id", "uri", "date", "key"
@@ -296,22 +302,27 @@ def convert(spark: SparkSession, arcs: DataFrame, folder: str, scratch: Scratch,
         .select("path", "offset", F.col("whole.record_id").alias("first"), F.col("whole.uri").alias("first_uri"),
                 F.col("whole.date").alias("first_date"), F.col("whole.key").alias("first_key"))
     )
-    schema = arrow_schema("path string, records bigint")
+    of_file = again.groupBy("path").agg(
+        F.collect_list(F.struct("offset", "first", "first_uri", "first_date", "first_key")).alias("revisits")
+    )
+    work = arcs.select("path").join(of_file, "path", "left").repartition(files, "path").select("path", "revisits")
+    return scratch.cut(map_arrow(work, _rewriter(folder), "path string, records bigint"))[0]
+
+
+def _rewriter(folder: str):
+    def make():
+        schema = arrow_schema("path string, records bigint")
+
+        def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            for path, revisits in zip(*(c.to_pylist() for c in batch.columns)):
+                known = {o: rest for o, *rest in (r.values() for r in revisits or [])}
+                parts = [gz(to_warc(path, r, known.get(r.offset))) for r in parse_arc(gunzip(read_all(path)))]
+                made = write_new(folder, "converted", ".warc.gz", b"".join(parts))
+                yield pa.RecordBatch.from_arrays([pa.array([made]), pa.array([len(parts) - 1])], schema=schema)
 
-    def rewrite(files: pa.Table, revisits: pa.Table) -> pa.Table:
-        paths, counts = [], []
-        known = {
-            o: rest for o, *rest in zip(*(revisits.column(c).to_pylist() for c in
-                                          ("offset", "first", "first_uri", "first_date", "first_key")))
-        }
-        for path in files.column("path").to_pylist():
-            parts = [gz(to_warc(path, r, known.get(r.offset))) for r in parse_arc(gunzip(read_all(path)))]
-            paths.append(write_new(folder, "converted", ".warc.gz", b"".join(parts)))
-            counts.append(len(parts) - 1)
-        return pa.table([pa.array(paths, pa.string()), pa.array(counts, pa.int64())], schema=schema)
+        return step
 
-    made = arcs.groupBy("path").cogroup(again.groupBy("path")).applyInArrow(rewrite, "path string, records bigint")
-    return scratch.cut(made)[0]
+    return make
 
 
 RECORDS = ("page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, "
@@ -348,7 +359,7 @@ def _records() -> object:
 
 def read_warc(files: DataFrame) -> DataFrame:
     """Records of the WARC files in ``files`` (column path), without their payloads; digests are checked."""
-    return map_arrow(files.select("path").repartition("path"), _records, RECORDS)
+    return map_arrow(files.select("path").repartition(max(1, files.count()), "path"), _records, RECORDS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
