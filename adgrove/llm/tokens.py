@@ -312,7 +312,7 @@ def _documents() -> object:
 
 def read_documents(files: DataFrame) -> DataFrame:
     """Place, length and checksum of every document, decoded from the files; one task a file."""
-    return map_arrow(files.select("path", "base").repartition("path"), _documents, DOCUMENTS)
+    return map_arrow(files.select("path", "base").repartition(max(1, files.count()), "path"), _documents, DOCUMENTS)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
