@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from adgrove.llm import langid, neardup, substrings, tokens, topk, toxicity, warc
+from adgrove.llm import decontaminate, langid, neardup, substrings, tokens, topk, toxicity, warc
 
 QUERIES = {
+    "op1_benchmark_passages": (decontaminate.query, None),
     "op8_repeated_passages": (substrings.query, None),
     "op7_near_duplicates": (neardup.query, None),
     "op6_exact_top_k": (topk.query, topk.SQL),

@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 STEP = 1 << 20
 
@@ -50,6 +51,11 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)), at
 
 
+def lower_text(column: pa.Array) -> pa.Array:
+    """Texts in lower case, letters of all scripts."""
+    return pc.utf8_lower(column)
+
+
 def steps(offsets: np.ndarray, limit: int = STEP) -> Iterator[tuple[int, int]]:
     """Row ranges of at most ``limit`` bytes, or of one row that is longer."""
     low, rows = 0, len(offsets) - 1
