@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from adgrove.llm import decontaminate, langid, licenses, neardup, substrings, tokens, topk, toxicity, warc
+from adgrove.llm import decontaminate, langid, licenses, neardup, pieces, substrings, tokens, topk, toxicity, warc
 
 QUERIES = {
+    "op9_sentencepiece": (pieces.query, None),
     "op4_license_notices": (licenses.query, licenses.SQL),
     "op1_benchmark_passages": (decontaminate.query, None),
     "op8_repeated_passages": (substrings.query, None),
