@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adgrove.llm.common import arrow_schema, map_arrow, table
+from adgrove.llm.common import arrow_schema, map_arrow, map_rows, table
 from adgrove.llm.words import Hasher, inside, letter_table, lower_text, split_words, steps, text_bytes
 
 #: Fewest tokens of a tile; an item with fewer tokens is matched as a whole.
@@ -152,72 +152,95 @@ def blocks(benchmark: DataFrame, match: int, limit: int = BLOCK) -> Iterator[Blo
 PAIRS = "doc_id bigint, item_id bigint, n_tokens int, n_covered int, coverage double, tiles array<int>"
 
 
-def _matcher(block: Block, match: int, least: float):
+class Matcher:
+    """Finds the items of a block that texts contain."""
+
+    def __init__(self, block: Block, match: int, least: float):
+        self.block, self.match, self.least = block, match, least
+        self.tokens = Tokens()
+        self.count = np.diff(block.first)
+        self.distinct = np.unique(block.seeds)
+
+    def candidates(self, h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(row, item, places in h under seeds of the item) of the pairs that seeds do not rule out."""
+        block, found = self.block, []
+        for n in block.sizes:
+            at = inside(first, n)
+            seed = self.tokens.hasher.windows(h, n)[at]
+            known = np.searchsorted(self.distinct, seed)
+            hit = self.distinct[np.minimum(known, len(self.distinct) - 1)] == seed
+            at, seed = at[hit], seed[hit]
+            low, high = np.searchsorted(block.seeds, seed, "left"), np.searchsorted(block.seeds, seed, "right")
+            k = high - low
+            if not k.sum():
+                continue
+            entry = np.repeat(low - np.concatenate([[0], np.cumsum(k)[:-1]]), k) + np.arange(k.sum())
+            owner = block.owner[entry]
+            ok = np.minimum(self.count[owner], self.match) == n
+            found.append((np.repeat(at, k)[ok], owner[ok], block.place[entry][ok], np.full(ok.sum(), n)))
+        if not found:
+            return
+        where, item, place, size = (np.concatenate(x) for x in zip(*found))
+        row = np.searchsorted(first, where, "right") - 1
+        order = np.lexsort((where, item, row))
+        where, item, place, size, row = (x[order] for x in (where, item, place, size, row))
+        new = np.ones(len(row), bool)
+        new[1:] = (np.diff(row) != 0) | (np.diff(item) != 0)
+        cuts = np.concatenate([np.flatnonzero(new), [len(row)]])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            n, i = int(size[a]), int(item[a])
+            covered = np.zeros(self.count[i], bool)
+            covered[np.unique(place[a:b])[:, None] + np.arange(n)] = True
+            if covered.sum() >= self.least * self.count[i]:
+                yield int(row[a]), i, np.unique(where[a:b][:, None] + np.arange(n))
+
+    def find(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int, list[int]]]:
+        """(row, item, item tokens, covered tokens, tiles) of the pairs that reach the threshold."""
+        data, at = text_bytes(lower_text(texts))
+        for low, high in steps(at):
+            h, first = self.tokens(data, at[low: high + 1])
+            for row, i, places in self.candidates(h, first):
+                # Only tokens under seeds can be in tiles; a zero keeps apart what the text does.
+                gap = np.flatnonzero(np.diff(places) > 1) + 1
+                doc, origin = np.insert(h[places], gap, 0), np.insert(places, gap, 0)
+                item = self.block.tokens[self.block.first[i]: self.block.first[i + 1]]
+                tiles = tile(doc, item, min(self.match, len(item)), self.tokens.hasher)
+                n = sum(t[2] for t in tiles)
+                if n >= self.least * len(item):
+                    spans = [x for a, b, k in sorted(tiles, key=lambda t: t[1]) for x in (int(origin[a] - first[row]), b, k)]
+                    yield low + row, i, len(item), n, spans
+
+
+def _pairs(block: Block, match: int, least: float):
     def make():
-        tokens, schema = Tokens(), arrow_schema(PAIRS)
-        count = np.diff(block.first)
-        distinct = np.unique(block.seeds)
-
-        def candidates(h: np.ndarray, first: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
-            """(row, item, places in h that seeds of the item cover) of the pairs that seeds do not rule out."""
-            found = []
-            for n in block.sizes:
-                at = inside(first, n)
-                seed = tokens.hasher.windows(h, n)[at]
-                at_, known = at, np.searchsorted(distinct, seed)
-                hit = distinct[np.minimum(known, len(distinct) - 1)] == seed
-                at_, seed = at_[hit], seed[hit]
-                low, high = np.searchsorted(block.seeds, seed, "left"), np.searchsorted(block.seeds, seed, "right")
-                k = high - low
-                if not k.sum():
-                    continue
-                entry = np.repeat(low - np.concatenate([[0], np.cumsum(k)[:-1]]), k) + np.arange(k.sum())
-                where, size = np.repeat(at_, k), np.minimum(count[block.owner[entry]], match)
-                ok = size == n
-                found.append((where[ok], block.owner[entry][ok], block.place[entry][ok], size[ok]))
-            if not found:
-                return
-            where, item, place, size = (np.concatenate(x) for x in zip(*found))
-            row = np.searchsorted(first, where, "right") - 1
-            order = np.lexsort((where, item, row))
-            where, item, place, size, row = (x[order] for x in (where, item, place, size, row))
-            new = np.ones(len(row), bool)
-            new[1:] = (np.diff(row) != 0) | (np.diff(item) != 0)
-            cuts = np.concatenate([np.flatnonzero(new), [len(row)]])
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                n, i = int(size[a]), int(item[a])
-                covered = np.zeros(count[i], bool)
-                covered[np.unique(place[a:b])[:, None] + np.arange(n)] = True
-                if covered.sum() >= least * count[i]:
-                    yield int(row[a]), i, np.unique(where[a:b][:, None] + np.arange(n))
+        matcher, schema = Matcher(block, match, least), arrow_schema(PAIRS)
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             ids = batch.column("doc_id")
-            data, at = text_bytes(lower_text(batch.column("text")))
-            rows = []
-            for low, high in steps(at):
-                h, first = tokens(data, at[low: high + 1])
-                for row, i, places in candidates(h, first):
-                    # Only tokens under seeds can be in tiles; a zero keeps apart what the text does.
-                    gap = np.flatnonzero(np.diff(places) > 1) + 1
-                    doc, origin = np.insert(h[places], gap, 0), np.insert(places, gap, 0)
-                    item = block.tokens[block.first[i]: block.first[i + 1]]
-                    tiles = tile(doc, item, min(match, len(item)), tokens.hasher)
-                    n = sum(t[2] for t in tiles)
-                    if n >= least * len(item):
-                        spans = [x for a, b, k in sorted(tiles, key=lambda t: t[1])
-                                 for x in (int(origin[a] - first[row]), b, k)]
-                        rows.append((ids[low + row].as_py(), int(block.ids[i]), len(item), n, n / len(item), spans))
+            rows = [(ids[r].as_py(), int(block.ids[i]), size, n, n / size, spans)
+                    for r, i, size, n, spans in matcher.find(batch.column("text"))]
             if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
         return step
 
     return make
 
 
+def _flags(block: Block, match: int, least: float):
+    def make():
+        matcher = Matcher(block, match, least)
+
+        def derive(texts: pa.Array) -> list:
+            found = np.zeros(len(texts), bool)
+            found[[r for r, *_ in matcher.find(texts)]] = True
+            return [pa.array(found)]
+
+        return derive
+
+    return make
+
+
 def find_passages(
     docs: DataFrame, benchmark: DataFrame, least: float = COVERAGE, match: int = MATCH, block: int = BLOCK
 ) -> DataFrame:
@@ -231,10 +254,22 @@ def find_passages(
     out = docs.sparkSession.createDataFrame([], PAIRS)
     for part in blocks(benchmark, match, block):
         if part.sizes:
-            out = out.unionByName(map_arrow(texts, _matcher(part, match, least), PAIRS))
+            out = out.unionByName(map_arrow(texts, _pairs(part, match, least), PAIRS))
     return out
 
 
+def without_passages(
+    docs: DataFrame, benchmark: DataFrame, least: float = COVERAGE, match: int = MATCH, block: int = BLOCK
+) -> DataFrame:
+    """The rows of ``docs`` (a column ``text`` and any others) that contain no item: no join, one pass a block."""
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    for part in blocks(benchmark, match, block):
+        if part.sizes:
+            found = map_rows(out, ["row"], ["text"], _flags(part, match, least), "found boolean").where("not found")
+            out = found.select("row", F.col("row.text").alias("text"))
+    return out.select("row.*")
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pairs of a document and a benchmark item that it contains, with the share of the item that tiles cover."""
     pairs = find_passages(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
