@@ -34,7 +34,7 @@ def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 LINK_FIELDS = ("a", "b", "d", "core_a", "core_b")
 LINK_SCHEMA = "a bigint, b bigint, d double, core_a boolean, core_b boolean"
 _ARROW = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("d", pa.float64()), ("core_a", pa.bool_()), ("core_b", pa.bool_())])
-_BUFFER, _FOREST = 1 << 18, 1 << 22
+_BUFFER, _FOREST = 1 << 18, 1 << 21
 
 
 def contract_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,18 +85,36 @@ def _pair(u: str, w: str) -> Column:
     return F.struct(F.col(u).alias("u"), F.col(w).alias("w"))
 
 
+STARS_SCHEMA = "v bigint, m bigint"
+
+
+def star_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links (v, m) of a task as a star forest with the same connectivity: at most one row for each node."""
+    rows = [b for b in batches if b.num_rows]
+    if rows:
+        v, m = stars(*(np.concatenate([b.column(i).to_numpy() for b in rows]) for i in (0, 1)))
+        yield pa.RecordBatch.from_arrays([pa.array(v), pa.array(m)], names=["v", "m"])
+
+
 def connected_components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, component) for every node with an edge; the component is its smallest node.
 
-    Alternating large-star / small-star rounds (Kiveris et al., 2014). Minima come from a partially
+    Tasks of up to ``_FOREST`` edges each replace theirs by a star forest first. If that was one task, all is done;
+    else alternating large-star / small-star rounds follow (Kiveris et al., 2014). Minima come from a partially
     aggregated groupBy joined back, never from a collected neighbour list, so a hub costs no single task.
     A round that leaves the edge set unchanged ends the loop; rounds grow with the logarithm of the size.
     """
     current, seen = scratch.cut(
         edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("m")).where("v <> m").distinct(),
-        rows=F.count(F.lit(1)), mark=F.bit_xor(F.xxhash64("v", "m")),
+        rows=F.count(F.lit(1)),
     )
-    while seen["rows"]:
+    tasks = -(-seen["rows"] // _FOREST)
+    if tasks:
+        current, seen = scratch.cut(
+            current.coalesce(tasks).mapInArrow(star_batches, STARS_SCHEMA),
+            rows=F.count(F.lit(1)), mark=F.bit_xor(F.xxhash64("v", "m")),
+        )
+    while tasks > 1:
         last = seen
         both_ways = current.select(F.inline(F.array(_pair("v", "m"), _pair("m", "v"))))
         smallest = both_ways.groupBy("u").agg(
