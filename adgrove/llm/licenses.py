@@ -161,14 +161,27 @@ def scan(
     sizes = F.array_compact(F.array(*[
         F.when(reduce(lambda a, b: a | b, [possible(t) for t in ts]), F.lit(w)) for w, ts in classes.items()
     ]))
-    window = F.slice("words", F.col("start") + 1, F.col("window"))
+    marked = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.array_contains(marks, F.get("words", i)))
+    step, last = stride(F.col("window")), F.greatest(F.size("words") - SHINGLE, F.lit(0))
+
+    def around(place: Column) -> Column:
+        """Starts of the windows that hold a place."""
+        low = F.greatest(F.ceil((place - F.col("window") + 1) / step).cast("int"), F.lit(0))
+        high = F.floor(F.least(place, last) / step).cast("int")
+        return F.when(low <= high, F.transform(F.sequence(low, F.greatest(low, high)), lambda k: k * step)).otherwise(
+            F.array().cast("array<int>")
+        )
+
+    # Windows are cut inside the row and leave it one by one, without the words of the whole text.
+    cut = F.transform(
+        F.array_distinct(F.flatten(F.transform("places", around))),
+        lambda s: F.struct(s.alias("start"), F.slice("words", s + 1, F.col("window")).alias("part")),
+    )
     windows = (
-        texts.select("doc_id", "words", F.explode(sizes).alias("window"))
-        .select("doc_id", "words", "window", F.explode(
-            F.sequence(F.lit(0), F.greatest(F.size("words") - SHINGLE, F.lit(0)), stride(F.col("window")))
-        ).alias("start"))
-        .select("doc_id", "window", "start", window.alias("part"))
-        .where((F.size("part") >= SHINGLE) & F.arrays_overlap("part", marks))
+        texts.select("doc_id", "words", marked.alias("places"), F.explode(sizes).alias("window"))
+        .select("doc_id", "window", F.explode(cut).alias("cut"))
+        .select("doc_id", "window", "cut.start", "cut.part")
+        .where(F.size("part") >= SHINGLE)
         .select("doc_id", "window", "start", shingles_of(F.col("part")).alias("shingles"))
         .withColumn("signature", signature_of(F.col("shingles")))
     )
