@@ -9,7 +9,7 @@
 4. Inside a group links are decided on full shingle sets by a search that tests a document only against those no link
    has reached yet. Nothing but each document's root is written. Groups above ``GROUP`` shingles are cut into blocks:
    all blocks first meet a block of common centres, then each other unless they lie in one component already.
-5. Components of classes and confirmed links give the result.
+5. Components of confirmed links, joined back to the documents through their classes, give the result.
 
 Two documents with similarity s share no bucket with probability (1 - s^ROWS)^BANDS: 1.2e-7 at the threshold of 0.8.
 """
@@ -186,6 +186,37 @@ def _links(percent: int):
     return make
 
 
+LABELS = "grp bigint, doc_id bigint, size bigint, h bigint, label bigint, own boolean"
+
+
+def _labels(percent: int):
+    """Label of each document of a block: the smallest centre that links lead to, else the smallest document."""
+
+    def make():
+        schema = arrow_schema(LABELS)
+
+        def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            order = pa.array(np.argsort(batch.column("doc_id").to_numpy(), kind="stable"))
+            batch = batch.take(order)
+            ids = batch.column("doc_id").to_numpy()
+            sets = batch.column("shingles").to_pylist()
+            first = np.concatenate([[0], np.cumsum([len(s) // 8 for s in sets])])
+            root = linked(first, np.frombuffer(b"".join(sets), np.uint64), percent)
+            label = ids[root]
+            centre = np.flatnonzero(batch.column("centre").to_numpy(zero_copy_only=False))[::-1]
+            by_root = np.full(len(ids), -1)
+            by_root[root[centre]] = centre
+            known = by_root[root] >= 0
+            label[known] = ids[by_root[root[known]]]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(n) if n != "label" else pa.array(label) for n in schema.names], schema=schema
+            )
+
+        return step
+
+    return make
+
+
 def _setter(words: int):
     def make():
         shingler = Shingler(words)
@@ -225,23 +256,24 @@ def _large_links(sets: DataFrame, large: DataFrame, percent: int, limit: int, sc
     def deal(weight: str) -> Column:
         return F.pmod("h", F.ceil(F.col(weight) / half).cast("bigint")).cast("int")
 
-    # First round: every block meets the same centres, a share of the group that fills a quarter of a task.
-    of_group = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40)) < F.lit(half / 2) / F.col("shingles_of")
-    everywhere = F.explode(F.sequence(F.lit(0), F.ceil(F.col("shingles_of") / half).cast("int") - 1))
-    met = members.withColumn("block", deal("shingles_of")).select("grp", "block", "doc_id", "shingles").unionByName(
-        members.where(of_group).withColumn("block", everywhere).select("grp", "block", "doc_id", "shingles")
-    )
-    first, _ = scratch.cut(map_runs(met, ["grp", "block"], None, _links(percent), LINKS))
-    # Second round: blocks of one component each, or of small components mixed; blocks of different ones meet.
-    label = connected_components(first, scratch).withColumnRenamed("node", "doc_id")
-    placed, counted = scratch.cut(
-        members.select("grp", "doc_id", "size", "h").join(label, "doc_id", "left")
-        .withColumn("component", F.coalesce("component", "doc_id")), rows=F.count(F.lit(1)),
+    # First round: every block meets the same centres, a share of the group that fills a quarter of a task. A document
+    # linked to a centre takes the centre's id as label, so equal labels are one component in whatever blocks they are.
+    share = F.pmod("h", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    centre = (share < F.lit(half / 2) / F.col("shingles_of")).alias("centre")
+    columns = ["doc_id", "size", "h", "shingles"]
+    met = members.select("grp", deal("shingles_of").alias("block"), *columns, centre, F.lit(True).alias("own"))
+    blocks = F.explode(F.sequence(F.lit(0), F.ceil(F.col("shingles_of") / half).cast("int") - 1)).alias("block")
+    met = met.unionByName(members.where(centre).select("grp", blocks, *columns, F.lit(True).alias("centre"), F.lit(False).alias("own")))
+    labelled, counted = scratch.cut(
+        map_runs(met, ["grp", "block"], None, _labels(percent), LABELS), rows=F.count(F.lit(1))
     )
-    weights = placed.groupBy("grp", "component").agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("weight"))
+    first = labelled.select(F.col("doc_id").alias("a"), F.col("label").alias("b")).where("a <> b")
+    placed = labelled.where("own").select("grp", "doc_id", "size", "h", "label").distinct()
+    # Second round: blocks of one label each, or of small labels mixed; blocks that differ in label meet.
+    weights = placed.groupBy("grp", "label").agg(F.sum("size").alias("w"), F.count(F.lit(1)).alias("weight"))
     named, _ = scratch.cut(
-        join_spread(placed, weights, ["grp", "component"], "weight", counted["rows"])
-        .withColumn("pure", F.when(F.col("w") >= half // 2, F.col("component")))
+        join_spread(placed, weights, ["grp", "label"], "weight", counted["rows"])
+        .withColumn("pure", F.when(F.col("w") >= half // 2, F.col("label")))
     )
     loose = named.where("pure is null")
     mixed = loose.groupBy("grp").agg(F.sum("size").alias("w_mixed"), F.count(F.lit(1)).alias("weight"))
@@ -277,8 +309,9 @@ def components(
 
     Two documents are linked where ``100 * |intersection| >= percent * |union|`` of their sets of distinct
     ``words``-word shingles. ``component_id`` is the smallest id that links lead to, ``kept`` marks it. A text that
-    is NULL, empty or without words has an empty set and is linked with nothing. Rows with one id are one document: all of
-    them get its component. A row with a NULL id is linked with nothing, has a NULL component and is kept.
+    is NULL, empty or without words has an empty set and is linked with nothing. Every row is judged by its text, so
+    repeated rows repeat their result; an id that stands for several texts as their smallest joins them. A row with a
+    NULL id is linked with nothing, has a NULL component and is kept.
     """
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
@@ -291,11 +324,6 @@ def components(
         .select("set_a", "set_b", F.col("least.doc_id").alias("rep"), F.col("least.bands").alias("bands"), "weight"),
         rows=F.count(F.lit(1)),
     )
-    copies = (
-        join_spread(sized.select("doc_id", "set_a", "set_b"), classes.where("weight > 1").drop("bands"),
-                    ["set_a", "set_b"], "weight", max(1, seen["rows"]))
-        .where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    )
     seats = classes.select("rep", F.explode("bands").alias("band"))
     buckets = (
         seats.groupBy("band").agg(F.min("rep").alias("star"), F.count(F.lit(1)).alias("weight")).where("weight > 1")
@@ -305,24 +333,28 @@ def components(
         .where("rep <> star").select(F.col("rep").alias("a"), F.col("star").alias("b")).distinct()
     )
     groups = connected_components(stars, scratch).select(F.col("node").alias("doc_id"), F.col("component").alias("grp"))
-    wanted = docs.select("doc_id", "text").join(groups, "doc_id").select("grp", "doc_id", "text")
+    wanted = docs.select("doc_id", "text").hint("merge").join(groups, "doc_id").select("grp", "doc_id", "text")
     sets, _ = scratch.cut(
         map_arrow(wanted, _setter(words), "grp bigint, doc_id bigint, size bigint, shingles binary").where("size > 0")
     )
     sizes, _ = scratch.cut(sets.groupBy("grp").agg(F.sum("size").alias("shingles_of"), F.count(F.lit(1)).alias("weight")))
     is_large = F.col("shingles_of") > limit
     small = sets.join(sizes.where(is_large).select("grp"), "grp", "left_anti").select("grp", "doc_id", "shingles")
-    edges = copies.unionByName(map_runs(small, ["grp"], None, _links(percent), LINKS))
+    edges = map_runs(small, ["grp"], None, _links(percent), LINKS)
     large = _large_links(sets, sizes.where(is_large), percent, limit, scratch)
     if large is not None:
         edges = edges.unionByName(large)
-    found = connected_components(edges, scratch).select(F.col("node").alias("doc_id"), "component")
-    out = signed_docs.select("doc_id", "n_shingles").join(found, "doc_id", "left")
-    component = F.coalesce("component", "doc_id")
-    return out.select(
-        "doc_id", "n_shingles", component.alias("component_id"),
-        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
+    found = connected_components(edges, scratch).withColumnRenamed("node", "rep")
+    placed = classes.drop("bands").join(found, "rep", "left").select(
+        "set_a", "set_b", F.coalesce("component", "rep").alias("component"), "weight"
+    )
+    of_rows = join_spread(
+        sized.select("doc_id", "n_shingles", "set_a", "set_b"), placed, ["set_a", "set_b"], "weight", max(1, seen["rows"])
     )
+    alone = signed_docs.where("doc_id is null or n_shingles = 0")
+    return of_rows.select(
+        "doc_id", "n_shingles", F.col("component").alias("component_id"), (F.col("doc_id") == F.col("component")).alias("kept")
+    ).unionByName(alone.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept")))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
