@@ -383,7 +383,12 @@ def encode(docs: DataFrame, pieces: Pieces, scratch: Scratch | None = None, bloc
     answers, _ = scratch.cut(map_arrow(found, _collect, ANSWERS))
     free_shuffles(spark)
     texts = packed.where("codes is not null").select("block", "doc_ids", "counts", "crcs", "codes")
-    return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_unpack, ENCODED)
+    out = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_unpack, ENCODED)
+    if pieces.byte_ids:
+        return out
+    # Unknown characters next to each other are one unknown piece.
+    once = F.filter("ids", lambda x, i: (x != pieces.unknown) | (i == 0) | (F.get("ids", i - 1) != pieces.unknown))
+    return out.withColumn("ids", once)
 
 
 def decode(encoded: DataFrame, pieces: Pieces, ids: str = "ids") -> Column:

@@ -148,6 +148,8 @@ def free_shuffles(spark: SparkSession) -> None:
 def repeated(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     """(doc_id, whole, bad): documents with words to remove, one row an id.
 
+    Joins with whole texts are sort-merge joins at every size: the lists that they meet grow with the corpus.
+
     ``whole`` marks copies of a whole text with a smaller id, whose words all go if the text has a window; ``bad``
     holds the hashes of the other documents' windows that start in a document with a smaller id.
     """
@@ -180,7 +182,7 @@ def repeated(docs: DataFrame, window: int, scratch: Scratch) -> DataFrame:
     free_shuffles(spark)
 
     full, counted = scratch.cut(
-        map_arrow(docs.join(of_doc, "doc_id").select("doc_id", "text", "anchors"), _windows(window),
+        map_arrow(docs.hint("merge").join(of_doc, "doc_id").select("doc_id", "text", "anchors"), _windows(window),
                   "a bigint, b int, doc_id bigint"), rows=F.count(F.lit(1)),
     )
     free_shuffles(spark)
@@ -272,9 +274,12 @@ def remove_repeated(
     """
     scratch = scratch or Scratch(docs.sparkSession)
     marked = repeated(docs, window, scratch).withColumnRenamed("doc_id", "_id")
-    joined = docs.join(marked, docs["doc_id"] == F.col("_id"), "left").drop("_id")
-    return map_rows(joined, keep, ["text", "whole", "bad"], _remover(window),
-                    "n_words bigint, n_removed bigint, kept string, left string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col("doc_id").alias("_doc"), "text")
+    joined = rows.hint("merge").join(marked, F.col("_doc") == F.col("_id"), "left")
+    out = map_rows(joined, ["_row"], ["text", "whole", "bad"], _remover(window),
+                   "n_words bigint, n_removed bigint, kept string, left string")
+    new = ["n_words", "n_removed", "kept", "left"]
+    return out.select(*[F.col("_row").getField(c).alias(c) for c in keep if c not in new], *new)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
