@@ -272,6 +272,7 @@ def remove_repeated(
     the text itself without the removed runs (a line feed where one was). A NULL text has no words. Rows with one id
     are judged alike and are no source for each other; a row with a NULL id is no source and loses nothing.
     """
+    cover(window)
     scratch = scratch or Scratch(docs.sparkSession)
     marked = repeated(docs, window, scratch).withColumnRenamed("doc_id", "_id")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col("doc_id").alias("_doc"), "text")
