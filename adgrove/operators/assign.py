@@ -11,6 +11,7 @@ from adgrove.operators.components import follow_pointers
 from adgrove.operators.numbering import number_rows
 from adgrove.operators.pairs import BUCKET_LIMIT, prepare_pairs, spread_keys
 from adgrove.operators.scratch import Scratch
+from adgrove.operators.skew import join_spread
 from adgrove.operators.spaces import HashSpace
 
 
@@ -29,32 +30,39 @@ def assign_incremental(
 
     Each new item joins its nearest earlier item closer than eps (history first, then earlier items of the
     batch; the first one wins a tie) and takes its id; without one it opens the next id after the history's
-    largest. Equal hashes meet as one key ordered by first appearance, so only distinct hashes are compared.
+    largest. Equal hashes meet as one key ordered by first appearance, so only distinct hashes are compared,
+    and only keys of the batch are compared with earlier ones: the history never meets itself. ``idx`` and ``pos``
+    are unique. NULLs are refused.
     """
     scratch = Scratch(batch.sparkSession)
     h = space.column
-    batch, _ = scratch.cut(batch.select("idx", h))
+    batch, new_seen = scratch.cut(
+        batch.select("idx", h), rows=F.count(F.lit(1)), first=F.min("idx"),
+        unknown=F.count_if(F.col("idx").isNull() | F.col(h).isNull()),
+    )
     history, seen = scratch.cut(
-        history.select("pos", h, F.col("cluster_id").cast("long").alias("cluster_id")), last=F.max("cluster_id")
+        history.select("pos", h, F.col("cluster_id").cast("long").alias("cluster_id")), last=F.max("cluster_id"),
+        last_pos=F.max("pos"), unknown=F.count_if(F.col("pos").isNull() | F.col(h).isNull()),
     )
+    if new_seen["unknown"] or seen["unknown"]:
+        raise ValueError("NULL idx, pos or hash: such rows have no distance; give them a hash or leave them out")
     start_id = (seen["last"] or 0) + 1
-    known = history.select(F.lit(0).alias("late"), F.col("pos").alias("at"), h, "cluster_id")
-    new = batch.select(F.lit(1).alias("late"), F.col("idx").alias("at"), h, F.lit(None).cast("long").alias("cluster_id"))
-    keys = known.unionByName(new).groupBy(h).agg(
-        F.min(F.struct("late", "at", "cluster_id")).alias("first")
-    ).select(h, "first.*")
-    keys, seen = scratch.cut(
-        spread_keys(number_rows(keys, ["late", "at"], "kid", scratch)), rows=F.count(F.lit(1)),
+    # Positions of the batch go on where those of the history end: key ids in order of first appearance, without a sort.
+    shift = 0 if seen["last_pos"] is None or new_seen["first"] is None else seen["last_pos"] + 1 - new_seen["first"]
+    known = history.select(F.lit(0).alias("late"), F.col("pos").alias("kid"), h, "cluster_id")
+    new = batch.select(
+        F.lit(1).alias("late"), (F.col("idx") + shift).alias("kid"), h, F.lit(None).cast("long").alias("cluster_id")
     )
-    pairs = prepare_pairs(keys, seen["rows"], space, scratch, (), bucket_limit).close_pairs(keys, ["late"])
-    # kid follows (history first, position), so the earlier key of a pair is the smaller one.
-    later = F.when(F.col("a") > F.col("b"), F.struct(F.col("a").alias("kid"), F.col("late_a").alias("late"), "d", F.col("b").alias("other")))
-    later = later.otherwise(F.struct(F.col("b").alias("kid"), F.col("late_b").alias("late"), "d", F.col("a").alias("other")))
-    nearest = (
-        pairs.select(later.alias("s")).where("s.late = 1")
-        .groupBy("s.kid").agg(F.min(F.struct("s.d", "s.other"))["other"].alias("target"))
-    )
-    fresh = keys.where("late = 1").select("kid", "at")
+    keys = known.unionByName(new).groupBy(h).agg(
+        F.min(F.struct("kid", "late", "cluster_id")).alias("first"), F.sum("late").alias("weight")
+    ).select(h, "first.*", "weight")
+    keys, seen = scratch.cut(spread_keys(keys), rows=F.count(F.lit(1)))
+    # The later key of a pair is the larger one, and only keys of the batch look for a nearest: the right side.
+    pairs = prepare_pairs(keys, seen["rows"], space, scratch, (), bucket_limit).close_pairs(keys, ["late"], larger="late = 1")
+    nearest = pairs.select(
+        F.greatest("a", "b").alias("kid"), "d", F.least("a", "b").alias("other")
+    ).groupBy("kid").agg(F.min(F.struct("d", "other"))["other"].alias("target"))
+    fresh = keys.where("late = 1").select("kid")
     ends = follow_pointers(
         fresh.join(nearest, "kid", "left").select(F.col("kid").alias("node"), F.coalesce("target", "kid").alias("target")),
         scratch,
@@ -66,11 +74,11 @@ def assign_incremental(
     )
     ids = keys.where("late = 0").select("kid", "cluster_id").unionByName(opened)
     by_key = (
-        keys.select("kid", h).join(ends, F.col("kid") == F.col("node"), "left")
-        .select(h, F.coalesce("target", "kid").alias("kid"))
-        .join(ids, "kid").select(h, "cluster_id")
+        keys.select("kid", h, "weight").join(ends, F.col("kid") == F.col("node"), "left")
+        .select(h, "weight", F.coalesce("target", "kid").alias("kid"))
+        .join(ids, "kid").select(h, "weight", "cluster_id")
     )
-    points = batch.select("idx", h).join(by_key, h).select("idx", "cluster_id")
+    points = join_spread(batch, by_key, [h], "weight", max(1, new_seen["rows"])).select("idx", "cluster_id")
     bounds = batch.sparkSession.createDataFrame(
         [(start_id, start_id + counts["rows"])], "start_id bigint, next_id bigint"
     )

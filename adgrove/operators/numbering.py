@@ -18,7 +18,8 @@ def number_rows(
     Rows are range-partitioned by (within, order), so a group with a third of all rows is spread like any
     other; each task numbers its own sorted range. The range sizes (one row per partition, a number the
     session bounds) give the offsets, and a group's first number is subtracted at the end.
-    ``order`` must be unique inside a group.
+    ``order`` must be unique inside a group; NULL is a group like any other. ``df`` should be cheap to read twice (a
+    cut table): its ranges are found by sampling it.
     """
     keys = [*within, *order]
     ranged, _ = scratch.cut(df.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id()))
@@ -30,9 +31,17 @@ def number_rows(
         ranged.withColumn("_local", local)
         .join(offsets, "_range")
         .withColumn(name, (F.col("_offset") + F.col("_local")).cast("long"))
-        .drop("_range", "_local", "_offset")
+        .drop("_local", "_offset")
     )
     if not within:
-        return numbered
-    first = numbered.groupBy(*within).agg(F.min(name).alias("_first"))
-    return numbered.join(first, list(within)).withColumn(name, F.col(name) - F.col("_first")).drop("_first")
+        return numbered.drop("_range")
+    # First number of each group, first by range: a group's rows meet it through their range, so none is a hot key.
+    parts = numbered.groupBy("_range", *within).agg(F.min(name).alias("_part"))
+    first = parts.groupBy(*[F.col(c).alias(f"_of_{c}") for c in within]).agg(F.min("_part").alias("_first"))
+    group = [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in within]
+    starts = parts.join(first, group).select(F.col("_range").alias("_at"), *[f"_of_{c}" for c in within], "_first")
+    here = [F.col("_range") == F.col("_at"), *group]
+    return (
+        numbered.join(starts, here).withColumn(name, F.col(name) - F.col("_first"))
+        .drop("_range", "_at", "_first", *[f"_of_{c}" for c in within])
+    )

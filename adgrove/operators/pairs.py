@@ -44,14 +44,17 @@ class PairSearch:
     hot: DataFrame | None
     cuts: DataFrame | None
 
-    def close_pairs(self, keys: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    def close_pairs(self, keys: DataFrame, carry: Sequence[str] = (), larger: str | None = None) -> DataFrame:
         """Unordered pairs of distinct keys below eps: a, b (kids), d, and ``carry`` columns of both sides.
 
         The distance and the once-only rule are part of the join condition: candidates are never materialised.
+        ``larger`` is a condition on the key with the larger kid; other keys are not even put into right buckets.
         """
         space, on = self.space, [*self.part, *self.space.bucket_columns]
         slim = keys.select(*dict.fromkeys([*self.part, "kid", *space.key_columns, *carry]))
-        left, right = space.left(slim), space.right(slim)
+        if larger is not None and isinstance(space, VectorSpace):
+            raise ValueError("vector buckets do not order their two sides")
+        left, right = space.left(slim), space.right(slim if larger is None else slim.where(larger))
         if self.hot is None:
             return self._meet(left, right, on, space.once(), carry)
         if not space.refines:
@@ -86,8 +89,6 @@ def prepare_pairs(
     """Tunes the blocking to the number of keys and finds hot buckets, from counts per bucket."""
     space = space.tuned(n_keys, keys) if isinstance(space, VectorSpace) else space.tuned(n_keys)
     on = [*part, *space.bucket_columns]
-    if n_keys <= bucket_limit:
-        return PairSearch(space, tuple(part), None, None)
     slim = keys.select(*dict.fromkeys([*part, "kid", *space.key_columns]))
     left, right = space.left(slim), space.right(slim)
     hot = _oversized(left, right, on, bucket_limit, scratch)

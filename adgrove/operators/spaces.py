@@ -49,7 +49,11 @@ class HashSpace:
 
     @property
     def slack(self) -> int:
-        return min(math.floor(self.eps * self.bits), self.bits)
+        # The largest number of differing bits whose share of all bits is below eps, compared as the distance is.
+        below = min(math.ceil(self.eps * self.bits), self.bits)
+        while below >= 0 and below / self.bits >= self.eps:
+            below -= 1
+        return max(below, 0)
 
     def _block_masks(self, blocks: int) -> list[int]:
         edges = [round(i * self.bits / blocks) for i in range(blocks + 1)]

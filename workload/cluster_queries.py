@@ -20,7 +20,7 @@ from workload import cluster_sql as s
 from workload import views as v
 
 HASHES = HashSpace(s.EPS, v.HASH_BITS)
-VECTORS = VectorSpace(s.VECTOR_EPS, v.POOLED)
+VECTORS = VectorSpace(s.VECTOR_EPS, v.DIM)
 INDUSTRY = "en"
 
 
@@ -37,7 +37,7 @@ def _summary(spark, d):
 
 
 def _vectors(spark, d):
-    return clusters.cluster_embeddings(v.pooled_vectors(spark, d), VECTORS, s.VECTOR_MIN)[0]
+    return clusters.cluster_embeddings(v.vectors(spark, d), VECTORS, s.VECTOR_MIN)[0]
 
 
 def _industry(spark, d):
@@ -114,7 +114,7 @@ def _profile(spark, d):
 
 
 def _ranks(spark, d):
-    return clusters.distance_ranks(v.pooled_vectors(spark, d), VECTORS, 7)
+    return clusters.distance_ranks(v.vectors(spark, d), VECTORS, 7)
 
 
 def _successors(ids: DataFrame, name: str) -> DataFrame:
@@ -127,7 +127,7 @@ def _explain(spark, d):
 
 
 def _vector_pairs(spark, d):
-    vectors = v.whole_vectors(spark, d)
+    vectors = v.vectors(spark, d)
     return clusters.vector_distances(vectors, _successors(vectors, "idx"))
 
 
@@ -201,7 +201,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "name_refine": (_names, s.refine_names()),
     "assign_incremental": (_assign, s.assignment()),
     "neighbour_counts": (_counts(v.creatives, HASHES), s.neighbour_counts()),
-    "neighbour_counts_vectors": (_counts(v.pooled_vectors, VECTORS), s.vector_neighbour_counts()),
+    "neighbour_counts_vectors": (_counts(v.vectors, VECTORS), s.vector_neighbour_counts()),
     "nearest_neighbour": (_nearest, s.nearest()),
     "distance_profile": (_profile, s.profile()),
     "distance_ranks": (_ranks, s.ranks(7)),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from workload import views as v
 
 EPS, MIN_POINTS = 0.1, 3
-VECTOR_EPS, VECTOR_MIN = 2600, 3
+VECTOR_EPS, VECTOR_MIN = 11300, 3
 ASSIGN_EPS = 0.12
 
 
@@ -18,9 +18,11 @@ def hash_adjacency(eps: float) -> str:
     from pts a join pts b on a.part = b.part and a.idx <> b.idx) q where d < {eps}::double)"""
 
 
+SQUARED = "cast(list_sum([(p[1] - p[2]) * (p[1] - p[2]) for p in list_zip(a.vector, b.vector)]) as bigint)"
+
+
 def vector_adjacency(eps: int) -> str:
-    sq = " + ".join(f"(a.v{k} - b.v{k}) * (a.v{k} - b.v{k})" for k in range(v.POOLED))
-    return f"""adj as materialized (select * from (select a.part, a.idx as i, b.idx as j, {sq} as d
+    return f"""adj as materialized (select * from (select a.part, a.idx as i, b.idx as j, {SQUARED} as d
     from pts a join pts b on a.idx <> b.idx) q where d < {eps}::bigint * {eps})"""
 
 
@@ -82,7 +84,7 @@ def dbscan_summary() -> str:
 
 def dbscan_vectors() -> str:
     return f"""with recursive
-    {dbscan_ctes(f"select *, 0 as part from ({v.pooled_vectors_sql()}) e", vector_adjacency(VECTOR_EPS), VECTOR_MIN)}
+    {dbscan_ctes(f"select *, 0 as part from ({v.vectors_sql()}) e", vector_adjacency(VECTOR_EPS), VECTOR_MIN)}
     select idx, aid, url, cluster_id from labelled join pts using (idx)"""
 
 
@@ -127,7 +129,7 @@ def nearest() -> str:
 
 
 def vector_neighbour_counts() -> str:
-    return f"""with pts as materialized (select *, 0 as part from ({v.pooled_vectors_sql()}) e), {vector_adjacency(VECTOR_EPS)}
+    return f"""with pts as materialized (select *, 0 as part from ({v.vectors_sql()}) e), {vector_adjacency(VECTOR_EPS)}
     select p.idx, 1 + count(a.j) as neighbours from pts p left join adj a on a.i = p.idx group by 1"""
 
 
@@ -168,9 +170,8 @@ def profile() -> str:
 
 
 def ranks(position: int) -> str:
-    sq = " + ".join(f"(a.v{k} - b.v{k}) * (a.v{k} - b.v{k})" for k in range(v.POOLED))
-    return f"""with pts as (select *, row_number() over (order by idx) - 1 as position from ({v.pooled_vectors_sql()}) e)
-    select rank, sqrt(sq) as d from (select row_number() over (order by {sq}, b.position) - 1 as rank, {sq} as sq
+    return f"""with pts as (select *, row_number() over (order by idx) - 1 as position from ({v.vectors_sql()}) e)
+    select rank, sqrt(sq) as d from (select row_number() over (order by {SQUARED}, b.position) - 1 as rank, {SQUARED} as sq
       from pts a join pts b on a.position = {position} and b.position <> a.position) r
     where rank < 20 or rank % 500 = 0"""
 
@@ -200,7 +201,7 @@ def explain() -> str:
 
 
 def vector_pairs() -> str:
-    return """with e as (select vec_id, [cast(round(x * 10000) as bigint) for x in embedding] as x from embeddings),
+    return f"""with e as (select vec_id, [{v.WHOLE} for x in embedding] as x from embeddings),
     p as (select a.vec_id as left_id, b.vec_id as right_id, a.x as x, b.x as y from e a join e b on b.vec_id = a.vec_id + 1),
     s as (select left_id, right_id, len(x) as n,
         list_sum([abs(x[k] - y[k]) for k in range(1, len(x) + 1)]) as l1,

@@ -81,17 +81,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """A table stored in fewer pieces than there are cores, spread by ``key``; larger tables stay as they are."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < 2 * cores else df
-
-
 def ad_fact(spark: SparkSession, sf_dir: str, monthly: bool = True) -> DataFrame:
     """Delivery fact: one row per line item. ``monthly`` dates records on the first of their month."""
     lines, orders, parts = (table(spark, sf_dir, n) for n in ("lineitem", "orders", "part"))
     return (
-        spread(lines, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(parts, F.col("l_partkey") == F.col("p_partkey"))
         .selectExpr(*fact_projection("spark", monthly))
     )
@@ -113,7 +107,7 @@ def accounts(spark: SparkSession, sf_dir: str, monthly: bool = True, day: str =
     """Daily account snapshot: each account on the days it has records, by ``day`` of the fact."""
     d = DATES["spark"]["ship" if day == "partition_date" else "cohort"]
     days = (
-        spread(table(spark, sf_dir, "lineitem"), "l_orderkey")
+        table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .selectExpr("o_custkey as account_id", f"{day_int(d, monthly)} as imp_date")
         .distinct()
@@ -172,7 +166,7 @@ def creative_projection(dialect: str) -> list[str]:
 
 
 def text_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = spread(table(spark, sf_dir, "documents"), "doc_id").selectExpr("doc_id", "explode(split(text, ' ')) as w")
+    words = table(spark, sf_dir, "documents").selectExpr("doc_id", "explode(split(text, ' ')) as w")
     hashed = words.selectExpr("doc_id", "cast(conv(substr(md5(w), 1, 15), 16, 10) as bigint) as h")
     return hashed.groupBy("doc_id").agg(*[F.expr(v) for v in VOTES]).selectExpr("doc_id", f"{HASH_VALUE} as hash")
 
@@ -195,34 +189,22 @@ def creatives_sql() -> str:
     using (doc_id)"""
 
 
-POOLED = 4
+DIM = 64
+# Embeddings are FLOAT; both engines widen them before scaling, so ties round alike.
+WHOLE = "cast(round(cast(x as double) * 10000) as bigint)"
 
 
-def pooled_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings summed over runs of 16 dimensions, as integers (exact in every engine)."""
-    pool = ", ".join(
-        f"aggregate(transform(slice(embedding, {16 * i + 1}, 16), x -> cast(round(x * 10000) as bigint)), 0L, (a, x) -> a + x)"
-        for i in range(POOLED)
-    )
+def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings as integers (exact in every engine), with an ad and a URL each."""
     return table(spark, sf_dir, "embeddings").selectExpr(
         "vec_id as idx", "concat('a', vec_id) as aid", "concat('https://example.com/', label, '/', vec_id) as url",
-        f"array({pool}) as vector",
+        f"transform(embedding, x -> {WHOLE}) as vector",
     )
 
 
-def pooled_vectors_sql() -> str:
-    pool = ", ".join(
-        f"cast(list_sum([cast(round(x * 10000) as bigint) for x in embedding[{16 * i + 1}:{16 * i + 16}]]) as bigint) as v{i}"
-        for i in range(POOLED)
-    )
+def vectors_sql() -> str:
     return (f"select vec_id as idx, 'a' || vec_id as aid, 'https://example.com/' || label || '/' || vec_id as url, "
-            f"{pool} from embeddings")
-
-
-def whole_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").selectExpr(
-        "vec_id as idx", "transform(embedding, x -> cast(round(x * 10000) as bigint)) as vector"
-    )
+            f"[{WHOLE} for x in embedding] as vector from embeddings")
 
 
 def page_ads(spark: SparkSession, sf_dir: str) -> DataFrame:
