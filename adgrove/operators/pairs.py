@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from adgrove.operators.scratch import Scratch
 from adgrove.operators.spaces import A, B, Space, VectorSpace
+from adgrove.operators.vectors import VectorSearch, prepare_vectors
 
 BUCKET_LIMIT = 4096
 
@@ -52,8 +53,6 @@ class PairSearch:
         """
         space, on = self.space, [*self.part, *self.space.bucket_columns]
         slim = keys.select(*dict.fromkeys([*self.part, "kid", *space.key_columns, *carry]))
-        if larger is not None and isinstance(space, VectorSpace):
-            raise ValueError("vector buckets do not order their two sides")
         left, right = space.left(slim), space.right(slim if larger is None else slim.where(larger))
         if self.hot is None:
             return self._meet(left, right, on, space.once(), carry)
@@ -70,8 +69,8 @@ class PairSearch:
         self, left: DataFrame, right: DataFrame, on: list[str], once: Column, carry: Sequence[str], cuts: DataFrame | None = None
     ) -> DataFrame:
         if cuts is not None:
-            left = _chunked(left, cuts, on, "cut_left", "cut_right", ("x", "y"))
-            right = _chunked(right, cuts, on, "cut_right", "cut_left", ("y", "x"))
+            left = chunked(left, cuts, on, "cut_left", "cut_right", ("x", "y"))
+            right = chunked(right, cuts, on, "cut_right", "cut_left", ("y", "x"))
             on = [*on, "x", "y"]
         left = left.select(*on, *[F.col(c).alias(A + c) for c in left.columns if c not in on])
         right = right.select(*on, *[F.col(c).alias(B + c) for c in right.columns if c not in on])
@@ -85,24 +84,26 @@ class PairSearch:
 
 def prepare_pairs(
     keys: DataFrame, n_keys: int, space: Space, scratch: Scratch, part: Sequence[str] = (), bucket_limit: int = BUCKET_LIMIT
-) -> PairSearch:
+) -> PairSearch | VectorSearch:
     """Tunes the blocking to the number of keys and finds hot buckets, from counts per bucket."""
-    space = space.tuned(n_keys, keys) if isinstance(space, VectorSpace) else space.tuned(n_keys)
+    if isinstance(space, VectorSpace):
+        return prepare_vectors(keys, n_keys, space, scratch, part)
+    space = space.tuned(n_keys)
     on = [*part, *space.bucket_columns]
     slim = keys.select(*dict.fromkeys([*part, "kid", *space.key_columns]))
     left, right = space.left(slim), space.right(slim)
-    hot = _oversized(left, right, on, bucket_limit, scratch)
+    hot = oversized(left, right, on, bucket_limit, scratch)
     if hot is None or not space.refines:
         return PairSearch(space, tuple(part), hot, hot)
     hot = hot.select(*on)
-    cuts = _oversized(
+    cuts = oversized(
         space.refine(left.join(hot, on, "left_semi")), space.refine(right.join(hot, on, "left_semi")),
         [*on, *space.refined_columns], bucket_limit, scratch,
     )
     return PairSearch(space, tuple(part), hot, cuts)
 
 
-def _oversized(left: DataFrame, right: DataFrame, on: list[str], limit: int, scratch: Scratch) -> DataFrame | None:
+def oversized(left: DataFrame, right: DataFrame, on: list[str], limit: int, scratch: Scratch) -> DataFrame | None:
     """Buckets above the limit with the number of chunks per side; None when there is none."""
     sizes = (
         left.groupBy(*on).agg(F.count(F.lit(1)).alias("n_left"))
@@ -117,7 +118,7 @@ def _oversized(left: DataFrame, right: DataFrame, on: list[str], limit: int, scr
     return found if seen["rows"] else None
 
 
-def _chunked(side: DataFrame, hot: DataFrame, on: list[str], own: str, other: str, axes: tuple[str, str]) -> DataFrame:
+def chunked(side: DataFrame, hot: DataFrame, on: list[str], own: str, other: str, axes: tuple[str, str]) -> DataFrame:
     """Row's own chunk on one axis, a copy for every chunk of the other side on the other axis."""
     mine, theirs = axes
     return (

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass, field
-from itertools import combinations, product
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -163,72 +163,30 @@ class HashSpace:
 class VectorSpace:
     """Euclidean distance below ``eps`` on an array column of ``dim`` integers or doubles.
 
-    Coordinates closer than eps fall in the same or the next slab of width eps, so buckets are the cells of a
-    grid over a few dimensions (``grid``): left rows sit in their cell, right rows visit it and half of the
-    neighbouring cells. Pick the dimensions that spread widest (``tuned`` does). ``scale`` divides the
-    distance, for the scaled variants.
+    Vectors are compared as matrix products of blocks (``operators/vectors.py``), cell by cell around pivots.
+    ``scale`` divides the distance, for the scaled variants.
     """
 
     eps: float
     dim: int
     column: str = "vector"
-    grid: tuple[int, ...] | None = None
     scale: float = 1.0
-    max_grid: int = 3
-    refines = False
 
     @property
     def key_columns(self) -> tuple[str, ...]:
         return (self.column,)
 
-    def tuned(self, n_keys: int, keys: DataFrame | None = None) -> VectorSpace:
-        if self.grid is not None:
-            return self
-        dims = tuple(range(min(self.dim, self.max_grid)))
-        if keys is not None and self.dim > self.max_grid:
-            row = keys.agg(*[F.variance(F.col(self.column)[i]).alias(str(i)) for i in range(self.dim)]).first()
-            dims = tuple(sorted(sorted(range(self.dim), key=lambda i: -(row[i] or 0.0))[: self.max_grid]))
-        return VectorSpace(self.eps, self.dim, self.column, dims, self.scale, self.max_grid)
-
-    def _squared(self, a: str, b: str) -> Column:
+    def distance(self, a: str = A, b: str = B) -> Column:
         # Written out per dimension: plain arithmetic stays inside generated code, array lambdas do not.
         total = F.lit(0)
         for i in range(self.dim):
             gap = F.col(a + self.column)[i] - F.col(b + self.column)[i]
             total = total + gap * gap
-        return total
-
-    def distance(self, a: str = A, b: str = B) -> Column:
-        return F.sqrt(self._squared(a, b).cast("double")) / self.scale
+        return F.sqrt(total.cast("double")) / self.scale
 
     def self_distance(self) -> Column:
         return F.lit(0.0)
 
-    def _cell(self) -> list[Column]:
-        width = self.eps * self.scale
-        return [F.floor(F.col(self.column)[i] / width) for i in self.grid]
-
-    @property
-    def bucket_columns(self) -> tuple[str, ...]:
-        return tuple(f"cell{i}" for i in self.grid)
-
-    def left(self, keys: DataFrame) -> DataFrame:
-        return keys.select("*", *[c.alias(n) for c, n in zip(self._cell(), self.bucket_columns)], F.lit(False).alias("visits"))
-
-    def right(self, keys: DataFrame) -> DataFrame:
-        cell = self._cell()
-        forward = [s for s in product((-1, 0, 1), repeat=len(cell)) if s >= (0,) * len(cell)]
-        cells = F.array(*[
-            F.struct(
-                *[(c - s).alias(n) for c, s, n in zip(cell, shift, self.bucket_columns)], F.lit(any(shift)).alias("visits")
-            )
-            for shift in forward
-        ])
-        return keys.select("*", F.inline(cells))
-
-    def once(self) -> Column:
-        return F.col(B + "visits") | _ordered()
-
 
 @dataclass(frozen=True)
 class MixedSpace:

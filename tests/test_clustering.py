@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import adgrove.operators.skew as skew
+from adgrove.operators import vectors
 import sequential as seq
 from adgrove.operators.assign import assign_incremental
 from adgrove.operators.components import connected_components, follow_pointers, stars
@@ -70,15 +71,56 @@ def test_hot_buckets_and_blocks_change_nothing(spark, monkeypatch):
               "hash bigint", bucket_limit=3)
 
 
-@pytest.mark.parametrize("dim,grid", [(2, None), (3, (0, 2)), (5, None)])
-def test_vector_clusters(spark, dim, grid):
+@pytest.mark.parametrize("dim,cell,block", [(2, 1024, 2048), (3, 4, 2048), (5, 3, 2)])
+def test_vector_clusters(spark, monkeypatch, dim, cell, block):
+    monkeypatch.setattr(vectors, "CELL", cell)
+    monkeypatch.setattr(vectors, "BLOCK", block)
     rng = random.Random(dim)
     cases = [
         [([rng.choice([0, 6, 12, 40]) + rng.randint(0, 4) for _ in range(dim)],) for _ in range(rng.randint(1, 24))]
         for _ in range(30)
     ]
     dist = lambda a, b: math.sqrt(sum((x - y) ** 2 for x, y in zip(a[0], b[0])))
-    check(spark, cases, VectorSpace(5.0, dim, grid=grid), dist, 3, "singleton", "vector array<bigint>", bucket_limit=4)
+    check(spark, cases, VectorSpace(5.0, dim), dist, 3, "singleton", "vector array<bigint>", bucket_limit=4)
+
+
+def test_cells_lose_no_pair_and_prune_structured_data():
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    centres = rng.normal(0, 50, (20, 64))
+    v = np.concatenate([c + rng.normal(0, 0.3, (40, 64)) for c in centres])
+    pivots = v[rng.choice(len(v), 25, replace=False)]
+    cell, visits = vectors.visited(v, pivots, 5.0)
+    i, j, d = vectors.close(v, v, 5.0, 1.0)
+    exact = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
+    assert {(a, b) for a, b in zip(i, j)} == {(a, b) for a, b in zip(*np.nonzero(exact < 5.0))}
+    for a, b in zip(i, j):
+        assert visits[b, cell[a]] or visits[a, cell[b]]
+    sizes = np.bincount(cell, minlength=len(pivots))
+    candidates = int((visits * sizes).sum())
+    print("candidates for each close pair:", candidates / len(i))
+    assert candidates < 3 * len(i) < len(v) ** 2 / 4
+
+
+def test_null_keys_are_refused(spark):
+    points = spark.createDataFrame([(1, 5), (2, None)], "idx bigint, hash bigint")
+    with pytest.raises(ValueError):
+        dbscan(points, HashSpace(0.2, 12), 2)
+    known = spark.createDataFrame([(0, 5, 1)], "pos bigint, hash bigint, cluster_id int")
+    with pytest.raises(ValueError):
+        assign_incremental(points, known, HashSpace(0.2, 12))
+
+
+def test_slack_is_exact():
+    for bits, eps in ((60, 0.1), (60, 0.15), (62, 0.1), (12, 0.25), (10, 0.3)):
+        assert HashSpace(eps, bits).slack == max(k for k in range(bits + 1) if k / bits < eps)
+
+
+def test_numbers_of_null_groups_start_at_zero(spark):
+    rows = spark.createDataFrame([(None, 5), ("a", 1), (None, 3), ("a", 9), (None, 4)], "g string, k int")
+    got = number_rows(rows, ["k"], "n", Scratch(spark), ["g"]).select("g", "k", "n").collect()
+    assert sorted(map(tuple, got), key=str) == sorted([(None, 3, 0), (None, 4, 1), (None, 5, 2), ("a", 1, 0), ("a", 9, 1)], key=str)
 
 
 def test_mixed_clusters_block_on_parts_that_must_agree(spark):
