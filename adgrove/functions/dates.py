@@ -1,5 +1,7 @@
 """Dates are kept as yyyymmdd integers at the edges and become DATE for arithmetic."""
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,6 +24,11 @@ def add_days(day: Column, n: Column | int) -> Column:
     return date_to_day(F.date_add(day_to_date(day), n))
 
 
+def shift_day(day: int, n: int) -> int:
+    """yyyymmdd integer shifted by n days, for bounds of a run."""
+    return int((datetime.strptime(str(day), "%Y%m%d") + timedelta(days=n)).strftime("%Y%m%d"))
+
+
 def days_between(later: Column, earlier: Column) -> Column:
     """Whole days from ``earlier`` to ``later``, both yyyymmdd integers."""
     return F.datediff(day_to_date(later), day_to_date(earlier))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from adgrove.functions.arith import flag, ratio
+from adgrove.functions.arith import flag, ratio, total
 
 MICROS = 1_000_000
 
@@ -46,9 +46,9 @@ def below(bias: Column, use_amount_first: Column) -> Column:
 
 def weighted(value: Column, weight: Column) -> Column:
     """Weighted mean as an aggregate of an integer value; value and weight stay per row."""
-    return ratio(F.sum(value * weight), F.sum(weight))
+    return ratio(total(value * weight), total(weight))
 
 
 def weighted_quotient(value: Column, weight: Column) -> Column:
     """Weighted mean of a fractional value, summed as decimals so the result does not depend on row order."""
-    return ratio(F.sum((value * weight).cast("decimal(28,9)")), F.sum(weight))
+    return ratio(F.sum((value * weight).cast("decimal(28,9)")), total(weight))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adgrove.functions import metrics as m
-from adgrove.functions.arith import flag, ratio
+from adgrove.functions.arith import flag, ratio, total
 
 CLASSIC_METRICS = (
     "ad_num", "achieve_rate", "below_rate", "ec_rate_0", "ec_rate_2", "cost", "GMV", "click_num",
@@ -68,12 +68,12 @@ def classic_rollup(ads: DataFrame, keys: Sequence[str], gmv_scale: int, count_sp
             m.weighted(c(f), c("cost_micros")).alias(n)
             for f, n in (("reach", "achieve_rate"), ("below", "below_rate"), ("empty_0", "ec_rate_0"), ("empty_2", "ec_rate_2"))
         ],
-        F.sum("cost_micros").alias("cost_micros"),
-        F.sum("gmv_units").alias("gmv_units"),
+        total(c("cost_micros")).alias("cost_micros"),
+        total(c("gmv_units")).alias("gmv_units"),
         F.sum("click").alias("click_num"),
         F.sum("conv").alias("conversion_num"),
-        F.sum("pcvr_micros").alias("pcvr_micros"),
-        F.sum("pctr").alias("pctr_micros"),
+        total(c("pcvr_micros")).alias("pcvr_micros"),
+        total(c("pctr")).alias("pctr_micros"),
         F.sum("exposure").alias("exposure"),
         m.weighted_quotient(c("gsp_factor"), c("click")).alias("gsp_factor"),
         m.weighted_quotient(c("real_gsp_factor"), c("click")).alias("real_gsp_factor"),

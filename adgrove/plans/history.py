@@ -75,7 +75,7 @@ def retro_history(
     lag = p.industry_lag(F.col("industry"))
     accrual = dates.days_between(F.col("partition_date"), F.col("process_date"))
     window = (accrual >= 0) & (accrual <= MAX_LAG)
-    cohort_first = None if first_day is None else _shift(first_day, -MAX_LAG)
+    cohort_first = None if first_day is None else dates.shift_day(first_day, -MAX_LAG)
     window = (
         window
         & p.between_days("partition_date", cohort_first, last_day)
@@ -98,12 +98,6 @@ def retro_history(
     return _publish(ads, generation, scale, RETRO)
 
 
-def _shift(day: int, n: int) -> int:
-    from datetime import datetime, timedelta
-
-    return int((datetime.strptime(str(day), "%Y%m%d") + timedelta(days=n)).strftime("%Y%m%d"))
-
-
 def named_history(history: DataFrame, day: int | None = None) -> DataFrame:
     """History rows with industry codes turned back into display names; an unknown code becomes NULL."""
     names = {code: name for name, code in p.INDUSTRY_CODES.items()}
@@ -111,12 +105,13 @@ def named_history(history: DataFrame, day: int | None = None) -> DataFrame:
     return rows.withColumn("op_industry", p.lookup(F.col("op_industry"), names))
 
 
-def multi_trace(fact: DataFrame, accounts_same_day: DataFrame, generation: int = 1, channel: str = "gdt") -> DataFrame:
-    """Same-day and retrospective rows of all days, published under industry names."""
-    both = retro_history(fact, accounts_same_day, generation, channel).unionByName(
-        same_day_history(fact, accounts_same_day, generation, channel)
-    )
-    return named_history(both)
+def multi_trace(
+    fact: DataFrame, accounts_same_day: DataFrame, generation: int = 1, channel: str = "gdt",
+    first_day: int | None = None, last_day: int | None = None,
+) -> DataFrame:
+    """Same-day and retrospective rows of a range of days, published under industry names."""
+    args = (fact, accounts_same_day, generation, channel, first_day, last_day)
+    return named_history(retro_history(*args).unionByName(same_day_history(*args)))
 
 
 def sub_industry_buckets(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from adgrove.functions import buckets as b
 from adgrove.functions import metrics as m
 from adgrove.functions import predicates as p
-from adgrove.functions.arith import flag, ratio
+from adgrove.functions.arith import flag, ratio, total
 from adgrove.operators import ad_totals as t
 from adgrove.operators.scratch import Scratch
 
@@ -228,14 +228,14 @@ def rollup(detail: DataFrame, keys: Sequence[str], columns: Sequence[str], gener
         "reach": c("reach_rate_target"), "below": c("below_rate_target"),
     }
     totals = detail.groupBy(*keys).agg(
-        *[F.sum(c("cost_micros") * f).alias(n) for n, f in weights.items()],
-        F.sum("cost_micros").alias("cost_micros"),
+        *[total(c("cost_micros") * f).alias(n) for n, f in weights.items()],
+        total(c("cost_micros")).alias("cost_micros"),
         F.sum("click").alias("click_num"),
         F.sum("exposure").alias("exposure"),
         F.sum("conversions").alias("conversion_num"),
-        F.sum("gmvc").alias("gmv"),
-        F.sum("pcvr_micros").alias("pcvr_micros"),
-        F.sum("pctr_micros").alias("pctr_micros"),
+        F.sum(c("gmvc").cast("decimal(28,6)")).cast("double").alias("gmv"),
+        total(c("pcvr_micros")).alias("pcvr_micros"),
+        total(c("pctr_micros")).alias("pctr_micros"),
         (F.sum("ad_cnt") if generation == 1 else F.count_distinct("ad_cnt")).alias("ad_num"),
     )
     cost = _currency("cost_micros")
@@ -304,7 +304,7 @@ def achieve_cost_by_key(detail: DataFrame) -> DataFrame:
     """Achieved cost per advertiser, sub-brand, product and goal."""
     return detail.groupBy(
         "advertiser_id", "sub_brand", F.col("product_id").alias("sku"), F.col("optimization_goal").alias("og")
-    ).agg((F.sum(F.col("cost_micros") * F.col("achieve")).cast("double") / m.MICROS).alias("achieve_cost"))
+    ).agg((total(F.col("cost_micros") * F.col("achieve")).cast("double") / m.MICROS).alias("achieve_cost"))
 
 
 def key_advertisers(detail: DataFrame) -> DataFrame:

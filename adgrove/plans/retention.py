@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from adgrove.functions import dates
 from adgrove.functions import metrics as m
 from adgrove.functions import predicates as p
-from adgrove.functions.arith import flag, ratio
+from adgrove.functions.arith import flag, ratio, total
 from adgrove.operators.ad_totals import ad_totals, volume_first
 
 DEEP_ACTIONS = (104, 105)
@@ -44,12 +44,14 @@ def retention_ads(
         "deep_micros": deep,
         "first_day_deep_micros": F.when(first_day, deep).otherwise(0),
     }
-    cohort = p.between_days("process_date", first_cohort, last_cohort)
+    # A cohort accrues on its own day and the next: both sides read those days only.
+    last_day = None if last_cohort is None else dates.shift_day(last_cohort, 1)
+    cohort = p.between_days("process_date", first_cohort, last_cohort) & p.between_days("partition_date", first_cohort, last_day)
     ads = ad_totals(
         fact, accounts,
         keep=p.on_channel("gdt") & p.uncompensated() & (c("second_goal") == p.RETENTION_GOAL)
         & accrual.between(0, 1) & cohort,
-        accounts_keep=p.in_industries(p.BULK_INDUSTRIES),
+        accounts_keep=p.in_industries(p.BULK_INDUSTRIES) & p.between_days("imp_date", first_cohort, last_day),
         fact_keys=[
             "partition_date", "process_date", "adgroup_id", "advertiser_id", "first_goal", "second_goal",
             "bid_strategy", "auto_acquisition_status",
@@ -91,13 +93,13 @@ def retention_summary(
     v0 = c("cost_v0_micros")
     ads = retention_ads(fact, accounts, first_cohort, last_cohort)
     totals = ads.groupBy("process_date", F.col("industry").alias("advertiser_industry")).agg(
-        F.sum("cost_v0_micros").alias("v0"),
-        F.sum("cost_v1_micros").alias("v1"),
+        total(v0).alias("v0"),
+        total(c("cost_v1_micros")).alias("v1"),
         *[F.sum(n).alias(n) for n in ("exposure_cnt", "click_cnt", "active_num", "first_day_active_num", "retain_num")],
-        F.sum("deep_micros").alias("deep"),
-        F.sum("first_day_deep_micros").alias("first_deep"),
-        F.sum(c("below_rate_target") * v0).alias("below_v0"),
-        F.sum(c("dcvr_reached") * c("below_rate_target") * v0).alias("dcvr_v0"),
+        total(c("deep_micros")).alias("deep"),
+        total(c("first_day_deep_micros")).alias("first_deep"),
+        total(c("below_rate_target") * v0).alias("below_v0"),
+        total(c("dcvr_reached") * c("below_rate_target") * v0).alias("dcvr_v0"),
     )
     micros = lambda name: c(name).cast("double") / m.MICROS
     return totals.select(

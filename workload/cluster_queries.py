@@ -181,14 +181,16 @@ def _categories(spark, d):
 
 
 def _text_embedding(spark, d):
-    """Vectors of labelled texts, 16 dimensions to keep the local run short."""
     rows = words.labelled_texts(_label_rows(spark, d), 3).withColumn("words", F.split("wordlist", " "))
-    return embeddings.text_vectors(rows.select("doc_id", "label", "words"), dim=16).select("doc_id", "label", "vector")
+    return embeddings.text_vectors(rows.select("doc_id", "label", "words")).select("doc_id", "label", "vector")
 
 
 def _label_quality(spark, d):
-    docs = v.table(spark, d, "documents").select("doc_id", F.col("lang").alias("label"), F.split("text", " ").alias("words"))
-    return embeddings.label_quality(embeddings.text_vectors(docs, dim=16))
+    docs = v.table(spark, d, "documents").select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("label"), F.split("text", " ").alias("words")
+    )
+    vectors, _ = Scratch(spark).cut(embeddings.text_vectors(docs).drop("words"))
+    return embeddings.label_quality(vectors)
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
@@ -215,8 +217,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "label_fallback": (_label_lines, s.label_lines()),
     "label_diagnostics": (
         lambda spark, d: words.label_diagnostics(_label_rows(spark, d), 3), s.label_diagnostics()),
-    "text_embedding": (_text_embedding, None),
-    "label_model_quality": (_label_quality, None),
+    "text_embedding": (_text_embedding, s.text_embedding()),
+    "label_model_quality": (_label_quality, s.label_quality()),
     "partition_next_time": (_next_partition, s.next_partition()),
     "category_levels": (_categories, s.categories()),
 }

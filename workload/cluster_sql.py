@@ -260,6 +260,40 @@ def label_lines() -> str:
       from (select *, {_levels()} from documents) d) t where label is not null"""
 
 
+CODE = "cast('0x' || substr(md5(w), 1, 15) as bigint)"
+
+
+SPLIT = "string_split(wordlist, ' ')"
+
+
+def _hashed(rows: str, words: str) -> str:
+    """(id, label, vector) of ``rows`` (id, label, text): signed counts of word hashes in 64 dimensions."""
+    return f"""texts as ({rows}),
+    w as (select id, unnest({words}) as w from texts),
+    cells as (select id, cast({CODE} % 64 as integer) as slot, sum(case when {CODE} % 128 < 64 then 1 else -1 end) as x
+      from w group by all),
+    vectors as (select t.id, t.label, list(coalesce(c.x, 0)::bigint order by r.slot) as vector
+      from texts t cross join (select unnest(range(64)) as slot) r left join cells c on c.id = t.id and c.slot = r.slot group by all)"""
+
+
+def text_embedding() -> str:
+    rows = f"""select doc_id as id, label, wordlist from (select doc_id, array_to_string({TOKENS}, ' ') as wordlist,
+        case when not {BAD.format(c='l3')} then l3 when not {BAD.format(c='l2')} then l2 end as label
+      from (select *, {_levels()} from documents) d) t where label is not null"""
+    return f"with {_hashed(rows, SPLIT)} select id as doc_id, label, vector from vectors"
+
+
+def label_quality() -> str:
+    rows = "select doc_id as id, lang as label, text from documents"
+    return f"""with {_hashed(rows, "string_split(text, ' ')")},
+    sizes as (select label, count(*) as n from texts group by 1),
+    centres as (select label, slot, sum(x) as s from cells join texts using (id) group by all),
+    scores as (select c.id, k.label, cast(sum(c.x * k.s) as bigint) as product from cells c join centres k using (slot) group by all),
+    best as (select id, arg_min(label, row(-product / n, label)) as label from scores join sizes using (label) group by 1)
+    select count(*) as examples, count(distinct t.label) as labels, count(*) filter (b.label = t.label) as correct
+    from texts t left join best b using (id)"""
+
+
 def label_diagnostics() -> str:
     return f"""select count(*) filter (l3 = '0') as zero, count(*) filter (l3 like '%00') as double_zero,
       count(*) filter (l3 = '') as empty, count(*) filter ({BAD.format(c='l3')} and {BAD.format(c='l2')}) as removed
