@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adgrove.functions import predicates as p
-from adgrove.plans import history, new_reach, retention
+from adgrove.plans import history, jobs, new_reach, retention
+from adgrove.sources import schemas
 from workload import report_sql as s
 from workload.views import accounts, ad_fact
 
@@ -74,6 +75,38 @@ def _detail_extract(spark, d):
     return rounded(detail(spark, d).withColumnsRenamed(names).select(*s.DETAIL_KEEP, *s.DETAIL_RATES, "costs", "gmvc"))
 
 
+RETENTION_KEYS = ("process_date", "industry", "sub_industry", "advertiser_id", "adgroup_id", "first_goal", "second_goal",
+                  "bid_strategy", "auto_acquisition_status")
+RETENTION_RATES = ("cpa1", "cpa2", "valid_tcpa2", "pcvr1_sum", "pdcvr_retain_num", "div_pcvr_retain_num")
+
+
+def _retention_detail(spark, d):
+    return rounded(retention.retention_ads(*_inputs(spark, d, False)).select(*RETENTION_KEYS, *RETENTION_RATES))
+
+
+def _daily(spark, d):
+    """Reports chosen by name from one daily job; the sub-brand report comes sorted by cost."""
+    made = jobs.new_reach_day(*_inputs(spark, d), 1, reports=("sub_brand",), sub_brands=BRANDS)
+    return rounded(made["sub_brand"])
+
+
+def _history_job(spark, d):
+    both_days = accounts(spark, d, False).union(accounts(spark, d, False, "process_date")).distinct()
+    return rounded(history.named_history(jobs.history_day(ad_fact(spark, d, False), both_days)))
+
+
+def _canonical(generation: int):
+    """Same-day report from a fact under the column names of its generation."""
+    names = {1: schemas.GENERATION_1, 2: schemas.GENERATION_2}[generation]
+
+    def run(spark, d):
+        fact, snapshot = _inputs(spark, d)
+        raw = fact.withColumnsRenamed({new: old for new, old in names.items() if new != old})
+        return rounded(history.same_day_history(schemas.canonical_fact(raw, generation), snapshot, generation, "gdt"))
+
+    return run
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "reach_same_day_gen1": (_same_day(1, "gdt"), s.same_day(1, "gdt")),
     "reach_same_day_gdt": (_same_day(2, "gdt"), s.same_day(2, "gdt")),
@@ -104,6 +137,12 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "new_reach_sub_brand_mp": (_sub_brand("mp"), s.sub_brand("mp", BRANDS)),
     "new_reach_sub_brand_bucket_gen1": (_sub_brand("gen1", True), s.sub_brand("gen1", BRANDS, True)),
     "new_reach_sub_brand_bucket_mp": (_sub_brand("mp", True), s.sub_brand("mp", BRANDS, True)),
+    "new_reach_sub_brand_bucket_gdt": (_sub_brand("gdt", True), s.sub_brand("gdt", BRANDS, True)),
+    "daily_job_sub_brand": (_daily, s.sub_brand("gen1", BRANDS)),
+    "daily_job_history": (_history_job, s.multi_trace()),
+    "canonical_fact_gen1": (_canonical(1), s.same_day(1, "gdt")),
+    "canonical_fact_gen2": (_canonical(2), s.same_day(2, "gdt")),
+    "retention_detail": (_retention_detail, s.retention_detail()),
     "ad_detail": (_detail_extract, s.detail()),
     "key_advertiser_mapping": (
         lambda spark, d: new_reach.key_advertisers(detail(spark, d)), s.key_mapping()),

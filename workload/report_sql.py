@@ -235,6 +235,33 @@ def retention() -> str:
     )
 
 
+def retention_detail() -> str:
+    """Ad-level retention measures of a cohort day."""
+    deep = "case when action_type in (104, 105) then vt_smart_deep_pcvr else 0 end"
+    pd, cd = (f"make_date(cast({c} // 10000 as int), cast({c} // 100 % 100 as int), cast({c} % 100 as int))"
+              for c in ("partition_date", "process_date"))
+    body = f"""select process_date, industry, sub_industry, advertiser_id, adgroup_id, first_goal, second_goal, bid_strategy,
+      auto_acquisition_status, micros / nullif(1000000.0 * c1, 0) as cpa1, micros / nullif(1000000.0 * traced, 0) as cpa2,
+      s2 / nullif(100.0 * base2, 0) as valid_tcpa2, p1 / 1000000 as pcvr1_sum, deep / 1000000 as pdcvr_retain_num,
+      c1 * p2 * 1000000.0 / nullif(p1, 0) as div_pcvr_retain_num
+    from (select process_date, adgroup_id, b.industry_group as industry, b.industry_team_level2 as sub_industry,
+        advertiser_id, first_goal, second_goal, bid_strategy, auto_acquisition_status,
+        sum(real_cost_micros) as micros, sum(conv1) as c1, sum(case when action_type = 106 then trace_cnt else 0 end) as traced,
+        sum(ocpa_second_target_cpa) as s2,
+        sum(case when bid_type = 1 then valid_click_cnt else valid_exposure_cnt end) as base2,
+        sum(valid_click_smart_pcvr) as p1, sum(vc_ltv_info_smart_pcvr2) as p2, sum({deep}) as deep
+      from fact a join acc b on a.partition_date = b.imp_date and a.advertiser_id = b.account_id
+      where second_goal = 106 and a.site_set <> 21 and {OK} and b.industry_group in {FOUR}
+        and {pd} - {cd} between 0 and 1
+      group by 1, 2, 3, 4, 5, 6, 7, 8, 9) s"""
+    return rounded(
+        with_base(body, False),
+        ["process_date", "industry", "sub_industry", "advertiser_id", "adgroup_id", "first_goal", "second_goal", "bid_strategy",
+         "auto_acquisition_status"],
+        ["cpa1", "cpa2", "valid_tcpa2", "pcvr1_sum", "pdcvr_retain_num", "div_pcvr_retain_num"], [],
+    )
+
+
 # --- new definition -------------------------------------------------------------------------------
 
 def _gen1_rows() -> str:
