@@ -50,9 +50,12 @@ def _fields(lines: DataFrame, names: dict[str, int]) -> DataFrame:
     return lines.select("line", *[F.get(parts, F.lit(i)).alias(n) for n, i in names.items()])
 
 
-def read_ads(spark: SparkSession, path: str) -> DataFrame:
-    """Ad objects from a JSON array file; missing texts become ``"null"``, a missing word list an empty one."""
-    ads = spark.read.schema(AD_JSON).json(path, multiLine=True)
+def read_ads(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Ad objects from a JSON array file; missing texts become ``"null"``, a missing word list an empty one.
+
+    An array is one piece for one task. Large inputs come with an object a line (``lines``), which splits.
+    """
+    ads = spark.read.schema(AD_JSON).json(path, multiLine=not lines)
     texts = ("aid", "uid", "uname", "coname", "url", "city")
     return ads.withColumns({n: F.coalesce(n, F.lit("null")) for n in texts}).withColumn(
         "wordlist", F.coalesce("wordlist", F.array().cast("array<string>"))

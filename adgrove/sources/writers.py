@@ -11,10 +11,18 @@ from pyspark.sql import types as T
 from adgrove.sources.schemas import CLUSTER_COLUMNS, conform
 
 
-def write_days(df: DataFrame, path: str, column: str = "partition_date") -> None:
-    """Replaces exactly the days present in ``df``; rerunning a day leaves one copy of it."""
+#: Tasks that write one day, so that a large day is no single task's; a small day gets as many small files at most.
+DAY_TASKS = 8
+
+
+def write_days(df: DataFrame, path: str, column: str = "partition_date", tasks: int = DAY_TASKS) -> None:
+    """Replaces exactly the days present in ``df``; rerunning a day leaves one copy of it.
+
+    A day's rows are dealt over ``tasks`` tasks; raise it with the size of a day.
+    """
+    share = F.pmod(F.xxhash64(*[c for c in df.columns if c != column]), F.lit(tasks)) if len(df.columns) > 1 else F.lit(0)
     (
-        df.repartition(column)
+        df.repartition(F.col(column), share)
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
     )
 
@@ -44,10 +52,15 @@ def drop_day(spark: SparkSession, path: str, day: int, column: str = "partition_
     _delete(spark, f"{path}/{column}={day}")
 
 
-def truncate(spark: SparkSession, path: str) -> None:
-    """Empties a table, keeping its schema."""
+def truncate(spark: SparkSession, path: str, column: str | None = None) -> None:
+    """Empties a table; ``column`` names its day partition, if it has one.
+
+    A table without partitions keeps its schema in an empty file. One with partitions has no directory left, so it is
+    read with its schema given until the next day is written.
+    """
     schema = spark.read.parquet(path).schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    empty = spark.createDataFrame([], schema).write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (empty.partitionBy(column) if column else empty).parquet(path)
 
 
 def write_debug(df: DataFrame, path: str, sub_brands: Sequence[str]) -> None:

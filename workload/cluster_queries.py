@@ -21,6 +21,9 @@ from workload import views as v
 
 HASHES = HashSpace(s.EPS, v.HASH_BITS)
 VECTORS = VectorSpace(s.VECTOR_EPS, v.DIM)
+MIXED = MixedSpace(
+    s.MIXED_EPS, user_weight=s.USER, company_weight=s.COMPANY, city_weight=s.CITY, near=-1, far=1, clamp=True, bits=v.HASH_BITS,
+)
 INDUSTRY = "en"
 
 
@@ -59,6 +62,11 @@ def _refine(spark, d):
     return clusters.refine_clusters(_cluster_file(spark, d), space, 2)[0].select("idx", "cluster_id")
 
 
+def _mixed(spark, d):
+    """Clusters by the clamped mix of hash, user, company and city distances."""
+    return dbscan(v.creatives(spark, d), MIXED, s.MIN_POINTS).points
+
+
 def _names(spark, d):
     return clusters.refine_by_name(_cluster_file(spark, d)).select("idx", "cluster_id")
 
@@ -200,6 +208,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "dbscan_embeddings": (_vectors, s.dbscan_vectors()),
     "cluster_industry": (_industry, s.cluster_industry(INDUSTRY)),
     "dbscan_refine": (_refine, s.refine()),
+    "dbscan_mixed": (_mixed, s.dbscan_mixed()),
     "name_refine": (_names, s.refine_names()),
     "assign_incremental": (_assign, s.assignment()),
     "neighbour_counts": (_counts(v.creatives, HASHES), s.neighbour_counts()),

@@ -7,6 +7,7 @@ from workload import views as v
 EPS, MIN_POINTS = 0.1, 3
 VECTOR_EPS, VECTOR_MIN = 11300, 3
 ASSIGN_EPS = 0.12
+MIXED_EPS, USER, COMPANY, CITY = 0.1, 0.02, 0.01, 0.02
 
 
 def hash_d(a: str, b: str) -> str:
@@ -109,6 +110,18 @@ def refine() -> str:
     select idx, part || '_' || cluster_id as cluster_id from labelled"""
 
 
+def dbscan_mixed() -> str:
+    city = "1 - len(list_intersect(a.xs, b.xs)) / len(list_distinct(list_concat(a.xs, b.xs)))"
+    adj = f"""adj as materialized (select * from (select a.part, a.idx as i, b.idx as j,
+      greatest({hash_d('a.hash', 'b.hash')} + {USER}::double * (case when a.uname = b.uname then -1 else 1 end)
+        + {COMPANY}::double * (case when a.coname = b.coname then -1 else 1 end) + {CITY}::double * ({city}), 0) as d
+    from pts a join pts b on a.idx <> b.idx) q where d < {MIXED_EPS}::double)"""
+    return f"""with recursive creatives as materialized (
+      select *, string_split(city, ',') as xs from ({v.creatives_sql()}) c),
+    {dbscan_ctes(creative_points(), adj, MIN_POINTS)}
+    select idx, cluster_id from labelled"""
+
+
 def refine_names() -> str:
     return f"""with creatives as ({v.creatives_sql()}),
     names as (select uname, row_number() over (order by min(idx)) as n from creatives group by 1)
