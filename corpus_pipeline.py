@@ -28,9 +28,8 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    learnt_from = docs.select("doc_id", "text", "lang").where(id_crc("doc_id") % 5 != 0).join(labels, "doc_id")
-    scored = toxicity.classify(_whole(docs), toxicity.learn(learnt_from), ["row"])
+    labels = table(spark, sf_dir, "labels").where(id_crc("doc_id") % 5 != 0)
+    scored = toxicity.classify(_whole(docs), toxicity.learn(docs, labels), ["row"])
     return scored.where("predicted = 0").select("row.*")
 
 
