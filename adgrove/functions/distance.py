@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,18 +31,20 @@ def url_parts(url: Column) -> Column:
     return F.slice(pieces, 3, F.greatest(F.size(pieces) - 2, F.lit(0)))
 
 
-def url_prefix_distance(a: Column, b: Column, scale: int = 2) -> Column:
+def url_prefix_distance(a: Column, b: Column, scale: int = 2, shared: Sequence[str] = STOP_HOSTS) -> Column:
     """1 - scale * common prefix / shorter length; unusable or shared hosts give 0 (scale 2) or 1."""
     pa, pb = url_parts(a), url_parts(b)
     shorter = F.least(F.size(pa), F.size(pb))
     equal = F.zip_with(F.slice(pa, 1, shorter), F.slice(pb, 1, shorter), lambda x, y: x == y)
     first_gap = F.array_position(equal, F.lit(False))
     prefix = F.when(first_gap == 0, shorter).otherwise(first_gap - 1)
-    unusable = (shorter == 0) | F.get(pa, F.lit(0)).isin(*STOP_HOSTS) | F.get(pb, F.lit(0)).isin(*STOP_HOSTS)
+    unusable = (shorter == 0) | F.get(pa, F.lit(0)).isin(*shared) | F.get(pb, F.lit(0)).isin(*shared)
     return F.when(unusable, F.lit(0.0 if scale == 2 else 1.0)).otherwise(1 - scale * (prefix / F.nullif(shorter, F.lit(0))))
 
 
-def url_similarity(a: Column, b: Column, near: float = 0, far: float = 1, threshold: int = 2) -> Column:
+def url_similarity(
+    a: Column, b: Column, near: float = 0, far: float = 1, threshold: int = 2, shared: Sequence[str] = STOP_HOSTS
+) -> Column:
     """NEAR for equal URLs or few differing pieces, FAR for other hosts or ``threshold`` differing pieces, else 0."""
     pa, pb = url_parts(a), url_parts(b)
     shorter = F.least(F.size(pa), F.size(pb))
@@ -52,7 +56,7 @@ def url_similarity(a: Column, b: Column, near: float = 0, far: float = 1, thresh
         F.when(a == b, near)
         .when(shorter == 0, none)
         .when(F.get(pa, F.lit(0)) != F.get(pb, F.lit(0)), far)
-        .when(F.get(pa, F.lit(0)).isin(*STOP_HOSTS), none)
+        .when(F.get(pa, F.lit(0)).isin(*shared), none)
         .when((differing >= threshold) & (differing > 0), far)
         .otherwise(near)
     )

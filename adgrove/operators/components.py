@@ -148,12 +148,15 @@ def follow_pointers(pointers: DataFrame, scratch: Scratch) -> DataFrame:
     ``pointers`` must be a forest. A node that points to itself, or a target that is no node, ends a chain.
     Each round doubles the distance covered.
     """
-    current = pointers.select("node", "target")
+    current, seen = scratch.cut(pointers.select("node", "target"), rows=F.count(F.lit(1)))
+    total = max(1, seen["rows"])
     while True:
-        hop = current.select(F.col("node").alias("target"), F.col("target").alias("beyond"))
-        step = current.join(hop, "target", "left").select(
-            "node", F.coalesce("beyond", "target").alias("target"),
-            (F.coalesce("beyond", "target") != F.col("target")).alias("moved"),
+        # What lies beyond each target, looked up once a target; many nodes may share one, so they meet it by weight.
+        targets = current.groupBy("target").agg(F.count(F.lit(1)).alias("weight"))
+        hop = current.select(F.col("node").alias("target"), F.col("target").alias("next"))
+        beyond = targets.join(hop, "target", "left").select("target", "weight", F.coalesce("next", "target").alias("beyond"))
+        step = join_spread(current, beyond, ["target"], "weight", total).select(
+            "node", F.col("beyond").alias("target"), (F.col("beyond") != F.col("target")).alias("moved"),
         )
         step, seen = scratch.cut(step, moved=F.count_if("moved"))
         current = step.drop("moved")

@@ -12,6 +12,7 @@ from adgrove.functions import distance as dist
 from adgrove.operators.dbscan import Clustering, dbscan
 from adgrove.operators.numbering import number_rows
 from adgrove.operators.scratch import Scratch
+from adgrove.operators.skew import join_spread
 from adgrove.operators.spaces import A, B, MixedSpace, Space, VectorSpace
 from adgrove.sources.schemas import CLUSTER_COLUMNS
 
@@ -60,8 +61,10 @@ def refine_clusters(
     All clusters are refined in one job, keyed by cluster id. The mix compares users by ``uid`` and companies
     by ``uname``, as the file's job does.
     """
-    big = rows.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= MIN_REFINED).select("cluster_id")
-    kept = rows.join(big, "cluster_id", "left_semi")
+    scratch = Scratch(rows.sparkSession)
+    sizes, seen = scratch.cut(rows.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("weight")), rows=F.sum("weight"))
+    big = sizes.where(F.col("weight") >= MIN_REFINED)
+    kept, _ = scratch.cut(join_spread(rows, big, ["cluster_id"], "weight", max(1, seen["rows"] or 0)))
     space = replace(space, columns=REFINE_COLUMNS)
     points = kept.withColumn("simhash_emb", F.col("simhash_emb").cast("long")) if space.use_hash else kept
     clustering = dbscan(
@@ -74,9 +77,13 @@ def refine_clusters(
 
 def refine_by_name(rows: DataFrame) -> DataFrame:
     """Appends to every cluster id the number of its user name, from 1 in order of first appearance in the file."""
-    names = rows.groupBy("uname").agg(F.min("idx").alias("first"))
-    numbers = number_rows(names, ["first"], "n", Scratch(rows.sparkSession)).select("uname", (F.col("n") + 1).alias("n"))
-    joined = rows.join(numbers, "uname").withColumn("cluster_id", F.concat_ws("_", "cluster_id", F.col("n").cast("string")))
+    scratch = Scratch(rows.sparkSession)
+    names, seen = scratch.cut(
+        rows.groupBy("uname").agg(F.min("idx").alias("first"), F.count(F.lit(1)).alias("weight")), rows=F.sum("weight")
+    )
+    numbers = number_rows(names, ["first"], "n", scratch).select("uname", "weight", (F.col("n") + 1).alias("n"))
+    joined = join_spread(rows, numbers, ["uname"], "weight", max(1, seen["rows"] or 0))
+    joined = joined.withColumn("cluster_id", F.concat_ws("_", "cluster_id", F.col("n").cast("string")))
     return joined.select("idx", *CLUSTER_COLUMNS)
 
 
@@ -132,7 +139,8 @@ def _probe_distances(points: DataFrame, space: Space, positions: Sequence[int],
     )
     spread = numbered.withColumn("probe", F.explode(F.array(*[F.lit(p).cast("long") for p in positions])))
     renamed = spread.select("probe", "position", *[F.col(c).alias(B + c) for c in (*carry, *space.key_columns)])
-    return renamed.join(probes, "probe").withColumn("d", space.distance())
+    # As many probe rows as there are positions: a bound the caller states.
+    return renamed.join(F.broadcast(probes), "probe").withColumn("d", space.distance())
 
 
 def distance_profile(points: DataFrame, space: Space, label: str = "url") -> DataFrame:

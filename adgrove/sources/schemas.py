@@ -19,6 +19,7 @@ def _report(columns: str) -> T.StructType:
     return T.StructType([T.StructField(n, kind(n)) for n in columns.split()])
 
 
+# Columns of the published tables, in their order.
 _NEW = "cost gmv click_num conversion_num pcvr cvr pcvr_bias pctr ctr pctr_bias"
 _CLASSIC = " ".join(CLASSIC_METRICS)
 MULTI_TRACE = _report(f"partition_date process_date table_id op_industry {_CLASSIC}")

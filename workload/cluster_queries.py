@@ -14,6 +14,7 @@ from adgrove.operators.assign import assign_incremental
 from adgrove.operators.dbscan import dbscan
 from adgrove.operators.pairs import degrees, distinct_keys, prepare_pairs
 from adgrove.operators.scratch import Scratch
+from adgrove.operators.skew import join_spread
 from adgrove.operators.spaces import HashSpace, MixedSpace, Space, VectorSpace
 from adgrove.plans import clusters
 from workload import cluster_sql as s
@@ -76,7 +77,9 @@ def neighbourhood(points: DataFrame, space: Space) -> tuple[DataFrame, DataFrame
     scratch = Scratch(points.sparkSession)
     keys, seen = scratch.cut(distinct_keys(points, space), rows=F.count(F.lit(1)))
     pairs = prepare_pairs(keys, seen["rows"], space, scratch).close_pairs(keys, ["weight"])
-    members = points.select("idx", *space.key_columns).join(keys.select(*space.key_columns, "kid", "weight"), list(space.key_columns))
+    own = keys.select(*space.key_columns, "kid", "weight", F.col("weight").alias("rows"))
+    total = keys.agg(F.sum("weight")).first()[0] or 1
+    members = join_spread(points.select("idx", *space.key_columns), own, list(space.key_columns), "rows", total)
     return members, pairs
 
 
