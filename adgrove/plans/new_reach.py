@@ -176,7 +176,7 @@ def ad_detail(
     ads, _ = Scratch(ads.sparkSession).cut(ads)
     account_bias = (
         ads.groupBy("partition_date", "op_industry", "op_industry2", "t_advertiser")
-        .agg(F.sum("cost_micros").alias("cost_micros"), F.sum("gmvc").alias("gmvc"))
+        .agg(total(c("cost_micros")).alias("cost_micros"), F.sum(c("gmvc").cast("decimal(28,6)")).cast("double").alias("gmvc"))
         .select("partition_date", "t_advertiser", b.cost_bias(c("gmvc"), _currency("cost_micros")).alias("ac_cpa_bias"))
     )
     wanted = ads if sub_brands is None else ads.where(c("sub_brand").isin(*sub_brands))

@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from adgrove.plans import history, jobs, new_reach
+from adgrove.functions import predicates as p
+from adgrove.plans import history, jobs, new_reach, retention
 from adgrove.sources import schemas, writers
 from workload.views import FACT_COLUMNS
 
@@ -176,3 +177,41 @@ def test_daily_job_shares_one_detail(spark):
     assert "active_bucket" in out["industry_bucket"].columns
     rows = jobs.history_day(fact(spark, {"process_date": 20210909}, {}), accounts(spark, EDU, (20210909, 1, "教育", "k", "b")))
     assert sorted(r.table_id for r in rows.collect()) == [1, 1, 2]
+
+
+def test_roll_ups_beyond_bigint(spark):
+    """Ads of 4e18 micros each: their sum does not fit 64 bits."""
+    f = fact(spark, *[{"adgroup_id": i, "real_cost_micros": 4 * 10**18, "pcvr1": 10**18, "gmv": 10**18} for i in range(5)])
+    a = accounts(spark, EDU)
+    row = history.same_day_history(f, a).first()
+    assert row.cost == 2e13 and row.ad_num == 5
+    row = new_reach.industry_report(detail(spark, f, a), 1).first()
+    assert row.cost == 2e13
+    spend = fact(spark, *[{"adgroup_id": i, "second_goal": 106, "real_cost_micros": 4 * 10**18} for i in range(5)])
+    bulk = accounts(spark, (20210910, 1, p.BULK_INDUSTRIES[0], "k12", "b"))
+    assert retention.retention_summary(spend, bulk).first().total_cost == 2e13
+
+
+def test_retention_and_multi_trace_prune_days(spark, tmp_path):
+    f = fact(spark, *[{"partition_date": d, "process_date": d} for d in (20210908, 20210909, 20210910, 20210911)])
+    writers.write_days(f, f"{tmp_path}/fact")
+    a = accounts(spark, EDU)
+    writers.write_days(a, f"{tmp_path}/acc", "imp_date")
+    f, a = spark.read.parquet(f"{tmp_path}/fact"), spark.read.parquet(f"{tmp_path}/acc")
+    for df in (retention.retention_summary(f, a, 20210909, 20210909),
+               history.multi_trace(f, a, first_day=20210910, last_day=20210910)):
+        scans = [line for line in df._jdf.queryExecution().toString().split("\n") if "FileScan parquet" in line]
+        assert scans and all("PartitionFilters: [isnotnull(" in line and ">= 202109" in line for line in scans)
+
+
+def test_a_day_is_written_by_several_tasks(spark, tmp_path):
+    f = fact(spark, *[{"adgroup_id": i} for i in range(200)])
+    # Small shuffles are merged at run time; a real day is not small.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_days(f, f"{tmp_path}/fact", tasks=4)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [p for p in (tmp_path / "fact" / "partition_date=20210910").iterdir() if p.suffix == ".parquet"]
+    assert 2 <= len(files) <= 4
+    assert spark.read.parquet(f"{tmp_path}/fact").count() == 200
