@@ -36,7 +36,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = neardup.components(docs.select("doc_id", "text"), words=5)
     gone = found.where("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).distinct()
+    # Whole texts meet a list that grows with the corpus: the same join at every size, and one shuffle for both steps.
+    return docs.hint("merge").join(gone, "doc_id", "left_anti").select(docs.columns).distinct()
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
