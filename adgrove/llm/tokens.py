@@ -13,53 +13,71 @@ from __future__ import annotations
 
 import json
 import math
+import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from adgrove.llm.common import arrow_schema, map_arrow, table
 from adgrove.llm.files import read_all, read_span, write_new
+from adgrove.llm.words import steps, text_bytes
 from adgrove.operators.scratch import Scratch
 
 MAGIC = b"DACTOK01"
-#: Bits of each level's chunk; together they hold any unsigned 32-bit id.
-WIDTHS = (10, 6, 8, 8)
+#: Bits of each level's chunk, multiples of 4; together they hold any unsigned 32-bit id.
+WIDTHS = (12, 4, 8, 8)
 #: Bits of a bitmap that one directory entry covers.
 BLOCK = 512
-#: Bytes of text that go into one file, about.
-PIECE = 24 << 20
+#: Bytes of text that one task encodes, about: the more, the more often it meets words that it knows.
+TASK = 96 << 20
+#: Tokens after which a task starts a new file.
+FILE = 4 << 20
+#: Bytes of text encoded at once.
+SLICE = 2 << 20
 #: Distinct chunks of text a task remembers the ids of; the memory is emptied when it is full.
-REMEMBER = 1 << 20
+REMEMBER = 3 << 19
 
 
 # Encoding of ids
 
+STEP = 1 << 18
+
+
 def pack(values: np.ndarray, width: int) -> bytes:
-    """Values of ``width`` bits one after the other, most significant bit first."""
-    parts = []
-    for low in range(0, len(values), 1 << 16):
-        part = values[low: low + (1 << 16)].astype(">u2").view(np.uint8).reshape(-1, 2)
-        parts.append(np.unpackbits(part, axis=1)[:, 16 - width:].reshape(-1))
-    return np.packbits(np.concatenate(parts)).tobytes() if parts else b""
+    """Values of ``width`` bits (a multiple of 4) one after the other, most significant bit first."""
+    shifts = np.arange(width - 4, -1, -4, dtype=np.uint32)
+    parts, odd = [], np.empty(0, np.uint8)
+    for low in range(0, len(values), STEP):
+        part = values[low: low + STEP].astype(np.uint32)
+        quarters = np.concatenate([odd, ((part[:, None] >> shifts) & np.uint32(15)).astype(np.uint8).reshape(-1)])
+        even = len(quarters) // 2 * 2
+        parts.append(((quarters[:even:2] << 4) | quarters[1:even:2]).tobytes())
+        odd = quarters[even:]
+    parts.append((odd << 4).tobytes())
+    return b"".join(parts)
 
 
 def unpack(data: bytes, width: int, n: int) -> np.ndarray:
     """``n`` values of ``width`` bits as unsigned 32-bit integers."""
-    out = np.empty(n, np.uint32)
-    raw = np.frombuffer(data, np.uint8)
-    for low in range(0, n, 1 << 16):
-        high = min(n, low + (1 << 16))
-        bits = np.unpackbits(raw[low * width // 8: -(-high * width // 8)], count=(high - low) * width)
-        wide = np.zeros((high - low, 16), np.uint8)
-        wide[:, 16 - width:] = bits.reshape(-1, width)
-        out[low:high] = np.packbits(wide, axis=1).view(">u2").reshape(-1)
+    out, raw, each = np.empty(n, np.uint32), np.frombuffer(data, np.uint8), width // 4
+    for low in range(0, n, STEP):
+        high = min(n, low + STEP)
+        some = raw[low * each // 2: -(-high * each // 2)]
+        quarters = np.empty(2 * len(some), np.uint8)
+        quarters[::2], quarters[1::2] = some >> 4, some & 15
+        quarters = quarters[: (high - low) * each].reshape(-1, each)
+        value = quarters[:, 0].astype(np.uint32)
+        for k in range(1, each):
+            value = (value << np.uint32(4)) | quarters[:, k]
+        out[low:high] = value
     return out
 
 
@@ -80,16 +98,15 @@ def dump(doc_ids: Sequence[int | None], counts: Sequence[int], ids: np.ndarray,
     header["doc_ids"] = place(np.array([d or 0 for d in doc_ids], "<i8").tobytes())
     header["null_ids"] = place(np.packbits(np.array([d is None for d in doc_ids], bool)).tobytes())
     header["starts"] = place(np.concatenate([[0], np.cumsum(counts, dtype=np.int64)]).astype("<i8").tobytes())
-    rest, levels = ids.astype(np.uint32), []
+    rest, levels = ids.astype(np.uint32, copy=False), []
     for k, width in enumerate(widths):
-        goes_on = (rest >> np.uint32(width)) != 0
-        level = {"width": width, "n": len(rest), "chunks": place(pack(rest & np.uint32((1 << width) - 1), width))}
+        goes_on = rest >= (1 << width)
+        level = {"width": width, "n": len(rest), "chunks": place(pack(rest, width))}
         last = not goes_on.any()
         if not last:
             bits = np.packbits(goes_on)
-            padded = np.zeros(-(-len(goes_on) // BLOCK) * BLOCK, np.int64)
-            padded[: len(goes_on)] = goes_on
-            ranks = np.concatenate([[0], np.cumsum(padded.reshape(-1, BLOCK).sum(1))])[:-1]
+            in_block = np.add.reduceat(goes_on, np.arange(0, len(goes_on), BLOCK), dtype=np.int64)
+            ranks = np.cumsum(in_block) - in_block
             level["bitmap"], level["ranks"] = place(bits.tobytes()), place(ranks.astype("<i8").tobytes())
         levels.append(level)
         if last:
@@ -167,7 +184,9 @@ def open_file(uri: str, whole: bool = False) -> TokenFile:
 
 # Encoding of texts
 
-LATIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
+# Latin letters, and the same with ASCII signs behind (no apostrophe, which can begin a contraction).
+LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+PLAIN = re.compile(rf"(?<![^\0])([{LATIN}]+)([!-&(-/:-@\[-`{{-~]*)(?![^\0])")
 
 
 def byte_letters() -> dict[int, str]:
@@ -177,6 +196,19 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in printable else chr(next(spare)) for b in range(256)}
 
 
+class Known(dict):
+    """Numbers of keys by first use; ``new`` lists the keys that were added."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list = []
+
+    def __missing__(self, key: str | tuple[str] | None) -> int:
+        n = self[key] = len(self)
+        self.new.append(key)
+        return n
+
+
 class Encoder:
     """Ids of whole texts by a tokenizers file with byte-level BPE, each distinct piece of text encoded once a task.
 
@@ -186,104 +218,161 @@ class Encoder:
     pieces, and texts with unusual white space, pass through the tokenizer as they are.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, end: int | None = None):
+        # Tasks are the parallelism; threads of the library would each keep memory of their own.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.plain = Tokenizer.from_str(definition)
         self.plain.encode_special_tokens = True
         letters = byte_letters()
         self.mapped = str.maketrans({chr(b): c for b, c in letters.items()})
-        self.space = letters[32]
-        self.units = Tokenizer.from_str(definition)
-        self.units.pre_tokenizer = pre_tokenizers.Split(self.space, "merged_with_next")
-        self.after_space: dict[str, bytes | None] = {}
+        self.units = Tokenizer(self.plain.model)
+        self.units.pre_tokenizer = pre_tokenizers.Split(letters[32], "merged_with_next")
+        self.end = b"" if end is None else np.array([end], "<u4").tobytes()
+        self._forget()
+
+    def _forget(self) -> None:
+        """Pieces behind a space are kept under their text, those that begin a text in a tuple, the end as None."""
+        self.known, self.flat = Known(), bytearray()
+        self.begin, self.size = array("q"), array("q")
+        self.known[None]
+        self._store({None: self.end})
+
+    def _store(self, made: dict) -> None:
+        ids = [made[key] for key in self.known.new]
+        # White space at an edge: texts are not cut there.
+        size = np.fromiter((-1 if i is None else len(i) // 4 for i in ids), np.int64, len(ids))
+        self.size.extend(array("q", size.tobytes()))
+        whole = np.maximum(size, 0)
+        self.begin.extend(array("q", (len(self.flat) // 4 + np.cumsum(whole) - whole).tobytes()))
+        self.flat += b"".join(filter(None, ids))
+        self.known.new.clear()
+
+    def _ids(self, key: str) -> bytes:
+        n = self.known[key]
+        return bytes(self.flat[4 * self.begin[n]: 4 * (self.begin[n] + self.size[n])])
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [
-            np.array(e.ids, "<u4").tobytes() for e in self.plain.encode_batch(texts, add_special_tokens=False)
+            np.array(e.ids, "<u4").tobytes() for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
-    def _learn(self, pieces: list[str]) -> None:
-        """Ids of pieces that follow a space. None marks white space at an edge: such texts are not cut there."""
-        known, simple, other = self.after_space, [], []
-        for p in pieces:
-            if not p or p[0].isspace() or p[-1].isspace():
-                known[p] = None
-            elif LATIN.fullmatch(p):
-                simple.append(p)
-            else:
-                other.append(p)
-        for p, ids in zip(other, self._plain([" " + p for p in other])):
-            known[p] = ids
-        for low in range(0, len(simple), 256):
-            part = simple[low: low + 256]
-            text = self.space + self.space.join(p.encode().decode("latin-1").translate(self.mapped) for p in part)
+    def _letters(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of runs of Latin letters behind a space: each is one unit of the vocabulary's pattern."""
+        out: dict[str, bytes] = {}
+        for low in range(0, len(words), 128):
+            part = words[low: low + 128]
+            text = (" " + " ".join(part)).encode().decode("latin-1").translate(self.mapped)
             made = self.units.encode(text, add_special_tokens=False)
-            ids, unit = np.array(made.ids, "<u4"), np.array(made.word_ids)
-            ends = np.searchsorted(unit, np.arange(len(part) + 1))
-            for k, p in enumerate(part):
-                known[p] = ids[ends[k]: ends[k + 1]].tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        cut = [(t or "").split(" ") for t in texts]
-        known = self.after_space
-        if len(known) > REMEMBER:
-            known.clear()
-        new = set(chain.from_iterable(c[1:] for c in cut)).difference(known)
-        self._learn(sorted(new))
-        heads = dict.fromkeys(c[0] for c in cut if c[0])
-        heads = {p: ids for p, ids in zip(heads, self._plain(list(heads)))}
-        out = []
-        for t, c in zip(texts, cut):
-            head = c[0]
-            if len(c) == 1:
-                out.append(heads.get(head, b""))
-                continue
-            parts = [known[p] for p in c[1:]]
-            if not head or head[-1].isspace() or None in parts:
-                out.append(self._plain([t])[0])
-            else:
-                out.append(heads[head] + b"".join(parts))
+            ends = (4 * np.searchsorted(np.array(made.word_ids), np.arange(len(part) + 1))).tolist()
+            ids = np.array(made.ids, "<u4").tobytes()
+            out.update(zip(part, map(ids.__getitem__, map(slice, ends[:-1], ends[1:]))))
         return out
 
-
-FILES = "path string, part int, documents bigint, tokens bigint"
+    def _learn(self) -> None:
+        """Ids of all new keys."""
+        known, new = self.known, self.known.new
+        found = PLAIN.findall("\0".join([k for k in new if k.__class__ is str and "\0" not in k]))
+        fresh = set(new)
+        signed = [f for f in found if f[1]]
+        bases = {f[0] for f in signed}
+        old = {w: self._ids(w) for w in bases if w in known and w not in fresh}
+        made = self._letters([f[0] for f in found if not f[1]] + sorted(w for w in bases if w not in known))
+        old.update((w, made[w]) for w in bases if w not in old)
+        signs = sorted({f[1] for f in signed})
+        signs = dict(zip(signs, self._plain(signs)))
+        made.update([(w + s, old[w] + signs[s]) for w, s in signed])
+        rest = [k for k in new if k not in made]
+        odd = [k for k in rest if k.__class__ is str and (not k or k[0].isspace() or k[-1].isspace())]
+        made.update(dict.fromkeys(odd))
+        rest = [k for k in rest if k not in made]
+        made.update(zip(rest, self._plain([" " + k if k.__class__ is str else k[0] for k in rest])))
+        self._store(made)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each text, and all ids one after the other; with ``end`` each text has it at its end."""
+        if len(self.known) > REMEMBER or len(self.flat) > 32 * REMEMBER:
+            self._forget()
+        if not len(texts):
+            return np.empty(0, np.int64), np.empty(0, np.uint32)
+        texts = texts.fill_null("")
+        cut = pc.split_pattern(texts, " ")
+        first = cut.offsets.to_numpy().astype(np.int64) - cut.offsets[0].as_py()
+        pieces = cut.flatten()
+        heads = pieces.take(pa.array(first[:-1])).to_pylist()
+        alike = pieces.dictionary_encode()
+        lookup = self.known.__getitem__
+        codes = np.fromiter(map(lookup, alike.dictionary.to_pylist()), np.int64)[alike.indices.to_numpy()]
+        codes[first[:-1]] = np.fromiter(map(lookup, zip(heads)), np.int64, len(heads))
+        # Code 0, the end, behind each text.
+        codes = np.insert(codes, first[1:], 0)
+        first += np.arange(len(first))
+        self._learn()
+        size = np.frombuffer(self.size, np.int64)[codes]
+        begin = np.frombuffer(self.begin, np.int64)[codes]
+        apart = np.diff(first) > 2
+        whole = {r for r in np.flatnonzero(apart).tolist() if not heads[r] or heads[r][-1].isspace()}
+        whole = sorted(whole | set((np.searchsorted(first, np.flatnonzero(size < 0), "right") - 1).tolist()))
+        flat = np.frombuffer(self.flat, "<u4")
+        if whole:
+            # Texts that cannot be cut stand behind the known pieces for this call, as one piece each.
+            base, extra = len(flat), self._plain(texts.take(pa.array(whole)).to_pylist())
+            for row, ids in zip(whole, extra):
+                size[first[row]: first[row + 1] - 1] = 0
+                begin[first[row]], size[first[row]] = base, len(ids) // 4
+                base += len(ids) // 4
+            flat = np.concatenate([flat, np.frombuffer(b"".join(extra), "<u4")])
+        ends = np.cumsum(size)
+        # Places in ``flat`` fit 32 bits: its length is bounded.
+        ids = flat[np.repeat((begin - (ends - size)).astype(np.int32), size) + np.arange(ends[-1], dtype=np.int32)]
+        return np.diff(np.concatenate([[0], ends])[first]), ids
+
+
+FILES = "path string, part bigint, documents bigint, tokens bigint"
 
 
 def write_tokens(
-    docs: DataFrame, folder: str, definition: str, scratch: Scratch, end: int = 0, piece: int = PIECE
+    docs: DataFrame, folder: str, definition: str, scratch: Scratch, end: int = 0, task: int = TASK, file: int = FILE
 ) -> DataFrame:
     """Token files of (doc_id, text) rows in ascending id order; one row (path, part, documents, tokens, base) a file.
 
     ``definition`` is the JSON of a tokenizers file with byte-level BPE. Every document ends with id ``end``; a NULL
-    or empty text is that id alone. NULL ids come first; rows with equal ids are ordered by text. Rows are
-    dealt out by id ranges, a file holds one range, and ``base`` is the number of tokens in all files before it.
+    or empty text is that id alone. NULL ids come first; rows with equal ids are ordered by text. Rows are dealt out by
+    id ranges of about ``task`` bytes of text; a file holds about ``file`` tokens (whole documents) of one range, and
+    ``base`` is the number of tokens in all files before it.
     """
     docs = docs.select("doc_id", "text")
     size = docs.agg(F.sum(F.octet_length("text")).alias("b")).first()["b"] or 0
-    ordered = docs.repartitionByRange(max(1, math.ceil(size / piece)), "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = docs.repartitionByRange(max(1, math.ceil(size / task)), "doc_id").sortWithinPartitions("doc_id", "text")
     numbered = ordered.withColumn("part", F.spark_partition_id())
     schema = arrow_schema(FILES)
-    last = np.array([end], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, doc_ids, counts, parts, part = Encoder(definition), [], [], [], 0
+        encoder, doc_ids, counts, ids, part, number = Encoder(definition, end), [], [], bytearray(), 0, 0
+
+        def flush() -> pa.RecordBatch:
+            data = dump(doc_ids, counts, np.frombuffer(ids, "<u4"))
+            path = write_new(folder, f"tokens-{part:06d}-{number:04d}", ".dac", data)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([path]), pa.array([(part << 24) + number]), pa.array([len(doc_ids)]), pa.array([len(ids) // 4])],
+                schema=schema,
+            )
+
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                some = batch.slice(low, 256)
+            _, offsets = text_bytes(batch.column("text"))
+            for low, high in steps(offsets, SLICE):
+                some = batch.slice(low, high - low)
                 part = some.column("part")[0].as_py()
                 doc_ids += some.column("doc_id").to_pylist()
-                for ids in encoder.encode(some.column("text").to_pylist()):
-                    counts.append(len(ids) // 4 + 1)
-                    parts += (ids, last)
+                n, made = encoder.encode(some.column("text"))
+                counts += n.tolist()
+                ids += made.data
+                if len(ids) >= 4 * file:
+                    yield flush()
+                    doc_ids, counts, ids, number = [], [], bytearray(), number + 1
         if doc_ids:
-            ids = np.frombuffer(b"".join(parts), "<u4")
-            path = write_new(folder, f"tokens-{part:06d}", ".dac", dump(doc_ids, counts, ids))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([path]), pa.array([part], pa.int32()), pa.array([len(doc_ids)]), pa.array([len(ids)])],
-                schema=schema,
-            )
+            yield flush()
 
     files, _ = scratch.cut(numbered.mapInArrow(run, FILES))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
