@@ -33,6 +33,12 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kind(t)) for n, t in (field.split() for field in ddl.split(","))])
 
 
+def delete(spark: SparkSession, uri: str) -> None:
+    """Removes a folder that no DataFrame in use reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 Step = Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]
 
 

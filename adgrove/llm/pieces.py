@@ -12,7 +12,7 @@ marks before it. Only distinct units are encoded:
 4. Ids go back to the blocks, where the numbers are replaced.
 
 Everything that grows with the corpus moves as units of blocks, never as words of texts, so no frequent word makes a
-large group: a unit has one row a block.
+large group: a unit has one row a block, and its blocks are listed together for a bounded number of tasks only.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adgrove.llm.common import arrow_schema, map_arrow, table
+from adgrove.llm.common import arrow_schema, delete, map_arrow, table
 from adgrove.llm.substrings import free_shuffles
 from adgrove.operators.scratch import Scratch
 
@@ -110,7 +110,10 @@ def unpack_codes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-PACKED = ("block bigint, first bigint, units array<string>, doc_ids array<bigint>, counts array<bigint>, "
+#: Blocks of 2 ** (SHARE - 24) tasks are listed together for a unit.
+SHARE = 36
+
+PACKED = ("kind int, block bigint, first bigint, units array<string>, doc_ids array<bigint>, counts array<bigint>, "
           "crcs array<bigint>, codes binary")
 
 
@@ -127,7 +130,7 @@ def pack(docs: DataFrame, pieces: Pieces, block_bytes: int) -> DataFrame:
         index, size = Index(), 0
 
         def row(**values) -> pa.RecordBatch:
-            full = {"block": (task << 24) + number, **values}
+            full = {"kind": int("codes" in values), "block": (task << 24) + number, **values}
             return pa.RecordBatch.from_arrays([pa.array([full.get(f.name)], f.type) for f in schema], schema=schema)
 
         def units() -> Iterator[pa.RecordBatch]:
@@ -154,13 +157,20 @@ def pack(docs: DataFrame, pieces: Pieces, block_bytes: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, PACKED)
 
 
+# A BPE edge as one long, so that edges sort as numbers: rank, start, size, id + 1.
+ID_BITS, SIZE_BITS, START_BITS = 21, 6, 8
+
+
 def edges_of(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, edges): every piece in every unit, as (start, size, id, score), ids from 1 on.
+    """(unit, edges): every piece in every unit; a character that is no piece is an edge with id -1 below all others.
 
-    A character that is no piece is an edge with id 0 and a score below all pieces.
+    For a unigram model an edge is (start, size, id + 1, score). For BPE it is a long: rank (0 for single characters, which
+    the merges begin with), start, size, id + 1.
     """
     lowest = min(s for _, _, s in pieces.rows) - 10.0
-    table_ = units.sparkSession.createDataFrame(pieces.rows, "piece string, id int, score double")
+    order = {s: r for r, s in enumerate(sorted({-s for _, _, s in pieces.rows}), 1)}
+    rows = [(p, i, s, order[-s] if len(p) > 1 else 0) for p, i, s in pieces.rows]
+    table_ = units.sparkSession.createDataFrame(rows, "piece string, id int, score double, rank bigint")
     length = F.char_length("unit")
     cut = (
         units.select("unit", F.explode(F.sequence(F.lit(0), length - 1)).alias("start"))
@@ -170,9 +180,13 @@ def edges_of(units: DataFrame, pieces: Pieces) -> DataFrame:
         .select("unit", "start", "size", F.substring("unit", F.col("start") + 1, F.col("size")).alias("piece"))
     )
     found = cut.join(F.broadcast(table_), "piece", "left").where("id is not null or size = 1")
-    edge = F.struct(
-        "start", "size", (F.coalesce("id", F.lit(-1)) + 1).alias("id"), F.coalesce("score", F.lit(lowest)).alias("score")
-    )
+    number = F.coalesce("id", F.lit(-1)) + 1
+    if pieces.unigram:
+        edge = F.struct("start", "size", number.alias("id"), F.coalesce("score", F.lit(lowest)).alias("score"))
+    else:
+        edge = F.coalesce("rank", F.lit(0).cast("bigint"))
+        for part, bits in ((F.col("start"), START_BITS), (F.col("size"), SIZE_BITS), (number, ID_BITS)):
+            edge = edge * F.lit(1 << bits) + part
     return found.groupBy("unit").agg(F.collect_list(edge).alias("edges"))
 
 
@@ -220,23 +234,29 @@ def merges(edges: Column, length: Column) -> Column:
     Edges come by rank and place. One is taken if a piece starts where it starts, and the next piece ends where it
     ends. No edge can become possible after its turn: a trained piece is built from pieces of better rank.
     """
-    single = F.transform(
-        F.array_sort(F.filter(edges, lambda e: e["size"] == 1)), lambda e: e["id"] * 64 + F.lit(1)
-    )
-    ranked = F.array_sort(F.transform(
-        F.filter(edges, lambda e: e["size"] > 1),
-        lambda e: F.struct((-e["score"]).alias("rank"), e["start"].alias("start"), e["size"].alias("size"), e["id"].alias("id")),
-    ))
+    def field(e: Column, shift: int, bits: int) -> Column:
+        return F.shiftright(e, shift).bitwiseAND(F.lit((1 << bits) - 1)).cast("int")
+
+    def parts(e: Column) -> Column:
+        size = field(e, ID_BITS, SIZE_BITS)
+        return F.struct(
+            field(e, ID_BITS + SIZE_BITS, START_BITS).alias("start"), size.alias("size"),
+            (field(e, 0, ID_BITS) * 64 + size).alias("piece"),
+        )
+
+    ranked = F.transform(F.sort_array(edges), parts)
+    single = F.transform(F.slice(ranked, F.lit(1), length), lambda e: e["piece"])
 
     def take(acc: Column, e: Column) -> Column:
         here = F.get(acc, e["start"]) % 64
         middle = e["start"] + here
         fits = (here > 0) & (here < e["size"]) & (F.get(acc, middle) % 64 + here == e["size"])
         return F.when(fits, F.transform(
-            acc, lambda x, i: F.when(i == e["start"], e["id"] * 64 + e["size"]).when(i == middle, F.lit(0)).otherwise(x)
+            acc, lambda x, i: F.when(i == e["start"], e["piece"]).when(i == middle, F.lit(0)).otherwise(x)
         )).otherwise(acc)
 
-    return F.filter(F.aggregate(ranked, single, take), lambda x: x > 0)
+    rest = F.slice(ranked, length + 1, F.size(ranked))
+    return F.filter(F.aggregate(rest, single, take), lambda x: x > 0)
 
 
 def spell(path: Column, unit: Column, pieces: Pieces) -> Column:
@@ -303,30 +323,41 @@ def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
     return short.unionByName(long)
 
 
-ANSWERS = "block bigint, numbers array<int>, sizes array<int>, ids array<int>"
+ANSWERS = "block bigint, numbers binary, sizes binary, ids binary"
 
 
-def _collect() -> object:
-    """Rows (block, number, ids) of a task as one row for each block and batch."""
-    schema = arrow_schema(ANSWERS)
+def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (refs: block and number, ids) of a task as a few packed rows for each block."""
+    schema, held, count = arrow_schema(ANSWERS), [], 0
 
-    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        if not batch.num_rows:
-            return
-        order = np.argsort(batch.column("block").to_numpy(), kind="stable")
-        batch = batch.take(pa.array(order))
-        block = batch.column("block").to_numpy()
-        number = batch.column("number").to_numpy().astype(np.int32)
-        lists = batch.column("ids")
+    def flush() -> pa.RecordBatch:
+        block, number, size, begin, ids = (np.concatenate(x) for x in zip(*held))
+        order = np.argsort(block, kind="stable")
+        block, number, size, begin = block[order], number[order], size[order], begin[order]
+        ends = np.cumsum(size)
+        ids = ids[np.repeat(begin - (ends - size), size) + np.arange(ends[-1])]
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1, [len(block)]])
-        rows = []
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-            part = lists.slice(a, b - a)
-            sizes = np.diff(part.offsets.to_numpy()).astype(np.int32)
-            rows.append((int(block[a]), number[a:b], sizes, part.flatten().to_numpy(zero_copy_only=False)))
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+        at = np.concatenate([[0], ends])
+        rows = [(int(block[a]), pack_codes(number[a:b]), pack_codes(size[a:b]), pack_codes(ids[at[a]: at[b]]))
+                for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return step
+    base = 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        refs, lists = batch.column("refs"), batch.column("ids")
+        uses, size = np.diff(refs.offsets.to_numpy()), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        places, ids = refs.flatten(), lists.flatten().to_numpy(zero_copy_only=False)
+        block, number = (places.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        begin = base + np.cumsum(size) - size
+        held.append((block, number, np.repeat(size, uses), np.repeat(begin, uses), ids))
+        base, count = base + len(ids), count + len(block)
+        if count >= 1 << 20:
+            yield flush()
+            held, count, base = [], 0, 0
+    if held:
+        yield flush()
 
 
 ENCODED = "doc_id bigint, ids array<int>, text_crc32 bigint"
@@ -335,16 +366,14 @@ ENCODED = "doc_id bigint, ids array<int>, text_crc32 bigint"
 def _unpack(texts: pa.Table, answers: pa.Table) -> pa.Table:
     """Texts of a block with their numbers replaced by ids."""
     schema = arrow_schema(ENCODED)
-    answers, texts = answers.combine_chunks(), texts.combine_chunks()
-
-    def flat(t: pa.Table, name: str) -> np.ndarray:
-        c = t.column(name)
-        return np.concatenate([x.flatten().to_numpy(zero_copy_only=False) for x in c.chunks] or [np.empty(0, np.int32)])
-
-    number, size, ids = (flat(answers, n) for n in ("numbers", "sizes", "ids"))
+    number, size, ids = (
+        np.concatenate([unpack_codes(x) for x in answers.column(n).to_pylist()] or [np.empty(0, np.uint32)])
+        for n in ("numbers", "sizes", "ids")
+    )
+    size = size.astype(np.int64)
     begin = np.empty(len(number), np.int64)
     length = np.empty(len(number), np.int64)
-    begin[number] = np.concatenate([[0], np.cumsum(size, dtype=np.int64)[:-1]]) if len(size) else begin
+    begin[number] = np.cumsum(size) - size
     length[number] = size
     made = []
     for doc_ids, counts, crcs, codes in zip(*(texts.column(n).to_pylist() for n in ("doc_ids", "counts", "crcs", "codes"))):
@@ -370,19 +399,25 @@ def encode(docs: DataFrame, pieces: Pieces, scratch: Scratch | None = None, bloc
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     path = f"{scratch.folder}/packed"
-    pack(docs, pieces, block_bytes).write.option("compression", "zstd").parquet(path)
+    pack(docs, pieces, block_bytes).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     packed = spark.read.schema(PACKED).parquet(path)
-    units = (
-        packed.where("units is not null")
+    listed = (
+        packed.where("kind = 0")
         .select("block", "first", F.posexplode("units").alias("at", "unit"))
-        .select("block", (F.col("first") + F.col("at")).alias("number"), "unit")
-        .repartition("unit")
+        .groupBy("unit", F.shiftright("block", SHARE).alias("share"))
+        .agg(F.collect_list(F.struct("block", (F.col("first") + F.col("at")).alias("number"))).alias("refs"))
+        .select("unit", "refs")
     )
-    encoded = encode_units(units.select("unit").distinct(), pieces)
-    found = units.join(encoded, "unit").select("block", "number", "ids")
-    answers, _ = scratch.cut(map_arrow(found, _collect, ANSWERS))
+    listed.write.option("compression", "zstd").parquet(f"{scratch.folder}/listed")
+    free_shuffles(spark)
+    listed = spark.read.schema(listed.schema).parquet(f"{scratch.folder}/listed")
+    encoded = encode_units(listed.select("unit").distinct(), pieces)
+    found = listed.hint("merge").join(encoded, "unit").select("refs", "ids")
+    answers, _ = scratch.cut(found.mapInArrow(_collect, ANSWERS))
+    for done in (f"{path}/kind=0", f"{scratch.folder}/listed"):
+        delete(spark, done)
     free_shuffles(spark)
-    texts = packed.where("codes is not null").select("block", "doc_ids", "counts", "crcs", "codes")
+    texts = packed.where("kind = 1").select("block", "doc_ids", "counts", "crcs", "codes")
     out = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_unpack, ENCODED)
     if pieces.byte_ids:
         return out
@@ -391,15 +426,25 @@ def encode(docs: DataFrame, pieces: Pieces, scratch: Scratch | None = None, bloc
     return out.withColumn("ids", once)
 
 
-def decode(encoded: DataFrame, pieces: Pieces, ids: str = "ids") -> Column:
-    """Column of the text that ids spell; ids outside the table spell nothing, a NULL list gives NULL.
+def decode(encoded: DataFrame, pieces: Pieces, name: str = "text", ids: str = "ids") -> DataFrame:
+    """``encoded`` with column ``name``: the text that ids spell; ids outside the table spell nothing, NULL gives NULL.
 
-    Word marks become spaces, the first one, which encoding adds, goes. Control ids are empty.
+    Word marks become spaces, the first one, which encoding adds, goes. Control ids are empty. Only texts with bytes
+    of other than ASCII characters are put together byte by byte.
     """
-    spelled = F.from_json(F.lit(json.dumps(pieces.spelled)), "array<string>")
-    digits = F.array_join(F.transform(F.col(ids), lambda i: F.get(spelled, i)), "")
-    text = F.translate(F.unhex(digits).cast("string"), MARK, " ")
-    return F.when(F.substring(text, 1, 1) == " ", F.substring(text, 2, F.lit(2147483647))).otherwise(text)
+    raw = [bytes.fromhex(h) for h in pieces.spelled]
+    # A zero character stands for a lone byte of a longer character.
+    plain = F.from_json(F.lit(json.dumps([r.decode("utf-8", "replace").replace("\ufffd", "\0") for r in raw])), "array<string>")
+    digits = F.from_json(F.lit(json.dumps(pieces.spelled)), "array<string>")
+
+    def joined(table_: Column) -> Column:
+        return F.array_join(F.transform(F.col(ids), lambda i: F.get(table_, i)), "")
+
+    out = encoded.withColumn(name, joined(plain))
+    exact = F.when(F.instr(F.col(name), "\0") > 0, F.unhex(joined(digits)).cast("string")).otherwise(F.col(name))
+    out = out.withColumn(name, F.translate(exact, MARK, " "))
+    rest = F.substring(F.col(name), 2, F.lit(2147483647))
+    return out.withColumn(name, F.when(F.startswith(F.col(name), F.lit(" ")), rest).otherwise(F.col(name)))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -408,8 +453,8 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
         pieces = load(f.read())
-    out = encode(table(spark, sf_dir, "documents"), pieces)
-    again = F.crc32(decode(out, pieces).cast("binary"))
+    out = decode(encode(table(spark, sf_dir, "documents"), pieces), pieces)
+    again = F.crc32(F.col("text").cast("binary"))
     return out.select(
         "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", (again == F.col("text_crc32")).alias("round_trip")
     )
