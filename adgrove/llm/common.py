@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +34,17 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return pa.schema([(n, kind(t)) for n, t in (field.split() for field in ddl.split(","))])
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: object) -> Iterator[None]:
+    """A session setting for the jobs started inside, put back afterwards."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def delete(spark: SparkSession, uri: str) -> None:
     """Removes a folder that no DataFrame in use reads any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(uri)

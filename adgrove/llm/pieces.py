@@ -18,19 +18,19 @@ large group: a unit has one row a block, and its blocks are listed together for
 from __future__ import annotations
 
 import json
+import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adgrove.llm.common import arrow_schema, delete, map_arrow, table
+from adgrove.llm.common import arrow_schema, delete, map_arrow, setting, table
 from adgrove.llm.substrings import free_shuffles
 from adgrove.operators.scratch import Scratch
 
@@ -42,11 +42,19 @@ LONG = 192
 #: Most pieces in a table: it is broadcast and part of a plan.
 MOST_PIECES = 1 << 20
 
-# Ways to cut texts, finest first. A way is right for a table whose every piece is one unit.
-UNITS = (
-    rf"{MARK}*\p{{L}}+|{MARK}*[^\p{{L}}{MARK}]+|{MARK}+",
-    rf"{MARK}*[^{MARK}]+|{MARK}+",
-)
+
+
+def unit_patterns(pieces: Sequence[str]) -> list[str]:
+    """Ways to cut texts, finest first. A way is right for a table whose every piece is one unit.
+
+    The finest cuts between letters and other characters. Signs like a raised 2 count as letters for ``re``;
+    those that stand in pieces are taken out of that class.
+    """
+    signs = "".join(sorted({c for p in pieces for c in p if c.isnumeric() and not (c.isdecimal() or c.isalpha())}))
+    letter, other = rf"[^\W\d_{re.escape(signs)}]", rf"[\W\d_{re.escape(signs)}]"
+    return [rf"{MARK}*{letter}+|{MARK}*(?:(?!{MARK}){other})+|{MARK}+", rf"{MARK}*[^{MARK}]+|{MARK}+"]
+
+
 
 
 class Pieces(NamedTuple):
@@ -78,7 +86,7 @@ def load(proto: bytes) -> Pieces:
     if any(p.type in (kind.USER_DEFINED, kind.UNUSED) for p in m.pieces) or len(m.pieces) > MOST_PIECES:
         raise ValueError("user-defined and unused pieces are not supported")
     rows = [(p.piece, i, p.score) for i, p in enumerate(m.pieces) if p.type == kind.NORMAL]
-    units = next((u for u in UNITS if all(regex.findall(u, p) == [p] for p, _, _ in rows)), None)
+    units = next((u for u in unit_patterns([p for p, _, _ in rows]) if all(re.findall(u, p) == [p] for p, _, _ in rows)), None)
     if units is None:
         raise ValueError("pieces go on after a word mark")
     by_byte = {int(p.piece[1:-1], 16): i for i, p in enumerate(m.pieces) if p.type == kind.BYTE}
@@ -110,8 +118,12 @@ def unpack_codes(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(-1)
 
 
-#: Blocks of 2 ** (SHARE - 24) tasks are listed together for a unit.
-SHARE = 36
+# A unit of a block as one long: task, block of the task, number of the unit.
+BLOCK_BITS, NUMBER_BITS = 12, 24
+#: Blocks of 4096 tasks are listed together for a unit.
+SHARE = BLOCK_BITS + 12
+#: Units of a partition whose edges are grouped at once, in a hash table and without a sort.
+GROUPED = 50_000
 
 PACKED = ("kind int, block bigint, first bigint, units array<string>, doc_ids array<bigint>, counts array<bigint>, "
           "crcs array<bigint>, codes binary")
@@ -125,12 +137,12 @@ def pack(docs: DataFrame, pieces: Pieces, block_bytes: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        cut = regex.compile(pattern)
+        cut = re.compile(pattern)
         task, number = TaskContext.get().partitionId(), 0
         index, size = Index(), 0
 
         def row(**values) -> pa.RecordBatch:
-            full = {"kind": int("codes" in values), "block": (task << 24) + number, **values}
+            full = {"kind": int("codes" in values), "block": (task << BLOCK_BITS) + number, **values}
             return pa.RecordBatch.from_arrays([pa.array([full.get(f.name)], f.type) for f in schema], schema=schema)
 
         def units() -> Iterator[pa.RecordBatch]:
@@ -149,7 +161,7 @@ def pack(docs: DataFrame, pieces: Pieces, block_bytes: int) -> DataFrame:
                 size += sum(map(len, raw))
                 yield row(doc_ids=some.column("doc_id").to_pylist(), counts=counts, crcs=[zlib.crc32(r) for r in raw],
                           codes=pack_codes(codes))
-                if size >= block_bytes:
+                if size >= block_bytes and number + 1 < 1 << BLOCK_BITS:
                     yield from units()
                     index, size, number = Index(), 0, number + 1
         yield from units()
@@ -327,7 +339,7 @@ ANSWERS = "block bigint, numbers binary, sizes binary, ids binary"
 
 
 def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (refs: block and number, ids) of a task as a few packed rows for each block."""
+    """Rows (refs, ids) of a task as a few packed rows for each block."""
     schema, held, count = arrow_schema(ANSWERS), [], 0
 
     def flush() -> pa.RecordBatch:
@@ -348,8 +360,8 @@ def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         refs, lists = batch.column("refs"), batch.column("ids")
         uses, size = np.diff(refs.offsets.to_numpy()), np.diff(lists.offsets.to_numpy()).astype(np.int64)
-        places, ids = refs.flatten(), lists.flatten().to_numpy(zero_copy_only=False)
-        block, number = (places.field(k).to_numpy(zero_copy_only=False) for k in (0, 1))
+        places, ids = (x.flatten().to_numpy(zero_copy_only=False) for x in (refs, lists))
+        block, number = places >> NUMBER_BITS, places & ((1 << NUMBER_BITS) - 1)
         begin = base + np.cumsum(size) - size
         held.append((block, number, np.repeat(size, uses), np.repeat(begin, uses), ids))
         base, count = base + len(ids), count + len(block)
@@ -399,23 +411,30 @@ def encode(docs: DataFrame, pieces: Pieces, scratch: Scratch | None = None, bloc
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     path = f"{scratch.folder}/packed"
-    pack(docs, pieces, block_bytes).write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    pack(docs, pieces, block_bytes).write.partitionBy("kind").parquet(path)
     packed = spark.read.schema(PACKED).parquet(path)
     listed = (
         packed.where("kind = 0")
         .select("block", "first", F.posexplode("units").alias("at", "unit"))
-        .groupBy("unit", F.shiftright("block", SHARE).alias("share"))
-        .agg(F.collect_list(F.struct("block", (F.col("first") + F.col("at")).alias("number"))).alias("refs"))
+        .select("unit", (F.shiftleft("block", NUMBER_BITS) + F.col("first") + F.col("at")).alias("ref"))
+        .repartition("unit")
+        .groupBy("unit", F.shiftright("ref", SHARE + NUMBER_BITS).alias("share")).agg(F.collect_list("ref").alias("refs"))
         .select("unit", "refs")
     )
-    listed.write.option("compression", "zstd").parquet(f"{scratch.folder}/listed")
+    schema = listed.schema
+    listed.write.parquet(f"{scratch.folder}/listed")
+    listed = spark.read.schema(schema).parquet(f"{scratch.folder}/listed")
+    delete(spark, f"{path}/kind=0")
     free_shuffles(spark)
-    listed = spark.read.schema(listed.schema).parquet(f"{scratch.folder}/listed")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-listed.count() // GROUPED))
     encoded = encode_units(listed.select("unit").distinct(), pieces)
     found = listed.hint("merge").join(encoded, "unit").select("refs", "ids")
-    answers, _ = scratch.cut(found.mapInArrow(_collect, ANSWERS))
-    for done in (f"{path}/kind=0", f"{scratch.folder}/listed"):
-        delete(spark, done)
+    # One partitioning by unit, of bounded parts, carries the lattice and both sides of the join.
+    with setting(spark, "spark.sql.objectHashAggregate.sortBased.fallbackThreshold", 4 * GROUPED), \
+            setting(spark, "spark.sql.adaptive.coalescePartitions.enabled", "false"), \
+            setting(spark, "spark.sql.shuffle.partitions", parts):
+        answers, _ = scratch.cut(found.mapInArrow(_collect, ANSWERS))
+    delete(spark, f"{scratch.folder}/listed")
     free_shuffles(spark)
     texts = packed.where("kind = 1").select("block", "doc_ids", "counts", "crcs", "codes")
     out = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_unpack, ENCODED)

@@ -79,4 +79,5 @@ def test_codes_and_units():
     codes = np.array([0, 1, 255, 256, 1 << 20, (1 << 32) - 1], np.uint32)
     assert (pieces.unpack_codes(pieces.pack_codes(codes)) == codes).all()
     assert pieces.unpack_codes(pieces.pack_codes(codes[:0])).tolist() == []
-    assert pieces.load(PROTO).units == pieces.UNITS[0]
+    model = pieces.load(PROTO)
+    assert model.units == pieces.unit_patterns([p for p, _, _ in model.rows])[0]
