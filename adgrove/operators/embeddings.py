@@ -14,22 +14,25 @@ def word_code(word: Column) -> Column:
     return F.conv(F.substring(F.md5(word), 1, 15), 16, 10).cast("bigint")
 
 
-def text_vectors(rows: DataFrame, dim: int = 64) -> DataFrame:
-    """``rows`` (words: array<string>, ...) with ``vector``: signed feature hashing of all words into ``dim`` integers.
+def text_vectors(rows: DataFrame, key: str, dim: int = 64) -> DataFrame:
+    """``rows`` (``key``, words: array<string>, ...) with ``vector``: signed feature hashing of all words into ``dim`` integers.
 
     Each word adds +1 or -1 in one dimension, both from its hash, so there is no vocabulary: rare words count like all
     others and nothing is trained or kept on the driver. Stands in for a supervised single-machine text model,
     so the numbers are its own; the dimension is the same. A text without words (or NULL) has the zero vector.
+    ``key`` is unique; words are counted in each task before at most ``dim`` sums a row are shuffled.
     """
-    codes = F.transform(F.coalesce("words", F.array().cast("array<string>")), word_code)
-    place = F.transform(codes, lambda h: (h % dim).cast("int"))
-    sign = F.transform(codes, lambda h: F.when(h % (2 * dim) < dim, F.lit(1)).otherwise(F.lit(-1)))
-    pairs = F.arrays_zip(place.alias("at"), sign.alias("s"))
-    sums = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda d: F.aggregate(F.filter(F.col("_pairs"), lambda p: p["at"] == d), F.lit(0).cast("bigint"), lambda a, p: a + p["s"]),
+    code = word_code(F.col("w"))
+    cells = (
+        rows.select(key, F.explode("words").alias("w"))
+        .select(key, (code % dim).cast("int").alias("at"), F.when(code % (2 * dim) < dim, 1).otherwise(-1).cast("bigint").alias("s"))
+        .groupBy(key, "at").agg(F.sum("s").alias("s"))
+        .groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("at", "s"))).alias("_cells"))
     )
-    return rows.withColumn("_pairs", pairs).withColumn("vector", sums).drop("_pairs")
+    dense = F.transform(
+        F.sequence(F.lit(0), F.lit(dim - 1)), lambda d: F.coalesce(F.try_element_at("_cells", d), F.lit(0).cast("bigint"))
+    )
+    return rows.join(cells, key, "left").withColumn("vector", dense).drop("_cells")
 
 
 def label_quality(rows: DataFrame) -> DataFrame:

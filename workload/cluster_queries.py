@@ -193,14 +193,14 @@ def _categories(spark, d):
 
 def _text_embedding(spark, d):
     rows = words.labelled_texts(_label_rows(spark, d), 3).withColumn("words", F.split("wordlist", " "))
-    return embeddings.text_vectors(rows.select("doc_id", "label", "words")).select("doc_id", "label", "vector")
+    return embeddings.text_vectors(rows.select("doc_id", "label", "words"), "doc_id").select("doc_id", "label", "vector")
 
 
 def _label_quality(spark, d):
     docs = v.table(spark, d, "documents").select(
         F.col("doc_id").alias("id"), F.col("lang").alias("label"), F.split("text", " ").alias("words")
     )
-    vectors, _ = Scratch(spark).cut(embeddings.text_vectors(docs).drop("words"))
+    vectors, _ = Scratch(spark).cut(embeddings.text_vectors(docs, "id").drop("words"))
     return embeddings.label_quality(vectors)
 
 
