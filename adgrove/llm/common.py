@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,13 +73,16 @@ def map_rows(
 
     ``make()`` runs once in each task and returns a function from the input arrays to one list or array for each
     field of ``ddl``, with as many entries as there are rows. Kept columns pass through untouched, whatever their
-    names and types are; where a kept column and a new one have the same name, the new one stays.
+    names and types are; where a kept column and a new one have the same name, the new one stays. An input ``a.b`` of a
+    kept struct ``a`` is read inside it, so it does not travel twice.
     """
     new = T._parse_datatype_string(ddl)
     keep = [c for c in keep if c not in new.names]
+    nested = {c: c.split(".") for c in inputs if "." in c and c.split(".")[0] in keep}
+    apart = [c for c in inputs if c not in nested]
     packed = df.select(
-        F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("_row"),
-        *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(inputs)],
+        F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("_kept"),
+        *[F.col(f"`{c}`").alias(f"_in{i}") for i, c in enumerate(apart)],
     )
     kinds = arrow_schema(ddl)
 
@@ -86,15 +90,18 @@ def map_rows(
         derive = make()
 
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            made = derive(*batch.columns[1:])
+            given = dict(zip(apart, batch.columns[1:]))
+            made = derive(*[
+                pc.struct_field(batch.column(0), nested[c]) if c in nested else given[c] for c in inputs
+            ])
             arrays = [m if isinstance(m, pa.Array) else pa.array(m, f.type) for m, f in zip(made, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["_row", *kinds.names])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["_kept", *kinds.names])
 
         return step
 
-    schema = T.StructType([packed.schema["_row"], *new.fields])
+    schema = T.StructType([packed.schema["_kept"], *new.fields])
     out = map_arrow(packed, wrapped, schema)
-    return out.select(*[F.col("_row").getField(c).alias(c) for c in keep], *new.names)
+    return out.select(*[F.col("_kept").getField(c).alias(c) for c in keep], *new.names)
 
 
 def map_runs(

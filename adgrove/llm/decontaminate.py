@@ -262,11 +262,10 @@ def without_passages(
     docs: DataFrame, benchmark: DataFrame, least: float = COVERAGE, match: int = MATCH, block: int = BLOCK
 ) -> DataFrame:
     """The rows of ``docs`` (a column ``text`` and any others) that contain no item: no join, one pass a block."""
-    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    out = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     for part in blocks(benchmark, match, block):
         if part.sizes:
-            found = map_rows(out, ["row"], ["text"], _flags(part, match, least), "found boolean").where("not found")
-            out = found.select("row", F.col("row.text").alias("text"))
+            out = map_rows(out, ["row"], ["row.text"], _flags(part, match, least), "found boolean").where("not found").select("row")
     return out.select("row.*")
 
 

@@ -263,21 +263,25 @@ def _cut(raw: bytes, start: np.ndarray, end: np.ndarray, gone: np.ndarray, a: in
 
 
 def remove_repeated(
-    docs: DataFrame, keep: list[str], window: int = WINDOW, scratch: Scratch | None = None
+    docs: DataFrame, keep: list[str], window: int = WINDOW, scratch: Scratch | None = None, inside: str | None = None
 ) -> DataFrame:
     """Columns ``keep`` of every row of ``docs`` (doc_id, text), with ``n_words``, ``n_removed``, ``kept`` and ``left``.
 
     Each word covered by a window of ``window`` consecutive words whose sequence also starts in a document with a
     smaller id is removed; windows are judged on the input. ``kept`` has the kept words joined by one space, ``left``
     the text itself without the removed runs (a line feed where one was). A NULL text has no words. Rows with one id
-    are judged alike and are no source for each other; a row with a NULL id is no source and loses nothing.
+    are judged alike and are no source for each other; a row with a NULL id is no source and loses nothing. ``inside``
+    names the kept struct that holds the text, if one does, so that the text does not travel twice.
     """
     cover(window)
     scratch = scratch or Scratch(docs.sparkSession)
     marked = repeated(docs, window, scratch).withColumnRenamed("doc_id", "_id")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col("doc_id").alias("_doc"), "text")
+    text = f"_row.{inside}.text" if inside else "text"
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_row"), F.col("doc_id").alias("_doc"), *([] if inside else ["text"])
+    )
     joined = rows.hint("merge").join(marked, F.col("_doc") == F.col("_id"), "left")
-    out = map_rows(joined, ["_row"], ["text", "whole", "bad"], _remover(window),
+    out = map_rows(joined, ["_row"], [text, "whole", "bad"], _remover(window),
                    "n_words bigint, n_removed bigint, kept string, left string")
     new = ["n_words", "n_removed", "kept", "left"]
     return out.select(*[F.col("_row").getField(c).alias(c) for c in keep if c not in new], *new)

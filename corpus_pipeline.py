@@ -29,7 +29,7 @@ def _whole(docs: DataFrame) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(id_crc("doc_id") % 5 != 0)
-    scored = toxicity.classify(_whole(docs), toxicity.learn(docs, labels), ["row"])
+    scored = toxicity.classify(_whole(docs), toxicity.learn(docs, labels), ["row"], "row.text")
     return scored.where("predicted = 0").select("row.*")
 
 
@@ -41,7 +41,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = substrings.remove_repeated(_whole(docs), ["row"]).where("n_removed = 0 or n_removed < n_words")
+    cut = substrings.remove_repeated(_whole(docs), ["row"], inside="row").where("n_removed = 0 or n_removed < n_words")
     changed = F.col("n_removed") > 0
     new = {"text": F.when(changed, F.col("left")).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
