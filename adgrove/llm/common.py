@@ -55,6 +55,11 @@ def delete(spark: SparkSession, uri: str) -> None:
 Step = Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]
 
 
+def release() -> None:
+    """Gives memory that Arrow keeps for later back to the system: the worker process lives on after the task."""
+    pa.default_memory_pool().release_unused()
+
+
 def map_arrow(df: DataFrame, make: Callable[[], Step], schema: str | T.StructType) -> DataFrame:
     """``mapInArrow`` with state per task: ``make()`` runs once in each task and returns the function for batches."""
 
@@ -62,6 +67,7 @@ def map_arrow(df: DataFrame, make: Callable[[], Step], schema: str | T.StructTyp
         step = make()
         for batch in batches:
             yield from step(batch)
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -140,6 +146,8 @@ def map_runs(
                     held.append(batch.slice(low, high - low))
             last = tuple(c[-1] for c in columns)
         yield from flush()
+        held = []
+        release()
 
     names = [*keys, *[c for c in dealt.columns if c not in keys]]
     return dealt.select(*names).mapInArrow(run, schema)
