@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adgrove.llm import decontaminate, langid, licenses, neardup, pieces, substrings, tokens, topk, toxicity, warc
+from adgrove.llm import decontaminate, langid, licenses, neardup, pieces, substrings, tokens, topk, toxicity, warc, whitening
 
 QUERIES = {
     "op9_sentencepiece": (pieces.query, None),
@@ -15,4 +15,5 @@ QUERIES = {
     "op2_token_codes": (tokens.query, None),
     "op3_arc_to_warc": (warc.query, warc.SQL),
     "op10_language_id": (langid.query, None),
+    "op11_spectrum_whitening": (whitening.query, None),
 }
