@@ -36,13 +36,13 @@ MAGIC = b"DACTOK01"
 WIDTHS = (12, 4, 8, 8)
 #: Bits of a bitmap that one directory entry covers.
 BLOCK = 512
-#: Bytes of text that one task encodes, about: the more, the more often it meets words that it knows.
-TASK = 96 << 20
+#: Bytes of text that one task encodes, about.
+TASK = 48 << 20
 #: Tokens after which a task starts a new file.
 FILE = 4 << 20
 #: Bytes of text encoded at once.
 SLICE = 2 << 20
-#: Distinct chunks of text a task remembers the ids of; the memory is emptied when it is full.
+#: Distinct chunks of text a worker process remembers the ids of; the memory is emptied when it is full.
 REMEMBER = 3 << 19
 
 
@@ -210,21 +210,26 @@ class Known(dict):
 
 
 class Encoder:
-    """Ids of whole texts by a tokenizers file with byte-level BPE, each distinct piece of text encoded once a task.
+    """Ids of whole texts by a tokenizers file with byte-level BPE, each distinct piece of text encoded once.
 
     Such a tokenizer never joins a space to what stands before it, so a text falls apart at each single space between
     two characters that are not white space, and the ids of the pieces follow each other. Pieces made of a space and
     Latin letters are one unit of the vocabulary's pattern; many of them go to the model in one call. All other
     pieces, and texts with unusual white space, pass through the tokenizer as they are.
+
+    With ``special``, the library's own default, the string of a special token in a text becomes that token's id; such
+    texts pass through the tokenizer whole. Without it the string is ordinary text.
     """
 
-    def __init__(self, definition: str, end: int | None = None):
+    def __init__(self, definition: str, end: int | None = None, special: bool = True):
         # Tasks are the parallelism; threads of the library would each keep memory of their own.
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.plain = Tokenizer.from_str(definition)
-        self.plain.encode_special_tokens = True
+        self.plain.encode_special_tokens = not special
+        added = self.plain.get_added_tokens_decoder().values() if special else ()
+        self.added = [t.content for t in added if t.content]
         letters = byte_letters()
         self.mapped = str.maketrans({chr(b): c for b, c in letters.items()})
         self.units = Tokenizer(self.plain.model)
@@ -313,7 +318,8 @@ class Encoder:
         begin = np.frombuffer(self.begin, np.int64)[codes]
         apart = np.diff(first) > 2
         whole = {r for r in np.flatnonzero(apart).tolist() if not heads[r] or heads[r][-1].isspace()}
-        whole = sorted(whole | set((np.searchsorted(first, np.flatnonzero(size < 0), "right") - 1).tolist()))
+        whole |= set((np.searchsorted(first, np.flatnonzero(size < 0), "right") - 1).tolist())
+        whole = sorted(whole.union(*[pc.indices_nonzero(pc.match_substring(texts, t)).to_pylist() for t in self.added]))
         flat = np.frombuffer(self.flat, "<u4")
         if whole:
             # Texts that cannot be cut stand behind the known pieces for this call, as one piece each.
@@ -329,6 +335,18 @@ class Encoder:
         return np.diff(np.concatenate([[0], ends])[first]), ids
 
 
+_SHARED: dict[tuple, Encoder] = {}
+
+
+def shared_encoder(definition: str, end: int | None = None, special: bool = True) -> Encoder:
+    """The encoder of this worker process: tasks that follow each other in it share the words it has learned."""
+    key = (definition, end, special)
+    if key not in _SHARED:
+        _SHARED.clear()
+        _SHARED[key] = Encoder(definition, end, special)
+    return _SHARED[key]
+
+
 FILES = "path string, part bigint, documents bigint, tokens bigint"
 
 
@@ -349,7 +367,7 @@ def write_tokens(
     schema = arrow_schema(FILES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, doc_ids, counts, ids, part, number = Encoder(definition, end), [], [], bytearray(), 0, 0
+        encoder, doc_ids, counts, ids, part, number = shared_encoder(definition, end), [], [], bytearray(), 0, 0
 
         def flush() -> pa.RecordBatch:
             data = dump(doc_ids, counts, np.frombuffer(ids, "<u4"))

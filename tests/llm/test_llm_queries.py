@@ -59,7 +59,6 @@ def test_op1(spark, con, docs):
 
 def test_op2(spark, docs):
     t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
     want, start = [], 0
     for d, text, _ in docs:
         ids = [*t.encode(text or "", add_special_tokens=False).ids, 0]

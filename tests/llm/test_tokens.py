@@ -18,9 +18,7 @@ with open(PATH, encoding="utf-8") as f:
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 @pytest.mark.parametrize("width", [4, 8, 12, 16, 24])
@@ -58,19 +56,23 @@ def test_empty_file_and_too_large_ids():
         dump([1], [1], np.array([1 << 20], np.uint32), (12, 4))
 
 
-def test_cached_encoding_is_the_tokenizers_own(plain, monkeypatch):
+@pytest.mark.parametrize("special", [True, False])
+def test_cached_encoding_is_the_tokenizers_own(special, monkeypatch):
+    plain = Tokenizer.from_file(PATH)
+    plain.encode_special_tokens = not special
     rng = random.Random(3)
     texts = ["a  b", "  a", "a ", "", " ", None, "\n a \n\nb  \tc", "don't we'll <|endoftext|> x", "naïve Ünï ʼn 中文 字",
-             "x" * 50_000 + " y", "Ġ Ġa ġ", "foo\n bar baz", "1 22 a1 b", "a b  c"]
+             "x" * 50_000 + " y", "Ġ Ġa ġ", "foo\n bar baz", "1 22 a1 b", "a b  c",
+             "<|endoftext|>", "a <|endoftext|> b", "a<|endoftext|><|endoftext|>", "<|endoftext| >"]
     texts += ["".join(rng.choice("ab \n\t.'s1é中  ") for _ in range(rng.randint(0, 30))) for _ in range(1500)]
     want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
-    encoder = Encoder(DEFINITION)
+    encoder = Encoder(DEFINITION, special=special)
     for _ in range(2):
         counts, ids = encoder.encode(pa.array(texts))
         assert counts.tolist() == [len(w) for w in want]
         assert ids.tolist() == [i for w in want for i in w]
     monkeypatch.setattr(tokens, "REMEMBER", 20)
-    encoder = Encoder(DEFINITION, end=0)
+    encoder = Encoder(DEFINITION, end=0, special=special)
     parts = [encoder.encode(pa.array(texts[low: low + 50], pa.string())) for low in range(0, len(texts), 50)]
     assert np.concatenate([i for _, i in parts]).tolist() == [i for w in want for i in (*w, 0)]
     assert encoder.encode(pa.array([], pa.string()))[1].tolist() == []
@@ -79,7 +81,7 @@ def test_cached_encoding_is_the_tokenizers_own(plain, monkeypatch):
 def test_files_round_trip(spark, plain):
     rng = random.Random(5)
     rows = [(i, " ".join(rng.choice(("old", "king", "né", "x1,")) for _ in range(rng.randint(0, 60))), 0) for i in range(90)]
-    rows += [(200, None, 1), (None, "no id", 2), (90, "", 3), (5, "again", 4), (5, "again", 4), (300, "z " * 40_000, 5)]
+    rows += [(200, None, 1), (None, "no id", 2), (90, "", 3), (5, "again", 4), (5, "again", 4), (300, "z " * 40_000, 5), (301, "old <|endoftext|> king", 6)]
     rng.shuffle(rows)
     scratch = Scratch(spark)
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, tokens int")
