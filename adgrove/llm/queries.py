@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adgrove.llm import decontaminate, langid, licenses, neardup, pieces, substrings, tokens, topk, toxicity, warc, whitening
+from adgrove.llm import decontaminate, langid, licenses, neardup, packing, pieces, substrings, tokens, topk, toxicity, warc, whitening
 
 QUERIES = {
     "op9_sentencepiece": (pieces.query, None),
@@ -16,4 +16,5 @@ QUERIES = {
     "op3_arc_to_warc": (warc.query, warc.SQL),
     "op10_language_id": (langid.query, None),
     "op11_spectrum_whitening": (whitening.query, None),
+    "op12_best_fit_packing": (packing.query, None),
 }
