@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from adgrove.llm import decontaminate, langid, licenses, neardup, packing, pieces, substrings, tokens, topk, toxicity, warc, whitening
+from adgrove.llm import (
+    alignment, decontaminate, langid, licenses, neardup, packing, pieces, substrings, tokens, topk, toxicity, warc, whitening,
+)
 
 QUERIES = {
     "op9_sentencepiece": (pieces.query, None),
@@ -17,4 +19,5 @@ QUERIES = {
     "op10_language_id": (langid.query, None),
     "op11_spectrum_whitening": (whitening.query, None),
     "op12_best_fit_packing": (packing.query, None),
+    "op13_token_alignment": (alignment.query, None),
 }
