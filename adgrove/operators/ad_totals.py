@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Column that day tables are bucketed by, for each day column that can meet the snapshot's.
+STORED_KEYS = {"partition_date": "account_day", "process_date": "account_cohort"}
 ACCOUNT_COLUMNS = {"industry": "industry_group", "sub_industry": "industry_team_level2", "sub_brand": "op_sub_brand"}
 
 
@@ -32,9 +34,14 @@ def ad_totals(
     drop_keys: Sequence[str] = (),
 ) -> DataFrame:
     """Sums and maxima per ``fact_keys`` + ``account_keys`` (+ ``extra_keys`` that ``reshape`` adds after the join,
-    - ``drop_keys`` that only ``reshape`` needs)."""
+    - ``drop_keys`` that only ``reshape`` needs).
+
+    Where both sides carry the stored key of ``day`` (bucketed day tables), it stands for day and account: aggregation and
+    join then take rows where their bucket lies.
+    """
     maxes = maxes or {}
-    join_keys = [day, "advertiser_id"]
+    stored = STORED_KEYS.get(day)
+    join_keys = [stored] if stored in fact.columns and stored in accounts.columns else [day, "advertiser_id"]
     pre_keys = list(dict.fromkeys([*join_keys, *fact_keys]))
     per_account = (
         fact.where(keep)
@@ -42,8 +49,7 @@ def ad_totals(
         .agg(*[F.sum(c).alias(n) for n, c in sums.items()], *[F.max(c).alias(n) for n, c in maxes.items()])
     )
     snapshot = accounts.where(accounts_keep).select(
-        F.col("imp_date").alias(day),
-        F.col("account_id").alias("advertiser_id"),
+        *(join_keys if len(join_keys) == 1 else [F.col("imp_date").alias(day), F.col("account_id").alias("advertiser_id")]),
         *[F.col(ACCOUNT_COLUMNS[k]).alias(k) for k in account_keys],
     )
     joined = per_account.join(snapshot, join_keys, "inner")

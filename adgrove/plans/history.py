@@ -18,7 +18,7 @@ MAX_LAG = 2
 HISTORY_COLUMNS = ("partition_date", "process_date", "table_id", "op_industry", *CLASSIC_METRICS)
 
 
-def _generation(generation: int, channel: str) -> tuple[Column, dict, dict, int]:
+def generation_terms(generation: int, channel: str) -> tuple[Column, dict, dict, int]:
     """Row filter, sums, maxima and GMV scale of a fact generation; generation 1 serves GDT only."""
     keep = p.on_channel(channel) & p.uncompensated() & p.not_retention()
     if generation == 1:
@@ -29,6 +29,12 @@ def _generation(generation: int, channel: str) -> tuple[Column, dict, dict, int]
     return keep, {**t.delivery_sums(), **t.gmv_delivered()}, t.volume_first(), 1_000_000
 
 
+def _merge_terms(generation: int, channel: str) -> tuple[Column, dict, dict, int]:
+    """The same for partial totals, which carry the sums and maxima under their names and passed the filter before."""
+    _, sums, maxes, scale = generation_terms(generation, channel)
+    return F.lit(True), {n: F.col(n) for n in sums}, {n: F.col(n) for n in maxes}, scale
+
+
 def _publish(ads: DataFrame, generation: int, gmv_scale: int, table_id: int) -> DataFrame:
     if generation == 1:
         ads = ads.where(has_valid_target())
@@ -47,10 +53,13 @@ def _publish(ads: DataFrame, generation: int, gmv_scale: int, table_id: int) ->
 
 def same_day_history(
     fact: DataFrame, accounts: DataFrame, generation: int = 1, channel: str = "gdt",
-    first_day: int | None = None, last_day: int | None = None,
+    first_day: int | None = None, last_day: int | None = None, merged: bool = False,
 ) -> DataFrame:
-    """Reach history with accrual day = report day, for one day or any range of days in one job."""
-    keep, sums, maxes, scale = _generation(generation, channel)
+    """Reach history with accrual day = report day, for one day or any range of days in one job.
+
+    With ``merged`` the fact is partial totals of it (:mod:`adgrove.plans.accrual`).
+    """
+    keep, sums, maxes, scale = (_merge_terms if merged else generation_terms)(generation, channel)
     ads = t.ad_totals(
         fact, accounts,
         keep=keep & p.between_days("partition_date", first_day, last_day),
@@ -63,15 +72,15 @@ def same_day_history(
 
 def retro_history(
     fact: DataFrame, accounts: DataFrame, generation: int = 1, channel: str = "gdt",
-    first_day: int | None = None, last_day: int | None = None,
+    first_day: int | None = None, last_day: int | None = None, merged: bool = False,
 ) -> DataFrame:
     """Reach history of cohorts that have finished accruing.
 
     A run on day ``r`` reports the cohort ``r - lag`` (finance 2 days, others 1) with everything accrued up to
     ``r``. Every record belongs to exactly one run day, ``cohort + lag``, so a backfill of many run days is a
-    single pass that groups by that day.
+    single pass that groups by that day. With ``merged`` the fact is partial totals of it.
     """
-    keep, sums, maxes, scale = _generation(generation, channel)
+    keep, sums, maxes, scale = (_merge_terms if merged else generation_terms)(generation, channel)
     lag = p.industry_lag(F.col("industry"))
     accrual = dates.days_between(F.col("partition_date"), F.col("process_date"))
     window = (accrual >= 0) & (accrual <= MAX_LAG)
@@ -158,7 +167,7 @@ def medicine_sub_industries(
     fact: DataFrame, accounts: DataFrame, first_day: int | None = None, last_day: int | None = None
 ) -> DataFrame:
     """Medicine by sub-industry, same day, generation 1 fact."""
-    keep, sums, maxes, scale = _generation(1, "gdt")
+    keep, sums, maxes, scale = generation_terms(1, "gdt")
     ads = t.ad_totals(
         fact, accounts,
         keep=keep & p.between_days("partition_date", first_day, last_day),

@@ -119,12 +119,12 @@ def _retro_body(gen: int, channel: str) -> str:
       from ({classic(ads, 'run, ind', gen, spending_only=gen == 2)}) h"""
 
 
-def same_day(gen: int, channel: str) -> str:
-    return rounded(with_base(_same_day_body(gen, channel)), HISTORY + COUNTS, RATES, MONEY)
+def same_day(gen: int, channel: str, monthly: bool | str = True) -> str:
+    return rounded(with_base(_same_day_body(gen, channel), monthly), HISTORY + COUNTS, RATES, MONEY)
 
 
-def retro(gen: int, channel: str) -> str:
-    return rounded(with_base(_retro_body(gen, channel), False, "process_date"), HISTORY + COUNTS, RATES, MONEY)
+def retro(gen: int, channel: str, monthly: bool | str = False) -> str:
+    return rounded(with_base(_retro_body(gen, channel), monthly, "process_date"), HISTORY + COUNTS, RATES, MONEY)
 
 
 def multi_trace() -> str:

@@ -12,14 +12,23 @@ INDUSTRY_ROLE = """case c_mktsegment when 'FURNITURE' then '金融' when 'HOUSEH
     when 'MACHINERY' then '医药' when 'BUILDING' then '房产' else '大交通' end"""
 SUB_INDUSTRY = "case when r_name = 'ASIA' then '贷款' else r_name end"
 
-DATES = {
-    "spark": {"ship": "cast(l_shipdate as date)", "cohort": "date_sub(cast(l_shipdate as date), cast(l_orderkey % 3 as int))"},
-    "duckdb": {"ship": "cast(l_shipdate as date)", "cohort": "(cast(l_shipdate as date) - cast(l_orderkey % 3 as int))"},
-}
+#: ``monthly`` of the views below: records dated on the first of their month, on their day, or on their day of one month.
+FOLDED = "folded"
+
+
+def record_date(dialect: str, which: str, monthly: bool | str) -> str:
+    """Date of a record's delivery (``ship``) or of its cohort, up to two days earlier."""
+    ship = "cast(l_shipdate as date)"
+    if monthly == FOLDED:
+        ship = {"spark": f"date_add(date'2021-08-01', day({ship}) - 1)", "duckdb": f"(date '2021-08-01' + cast(day({ship}) - 1 as int))"}[dialect]
+    if which == "ship":
+        return ship
+    return {"spark": f"date_sub({ship}, cast(l_orderkey % 3 as int))", "duckdb": f"({ship} - cast(l_orderkey % 3 as int))"}[dialect]
 
 
-def day_int(date: str, monthly: bool) -> str:
-    day = "1" if monthly else f"day({date})"
+def day_int(dialect: str, which: str, monthly: bool | str) -> str:
+    date = record_date(dialect, which, monthly)
+    day = "1" if monthly is True else f"day({date})"
     return f"cast(year({date}) * 10000 + month({date}) * 100 + {day} as int)"
 
 
@@ -72,8 +81,7 @@ FACT_COLUMNS = {
 
 
 def fact_projection(dialect: str, monthly: bool) -> list[str]:
-    d = DATES[dialect]
-    days = [f"{day_int(d['ship'], monthly)} as partition_date", f"{day_int(d['cohort'], monthly)} as process_date"]
+    days = [f"{day_int(dialect, 'ship', monthly)} as partition_date", f"{day_int(dialect, 'cohort', monthly)} as process_date"]
     return days + [f"{e} as {n}" for n, e in FACT_COLUMNS.items()]
 
 
@@ -105,11 +113,11 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def accounts(spark: SparkSession, sf_dir: str, monthly: bool = True, day: str = "partition_date") -> DataFrame:
     """Daily account snapshot: each account on the days it has records, by ``day`` of the fact."""
-    d = DATES["spark"]["ship" if day == "partition_date" else "cohort"]
+    which = "ship" if day == "partition_date" else "cohort"
     days = (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .selectExpr("o_custkey as account_id", f"{day_int(d, monthly)} as imp_date")
+        .selectExpr("o_custkey as account_id", f"{day_int('spark', which, monthly)} as imp_date")
         .distinct()
     )
     return days.join(customers(spark, sf_dir), "account_id")
@@ -123,10 +131,10 @@ def fact_sql(monthly: bool) -> str:
 
 
 def accounts_sql(monthly: bool, day: str = "partition_date") -> str:
-    d = DATES["duckdb"]["ship" if day == "partition_date" else "cohort"]
+    imp_date = day_int("duckdb", "ship" if day == "partition_date" else "cohort", monthly)
     return f"""select imp_date, account_id, {INDUSTRY_ROLE} as industry_group,
     {SUB_INDUSTRY} as industry_team_level2, n_name as op_sub_brand
-  from (select distinct o_custkey as account_id, {day_int(d, monthly)} as imp_date
+  from (select distinct o_custkey as account_id, {imp_date} as imp_date
         from lineitem join orders on l_orderkey = o_orderkey) d
   join customer on c_custkey = account_id
   join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey"""
