@@ -19,6 +19,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Callable, Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -184,9 +185,11 @@ def open_file(uri: str, whole: bool = False) -> TokenFile:
 
 # Encoding of texts
 
-# Latin letters, and the same with ASCII signs behind (no apostrophe, which can begin a contraction).
-LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
-PLAIN = re.compile(rf"(?<![^\0])([{LATIN}]+)([!-&(-/:-@\[-`{{-~]*)(?![^\0])")
+# Runs of Latin letters, each followed by ASCII signs (no apostrophe, which can begin a contraction), on one or more lines.
+LATIN, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-&(-/:-@\[-`{-~"
+PLAIN = re.compile(rf"[{LATIN}]+[{SIGNS}]*(?:\n[{LATIN}]+[{SIGNS}]*)*")
+#: What is a unit of the vocabulary's pattern of its own between letters.
+BETWEEN = re.compile(rf"([{SIGNS}]+|\n)")
 
 
 def byte_letters() -> dict[int, str]:
@@ -213,9 +216,9 @@ class Encoder:
     """Ids of whole texts by a tokenizers file with byte-level BPE, each distinct piece of text encoded once.
 
     Such a tokenizer never joins a space to what stands before it, so a text falls apart at each single space between
-    two characters that are not white space, and the ids of the pieces follow each other. Pieces made of a space and
-    Latin letters are one unit of the vocabulary's pattern; many of them go to the model in one call. All other
-    pieces, and texts with unusual white space, pass through the tokenizer as they are.
+    two characters that are not white space, and the ids of the pieces follow each other. The vocabulary's pattern cuts
+    pieces of Latin letters and ASCII signs in a known way; many of them go to the model in one call, cut beforehand.
+    All other pieces, and texts with unusual white space, pass through the tokenizer as they are.
 
     With ``special``, the library's own default, the string of a special token in a text becomes that token's id; such
     texts pass through the tokenizer whole. Without it the string is ordinary text.
@@ -232,8 +235,16 @@ class Encoder:
         self.added = [t.content for t in added if t.content]
         letters = byte_letters()
         self.mapped = str.maketrans({chr(b): c for b, c in letters.items()})
-        self.units = Tokenizer(self.plain.model)
-        self.units.pre_tokenizer = pre_tokenizers.Split(letters[32], "merged_with_next")
+        model = self.plain.model
+        if hasattr(model, "_resize_cache"):
+            model._resize_cache(0)  # units come once each, a cache of theirs only costs
+        self.units = Tokenizer(model)
+        self.units.pre_tokenizer = pre_tokenizers.Sequence([
+            pre_tokenizers.Split(letters[0], "removed"), pre_tokenizers.Split(letters[32], "merged_with_next")
+        ])
+        vocabulary = self.plain.get_vocab()
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.opens[[i for t, i in vocabulary.items() if t.startswith(letters[32])]] = True
         self.end = b"" if end is None else np.array([end], "<u4").tobytes()
         self._forget()
 
@@ -242,58 +253,71 @@ class Encoder:
         self.known, self.flat = Known(), bytearray()
         self.begin, self.size = array("q"), array("q")
         self.known[None]
-        self._store({None: self.end})
-
-    def _store(self, made: dict) -> None:
-        ids = [made[key] for key in self.known.new]
-        # White space at an edge: texts are not cut there.
-        size = np.fromiter((-1 if i is None else len(i) // 4 for i in ids), np.int64, len(ids))
-        self.size.extend(array("q", size.tobytes()))
-        whole = np.maximum(size, 0)
-        self.begin.extend(array("q", (len(self.flat) // 4 + np.cumsum(whole) - whole).tobytes()))
-        self.flat += b"".join(filter(None, ids))
         self.known.new.clear()
+        self._store(np.array([len(self.end) // 4]), self.end)
 
-    def _ids(self, key: str) -> bytes:
-        n = self.known[key]
-        return bytes(self.flat[4 * self.begin[n]: 4 * (self.begin[n] + self.size[n])])
+    def _store(self, sizes: np.ndarray, ids: bytes) -> None:
+        """Ids of the next numbers, one after the other; a size of -1 is white space at an edge: texts are not cut there."""
+        whole = np.maximum(sizes, 0)
+        self.size.frombytes(sizes.tobytes())
+        self.begin.frombytes((len(self.flat) // 4 + np.cumsum(whole) - whole).tobytes())
+        self.flat += ids
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         return [
             np.array(e.ids, "<u4").tobytes() for e in self.plain.encode_batch_fast(texts, add_special_tokens=False)
         ]
 
-    def _letters(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of runs of Latin letters behind a space: each is one unit of the vocabulary's pattern."""
-        out: dict[str, bytes] = {}
+    def _letters(self, words: list[str]) -> tuple[np.ndarray, bytes]:
+        """Number of ids of each word behind a space, and all ids; ``words`` match ``PLAIN``."""
+        texts = []
         for low in range(0, len(words), 128):
-            part = words[low: low + 128]
-            text = (" " + " ".join(part)).encode().decode("latin-1").translate(self.mapped)
-            made = self.units.encode(text, add_special_tokens=False)
-            ends = (4 * np.searchsorted(np.array(made.word_ids), np.arange(len(part) + 1))).tolist()
-            ids = np.array(made.ids, "<u4").tobytes()
-            out.update(zip(part, map(ids.__getitem__, map(slice, ends[:-1], ends[1:]))))
-        return out
+            text = BETWEEN.sub("\0\\1\0", " " + " ".join(words[low: low + 128]))
+            texts.append(text.encode().decode("latin-1").translate(self.mapped))
+        made = self.units.encode_batch_fast(texts, add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable([e.ids for e in made]), np.uint32)
+        # A space stands at the start of a word and nowhere else.
+        first = np.flatnonzero(self.opens[ids])
+        return np.diff(np.append(first, len(ids))), ids.tobytes()
+
+    def spaced(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of a space and each word, and all ids, word after word; nothing is remembered."""
+        at = [n for n, w in enumerate(words) if PLAIN.fullmatch(w)]
+        rest = sorted(set(range(len(words))).difference(at))
+        sizes, ids = self._letters([words[n] for n in at])
+        made = self._plain([" " + words[n] for n in rest])
+        order = np.array(at + rest, np.int64)
+        found = np.concatenate([sizes, [len(i) // 4 for i in made]]).astype(np.int64)
+        size, begin = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        size[order], begin[order] = found, np.cumsum(found) - found
+        flat = np.frombuffer(ids + b"".join(made), "<u4")
+        return size, flat[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(flat))]
 
     def _learn(self) -> None:
-        """Ids of all new keys."""
-        known, new = self.known, self.known.new
-        found = PLAIN.findall("\0".join([k for k in new if k.__class__ is str and "\0" not in k]))
-        fresh = set(new)
-        signed = [f for f in found if f[1]]
-        bases = {f[0] for f in signed}
-        old = {w: self._ids(w) for w in bases if w in known and w not in fresh}
-        made = self._letters([f[0] for f in found if not f[1]] + sorted(w for w in bases if w not in known))
-        old.update((w, made[w]) for w in bases if w not in old)
-        signs = sorted({f[1] for f in signed})
-        signs = dict(zip(signs, self._plain(signs)))
-        made.update([(w + s, old[w] + signs[s]) for w, s in signed])
-        rest = [k for k in new if k not in made]
-        odd = [k for k in rest if k.__class__ is str and (not k or k[0].isspace() or k[-1].isspace())]
-        made.update(dict.fromkeys(odd))
-        rest = [k for k in rest if k not in made]
-        made.update(zip(rest, self._plain([" " + k if k.__class__ is str else k[0] for k in rest])))
-        self._store(made)
+        """Ids of all new keys, in the order of their numbers."""
+        new, plain = self.known.new, PLAIN.fullmatch
+        at = [n for n, k in enumerate(new) if k.__class__ is str and plain(k)]
+        other = sorted(set(range(len(new))).difference(at))
+        edge = [n for n in other if (k := new[n]).__class__ is str and (not k or k[0].isspace() or k[-1].isspace())]
+        other = sorted(set(other).difference(edge))
+        made = self._plain([" " + k if (k := new[n]).__class__ is str else k[0] for n in other])
+        # Plain words take the first numbers of this call.
+        order = np.array(at + other + edge, np.int64)
+        sizes, ids = self._letters([new[n] for n in at])
+        sizes = np.concatenate([sizes, [len(i) // 4 for i in made], np.full(len(edge), -1)]).astype(np.int64)
+        base = len(self.size)
+        self._store(sizes, ids + b"".join(made))
+        if len(edge) or len(other):
+            self._reorder(base, order)
+        new.clear()
+
+    def _reorder(self, base: int, order: np.ndarray) -> None:
+        """Entries from ``base`` on belong to the numbers ``base + order``."""
+        for values in (self.size, self.begin):
+            moved = np.empty(len(order), np.int64)
+            moved[order] = np.frombuffer(values, np.int64)[base:]
+            del values[base:]
+            values.frombytes(moved.tobytes())
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Number of ids of each text, and all ids one after the other; with ``end`` each text has it at its end."""
@@ -308,7 +332,7 @@ class Encoder:
         heads = pieces.take(pa.array(first[:-1])).to_pylist()
         alike = pieces.dictionary_encode()
         lookup = self.known.__getitem__
-        codes = np.fromiter(map(lookup, alike.dictionary.to_pylist()), np.int64)[alike.indices.to_numpy()]
+        codes = np.fromiter(map(lookup, alike.dictionary.to_numpy(zero_copy_only=False)), np.int64)[alike.indices.to_numpy()]
         codes[first[:-1]] = np.fromiter(map(lookup, zip(heads)), np.int64, len(heads))
         # Code 0, the end, behind each text.
         codes = np.insert(codes, first[1:], 0)
