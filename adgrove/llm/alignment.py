@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from adgrove.llm.common import arrow_schema, map_arrow, map_runs, release, table
 from adgrove.llm.pieces import load, pack_codes, unpack_codes
-from adgrove.llm.tokens import SLICE, byte_letters
+from adgrove.llm.tokens import SLICE, Encoder, byte_letters
 from adgrove.llm.words import steps, text_bytes
 from adgrove.operators.scratch import Scratch
 
@@ -38,16 +38,28 @@ CHUNK = 1 << 16
 #: Fragments that one task composes.
 FAN = 8
 #: Distinct units a worker remembers.
-REMEMBER = 1 << 20
+REMEMBER = 1 << 18
 #: Entries (a pair of a document) of a block.
-BLOCK = 1 << 22
+BLOCK = 1 << 21
 #: Pairs of a group from which equal ids are counted first.
 WIDE = 1 << 12
 
+#: Units tokenised at once.
+AT_ONCE = 1 << 13
+
 CUT = re.compile(r"(?<=\S) (?=\S)")
+#: White space next to a space, or a space at an edge: then not every space is a cut.
+ODD = re.compile(r"\s | \s|\A | \Z")
 _NONE = np.empty(0, np.int64)
 
 
+def cut(text: str) -> list[str]:
+    """Units of a text, each without the space before it; an empty text has none."""
+    if not text:
+        return []
+    return CUT.split(text) if ODD.search(text) else text.split(" ")
+
+
 # Tokens with their bytes
 
 
@@ -65,11 +77,9 @@ class Pair:
     def __init__(self, definition: str, proto: bytes):
         from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as pb
-        from tokenizers import Tokenizer
 
-        self.a = Tokenizer.from_str(definition)
-        self.a.encode_special_tokens = True
-        vocabulary = self.a.get_vocab()
+        self.a = Encoder(definition, special=False)
+        vocabulary = self.a.plain.get_vocab()
         back = {c: b for b, c in byte_letters().items()}
         self.bytes_a = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
@@ -81,22 +91,46 @@ class Pair:
         self.bytes_b = [
             bytes([int(p.piece[3:5], 16)]) if p.type == byte else p.piece.replace("▁", " ").encode() for p in model.pieces
         ]
+        self.opens_b = np.array([p.piece.startswith("▁") for p in model.pieces])
         self.size_a = np.array([len(b) for b in self.bytes_a])
         self.size_b = np.array([len(b) for b in self.bytes_b])
 
+    def _pieces(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for B: units without a space or mark inside go to the model side by side, and begin with a mark."""
+        inside = [n for n, u in enumerate(units) if " " in u or "▁" in u]
+        alone = set(inside)
+        at = [n for n in range(len(units)) if n not in alone]
+        texts = [" ".join([units[n] for n in at[low: low + 128]]) for low in range(0, len(at), 128)]
+        ids = np.fromiter(chain.from_iterable(self.b.encode(texts, num_threads=1)), np.int64)
+        first = np.flatnonzero(self.opens_b[ids])
+        made = self.b.encode([units[n] for n in inside], num_threads=1)
+        order = np.array(at + inside, np.int64)
+        found = np.concatenate([np.diff(np.append(first, len(ids))), [len(i) for i in made]]).astype(np.int64)
+        size, begin = np.empty(len(units), np.int64), np.empty(len(units), np.int64)
+        size[order], begin[order] = found, np.cumsum(found) - found
+        flat = np.concatenate([ids, np.fromiter(chain.from_iterable(made), np.int64)])
+        return size, flat[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(len(flat))]
+
     def tokenise(self, units: list[str]) -> tuple[Tokens, Tokens, np.ndarray]:
         """Tokens of both, and whether a unit's bytes come out of either; a unit for which they don't has no tokens."""
-        a = [e.ids for e in self.a.encode_batch_fast([" " + u for u in units], add_special_tokens=False)]
-        b = self.b.encode(units, num_threads=1)
-        valid = np.ones(len(units), bool)
-        for k, (u, x, y) in enumerate(zip(units, a, b)):
-            raw = b" " + u.encode()
-            if b"".join([self.bytes_a[i] for i in x]) != raw or b"".join([self.bytes_b[i] for i in y]) != raw:
-                valid[k], a[k], b[k] = False, [], []
+        raw = [b" " + u.encode() for u in units]
+        length, whole, valid, made = np.fromiter(map(len, raw), np.int64, len(raw)), b"".join(raw), np.ones(len(raw), bool), []
+        for (counts, ids), sizes, spelled in (
+            (self.a.spaced(units), self.size_a, self.bytes_a), (self._pieces(units), self.size_b, self.bytes_b),
+        ):
+            ids = ids.astype(np.int64)
+            text = [spelled[i] for i in ids.tolist()]
+            ends = np.cumsum(counts)
+            total = np.concatenate([[0], np.cumsum(sizes[ids])])
+            fits = total[ends] - total[ends - counts] == length
+            if not fits.all() or b"".join(text) != whole:
+                for k, (end, n) in enumerate(zip(ends.tolist(), counts.tolist())):
+                    valid[k] &= b"".join(text[end - n: end]) == raw[k]
+            made.append((counts, ids, sizes))
         out = []
-        for ids, size in ((a, self.size_a), (b, self.size_b)):
-            flat = np.fromiter(chain.from_iterable(ids), np.int64)
-            out.append(Tokens(flat, size[flat], np.fromiter(map(len, ids), np.int64, len(ids))))
+        for counts, ids, sizes in made:
+            ids = ids[np.repeat(valid, counts)]
+            out.append(Tokens(ids, sizes[ids], np.where(valid, counts, 0)))
         return *out, valid
 
 
@@ -131,6 +165,23 @@ def spell(a: np.ndarray, b: np.ndarray) -> bytes:
     return f"{','.join(map(str, a.tolist()))}|{','.join(map(str, b.tolist()))}".encode()
 
 
+def spell_all(a: Tokens, b: Tokens, group_a: np.ndarray, group_b: np.ndarray, count: int) -> list[bytes]:
+    """Groups of each unit as text. Every token is followed by its sign, so one join spells all units."""
+    row_a, row_b = np.repeat(np.arange(count), a.counts), np.repeat(np.arange(count), b.counts)
+
+    def changes(values: np.ndarray) -> np.ndarray:
+        return np.append(values[1:] != values[:-1], True)[: len(values)]
+
+    signs_a = np.where(changes(group_a), "|", ",")
+    signs_b = np.where(changes(row_b), "", np.where(changes(group_b), ";", ","))
+    order = np.argsort(np.concatenate([2 * group_a, 2 * group_b + 1]), kind="stable")
+    ids, signs = np.concatenate([a.ids, b.ids])[order], np.concatenate([signs_a, signs_b])[order]
+    row = np.concatenate([row_a, row_b])[order]
+    text = "".join(chain.from_iterable(zip(map(str, ids.tolist()), np.where(changes(row), "\n", signs).tolist())))
+    lines = iter(text.encode().split(b"\n"))
+    return [next(lines) if n else b"" for n in a.counts.tolist()]
+
+
 # Fragments
 
 
@@ -231,9 +282,12 @@ class Units(dict):
 
     def learn(self) -> None:
         """Figures, text and pairs of all new units."""
-        new, count = self.new, len(self.new)
-        if not new:
-            return
+        for low in range(0, len(self.new), AT_ONCE):
+            self._learn(self.new[low: low + AT_ONCE])
+        self.new.clear()
+
+    def _learn(self, new: list[str]) -> None:
+        count = len(new)
         a, b, valid = self.pair.tokenise(new)
         at_a, at_b = np.cumsum(a.sizes), np.cumsum(b.sizes)  # bytes agree, so one after the other the units do too
         places = np.intersect1d(at_a, at_b)
@@ -246,14 +300,7 @@ class Units(dict):
         for stored, made in zip(self.figures, (a.counts, b.counts, n_groups, n_links)):
             stored.frombytes(np.ascontiguousarray(made, np.int64).tobytes())
         self.valid.frombytes(valid.astype(np.int8).tobytes())
-        text_a, text_b = list(map(str, a.ids.tolist())), list(map(str, b.ids.tolist()))
-        cut_a, cut_b = [0, *np.cumsum(n_a).tolist()], [0, *np.cumsum(n_b).tolist()]
-        groups = [
-            f"{','.join(text_a[i:j])}|{','.join(text_b[k:m])}"
-            for i, j, k, m in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])
-        ]
-        cuts = [0, *np.cumsum(n_groups).tolist()]
-        self.spelled += [";".join(groups[i:j]).encode() for i, j in zip(cuts, cuts[1:])]
+        self.spelled += spell_all(a, b, group_a, group_b, count)
         parts = list(links(a.ids, b.ids, group_a, group_b))
         group, codes, times = map(np.concatenate, zip(*parts))
         distinct, at = np.unique(codes, return_inverse=True)
@@ -263,7 +310,6 @@ class Units(dict):
         self.first.frombytes((self.first[-1] + np.cumsum(per_unit)).tobytes())
         self.pairs.frombytes((key & 0xFFFFFFFF).tobytes())
         self.times.frombytes(np.ascontiguousarray(times, np.int64).tobytes())
-        new.clear()
 
     def _number(self, code: int) -> int:
         n = self.numbers.setdefault(code, len(self.codes))
@@ -273,7 +319,7 @@ class Units(dict):
 
     def whole(self, texts: list[str]) -> Iterator[Fragment]:
         """Fragments of texts that begin and end at a place of both tokenizers; an empty text has no tokens."""
-        cuts = [CUT.split(t) if t else [] for t in texts]
+        cuts = list(map(cut, texts))
         counts = np.fromiter(map(len, cuts), np.int64, len(cuts))
         units = np.fromiter(map(self.__getitem__, chain.from_iterable(cuts)), np.int64, counts.sum())
         self.learn()
@@ -291,11 +337,11 @@ class Units(dict):
         key, times = add_up(key, np.repeat(times, size) * np.frombuffer(self.times, np.int64)[at])
         codes = np.frombuffer(self.codes, np.int64)[key & 0xFFFFFFFF]
         ends = np.cumsum(np.bincount(key >> 32, minlength=len(texts))).tolist()
-        cut, spelled = np.concatenate([[0], np.cumsum(counts)]).tolist(), self.spelled
+        at, spelled = np.concatenate([[0], np.cumsum(counts)]).tolist(), self.spelled
         unit_list = units.tolist()
         for k in range(len(texts)):
             low, high = ends[k - 1] if k else 0, ends[k]
-            groups = b";".join([spelled[u] for u in unit_list[cut[k]: cut[k + 1]]])
+            groups = b";".join([spelled[u] for u in unit_list[at[k]: at[k + 1]]])
             yield Fragment(bool(valid[k]), True, *[s[k] for s in sums], groups=groups, codes=codes[low:high], times=times[low:high])
 
     def between(self, text: str, low: int, high: int) -> Fragment:
@@ -303,7 +349,7 @@ class Units(dict):
 
         Only the first unit can begin before ``low`` and only the last one end behind ``high``.
         """
-        units = CUT.split(text)
+        units = cut(text)
         sizes = [len(u.encode()) + 1 for u in units]
         total, out = sum(sizes), []
         inner_from, inner_to = int(low > 0), len(units) - int(high < total)
@@ -342,7 +388,7 @@ def ranges(text: str, size: int) -> Iterator[tuple[str, int, int]]:
 
     Ranges end at multiples of ``size``; of several in one unit only the first counts, so a unit is read twice at most.
     """
-    units = CUT.split(text)
+    units = cut(text)
     starts = np.cumsum([0, *[len(u.encode()) + 1 for u in units]])
     ends = np.arange(size, starts[-1], size)
     inside = np.searchsorted(starts, ends, "right") - 1
