@@ -96,13 +96,64 @@ def test_cells_lose_no_pair_and_prune_structured_data():
     exact = np.sqrt(((v[:, None] - v[None]) ** 2).sum(-1))
     assert {(a, b) for a, b in zip(i, j)} == {(a, b) for a, b in zip(*np.nonzero(exact < 5.0))}
     for a, b in zip(i, j):
-        assert visits[b, cell[a]] or visits[a, cell[b]]
+        assert visits[b, cell[a]] and visits[a, cell[b]]
+    visits &= np.arange(len(pivots)) <= cell[:, None]  # one of the two cells is enough
     sizes = np.bincount(cell, minlength=len(pivots))
     candidates = int((visits * sizes).sum())
     print("candidates for each close pair:", candidates / len(i))
     assert candidates < 3 * len(i) < len(v) ** 2 / 4
 
 
+def clustered(n, groups, dim, seed):
+    import numpy as np
+
+    rng = np.random.default_rng(seed)
+    centres = rng.integers(-4000, 4000, (groups, dim))
+    v = np.unique(centres[rng.integers(0, groups, n)] + rng.integers(-30, 31, (n, dim)), axis=0)
+    return v[rng.permutation(len(v))]
+
+
+def search(spark, v, space, part=None):
+    rows = [(i, x.tolist(), part[i] if part is not None else 0) for i, x in enumerate(v)]
+    keys, scratch = spark.createDataFrame(rows, "kid bigint, vector array<bigint>, g int"), Scratch(spark)
+    found = vectors.prepare_vectors(keys, len(v), space, scratch, () if part is None else ["g"])
+    return keys, found
+
+
+def test_tree_of_cells_finds_every_pair_once(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(vectors, "CELL", 8)
+    monkeypatch.setattr(vectors, "MOST_PIVOTS", 4)
+    monkeypatch.setattr(vectors, "SHARE", 64)
+    v = clustered(900, 40, 5, 1)
+    part = np.random.default_rng(5).integers(0, 2, len(v)).tolist()
+    exact = np.sqrt(((v[:, None] - v[None]).astype(float) ** 2).sum(-1))
+    for own in (None, part):
+        keys, found = search(spark, v, VectorSpace(25.0, 5), own)
+        got = [(p.a, p.b) for p in found.close_pairs(keys, ["g"]).collect()]
+        want = {(a, b) for a, b in zip(*np.nonzero(exact < 25.0)) if a < b and (own is None or own[a] == own[b])}
+        assert len(got) == len(want) and set(got) == want
+        assert found.cells.selectExpr("max(length(node))").first()[0] > 6  # several levels
+
+
+def test_work_in_cells_follows_the_rows(spark, monkeypatch):
+    """Groups of bounded size: twice the vectors, twice the compared pairs; an eps beyond all distances splits nothing."""
+    monkeypatch.setattr(vectors, "CELL", 32)
+    monkeypatch.setattr(vectors, "MOST_PIVOTS", 8)
+    work = {}
+    for n in (1500, 6000):
+        v = clustered(n, n // 25, 6, n)
+        _, found = search(spark, v, VectorSpace(40.0, 6))
+        work[n] = found.compared() / len(v)
+        own = found.cells.where("not guest").groupBy("node").count()
+        assert own.selectExpr("percentile(count, 0.99)").first()[0] <= 4 * 32
+        assert found.cells.where("not guest").count() == len(v)
+    assert work[6000] < 2 * work[1500] and work[6000] < 6000 / 20
+    _, whole = search(spark, v, VectorSpace(1e6, 6))
+    assert whole.cells.select("node").distinct().count() == 1 and whole.compared() == len(v) ** 2
+
+
 def test_null_keys_are_refused(spark):
     points = spark.createDataFrame([(1, 5), (2, None)], "idx bigint, hash bigint")
     with pytest.raises(ValueError):
