@@ -63,23 +63,28 @@ def assign_incremental(
         F.greatest("a", "b").alias("kid"), "d", F.least("a", "b").alias("other")
     ).groupBy("kid").agg(F.min(F.struct("d", "other"))["other"].alias("target"))
     fresh = keys.where("late = 1").select("kid")
+    opened, count = resolve(
+        fresh.join(nearest, "kid", "left"), keys.where("late = 0").select("kid", "cluster_id"), start_id, scratch
+    )
+    by_key = keys.select("kid", h, "weight").join(opened, "kid").select(h, "weight", "cluster_id")
+    points = join_spread(batch, by_key, [h], "weight", max(1, new_seen["rows"])).select("idx", "cluster_id")
+    bounds = batch.sparkSession.createDataFrame(
+        [(start_id, start_id + count)], "start_id bigint, next_id bigint"
+    )
+    return Assignment(points, bounds)
+
+
+def resolve(pointers: DataFrame, known: DataFrame, start_id: int, scratch: Scratch) -> tuple[DataFrame, int]:
+    """((kid, cluster_id) of every key, number of ids opened). Chains of (kid, target) end at a key of ``known``, which is no
+    kid of them, or at one without a target, which opens the next id in order of kids."""
     ends = follow_pointers(
-        fresh.join(nearest, "kid", "left").select(F.col("kid").alias("node"), F.coalesce("target", "kid").alias("target")),
-        scratch,
+        pointers.select(F.col("kid").alias("node"), F.coalesce("target", "kid").alias("target")), scratch
     )
-    roots = fresh.join(ends.where("node = target"), F.col("kid") == F.col("node"), "left_semi")
+    roots = pointers.select("kid").join(ends.where("node = target"), F.col("kid") == F.col("node"), "left_semi")
     opened, counts = scratch.cut(
         number_rows(roots, ["kid"], "n", scratch).select("kid", (F.col("n") + start_id).alias("cluster_id")),
         rows=F.count(F.lit(1)),
     )
-    ids = keys.where("late = 0").select("kid", "cluster_id").unionByName(opened)
-    by_key = (
-        keys.select("kid", h, "weight").join(ends, F.col("kid") == F.col("node"), "left")
-        .select(h, "weight", F.coalesce("target", "kid").alias("kid"))
-        .join(ids, "kid").select(h, "weight", "cluster_id")
-    )
-    points = join_spread(batch, by_key, [h], "weight", max(1, new_seen["rows"])).select("idx", "cluster_id")
-    bounds = batch.sparkSession.createDataFrame(
-        [(start_id, start_id + counts["rows"])], "start_id bigint, next_id bigint"
-    )
-    return Assignment(points, bounds)
+    ids = known.select("kid", "cluster_id").unionByName(opened)
+    reached = ends.select(F.col("node").alias("_node"), F.col("target").alias("kid")).join(ids, "kid")
+    return known.select("kid", "cluster_id").unionByName(reached.select(F.col("_node").alias("kid"), "cluster_id")), counts["rows"]

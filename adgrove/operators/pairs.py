@@ -51,9 +51,13 @@ class PairSearch:
         The distance and the once-only rule are part of the join condition: candidates are never materialised.
         ``larger`` is a condition on the key with the larger kid; other keys are not even put into right buckets.
         """
-        space, on = self.space, [*self.part, *self.space.bucket_columns]
+        space = self.space
         slim = keys.select(*dict.fromkeys([*self.part, "kid", *space.key_columns, *carry]))
-        left, right = space.left(slim), space.right(slim if larger is None else slim.where(larger))
+        return self.meet(space.left(slim), space.right(slim if larger is None else slim.where(larger)), carry)
+
+    def meet(self, left: DataFrame, right: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+        """The same for two sides that are in their buckets already."""
+        space, on = self.space, [*self.part, *self.space.bucket_columns]
         if self.hot is None:
             return self._meet(left, right, on, space.once(), carry)
         if not space.refines:
@@ -89,9 +93,15 @@ def prepare_pairs(
     if isinstance(space, VectorSpace):
         return prepare_vectors(keys, n_keys, space, scratch, part)
     space = space.tuned(n_keys)
-    on = [*part, *space.bucket_columns]
     slim = keys.select(*dict.fromkeys([*part, "kid", *space.key_columns]))
-    left, right = space.left(slim), space.right(slim)
+    return meeting(space.left(slim), space.right(slim), space, part, scratch, bucket_limit)
+
+
+def meeting(
+    left: DataFrame, right: DataFrame, space: Space, part: Sequence[str], scratch: Scratch, bucket_limit: int = BUCKET_LIMIT
+) -> PairSearch:
+    """Search over two sides that are in their buckets already: which of those are hot."""
+    on = [*part, *space.bucket_columns]
     hot = oversized(left, right, on, bucket_limit, scratch)
     if hot is None or not space.refines:
         return PairSearch(space, tuple(part), hot, hot)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adgrove.functions import dates
 from adgrove.functions import text as tx
-from adgrove.operators import embeddings, words
+from adgrove.operators import block_index, embeddings, words
 from adgrove.operators.assign import assign_incremental
 from adgrove.operators.dbscan import dbscan
 from adgrove.operators.pairs import degrees, distinct_keys, prepare_pairs
@@ -120,6 +120,21 @@ def _assign(spark, d):
     return assign_incremental(batch, history, HashSpace(s.ASSIGN_EPS, v.HASH_BITS)).points
 
 
+def _assign_stored(spark, d):
+    """The same in two batches against a stored index of blocks: the earlier half of the items first."""
+    ads = v.creatives(spark, d).select("idx", "hash")
+    labels = v.table(spark, d, "labels").withColumnRenamed("doc_id", "idx")
+    history = ads.join(labels, "idx").select(
+        F.col("idx").alias("pos"), "hash", (F.col("quality") * 10 + F.col("toxic") + 1).alias("cluster_id")
+    )
+    batch, seen = Scratch(spark).cut(ads.join(labels, "idx", "left_anti"), rows=F.count(F.lit(1)), half=F.avg("idx"))
+    index = block_index.create_index(spark, Scratch(spark).folder, HashSpace(s.ASSIGN_EPS, v.HASH_BITS), seen["rows"], slots=32)
+    block_index.load_history(index, history)
+    early = F.col("idx") <= F.lit(seen["half"])
+    first = block_index.assign_batch(index, batch.where(early), "first").points
+    return first.unionByName(block_index.assign_batch(index, batch.where(~early), "second").points)
+
+
 def _profile(spark, d):
     return rounded(clusters.distance_profile(v.creatives(spark, d), HASHES), "total", "mean")
 
@@ -214,6 +229,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "dbscan_mixed": (_mixed, s.dbscan_mixed()),
     "name_refine": (_names, s.refine_names()),
     "assign_incremental": (_assign, s.assignment()),
+    "assign_stored_index": (_assign_stored, s.assignment()),
     "neighbour_counts": (_counts(v.creatives, HASHES), s.neighbour_counts()),
     "neighbour_counts_vectors": (_counts(v.vectors, VECTORS), s.vector_neighbour_counts()),
     "nearest_neighbour": (_nearest, s.nearest()),
