@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adgrove.operators.scratch import Scratch
-from adgrove.operators.spaces import A, B, Space, VectorSpace
+from adgrove.operators.spaces import A, B, MixedSpace, Space, VectorSpace
 from adgrove.operators.vectors import VectorSearch, prepare_vectors
 
 BUCKET_LIMIT = 4096
@@ -93,6 +93,8 @@ def prepare_pairs(
     if isinstance(space, VectorSpace):
         return prepare_vectors(keys, n_keys, space, scratch, part)
     space = space.tuned(n_keys)
+    if isinstance(space, MixedSpace):
+        space = space.fitted(keys)
     slim = keys.select(*dict.fromkeys([*part, "kid", *space.key_columns]))
     return meeting(space.left(slim), space.right(slim), space, part, scratch, bucket_limit)
 

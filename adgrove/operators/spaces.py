@@ -193,10 +193,15 @@ class MixedSpace:
     """Weighted mix of hash, URL, user, company and city distances.
 
     ``clamp`` is the clamped mix that always uses the hash; without it only parts with a non-zero weight
-    count, and the hash only when ``use_hash``. Two exact blocking rules apply: a part whose mismatch alone
-    lifts the distance to eps must agree (users, companies), and the hash must be below eps minus the most
-    the other parts can subtract. An unknown user ("0") matches every user, so that rule is dropped unless
-    ``known_users``. Weights for which neither rule holds are refused: they leave every pair a candidate.
+    count, and the hash only when ``use_hash``. Three exact blocking rules apply, the first that can:
+
+    * a part whose mismatch alone lifts the distance to eps must agree (users, companies). An unknown user ("0")
+      matches every user, so this needs ``known_users``;
+    * the hash must be below eps minus the most the other parts can subtract;
+    * the parts of one of several sets must all agree (:class:`PartRule`): URLs by host and path, cities by a common one,
+      users and companies by name, unknown ones with everybody.
+
+    Weights for which none holds are refused: they leave every pair a candidate.
     """
 
     eps: float
@@ -212,6 +217,7 @@ class MixedSpace:
     known_users: bool = False
     bits: int = 62
     blocks: int | None = None
+    frequent: tuple[str, ...] = ()
     columns: dict = field(default_factory=lambda: {
         "hash": "hash", "url": "url", "user": "uname", "company": "coname", "city": "city",
     })
@@ -283,39 +289,187 @@ class MixedSpace:
     def self_distance(self) -> Column:
         return self.distance("", "")
 
+    # Third rule: parts that agree.
+
+    def _rule(self) -> PartRule | None:
+        """The rule of agreeing parts, where neither of the others holds."""
+        if self._must_agree() or self._hash_space() is not None:
+            return None
+        rule = PartRule(self)
+        if not rule.sets:
+            raise ValueError("these weights and eps leave no part that close ads must share")
+        return rule
+
+    def disagreement(self) -> dict[str, float]:
+        """What a part adds when it disagrees: names and URLs FAR apart, cities without a common one."""
+        return {n: w * (1.0 if n == "city" else self.far) for n, w in self._parts().items()}
+
+    def agreement(self) -> dict[str, float]:
+        """The least that a part can add otherwise."""
+        least = {"url": (0.0, self.near), "user": (0.0, self.near), "company": (self.near,), "city": (0.0, 1.0)}
+        return {n: min(w * v for v in least[n]) for n, w in self._parts().items()}
+
+    def fitted(self, keys: DataFrame) -> MixedSpace:
+        """The same with the most frequent cities of ``keys``, a bounded list: they come last where cities are chosen."""
+        rule = self._rule()
+        if rule is None or not any("city" in s for s in rule.sets):
+            return self
+        each = keys.select(F.explode(F.array_distinct(F.split(self.columns["city"], ","))).alias("city"))
+        top = each.groupBy("city").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "city").limit(FREQUENT)
+        return MixedSpace(**{**self.__dict__, "frequent": tuple(r["city"] for r in top.collect())})
+
     @property
     def bucket_columns(self) -> tuple[str, ...]:
         agree = self._must_agree()
-        return tuple(f"same_{n}" for n in agree) if agree else HashSpace.bucket_columns
+        if agree:
+            return tuple(f"same_{n}" for n in agree)
+        return PartRule.bucket_columns if self._rule() else HashSpace.bucket_columns
 
     @property
     def refines(self) -> bool:
-        return not self._must_agree()
+        return not self._must_agree() and self._rule() is None
 
     refined_columns = HashSpace.refined_columns
 
     def refine(self, rows: DataFrame) -> DataFrame:
-        return self._blocking().refine(rows)
+        return self._hash_space().refine(rows)
 
     def refined_once(self) -> Column:
-        return self._blocking().refined_once()
-
-    def _blocking(self) -> HashSpace:
-        hashes = self._hash_space()
-        if hashes is None:
-            raise ValueError("these weights and eps leave no part that close ads must share")
-        return hashes
+        return self._hash_space().refined_once()
 
     def left(self, keys: DataFrame) -> DataFrame:
-        agree = self._must_agree()
+        return self._bucketed(keys, "left")
+
+    def right(self, keys: DataFrame) -> DataFrame:
+        return self._bucketed(keys, "right")
+
+    def _bucketed(self, keys: DataFrame, side: str) -> DataFrame:
+        agree, rule = self._must_agree(), self._rule()
         if agree:
             return keys.select("*", *[F.col(self.columns[n]).alias(f"same_{n}") for n in agree])
-        return self._blocking().left(keys)
+        return rule.bucketed(keys, side) if rule else self._hash_space().left(keys)
 
-    right = left
+    def once(self) -> Column:
+        if self._must_agree():
+            return _ordered()
+        rule = self._rule()
+        return rule.once() if rule else self._hash_space().once()
+
+
+#: Cities that are known to be frequent, and groups over which the partners of an unknown value are dealt.
+FREQUENT, WILD = 1000, 64
+
+
+class PartRule:
+    """Blocking by parts that agree, for a mix whose close pairs can't disagree in all of them.
+
+    A set of parts can disagree together only if the distance stays below eps with all other parts at their least. Every close
+    pair disagrees inside one of the largest such sets, so all parts outside it agree: these are the ``sets`` to block by.
+    A part is turned into tokens for the left and the right row so that agreeing values have a common one:
+
+    * company, user: the name;
+    * URL: host and path piece by place. Fewer than ``threshold`` pieces differ, so of the first ``threshold`` places one
+      agrees. A URL with fewer pieces meets its whole host, as does one of a host that many advertisers share;
+    * city: the cities at the front of an order of rising frequency, as many as a pair that is similar enough can't do without.
+
+    An unknown value (user "0", URL without host, no city) agrees with all: it meets everybody, dealt over ``WILD`` groups.
+    A pair counts in the first set it agrees in and at the first common token of each part.
+    """
+
+    bucket_columns = ("rule", "value")
+
+    def __init__(self, space: MixedSpace):
+        self.space = space
+        apart, near = space.disagreement(), space.agreement()
+        names = list(apart)
+        possible = [
+            frozenset(f) for n in range(len(names) + 1) for f in combinations(names, n)
+            if sum(apart[p] if p in f else near[p] for p in names) < space.eps
+        ]
+        largest = [f for f in possible if not any(f < g for g in possible)]
+        # No largest set at all: no pair is close, and any single part will do.
+        agree = [tuple(n for n in names if n not in f) for f in largest] or [tuple(names[:1])]
+        self.sets = [] if () in agree else agree
+        self.parts = [n for n in names if any(n in s for s in self.sets)]
+
+    def _wild(self, known: Column, own: list, side: str) -> Column:
+        """Tokens ``own`` of a known value; unknown ones stand in all groups of the other side's rows."""
+        everywhere, here = ("*1/", "*2/") if side == "left" else ("*2/", "*1/")
+        group = F.concat(F.lit(here), F.pmod(F.xxhash64("kid"), F.lit(WILD)).cast("string"))
+        every = F.array(*[F.lit(f"{everywhere}{k}") for k in range(WILD)])
+        return F.concat(F.when(known, F.concat(*own)).otherwise(every), F.array(group))
+
+    def _tokens(self, name: str, side: str) -> Column:
+        s = self.space
+        value = F.col(s.columns[name])
+        text = F.array(F.concat(F.lit("="), value))
+        if name == "company" or (name == "user" and s.known_users):
+            return text
+        if name == "user":
+            return self._wild(value != "0", [text], side)
+        if name == "city":
+            return self._wild(value != "", [self._cities(value)], side)
+        parts, least = dist.url_parts(value), max(1, s.url_threshold)
+        host = F.get(parts, F.lit(0))
+        shared, short = host.isin(*dist.STOP_HOSTS), F.size(parts) <= least
+        none = F.array().cast("array<string>")
+        whole, meets = ("s1:", "s2:") if side == "left" else ("s2:", "s1:")
+        pieces = F.array(*[F.concat(F.lit(f"p{k}:"), host, F.lit("/"), F.get(parts, F.lit(k))) for k in range(1, least + 1)])
+        own = (
+            F.when(shared, F.array(F.concat(F.lit("h:"), host)))
+            .otherwise(F.concat(
+                F.array(F.concat(F.lit(meets), host)), F.when(short, F.array(F.concat(F.lit(whole), host))).otherwise(pieces)
+            ))
+        )
+        return self._wild(F.size(parts) > 0, [F.coalesce(own, none)], side)
+
+    def _cities(self, value: Column) -> Column:
+        s = self.space
+        cities = F.array_distinct(F.split(value, ","))
+        frequent = F.array(*[F.lit(c) for c in s.frequent]).cast("array<string>")
+        # Unlisted cities first, by name; then the listed ones, the most frequent last.
+        order = F.array_sort(F.transform(cities, lambda c: F.struct(
+            F.when(F.array_contains(frequent, c), -F.array_position(frequent, c)).otherwise(F.lit(-FREQUENT - 1)).alias("at"), c.alias("c")
+        )))
+        weight, rest = s.city_weight, sum(v for n, v in s.agreement().items() if n != "city")
+        similar = max(0.0, 1 - (s.eps - rest) / weight) if weight > 0 else 0.0
+        common = F.greatest(F.lit(1), F.ceil(F.size(cities) * similar - 1e-9)).cast("int")
+        return F.transform(F.slice(order, 1, F.size(cities) - common + 1), lambda x: F.concat(F.lit("="), x["c"]))
+
+    def bucketed(self, keys: DataFrame, side: str) -> DataFrame:
+        """Keys in the buckets of every set: ``value`` has a token of each of its parts."""
+        rows = keys.select("*", *[self._tokens(n, side).alias(f"tokens_{n}") for n in self.parts])
+        out = None
+        for k, names in enumerate(self.sets):
+            some = rows.withColumn("rule", F.lit(k))
+            values = F.array(F.lit(""))
+            for n in names:
+                values = self._joined(values, F.col(f"tokens_{n}"))
+            some = some.withColumn("value", F.explode(values))
+            out = some if out is None else out.unionByName(some)
+        return out
+
+    @staticmethod
+    def _joined(values: Column, tokens: Column) -> Column:
+        """Every value with every token behind it; the token's length keeps different ones apart."""
+        def one(v: Column) -> Column:
+            return F.transform(tokens, lambda t: F.concat(v, F.length(t).cast("string"), F.lit(":"), t))
+
+        return F.flatten(F.transform(values, one))
 
     def once(self) -> Column:
-        return _ordered() if self._must_agree() else self._blocking().once()
+        first = {
+            n: F.array_min(F.array_intersect(F.col(f"{A}tokens_{n}"), F.col(f"{B}tokens_{n}"))) for n in self.parts
+        }
+        earlier, chosen = F.lit(False), F.lit(False)
+        for k, names in enumerate(self.sets):
+            value = F.concat(*[x for n in names for x in (F.length(first[n]).cast("string"), F.lit(":"), first[n])])
+            chosen = chosen | ((F.col("rule") == k) & ~earlier & (F.col("value") == value))
+            agrees = F.lit(True)
+            for n in names:
+                agrees = agrees & first[n].isNotNull()
+            earlier = earlier | agrees
+        return _ordered() & F.coalesce(chosen, F.lit(False))
 
 
 Space = HashSpace | VectorSpace | MixedSpace

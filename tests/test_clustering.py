@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import adgrove.operators.skew as skew
-from adgrove.operators import vectors
+from adgrove.operators import spaces, vectors
 import sequential as seq
 from adgrove.operators.assign import assign_incremental
 from adgrove.operators.components import connected_components, follow_pointers, stars
@@ -195,8 +195,88 @@ def test_mixed_clusters_with_bonus_for_equal_names(spark):
 
 def test_weights_without_exact_blocking_are_refused(spark):
     df = spark.createDataFrame([(0, "http://a/b")], "idx bigint, url string")
-    with pytest.raises(ValueError, match="share"):
-        dbscan(df, MixedSpace(0.5, url_weight=1), 2)
+    for space in (MixedSpace(1.5, url_weight=1), MixedSpace(3, url_weight=1, user_weight=1), MixedSpace(0.5, url_weight=-1)):
+        with pytest.raises(ValueError, match="share"):
+            dbscan(df.withColumn("uname", F.lit("u")), space, 2)
+
+
+URLS = ["http://a.com", "http://a.com/x", "http://a.com/x/y", "http://a.com/x/z", "http://a.com/x/z/w", "http://a.com/q/z/w", "no url",
+        "http://b.com/x/y", "http://b.com", "", "http://mp.weixin.qq.com/s/1", "http://mp.weixin.qq.com/t/2", "http://b.com/x/y/1/2",
+        "http://b.com/u/y/1/3", "http://b.com/u/v/1/3"]
+CITIES = ["", "c1", "c1,c2", "c2,c1", "c1,c2,c3", "c4,c5", "c4,c5,c6,c7", "c1,c2,c3,c4,c5", "c9", "c2,c2,c9", "c5"]
+
+
+def url_sim(a, b, near, far, threshold):
+    if a == b:
+        return near
+    x, y = a.split("/")[2:], b.split("/")[2:]
+    k = min(len(x), len(y))
+    if not k:
+        return 0
+    if x[0] != y[0]:
+        return far
+    if x[0] == "mp.weixin.qq.com":
+        return 0
+    differing = sum(p != q for p, q in zip(x, y))
+    return far if differing >= threshold and differing > 0 else near
+
+
+def jaccard(a, b):
+    x, y = set(a.split(",")), set(b.split(","))
+    return 0 if not a or not b else 1 - len(x & y) / len(x | y)
+
+
+def mix(space):
+    def dist(a, b):
+        d = space.url_weight * url_sim(a[0], b[0], space.near, space.far, space.url_threshold) if space.url_weight else 0
+        if space.user_weight:
+            d += space.user_weight * (0 if "0" in (a[1], b[1]) else space.near if a[1] == b[1] else space.far)
+        if space.company_weight:
+            d += space.company_weight * (space.near if a[2] == b[2] else space.far)
+        return d + (space.city_weight * jaccard(a[3], b[3]) if space.city_weight else 0)
+
+    return dist
+
+
+LED = [
+    MixedSpace(0.5, url_weight=1), MixedSpace(0.4, city_weight=1), MixedSpace(1.0, city_weight=1), MixedSpace(0.7, city_weight=1),
+    MixedSpace(1.5, url_weight=1, user_weight=1, company_weight=1), MixedSpace(1.2, url_weight=1, city_weight=1),
+    MixedSpace(0.9, url_weight=1, city_weight=1, url_threshold=1), MixedSpace(0.6, url_weight=1, user_weight=0.5, url_threshold=3),
+    MixedSpace(1.4, url_weight=1, user_weight=1, company_weight=1, city_weight=0.5, known_users=True),
+    MixedSpace(0.3, url_weight=0.5, company_weight=0.2, near=-0.5),
+]
+
+
+@pytest.mark.parametrize("which", range(len(LED)))
+def test_mixes_led_by_url_or_city(spark, which, monkeypatch):
+    monkeypatch.setattr(spaces, "WILD", 3)
+    monkeypatch.setattr(spaces, "FREQUENT", 2)
+    rng, space = random.Random(which), LED[which]
+    cases = [
+        [(rng.choice(URLS), rng.choice("ab" if space.known_users else "0ab"), rng.choice("xyz"), rng.choice(CITIES)) for _ in range(rng.randint(2, 22))]
+        for _ in range(16)
+    ]
+    columns = "url string, uname string, coname string, city string"
+    check(spark, cases, space, mix(space), 3, "singleton", columns, bucket_limit=4 if which % 2 else 4096)
+
+
+def test_pairs_of_agreeing_parts_are_found_once_and_few_meet(spark):
+    rng = random.Random(8)
+    rows = sorted({(f"http://h{rng.randrange(60)}.com/{rng.randrange(9)}/{rng.randrange(9)}/{rng.randrange(3)}",
+                    ",".join(sorted({f"c{rng.randrange(90)}" for _ in range(4)}))) for _ in range(700)})
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "idx bigint, url string, city string")
+    for space in (MixedSpace(0.5, url_weight=1), MixedSpace(0.5, city_weight=1), MixedSpace(1.2, url_weight=1, city_weight=1)):
+        dist, scratch = mix(space), Scratch(spark)
+        keys, seen = scratch.cut(distinct_keys(df, space), rows=F.count(F.lit(1)))
+        values = [(r.kid, (r.url if "url" in space.key_columns else "", "", "", r.city if "city" in space.key_columns else ""))
+                  for r in keys.selectExpr("kid", *[c if c in space.key_columns else f"'' as {c}" for c in ("url", "city")]).collect()]
+        want = {(min(i, j), max(i, j)) for n, (i, x) in enumerate(values) for j, y in values[:n] if dist(x, y) < space.eps}
+        search = prepare_pairs(keys, seen["rows"], space, scratch)
+        pairs = search.close_pairs(keys).collect()
+        assert len(pairs) == len(want) and {(p.a, p.b) for p in pairs} == want
+        left, right = search.space.left(keys), search.space.right(keys)
+        met = left.join(right.select("rule", "value", F.col("kid").alias("other")), ["rule", "value"]).where("kid < other").count()
+        assert met < len(values) ** 2 / 8
 
 
 def test_every_pair_is_found_once(spark):

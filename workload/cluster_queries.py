@@ -25,6 +25,8 @@ VECTORS = VectorSpace(s.VECTOR_EPS, v.DIM)
 MIXED = MixedSpace(
     s.MIXED_EPS, user_weight=s.USER, company_weight=s.COMPANY, city_weight=s.CITY, near=-1, far=1, clamp=True, bits=v.HASH_BITS,
 )
+URL_LED = MixedSpace(s.LED_EPS, url_weight=1, user_weight=1, company_weight=1)
+CITY_LED = MixedSpace(s.CITY_EPS, url_weight=s.CITY_URL, city_weight=1)
 INDUSTRY = "en"
 
 
@@ -227,6 +229,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "cluster_industry": (_industry, s.cluster_industry(INDUSTRY)),
     "dbscan_refine": (_refine, s.refine()),
     "dbscan_mixed": (_mixed, s.dbscan_mixed()),
+    "dbscan_url_led": (lambda spark, d: dbscan(v.creatives(spark, d), URL_LED, s.MIN_POINTS).points, s.dbscan_url_led()),
+    "dbscan_city_led": (lambda spark, d: dbscan(v.creatives(spark, d), CITY_LED, s.MIN_POINTS).points, s.dbscan_city_led()),
     "name_refine": (_names, s.refine_names()),
     "assign_incremental": (_assign, s.assignment()),
     "assign_stored_index": (_assign_stored, s.assignment()),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from adgrove.functions.distance import STOP_HOSTS
 from workload import views as v
 
 EPS, MIN_POINTS = 0.1, 3
@@ -122,6 +123,37 @@ def dbscan_mixed() -> str:
     select idx, cluster_id from labelled"""
 
 
+#: eps and weights of the mixes led by URL and by city.
+LED_EPS, CITY_EPS, CITY_URL = 1.5, 0.45, 0.2
+SHARED_HOSTS = ", ".join(f"'{h}'" for h in STOP_HOSTS)
+
+
+def _url_far() -> str:
+    """1 where two URLs are far apart (two differing pieces, or another host), else 0."""
+    differing = "len(list_filter(range(1, least(len(a.ps), len(b.ps)) + 1), lambda i: a.ps[i] <> b.ps[i]))"
+    return f"""case when a.url = b.url or least(len(a.ps), len(b.ps)) = 0 then 0 when a.ps[1] <> b.ps[1] then 1
+      when a.ps[1] in ({SHARED_HOSTS}) then 0 when {differing} >= 2 then 1 else 0 end"""
+
+
+def _dbscan_parts(distance: str, eps: float) -> str:
+    adj = f"""adj as materialized (select * from (select a.part, a.idx as i, b.idx as j, {distance} as d
+    from pts a join pts b on a.idx <> b.idx) q where d < {eps}::double)"""
+    return f"""with recursive creatives as materialized (
+      select *, string_split(city, ',') as xs, string_split(url, '/')[3:] as ps from ({v.creatives_sql()}) c),
+    {dbscan_ctes(creative_points(), adj, MIN_POINTS)}
+    select idx, cluster_id from labelled"""
+
+
+def dbscan_url_led() -> str:
+    names = "(case when a.uname = '0' or b.uname = '0' or a.uname = b.uname then 0 else 1 end)"
+    return _dbscan_parts(f"({_url_far()}) + {names} + (case when a.coname = b.coname then 0 else 1 end)", LED_EPS)
+
+
+def dbscan_city_led() -> str:
+    city = "1 - len(list_intersect(a.xs, b.xs)) / len(list_distinct(list_concat(a.xs, b.xs)))"
+    return _dbscan_parts(f"{CITY_URL}::double * ({_url_far()}) + ({city})", CITY_EPS)
+
+
 def refine_names() -> str:
     return f"""with creatives as ({v.creatives_sql()}),
     names as (select uname, row_number() over (order by min(idx)) as n from creatives group by 1)
