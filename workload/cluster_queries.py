@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adgrove.functions import dates
 from adgrove.functions import text as tx
-from adgrove.operators import block_index, embeddings, words
+from adgrove.operators import block_index, embeddings, text_model, words
 from adgrove.operators.assign import assign_incremental
 from adgrove.operators.dbscan import dbscan
 from adgrove.operators.pairs import degrees, distinct_keys, prepare_pairs
@@ -221,6 +221,16 @@ def _label_quality(spark, d):
     return embeddings.label_quality(vectors)
 
 
+def _text_model(spark, d):
+    """A text model learned from four fifths of the documents, judged on the rest."""
+    docs = v.table(spark, d, "documents").select(
+        F.col("doc_id").alias("id"), F.col("lang").alias("label"), F.split("text", " ").alias("words")
+    )
+    held_out = F.crc32(F.col("id").cast("string").cast("binary")) % 5 == 0
+    model = text_model.train(docs.where(~held_out), epochs=8)
+    return text_model.quality(model, docs.where(held_out))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "dbscan_singleton": (_dbscan("singleton"), s.dbscan_hash("singleton")),
     "dbscan_shared_noise": (_dbscan("shared"), s.dbscan_hash("shared")),
@@ -251,6 +261,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
         lambda spark, d: words.label_diagnostics(_label_rows(spark, d), 3), s.label_diagnostics()),
     "text_embedding": (_text_embedding, s.text_embedding()),
     "label_model_quality": (_label_quality, s.label_quality()),
+    "text_model_quality": (_text_model, None),  # trained; tests/test_text_model.py has a plain version
     "partition_next_time": (_next_partition, s.next_partition()),
     "category_levels": (_categories, s.categories()),
 }
