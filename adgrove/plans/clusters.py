@@ -12,6 +12,7 @@ from adgrove.functions import distance as dist
 from adgrove.operators.dbscan import Clustering, dbscan
 from adgrove.operators.numbering import number_rows
 from adgrove.operators.scratch import Scratch
+from adgrove.operators.selection import select_ranks, smallest
 from adgrove.operators.skew import join_spread
 from adgrove.operators.spaces import A, B, MixedSpace, Space, VectorSpace
 from adgrove.sources.schemas import CLUSTER_COLUMNS
@@ -147,31 +148,38 @@ def distance_profile(points: DataFrame, space: Space, label: str = "url") -> Dat
     """Distances from five probes (first, quarter, half, last quarter, last) to all points, summarised per probe.
 
     head: every fifth of the 50 smallest; quantiles at 0, n/4, n/2, -n/4 and -1 of the sorted list; sum, count,
-    mean; and the labels of the probe and its first closest point (which may be the probe itself).
+    mean; and the labels of the probe and its first closest point (which may be the probe itself). Probes and
+    quantiles are found by counting (``operators/selection.py``), so neither points nor distances are sorted.
     """
-    scratch = Scratch(points.sparkSession)
-    n = points.count()
+    spark, scratch = points.sparkSession, Scratch(points.sparkSession)
+    points, seen = scratch.cut(points.select(*dict.fromkeys(["idx", label, *space.key_columns])), rows=F.count(F.lit(1)))
+    n = seen["rows"]
     mark = n // 4
     last_mark = n - mark if mark else 0
-    positions = sorted({0, mark, 2 * mark, last_mark, n - 1})
-    measured = _probe_distances(points, space, positions, scratch, [label])
-    ranked, _ = scratch.cut(
-        number_rows(measured.select("probe", "d", "position", A + label, B + label), ["d", "position"], "rank", scratch, ["probe"])
+    positions = sorted({0, mark, 2 * mark, last_mark, n - 1}) if n else []
+    at = select_ranks(points.withColumn("all", F.lit(0)), "all", "idx", [(0, p) for p in positions])
+    carry = list(dict.fromkeys([label, *space.key_columns]))
+    places = spark.createDataFrame([(p, int(at[0, p])) for p in positions], "probe bigint, idx bigint")
+    probes = points.join(F.broadcast(places), "idx").select("probe", *[F.col(c).alias(A + c) for c in carry])
+    spread = points.withColumn("probe", F.explode(F.array(*[F.lit(p).cast("long") for p in positions]).cast("array<bigint>")))
+    renamed = spread.select("probe", "idx", *[F.col(c).alias(B + c) for c in carry])
+    # Five probes at most.
+    measured, _ = scratch.cut(
+        renamed.join(F.broadcast(probes), "probe").select("probe", space.distance().alias("d"), "idx", A + label, B + label)
     )
-
-    def at(rank: int, name: str) -> Column:
-        return F.max(F.when(F.col("rank") == rank, F.col("d"))).alias(name)
-
-    head = F.transform(
-        F.array_sort(F.collect_list(F.when((F.col("rank") < 50) & (F.col("rank") % 5 == 0), F.struct("rank", "d")))),
-        lambda s: s["d"],
+    marks = {"q0": 0, "q1": mark, "q2": 2 * mark, "q3": last_mark, "q4": n - 1}
+    values = select_ranks(measured, "probe", "d", sorted({(p, r) for p in positions for r in marks.values()}))
+    quantiles = spark.createDataFrame(
+        [(p, *[values[p, r] for r in marks.values()]) for p in positions], "probe bigint, " + ", ".join(f"{q} double" for q in marks)
+    )
+    closest = smallest(measured, "probe", ["d", "idx", B + label], 50).select(
+        "probe", F.filter("rows", lambda x, i: i % 5 == 0)["d"].alias("head"), F.col("rows")[0][B + label].alias("nearest_label")
+    )
+    totals = measured.groupBy("probe").agg(
+        F.sum("d").alias("total"), F.count("d").alias("points"), F.avg("d").alias("mean"), F.max(A + label).alias("probe_label"),
     )
-    return ranked.groupBy("probe").agg(
-        head.alias("head"),
-        F.sum("d").alias("total"), F.count("d").alias("points"), F.avg("d").alias("mean"),
-        at(0, "q0"), at(mark, "q1"), at(2 * mark, "q2"), at(last_mark, "q3"), at(n - 1, "q4"),
-        F.max(F.when(F.col("rank") == 0, F.col(A + label))).alias("probe_label"),
-        F.max(F.when(F.col("rank") == 0, F.col(B + label))).alias("nearest_label"),
+    return totals.join(F.broadcast(quantiles), "probe").join(closest, "probe").select(
+        "probe", "head", "total", "points", "mean", *marks, "probe_label", "nearest_label"
     )
 
 

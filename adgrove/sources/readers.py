@@ -2,11 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from adgrove.operators.numbering import number_rows
-from adgrove.operators.scratch import Scratch
 from adgrove.sources.schemas import AD_JSON, CLUSTER_COLUMNS
 
 
@@ -19,16 +17,22 @@ def read_day(spark: SparkSession, path: str, day: int, column: str = "partition_
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, value): text lines with their 0-based number in file order.
+    """(line, value): text lines with their 0-based number in file order, without moving a line.
 
-    Line order is rebuilt from the file, the split's offset and the position inside the split, then numbered
-    across tasks; no task sees more than its split.
+    A first pass counts the lines of each file split. Inside a split lines are read in order, so a line's number is the
+    number of lines in the splits before its own, plus its place in the split; the second pass adds the two where it reads.
+    Splits are one row each, in one window and broadcast: a row for every ``spark.sql.files.maxPartitionBytes`` of text.
     """
     lines = spark.read.text(path).select(
         "value", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_pos"),
     )
-    return number_rows(lines, ["_file", "_start", "_pos"], "line", Scratch(spark)).select("line", "value")
+    splits = lines.groupBy("_file", "_start").agg(F.count(F.lit(1)).alias("_lines"), F.min("_pos").alias("_first"))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first")
+    offsets = splits.select("_file", "_start", shift.alias("_shift"))
+    numbered = lines.join(F.broadcast(offsets), ["_file", "_start"])
+    return numbered.select((F.col("_pos") + F.col("_shift")).alias("line"), "value")
 
 
 def zip_lines(left: DataFrame, right: DataFrame) -> DataFrame:

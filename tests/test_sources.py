@@ -23,6 +23,26 @@ def test_lines_keep_file_order(spark, tmp_path):
     assert [(r.line, r.value) for r in rows] == [(i, f"row {i}") for i in range(500)]
 
 
+def test_lines_of_many_files_and_splits_stay_where_they_are(spark, tmp_path):
+    want = []
+    for f, n in (("a", 300), ("b", 0), ("c", 1), ("d", 700)):
+        rows = [f"{f} {'x' * (i % 37)} {i}" for i in range(n)]
+        (tmp_path / f).write_text("".join(r + "\n" for r in rows[:-1]) + (rows[-1] if rows else ""))
+        want += rows
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        got = readers.numbered_lines(spark, str(tmp_path))
+        assert got.rdd.getNumPartitions() > 5
+        assert [(r.line, r.value) for r in got.orderBy("line").collect()] == list(enumerate(want))
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        moved = [line for line in plan.splitlines() if "Exchange" in line and "Broadcast" not in line]
+        assert moved and not any("value#" in line for line in moved)
+        assert "Scan text" in plan.split("BroadcastHashJoin")[1].split("Exchange")[0]  # lines come straight from the files
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_zip_lines(spark, tmp_path):
     for name, n in (("a", 3), ("b", 3), ("c", 2)):
         (tmp_path / name).write_text("".join(f"{name}{i}\n" for i in range(n)))

@@ -13,7 +13,7 @@ from adgrove.sources import readers, schemas, writers
 from workload import cluster_sql as c
 from workload import report_sql as r
 from workload import views as v
-from workload.report_queries import BRANDS, rounded
+from workload.report_queries import BRANDS, detail, rounded
 
 
 def _folder(spark: SparkSession) -> str:
@@ -70,6 +70,22 @@ def _debug_sql() -> str:
     where op_sub_brand in ({names})"""
 
 
+DEBUG_ADS = ("partition_date", "op_industry", "advertiser_id", "sub_brand", "product_id", "adgroup_id", "costs", "gmvc")
+
+
+def _debug_ads(spark, d):
+    """Joined ads of some brands, with their industry and weighted costs, through the debug text dump."""
+    path = f"{_folder(spark)}/debug"
+    rows = rounded(detail(spark, d).select(*DEBUG_ADS))
+    writers.write_debug(rows, path, BRANDS)
+    return spark.read.schema(rows.schema).csv(path)
+
+
+def _debug_ads_sql() -> str:
+    names = ", ".join(f"'{b}'" for b in BRANDS)
+    return f"select {', '.join(DEBUG_ADS)} from ({r.detail()}) d where sub_brand in ({names})"
+
+
 ADS = ("aid", "uid", "uname", "coname", "url", "hash", "wordlist", "city")
 
 
@@ -168,6 +184,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "io_day_table": (_day_table, _day_table_sql()),
     "io_append_history": (_appended, r.same_day(1, "gdt")),
     "io_debug_dump": (_debug, _debug_sql()),
+    "io_debug_ads": (_debug_ads, _debug_ads_sql()),
     "io_ad_json": (_ad_json, _ad_json_sql()),
     "io_hash_file": (_hash_file, _hash_file_sql()),
     "io_cluster_file": (_clusters, _clusters_sql()),
