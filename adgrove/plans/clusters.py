@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adgrove.functions import distance as dist
@@ -53,6 +53,37 @@ def cluster_ads(
     return cluster_rows(chosen, clustering), clustering.summary
 
 
+def cluster_industries(
+    ads: DataFrame, space: Space, industries: Sequence[str], min_points: float = 3, level: int = 3,
+    start_id: int = 1, start_noise: int = 0,
+) -> tuple[DataFrame, DataFrame]:
+    """Clusters the ads of each listed industry on their own in one job, with ids and noise counts that run on.
+
+    Returns cluster-file rows and a summary (industry, next_id, noise_count) in which each industry starts where the one
+    before it in the list ended, as if they had been clustered one after the other. An industry without ads takes no id.
+    ``industries`` is a bounded list of distinct names; ``idx`` is unique over all of them.
+    """
+    spark = ads.sparkSession
+    if len(set(industries)) < len(industries):
+        raise ValueError("an industry is listed twice")
+    listed = spark.createDataFrame([(n, k) for k, n in enumerate(industries)], "industry string, industry_at int")
+    named = ads.withColumn("industry", F.get("industry_type", F.lit(level))).join(F.broadcast(listed), "industry")
+    clustering = dbscan(named, space, min_points, "singleton", ["industry_at"])
+    found, _ = Scratch(spark).cut(clustering.summary)
+    # One row an industry.
+    upto = Window.orderBy("industry_at").rowsBetween(Window.unboundedPreceding, 0)
+    used = F.coalesce(F.col("next_id") - 1, F.lit(0))
+    runs = listed.join(found, "industry_at", "left").select(
+        "industry", "industry_at", (F.sum(used).over(upto) + start_id).cast("bigint").alias("next_id"),
+        (F.sum(F.coalesce("noise_count", F.lit(0))).over(upto) + start_noise).cast("bigint").alias("noise_count"),
+        (F.sum(used).over(upto) - used + start_id - 1).cast("bigint").alias("shift"),
+    )
+    points = clustering.points.join(F.broadcast(runs.select("industry_at", "shift")), "industry_at").select(
+        "idx", (F.col("cluster_id") + F.col("shift")).alias("cluster_id")
+    )
+    return cluster_rows(named, replace(clustering, points=points)), runs.select("industry", "next_id", "noise_count")
+
+
 def refine_clusters(
     rows: DataFrame, space: MixedSpace, min_points: float, start_id: int = 1, start_noise: int = 0
 ) -> tuple[DataFrame, DataFrame]:

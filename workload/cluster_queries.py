@@ -50,6 +50,16 @@ def _industry(spark, d):
     return clusters.cluster_ads(v.creatives(spark, d), HASHES, s.MIN_POINTS, INDUSTRY, 1, start_id=10)[0]
 
 
+def _industries(spark, d):
+    """All industries in one job, ids running on from one to the next."""
+    rows, _ = clusters.cluster_industries(v.creatives(spark, d), HASHES, s.INDUSTRIES, s.MIN_POINTS, 1, start_id=10)
+    return rows.select("idx", F.col("cluster_id").cast("bigint").alias("cluster_id"))
+
+
+def _industries_summary(spark, d):
+    return clusters.cluster_industries(v.creatives(spark, d), HASHES, s.INDUSTRIES, s.MIN_POINTS, 1, start_id=10, start_noise=3)[1]
+
+
 def _cluster_file(spark: SparkSession, d: str) -> DataFrame:
     """Cluster file with the language as cluster: few clusters, the largest holding most rows."""
     ads = v.creatives(spark, d)
@@ -237,6 +247,8 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "dbscan_summary": (_summary, s.dbscan_summary()),
     "dbscan_embeddings": (_vectors, s.dbscan_vectors()),
     "cluster_industry": (_industry, s.cluster_industry(INDUSTRY)),
+    "cluster_industries": (_industries, s.cluster_industries()),
+    "cluster_industries_summary": (_industries_summary, s.cluster_industries(summary=True)),
     "dbscan_refine": (_refine, s.refine()),
     "dbscan_mixed": (_mixed, s.dbscan_mixed()),
     "dbscan_url_led": (lambda spark, d: dbscan(v.creatives(spark, d), URL_LED, s.MIN_POINTS).points, s.dbscan_url_led()),

@@ -101,6 +101,26 @@ def cluster_industry(industry: str) -> str:
     select idx, {CLUSTER_FILE.format(cid='cast(cluster_id as varchar)')} from labelled join pts using (idx)"""
 
 
+INDUSTRIES = ("fr", "none", "en", "es", "de")
+
+
+def cluster_industries(summary: bool = False) -> str:
+    place = " ".join(f"when '{n}' then {k}" for k, n in enumerate(INDUSTRIES))
+    points = creative_points(f"case lang {place} end", f"lang in ({', '.join(repr(n) for n in INDUSTRIES)})")
+    adj = f"""adj as materialized (select * from (select a.part, a.idx as i, b.idx as j, {hash_d('a.hash', 'b.hash')} as d
+    from pts a join pts b on a.part = b.part and a.idx <> b.idx) q where d < {EPS}::double)"""
+    names = ", ".join(f"({k}, '{n}')" for k, n in enumerate(INDUSTRIES))
+    body = f"""with recursive creatives as materialized ({v.creatives_sql()}),
+    {dbscan_ctes(points, adj, MIN_POINTS)},
+    names(part, industry) as (values {names}),
+    used as (select part, industry, coalesce(max(cluster_id), 0) as ids, count(*) filter (met) as noise
+      from names left join labelled using (part) group by all),
+    runs as (select *, sum(ids) over (order by part) as upto, sum(noise) over (order by part) as noises from used)"""
+    if summary:
+        return f"{body} select industry, cast(upto + 10 as bigint) as next_id, cast(noises + 3 as bigint) as noise_count from runs"
+    return f"{body} select idx, cast(cluster_id + upto - ids + 9 as bigint) as cluster_id from labelled join runs using (part)"
+
+
 def refine() -> str:
     adj = f"""adj as materialized (select * from (select a.part, a.idx as i, b.idx as j,
       {hash_d('a.hash', 'b.hash')} + (case when a.uid = b.uid then 0 else 1 end) as d
