@@ -12,6 +12,7 @@ from adgrove.functions import metrics as m
 from adgrove.functions import predicates as p
 from adgrove.functions.arith import flag, ratio, total
 from adgrove.operators import ad_totals as t
+from adgrove.operators.ad_bitmaps import ad_bitmaps, distinct_ads
 from adgrove.operators.scratch import Scratch
 
 COMMON_METRICS = (
@@ -300,6 +301,26 @@ def sub_brand_report(
     return out.orderBy(F.desc("cost")) if ordered else out
 
 
+#: Finest groups of the reports, and the keys of each report's roll-up.
+BITMAP_KEYS = ("partition_date", "op_industry", "op_industry2", "sub_brand", "active_bucket")
+ROLLUPS = {
+    "industry": ("partition_date", "op_industry"),
+    "industry_bucket": ("partition_date", "op_industry", "active_bucket"),
+    "sub_brand": ("partition_date", "op_industry2", "sub_brand"),
+    "sub_brand_bucket": ("partition_date", "op_industry2", "sub_brand", "active_bucket"),
+}
+
+
+def stored_ad_counts(detail: DataFrame, scratch: Scratch) -> DataFrame:
+    """Bitmaps of the ads of a generation 2 detail, from which all ad counts of the reports follow, for any range of days."""
+    return ad_bitmaps(detail, BITMAP_KEYS, "ad_cnt", "sub_brand", scratch)
+
+
+def ad_counts(bitmaps: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``ad_num`` of a report's groups; by industry the loan pseudo-industry has its own rows."""
+    return distinct_ads(_with_pseudo_industry(bitmaps) if "op_industry" in keys else bitmaps, keys)
+
+
 def achieve_cost_by_key(detail: DataFrame) -> DataFrame:
     """Achieved cost per advertiser, sub-brand, product and goal."""
     return detail.groupBy(

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adgrove.functions import predicates as p
+from adgrove.operators.scratch import Scratch
 from adgrove.plans import history, jobs, new_reach, retention
 from adgrove.sources import schemas
 from workload import report_sql as s
@@ -107,6 +108,20 @@ def _canonical(generation: int):
     return run
 
 
+def _ad_counts(spark, d):
+    """Ad counts of the four reports, and of all days together, from one stored aggregate."""
+    bitmaps = new_reach.stored_ad_counts(detail(spark, d, "gdt"), Scratch(spark))
+    out = None
+    for name, keys in {**new_reach.ROLLUPS, "industry_all_days": ("op_industry",)}.items():
+        texts = [F.coalesce(F.col(k), F.lit("-")) for k in keys if k != "partition_date"]
+        day = F.col("partition_date") if "partition_date" in keys else F.lit(0)
+        some = new_reach.ad_counts(bitmaps, keys).select(
+            F.lit(name).alias("report"), day.alias("day"), F.concat_ws("/", *texts).alias("of"), "ad_num"
+        )
+        out = some if out is None else out.unionByName(some)
+    return out
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "reach_same_day_gen1": (_same_day(1, "gdt"), s.same_day(1, "gdt")),
     "reach_same_day_gdt": (_same_day(2, "gdt"), s.same_day(2, "gdt")),
@@ -143,6 +158,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "canonical_fact_gen1": (_canonical(1), s.same_day(1, "gdt")),
     "canonical_fact_gen2": (_canonical(2), s.same_day(2, "gdt")),
     "retention_detail": (_retention_detail, s.retention_detail()),
+    "ad_count_bitmaps": (_ad_counts, s.ad_counts()),
     "ad_detail": (_detail_extract, s.detail()),
     "key_advertiser_mapping": (
         lambda spark, d: new_reach.key_advertisers(detail(spark, d)), s.key_mapping()),

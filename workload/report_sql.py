@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from workload.views import accounts_sql, fact_sql
 
+# Industry names of the published reports.
 ALL11 = "('金融','教育','家居','房产','大交通','医药','运营商','商务服务','招商加盟','旅游','本地生活')"
 SIX = "('金融','教育','家居','房产','大交通','医药')"
 FOUR = "('家居','房产','大交通','医药')"
@@ -409,6 +410,23 @@ def detail() -> str:
     return rounded(body, DETAIL_KEEP, DETAIL_RATES, ["costs", "gmvc"])
 
 
+def ad_counts() -> str:
+    """Distinct counts of each roll-up on its own."""
+    rollups = {
+        "industry": ("partition_date", "op_industry"), "industry_bucket": ("partition_date", "op_industry", "active_bucket"),
+        "sub_brand": ("partition_date", "op_industry2", "sub_brand"),
+        "sub_brand_bucket": ("partition_date", "op_industry2", "sub_brand", "active_bucket"),
+        "industry_all_days": ("op_industry",),
+    }
+    parts = []
+    for name, keys in rollups.items():
+        texts = " || '/' || ".join(f"coalesce({k}, '-')" for k in keys if k != "partition_date")
+        day = "partition_date" if "partition_date" in keys else "0"
+        source = LOAN_UNION if "op_industry" in keys else "detail"
+        parts.append(f"select '{name}' as report, {day} as day, {texts} as of, count(distinct ad_cnt) as ad_num from {source} group by all")
+    return with_base(f", {_detail(_gen2_rows('gdt'), True)} {' union all '.join(parts)}").replace("\n, raw", ",\nraw")
+
+
 def key_mapping() -> str:
     return with_base(f""", {_detail(_gen1_rows(), False)}
       select distinct 'sku' as kind, product_id || ',' || sub_brand as key, advertiser_id from detail
