@@ -14,10 +14,11 @@ def brute(rows, k, every):
             ok.setdefault(i, set()).add(tuple(int(np.floor(64 * np.float64(np.float32(x)))) for x in v))
     out = []
     flat = [(i, v) for i, vs in ok.items() for v in vs]
-    for q, a in sorted(flat):
-        if q % every == 0:
-            found = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in flat if i != q and len(a) == len(b))
-            out += [(q, r, i, -s) for r, (s, i) in enumerate(found[:k], 1)]
+    for q in sorted({i for i, _ in flat if i % every == 0}):
+        found = sorted(
+            (-sum(x * y for x, y in zip(a, b)), i) for a in ok[q] for i, b in flat if i != q and len(a) == len(b)
+        )
+        out += [(q, r, i, -s if abs(s) < 1 << 63 else None) for r, (s, i) in enumerate(found[:k], 1)]
     return out
 
 
@@ -58,3 +59,42 @@ def test_bounds_hold():
         cells = topk.Cells(v.min(0), v.max(0), bits)
         s, slack, exact = cells.centres(cells.codes(v)) @ q.T, cells.slack(q), v @ q.T
         assert (np.abs(s - exact) <= slack + 1e-9).all()
+
+
+def test_bounds_hold_where_doubles_round():
+    rng = np.random.default_rng(6)
+    for most in (1 << 24, 1 << 40, topk.LARGEST):
+        v, q = rng.integers(most - 20, most + 1, (300, 64)), rng.integers(most - 20, most + 1, (20, 64))
+        q *= rng.choice([-1, 1], q.shape)
+        cells = topk.Cells(v.min(0), v.max(0))
+        s, slack = cells.centres(cells.codes(v)) @ q.T.astype(float), cells.slack(q.astype(float))
+        exact = v.astype(object) @ q.T.astype(object)
+        for i in range(len(v)):
+            for j in range(len(q)):
+                assert int(s[i, j] - slack[j]) <= exact[i, j] <= int(s[i, j] + slack[j]) + 1
+
+
+@pytest.mark.parametrize("size", [1e6, 3e8, 4e12])
+def test_large_components(spark, size):
+    rng = np.random.default_rng(7)
+    rows = [(i, (size + rng.integers(-5, 6, 6) * size / 1024).tolist(), 0, "") for i in range(60)]
+    rows += [(100 + i, rng.normal(0, 1, 6).tolist(), 0, "") for i in range(20)]
+    assert search(spark, rows) == brute(rows, 4, 3)
+
+
+def test_components_beyond_the_limit_are_held(spark):
+    rows = [(3, [1e30, 1.0], 0, ""), (1, [3e38, 0.0], 0, ""), (2, [-1e30, 0.0], 0, ""), (4, [0.5, 0.5], 0, "")]
+    assert search(spark, rows) == [(3, 1, 1, None), (3, 2, 4, 32 * topk.LARGEST + 32 * 64), (3, 3, 2, None)]
+
+
+def test_an_id_with_several_vectors_is_one_query_and_no_candidate_of_its_own(spark):
+    rows = [(20, [1.0, 0.0], 0, ""), (20, [0.0, 1.0], 0, ""), (1, [0.5, 0.25], 0, ""), (2, [0.25, 0.75], 0, ""),
+            (2, [0.5, 0.25], 0, ""), (40, [0.1, 0.1], 0, ""), (40, [0.1, 0.1], 0, "")]
+    for block in (1, 1000):
+        assert search(spark, rows, k=5, every=20, block=block) == brute(rows, 5, 20)
+
+
+def test_every_vector_a_candidate(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, (1 + rng.normal(0, 1e-3, 4)).tolist(), 0, "") for i in range(400)] + [(401, [1e6, -1e6, 1e6, -1e6], 0, "")]
+    assert search(spark, rows, every=50) == brute(rows, 4, 50)
