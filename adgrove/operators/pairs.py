@@ -48,6 +48,8 @@ class PairSearch:
     def close_pairs(self, keys: DataFrame, carry: Sequence[str] = (), larger: str | None = None) -> DataFrame:
         """Unordered pairs of distinct keys below eps: a, b (kids), d, and ``carry`` columns of both sides.
 
+        One-sided spaces add the ways ``d_ab`` and ``d_ba``; at least one of them is below eps.
+
         The distance and the once-only rule are part of the join condition: candidates are never materialised.
         ``larger`` is a condition on the key with the larger kid; other keys are not even put into right buckets.
         """
@@ -80,8 +82,11 @@ class PairSearch:
         right = right.select(*on, *[F.col(c).alias(B + c) for c in right.columns if c not in on])
         # Sort-merge, never broadcast: size estimates do not see how many copies the buckets make of a key.
         met = left.join(right.hint("merge"), on).where(F.col(A + "kid") != F.col(B + "kid")).withColumn("d", self.space.distance())
+        ways = []
+        if getattr(self.space, "one_sided", False):
+            ways = [self.space.directed(A, B).alias("d_ab"), self.space.directed(B, A).alias("d_ba")]
         return met.where(once & (F.col("d") < self.space.eps)).select(
-            F.col(A + "kid").alias("a"), F.col(B + "kid").alias("b"), "d",
+            F.col(A + "kid").alias("a"), F.col(B + "kid").alias("b"), "d", *ways,
             *[F.col(s + c).alias(f"{c}_{n}") for c in carry for s, n in ((A, "a"), (B, "b"))],
         )
 

@@ -8,6 +8,7 @@ shares several, so joining left and right buckets finds each pair exactly once a
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -23,6 +24,13 @@ def _ordered() -> Column:
     return F.col(A + "kid") < F.col(B + "kid")
 
 
+def _added(values: Iterable[float], start: float = 0.0) -> float:
+    """Sum rounded after each step, as a distance is; ``sum`` keeps more digits."""
+    for v in values:
+        start += v
+    return start
+
+
 def _up_to(chosen: int) -> int:
     """All blocks up to the last chosen one, as a bit set."""
     return (1 << chosen.bit_length()) - 1
@@ -202,6 +210,9 @@ class MixedSpace:
       users and companies by name, unknown ones with everybody.
 
     Weights for which none holds are refused: they leave every pair a candidate.
+
+    An unknown user is at distance 0 from every user. With ``one_sided`` only the way from the unknown user is: the
+    way to it is FAR, so the two directions of a pair differ. A pair is then looked for by the shorter one.
     """
 
     eps: float
@@ -215,6 +226,7 @@ class MixedSpace:
     clamp: bool = False
     use_hash: bool = False
     known_users: bool = False
+    one_sided: bool = False
     bits: int = 62
     blocks: int | None = None
     frequent: tuple[str, ...] = ()
@@ -250,15 +262,16 @@ class MixedSpace:
         for name in ("user", "company"):
             if name not in lows or (name == "user" and not self.known_users):
                 continue
-            rest = sum(v for n, v in lows.items() if n != name)
-            if self._parts()[name] * self.far + rest >= self.eps:
+            if _added(w * self.far if n == name else lows[n] for n, w in self._parts().items()) >= self.eps:
                 out.append(name)
         return out
 
     def _hash_space(self) -> HashSpace | None:
         if not self._hashed:
             return None
-        reach = self.eps - sum(self._lows().values())
+        # Added up in the order of the distance, so that both round alike.
+        close = [k for k in range(self.bits + 1) if _added(self._lows().values(), k / self.bits) < self.eps]
+        reach = (max(close, default=0) + 0.5) / self.bits
         space = HashSpace(reach, self.bits, self.columns["hash"], self.blocks)
         return space if space.slack < self.bits else None
 
@@ -270,6 +283,11 @@ class MixedSpace:
         return MixedSpace(**{**self.__dict__, "blocks": blocks})
 
     def distance(self, a: str = A, b: str = B) -> Column:
+        there, back = self.directed(a, b), self.directed(b, a)
+        return F.least(there, back) if self.one_sided else there
+
+    def directed(self, a: str, b: str) -> Column:
+        """The way from ``a`` to ``b``."""
         def col(side: str, name: str) -> Column:
             return F.col(side + self.columns[name])
 
@@ -278,7 +296,7 @@ class MixedSpace:
             if name == "url":
                 return dist.url_similarity(x, y, self.near, self.far, self.url_threshold)
             if name == "user":
-                return dist.user_distance(x, y, self.near, self.far, symmetric=True)
+                return dist.user_distance(x, y, self.near, self.far, symmetric=not self.one_sided)
             return dist.company_distance(x, y, self.near, self.far) if name == "company" else dist.city_distance(x, y)
 
         total = dist.hash_distance(col(a, "hash"), col(b, "hash")) if self._hashed else F.lit(0.0)
@@ -307,6 +325,8 @@ class MixedSpace:
     def agreement(self) -> dict[str, float]:
         """The least that a part can add otherwise."""
         least = {"url": (0.0, self.near), "user": (0.0, self.near), "company": (self.near,), "city": (0.0, 1.0)}
+        if self.one_sided:
+            least["user"] += (self.far,)  # what the way to an unknown user adds, who stands in every bucket
         return {n: min(w * v for v in least[n]) for n, w in self._parts().items()}
 
     def fitted(self, keys: DataFrame) -> MixedSpace:
@@ -384,7 +404,7 @@ class PartRule:
         names = list(apart)
         possible = [
             frozenset(f) for n in range(len(names) + 1) for f in combinations(names, n)
-            if sum(apart[p] if p in f else near[p] for p in names) < space.eps
+            if _added(apart[p] if p in f else near[p] for p in names) < space.eps
         ]
         largest = [f for f in possible if not any(f < g for g in possible)]
         # No largest set at all: no pair is close, and any single part will do.

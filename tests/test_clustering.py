@@ -12,6 +12,7 @@ import sequential as seq
 from adgrove.operators.assign import assign_incremental
 from adgrove.operators.components import connected_components, follow_pointers, stars
 from adgrove.operators.dbscan import dbscan
+from adgrove.operators.directed import lowest_reaching
 from adgrove.operators.numbering import number_rows
 from adgrove.operators.pairs import distinct_keys, prepare_pairs
 from adgrove.operators.scratch import Scratch
@@ -260,6 +261,54 @@ def test_mixes_led_by_url_or_city(spark, which, monkeypatch):
     check(spark, cases, space, mix(space), 3, "singleton", columns, bucket_limit=4 if which % 2 else 4096)
 
 
+def one_sided(space):
+    """Only an unknown user on the left is near everybody."""
+    def dist(a, b):
+        d = seq.hash_distance(a[0], b[0]) if space.clamp or space.use_hash else 0
+        d += space.user_weight * (0 if a[1] == "0" else space.near if a[1] == b[1] else space.far)
+        if space.company_weight:
+            d += space.company_weight * (space.near if a[2] == b[2] else space.far)
+        if space.city_weight:
+            d += space.city_weight * jaccard(a[3], b[3])
+        return max(d, 0) if space.clamp else d
+
+    return dist
+
+
+ONE_SIDED = [
+    MixedSpace(0.3, user_weight=1, use_hash=True, one_sided=True, bits=12),
+    MixedSpace(0.35, user_weight=0.2, use_hash=True, one_sided=True, bits=12),
+    MixedSpace(0.25, user_weight=0.15, company_weight=0.1, near=-1, clamp=True, one_sided=True, bits=12),
+    MixedSpace(0.3, user_weight=-0.1, use_hash=True, one_sided=True, bits=12),
+    MixedSpace(1.2, user_weight=1, company_weight=1, city_weight=0.5, one_sided=True),
+    MixedSpace(0.5, city_weight=1, user_weight=-0.2, one_sided=True),
+]
+
+
+@pytest.mark.parametrize("noise", ["singleton", "shared"])
+@pytest.mark.parametrize("which", range(len(ONE_SIDED)))
+def test_one_sided_clusters(spark, which, noise, monkeypatch):
+    monkeypatch.setattr(spaces, "WILD", 3)
+    rng, space = random.Random(which), ONE_SIDED[which]
+    cases = [
+        [(h, rng.choice("00abc"), rng.choice("xy"), rng.choice(CITIES)) for h in random_hashes(rng, rng.randint(2, 24), 12)]
+        for _ in range(60)
+    ]
+    columns = "hash bigint, uname string, coname string, city string"
+    check(spark, cases, space, one_sided(space), rng.choice([2, 3, 4]), noise, columns, start_id=5, start_noise=2)
+
+
+def test_lowest_label_follows_directed_links(spark):
+    arcs = [(9, 4), (4, 7), (7, 8), (8, 4), (2, 8), (5, 2), (3, 1), (11, 12), (12, 13), (13, 14), (14, 10)]
+    got = lowest_reaching(spark.createDataFrame(arcs, "src long, dst long"), Scratch(spark))
+    reach = {n: n for arc in arcs for n in arc}
+    for _ in arcs:
+        for a, b in arcs:
+            reach[b] = min(reach[b], reach[a])
+    assert {r.node: r.label for r in got.collect()} == reach
+    assert lowest_reaching(spark.createDataFrame([], "src long, dst long"), Scratch(spark)).collect() == []
+
+
 def test_pairs_of_agreeing_parts_are_found_once_and_few_meet(spark):
     rng = random.Random(8)
     rows = sorted({(f"http://h{rng.randrange(60)}.com/{rng.randrange(9)}/{rng.randrange(9)}/{rng.randrange(3)}",
