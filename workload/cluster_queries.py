@@ -26,6 +26,7 @@ MIXED = MixedSpace(
     s.MIXED_EPS, user_weight=s.USER, company_weight=s.COMPANY, city_weight=s.CITY, near=-1, far=1, clamp=True, bits=v.HASH_BITS,
 )
 URL_LED = MixedSpace(s.LED_EPS, url_weight=1, user_weight=1, company_weight=1)
+ONE_SIDED = MixedSpace(s.MIXED_EPS, user_weight=s.ONE_SIDED_USER, use_hash=True, one_sided=True, bits=v.HASH_BITS)
 CITY_LED = MixedSpace(s.CITY_EPS, url_weight=s.CITY_URL, city_weight=1)
 INDUSTRY = "en"
 
@@ -80,6 +81,12 @@ def _mixed(spark, d):
     return dbscan(v.creatives(spark, d), MIXED, s.MIN_POINTS).points
 
 
+def _one_sided(spark, d):
+    """Clusters where an ad without a user is near all users, and they are far from it."""
+    ads = v.creatives(spark, d)
+    return dbscan(ads.withColumn("uname", F.when(F.col("idx") % 3 == 0, "0").otherwise(F.col("uname"))), ONE_SIDED, s.MIN_POINTS).points
+
+
 def _names(spark, d):
     return clusters.refine_by_name(_cluster_file(spark, d)).select("idx", "cluster_id")
 
@@ -253,6 +260,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "dbscan_mixed": (_mixed, s.dbscan_mixed()),
     "dbscan_url_led": (lambda spark, d: dbscan(v.creatives(spark, d), URL_LED, s.MIN_POINTS).points, s.dbscan_url_led()),
     "dbscan_city_led": (lambda spark, d: dbscan(v.creatives(spark, d), CITY_LED, s.MIN_POINTS).points, s.dbscan_city_led()),
+    "dbscan_one_sided": (_one_sided, s.dbscan_one_sided()),
     "name_refine": (_names, s.refine_names()),
     "assign_incremental": (_assign, s.assignment()),
     "assign_stored_index": (_assign_stored, s.assignment()),

@@ -28,6 +28,15 @@ def vector_adjacency(eps: int) -> str:
     from pts a join pts b on a.idx <> b.idx) q where d < {eps}::bigint * {eps})"""
 
 
+#: Noise points by index, each at the end of its chain of nearest neighbours.
+NOISE_CHAINS = """nearest as (select i, j from (select i, j, row_number() over (partition by i order by d, j) as rn from adj) r where rn = 1),
+    ptr as materialized (select p.idx, p.part, case when n.j in (select idx from placed) or n.j < p.idx then n.j else p.idx end as t
+      from pts p left join nearest n on n.i = p.idx where p.idx not in (select idx from placed)),
+    chain(idx, part, t) as (select idx, part, t from ptr
+      union select chain.idx, chain.part, ptr.t from chain join ptr on ptr.idx = chain.t where ptr.t <> chain.t),
+    fin as materialized (select * from chain where t in (select idx from placed) or t in (select idx from ptr where idx = t))"""
+
+
 def dbscan_ctes(points: str, adjacency: str, min_points: int, noise: str = "singleton", start: int = 1) -> str:
     """CTEs ending in ``labelled(part, idx, cluster_id, met)``; ``met`` marks points counted as noise when visited."""
     if noise == "singleton":
@@ -56,12 +65,7 @@ def dbscan_ctes(points: str, adjacency: str, min_points: int, noise: str = "sing
       from adj a join comp c on c.idx = a.j where a.i not in (select idx from core) group by 1),
     placed as materialized (select p.idx, p.part, coalesce(c.seed, b.seed) as seed from pts p left join comp c on c.idx = p.idx
       left join border b on b.idx = p.idx where coalesce(c.seed, b.seed) is not null),
-    nearest as (select i, j from (select i, j, row_number() over (partition by i order by d, j) as rn from adj) r where rn = 1),
-    ptr as materialized (select p.idx, p.part, case when n.j in (select idx from placed) or n.j < p.idx then n.j else p.idx end as t
-      from pts p left join nearest n on n.i = p.idx where p.idx not in (select idx from placed)),
-    chain(idx, part, t) as (select idx, part, t from ptr
-      union select chain.idx, chain.part, ptr.t from chain join ptr on ptr.idx = chain.t where ptr.t <> chain.t),
-    fin as materialized (select * from chain where t in (select idx from placed) or t in (select idx from ptr where idx = t)),
+    {NOISE_CHAINS},
     {lost},
     labelled as materialized (select i.part, i.idx, i.cluster_id,
         i.idx not in (select idx from core) and (b.first_seed is null or i.idx < b.first_seed) as met
@@ -148,6 +152,34 @@ LED_EPS, CITY_EPS, CITY_URL = 1.5, 0.45, 0.2
 SHARED_HOSTS = ", ".join(f"'{h}'" for h in STOP_HOSTS)
 
 
+#: Every third ad of the one-sided mix has no user.
+ONE_SIDED_USER = 1.0
+
+
+def dbscan_one_sided() -> str:
+    """First the least core point that reaches a point along directed links, then the last seed next to it."""
+    d = f"{hash_d('a.hash', 'b.hash')} + {ONE_SIDED_USER}::double * (case when a.uname = '0' or a.uname = b.uname then 0 else 1 end)"
+    return f"""with recursive pts as materialized (
+      select * replace (case when idx % 3 = 0 then '0' else uname end as uname), 0 as part from ({v.creatives_sql()}) c),
+    adj as materialized (select * from (select a.idx as i, b.idx as j, {d} as d from pts a join pts b on a.idx <> b.idx) q
+      where d < {MIXED_EPS}::double),
+    core as materialized (select p.idx from pts p left join adj a on a.i = p.idx group by 1 having 1 + count(a.j) >= {MIN_POINTS}),
+    link as materialized (select i, j from adj semi join core c on c.idx = i semi join core e on e.idx = j),
+    reach(src, idx) as (select idx, idx from core union select reach.src, link.j from reach join link on link.i = reach.idx),
+    held as materialized (select idx, min(src) as first from reach group by 1),
+    beside as materialized (select a.j as idx, min(h.first) as first, max(case when h.first = a.i then a.i end) as taken
+      from adj a join held h on h.idx = a.i group by 1),
+    placed as materialized (select * from (select p.idx, p.part,
+        coalesce(greatest(b.taken, case when h.first = p.idx then p.idx end), h.first, b.first) as seed
+      from pts p left join held h on h.idx = p.idx left join beside b on b.idx = p.idx) q where seed is not null),
+    {NOISE_CHAINS},
+    numbered as (select idx as anchor, row_number() over (order by late, idx) as cluster_id
+      from (select idx, 0 as late from held where first = idx union all select idx, 1 from fin where idx = t) n),
+    anchored as (select idx, seed as anchor from placed
+      union all select f.idx, coalesce(p.seed, f.t) from fin f left join placed p on p.idx = f.t)
+    select a.idx, n.cluster_id from anchored a join numbered n on n.anchor = a.anchor"""
+
+
 def _url_far() -> str:
     """1 where two URLs are far apart (two differing pieces, or another host), else 0."""
     differing = "len(list_filter(range(1, least(len(a.ps), len(b.ps)) + 1), lambda i: a.ps[i] <> b.ps[i]))"
