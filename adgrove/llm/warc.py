@@ -4,6 +4,9 @@ ARC files start with a version block that names the version (1 or 2) and with it
 line; a record is that line and as many bytes as it declares. The converter writes one gzip member per WARC record,
 with what ARC lacks made from what it has: record ids from source and offset, dates, types, block and payload digests,
 and revisit records for equal payloads.
+
+Damaged stretches (a header line that does not fit, a block or gzip member that is cut off) cost no more than themselves:
+reading goes on at the next header line or member, and ``damages`` lists place, length and reason.
 """
 
 from __future__ import annotations
@@ -39,6 +42,8 @@ FIELDS = {
     2: ("URL", "IP-address", "Archive-date", "Content-type", "Result-code", "Checksum", "Location", "Offset", "Filename",
         "Archive-length"),
 }
+LENGTH = "Archive-length"
+NEEDED = ("URL", "IP-address", "Archive-date", "Content-type")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -52,21 +57,45 @@ def gz(data: bytes) -> bytes:
     return packer.compress(data) + packer.flush()
 
 
-def gunzip(data: bytes) -> bytes:
-    """All members of a gzip file, or the bytes themselves where they are not compressed."""
+class Damage(NamedTuple):
+    """Bytes that are no record: where (in the gzip file for members, else in the unpacked data), how many, and why."""
+
+    offset: int
+    size: int
+    reason: str
+
+
+def _note(damages: list[Damage] | None, offset: int, size: int, reason: str) -> None:
+    """Adds a damage to the list; without a list it is an error."""
+    if damages is None:
+        raise ValueError(f"{reason} at byte {offset}")
+    damages.append(Damage(offset, size, reason))
+
+
+def gunzip(data: bytes, damages: list[Damage] | None = None) -> bytes:
+    """All members of a gzip file, or the bytes themselves where they are not compressed.
+
+    With a list for ``damages`` members that can't be unpacked are noted and left out, else they raise.
+    """
     if data[:2] != b"\x1f\x8b":
         return data
     view, at, parts = memoryview(data), 0, []
     while at < len(data) and data[at: at + 2] == b"\x1f\x8b":
-        reader = zlib.decompressobj(31)
-        # Fed in short pieces: what a member leaves over of its last piece is copied.
-        while not reader.eof:
-            piece = view[at: at + 8192]
-            if not piece:
-                raise ValueError("a gzip member is cut off")
-            parts.append(reader.decompress(piece))
-            at += len(piece)
-        at -= len(reader.unused_data)
+        reader, start, held = zlib.decompressobj(31), at, []
+        try:
+            # Fed in short pieces: what a member leaves over of its last piece is copied.
+            while not reader.eof:
+                piece = view[at: at + 8192]
+                if not piece:
+                    raise zlib.error("cut off")
+                held.append(reader.decompress(piece))
+                at += len(piece)
+            at -= len(reader.unused_data)
+            parts += held
+        except zlib.error:
+            following = data.find(b"\x1f\x8b\x08", start + 1)
+            at = len(data) if following < 0 else following
+            _note(damages, start, at - start, "a gzip member is cut off or damaged")
     return b"".join(parts)
 
 
@@ -77,9 +106,41 @@ class ArcRecord(NamedTuple):
     block: bytes
 
 
-def parse_arc(data: bytes) -> Iterator[ArcRecord]:
-    """Records of an uncompressed ARC file, the version block first. A malformed line or short block raises."""
-    at, version = 0, None
+#: What a header line looks like in any version: address, host, date, other fields, length.
+HEADER = re.compile(rb"\n(?=[A-Za-z][A-Za-z0-9+.\-]*:[^ \r\n]* [^ \r\n]+ (?:\d{14}|\d{12}) [^\r\n]* \d+\r?\n)")
+
+
+def declared_fields(block: bytes, version: int) -> tuple[str, ...] | None:
+    """Fields that a version block names in its second line, else those of its version; None for neither."""
+    lines = block.decode("utf-8", "surrogateescape").splitlines()
+    named = tuple(lines[1].split()) if len(lines) > 1 else ()
+    if named[-1:] == (LENGTH,) and len(set(named)) == len(named) and set(NEEDED) <= set(named):
+        return named
+    return FIELDS.get(version)
+
+
+def header_fields(line: str, names: tuple[str, ...]) -> dict[str, str] | str:
+    """Fields of a header line by name, or what is wrong with it."""
+    parts = line.split(" ")
+    # A content type may hold spaces in sloppy files: what is too much belongs to it.
+    extra = len(parts) - len(names)
+    if extra < 0:
+        return f"{len(parts)} fields where {len(names)} are declared"
+    kind = names.index("Content-type")
+    parts[kind: kind + extra + 1] = [" ".join(parts[kind: kind + extra + 1])]
+    fields = dict(zip(names, parts))
+    if not re.fullmatch(r"[0-9]{1,18}", fields[LENGTH]):
+        return "no length"
+    return fields if re.fullmatch(r"[0-9]{12}|[0-9]{14}", fields["Archive-date"]) else "no archive date"
+
+
+def parse_arc(data: bytes, damages: list[Damage] | None = None) -> Iterator[ArcRecord]:
+    """Records of an uncompressed ARC file, the version block first.
+
+    A malformed line, a short block or a missing version block raises; with a list for ``damages`` it is noted there, and
+    reading goes on at the next line that looks like a header. Without a version block nothing can be read.
+    """
+    at, version, names = 0, None, ()
     while at < len(data):
         stop = data.find(b"\n", at)
         if stop < 0:
@@ -90,29 +151,31 @@ def parse_arc(data: bytes) -> Iterator[ArcRecord]:
             continue
         parts = line.split(" ")
         if version is None:
-            if not line.startswith("filedesc://"):
-                raise ValueError("no version block")
-            size = int(parts[-1])
+            size = parts[-1]
+            block = data[stop + 1: stop + 1 + int(size)] if re.fullmatch(r"[0-9]{1,18}", size) else b""
+            first = re.match(rb"[0-9]{1,9}(?=[ \r\n])", block)
+            names = declared_fields(block, int(first[0])) if first and line.startswith("filedesc://") else None
+            if names is None:
+                _note(damages, at, len(data) - at, "no version block")
+                return
+            version = int(first[0])
+            # The block's own line has the fields of version 1 in many files of later versions.
+            fields = header_fields(line, FIELDS[1] if len(parts) == len(FIELDS[1]) else names)
+        else:
+            fields = header_fields(line, names)
+        reason = fields if isinstance(fields, str) else None
+        if reason is None:
+            size = int(fields[LENGTH])
             block = data[stop + 1: stop + 1 + size]
-            version = int(block.split(b" ", 1)[0])
-            if version not in FIELDS:
-                raise ValueError(f"ARC version {version} is not known")
-            names = FIELDS[1] if len(parts) == len(FIELDS[1]) else FIELDS[version]
+            reason = "the record is cut off" if len(block) != size else None
+        if reason is None:
+            yield ArcRecord(at, version, fields, block)
+            at = stop + 1 + size
         else:
-            names = FIELDS[version]
-        # A content type may hold spaces in sloppy files: what is too much belongs to it.
-        extra = len(parts) - len(names)
-        if extra < 0:
-            raise ValueError(f"{len(parts)} fields at byte {at}; version {version} has {len(names)}")
-        kind = names.index("Content-type")
-        parts[kind: kind + extra + 1] = [" ".join(parts[kind: kind + extra + 1])]
-        fields = dict(zip(names, parts))
-        size = int(fields["Archive-length"])
-        block = data[stop + 1: stop + 1 + size]
-        if len(block) != size:
-            raise ValueError(f"the record at byte {at} is cut off")
-        yield ArcRecord(at, version, fields, block)
-        at = stop + 1 + size
+            following = HEADER.search(data, min(stop, len(data)))
+            resume = following.end() if following else len(data)
+            _note(damages, at, resume - at, reason)
+            at = resume
 
 
 def arc_version_block(name: str, version: int, date: str) -> bytes:
@@ -156,6 +219,13 @@ def head_field(head: bytes, name: str) -> str | None:
     return m[1].decode("utf-8", "surrogateescape") if m else None
 
 
+def page_key(head: bytes) -> int | None:
+    """The page id in an HTTP head; None where there is none or it is no 64-bit integer."""
+    text = head_field(head, KEY) or ""
+    key = int(text) if re.fullmatch(r"-?[0-9]{1,19}", text) else None
+    return key if key is not None and -(1 << 63) <= key < 1 << 63 else None
+
+
 def warc_record(fields: list[tuple[str, str]], block: bytes) -> bytes:
     lines = ["WARC/1.1", *(f"{k}: {v}" for k, v in fields), f"Content-Length: {len(block)}"]
     return "\r\n".join(lines).encode("utf-8", "surrogateescape") + b"\r\n\r\n" + block + b"\r\n\r\n"
@@ -178,7 +248,7 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop + 8 + size
 
 
-def to_warc(source: str, record: ArcRecord, revisit: tuple[str, str, str, str | None] | None) -> bytes:
+def to_warc(source: str, record: ArcRecord, revisit: tuple[str, str, str, int | None] | None) -> bytes:
     """WARC record of an ARC record. ``revisit``: id, URL, date and key of the record with the same payload."""
     f, parts = record.fields, http_parts(record.block)
     fields = [("WARC-Record-ID", record_id(source, record.offset)), ("WARC-Date", iso_date(f["Archive-date"]))]
@@ -204,7 +274,7 @@ def to_warc(source: str, record: ArcRecord, revisit: tuple[str, str, str, str |
                    ("WARC-Refers-To-Date", date), ("WARC-Truncated", "length"),
                    ("X-Payload-Length", str(len(payload)))]
         if key is not None:
-            fields.append(("X-Refers-To-Key", key))
+            fields.append(("X-Refers-To-Key", str(key)))
     fields += [("WARC-Block-Digest", f"sha1:{sha1(block)}"), ("Content-Type", mime)]
     return warc_record([("WARC-Type", kind), *fields], block)
 
@@ -251,7 +321,7 @@ def write_arc(
     return scratch.cut(pages.select("page_id", "url", "html").mapInArrow(run, "path string, records bigint"))[0]
 
 
-INDEX = ("path string, offset bigint, record_id string, uri string, date string, key string, payload_bytes bigint, "
+INDEX = ("path string, offset bigint, record_id string, uri string, date string, key bigint, payload_bytes bigint, "
          "digest string")
 
 
@@ -261,12 +331,12 @@ def _index() -> object:
     def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for path in batch.column("path").to_pylist():
             rows = []
-            for r in parse_arc(gunzip(read_all(path))):
+            for r in parse_arc(gunzip(read_all(path), []), []):
                 if r.fields["URL"].startswith("filedesc://"):
                     continue
                 head, payload = http_parts(r.block) or (b"", r.block)
                 rows.append((path, r.offset, record_id(path, r.offset), r.fields["URL"], iso_date(r.fields["Archive-date"]),
-                             head_field(head, KEY), len(payload), sha1(payload)))
+                             page_key(head), len(payload), sha1(payload)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema
             )
@@ -279,14 +349,14 @@ def convert(spark: SparkSession, arcs: DataFrame, folder: str, scratch: Scratch,
 
     Of equal payloads of at least ``revisit_from`` bytes the record with the largest key (an integer in the HTTP
     header ``X-Page-Id``; records without one come before all others) is written whole, of equal keys each; the
-    others become revisits of it. Payloads stay in their files: only index rows are shuffled, a file is converted
+    others become revisits of it. Damaged stretches are left out, ``damages`` lists them. Payloads stay in their files: only index rows are shuffled, a file is converted
     by one task, and files are bounded by the roll size of their writer.
     """
     files = max(1, arcs.count())
     index, seen = scratch.cut(
         map_arrow(arcs.select("path").repartition(files, "path"), _index, INDEX), rows=F.count(F.lit(1))
     )
-    number = F.col("key").cast("decimal(38,0)")
+    number = F.col("key")
     place = F.struct(
         number.isNotNull().alias("known"), number.alias("number"), "path", "offset", "record_id", "uri", "date", "key"
     )
@@ -316,15 +386,42 @@ def _rewriter(folder: str):
         def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             for path, revisits in zip(*(c.to_pylist() for c in batch.columns)):
                 known = {o: rest for o, *rest in (r.values() for r in revisits or [])}
-                parts = [gz(to_warc(path, r, known.get(r.offset))) for r in parse_arc(gunzip(read_all(path)))]
+                parts = [gz(to_warc(path, r, known.get(r.offset))) for r in parse_arc(gunzip(read_all(path), []), [])]
                 made = write_new(folder, "converted", ".warc.gz", b"".join(parts))
-                yield pa.RecordBatch.from_arrays([pa.array([made]), pa.array([len(parts) - 1])], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array([made]), pa.array([max(0, len(parts) - 1)])], schema=schema)
 
         return step
 
     return make
 
 
+DAMAGES = "path string, packed boolean, offset bigint, size bigint, reason string"
+
+
+def _damages() -> object:
+    schema = arrow_schema(DAMAGES)
+
+    def step(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for path in batch.column("path").to_pylist():
+            members: list[Damage] = []
+            lines: list[Damage] = []
+            for _ in parse_arc(gunzip(read_all(path), members), lines):
+                pass
+            rows = [(path, True, *d) for d in members] + [(path, False, *d) for d in lines]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
+
+    return step
+
+
+def damages(arcs: DataFrame) -> DataFrame:
+    """What ``convert`` leaves out of the ARC files in ``arcs`` (column path): place, length and reason of each stretch.
+
+    ``packed`` tells a gzip member (place in the file) from a stretch of the unpacked data. Files without damage have no rows.
+    """
+    return map_arrow(arcs.select("path").repartition(max(1, arcs.count()), "path"), _damages, DAMAGES)
+
+
 RECORDS = ("page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, "
            "record_id string, refers_to_id string, uri string, date string")
 
@@ -346,8 +443,8 @@ def _records() -> object:
                     size = len(payload)
                     if sha1(payload) != digest:
                         raise ValueError(f"{path}: {f['warc-record-id']} does not match its digest")
-                key, first = head_field(head, KEY), f.get("x-refers-to-key")
-                rows.append((None if key is None else int(key), size, digest, f["warc-type"],
+                first = f.get("x-refers-to-key")
+                rows.append((page_key(head), size, digest, f["warc-type"],
                              None if first is None else int(first), f["warc-record-id"], f.get("warc-refers-to"),
                              f["warc-target-uri"], f["warc-date"]))
             yield pa.RecordBatch.from_arrays(

@@ -87,3 +87,71 @@ def test_gzip_members():
     assert warc.gunzip(b"".join(map(warc.gz, parts))) == b"".join(parts)
     with pytest.raises(ValueError):
         warc.gunzip(warc.gz(b"abc" * 999)[:-3])
+
+
+def arc(version, blocks, date="19990102030405"):
+    data = warc.arc_version_block("a.arc", version, date)
+    for i, b in enumerate(blocks):
+        data += warc.arc_record(version, "a.arc", len(data), f"http://x/{i}", date, b)
+    return data
+
+
+def test_fields_come_from_the_version_block():
+    body = b"7 0 old crawler\nIP-address URL Archive-date Robots Content-type Archive-length\n"
+    data = b"filedesc://a 0.0.0.0 19990102030405 text/plain %d\n" % len(body) + body + b"\n"
+    data += b"1.2.3.4 http://x/ 19990102030405 yes text/html; a=b 3\nabc\n"
+    info, record = warc.parse_arc(data)
+    assert info.version == 7 and record.block == b"abc"
+    assert record.fields == {"IP-address": "1.2.3.4", "URL": "http://x/", "Archive-date": "19990102030405", "Robots": "yes",
+                             "Content-type": "text/html; a=b", "Archive-length": "3"}
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_reading_goes_on_after_damage(version):
+    blocks = [f"HTTP/1.1 200 OK\r\n\r\nbody {i} ".encode() * 5 for i in range(6)]
+    data = arc(version, blocks)
+    at = {r.fields["URL"]: r.offset for r in warc.parse_arc(data)}
+    one, three = at["http://x/1"], at["http://x/3"]
+    bad = data[:one] + data[one:].replace(b" 19990102030405 ", b" 1999 ", 1)
+    bad = bad.replace(b"http://x/3 0.0.0.0 19990102030405 text/html", b"http://x/3")
+    bad = bad[:-30]
+    found = []
+    urls = [r.fields["URL"] for r in warc.parse_arc(bad, found)]
+    assert [u for u in urls if u.startswith("http")] == ["http://x/0", "http://x/2", "http://x/4"]
+    assert len(found) == 3 and found[0].offset == one and found[0].reason == "no archive date"
+    assert [bad[d.offset: d.offset + 10] for d in found] == [b"http://x/1", b"http://x/3", b"http://x/5"]
+    assert found[-1].reason == "the record is cut off" and found[-1].offset + found[-1].size == len(bad)
+    # Junk between records, and a length that is too short, cost no other record.
+    junk = data[:three] + b"junk here\n\n" + data[three:]
+    found = []
+    assert len(list(warc.parse_arc(junk, found))) == 7 and [d.offset for d in found] == [three]
+    for nothing in (b"", b"\n\n"):
+        assert list(warc.parse_arc(nothing, [])) == []
+    for none in (b"x", b"filedesc://a 0.0.0.0 19990102030405 text/plain x\n", b"http://x/ 1 19990102030405 t 3\nabc\n"):
+        found = []
+        assert list(warc.parse_arc(none, found)) == [] and found == [warc.Damage(0, len(none), "no version block")]
+
+
+def test_damaged_gzip_members():
+    members = [warc.gz(bytes([65 + i]) * 9000) for i in range(4)]
+    broken = members[1][:20] + b"\xff\xff\xff" + members[1][23:]
+    found = []
+    data = warc.gunzip(members[0] + broken + members[2] + members[3][:-6], found)
+    assert data == b"A" * 9000 + b"C" * 9000
+    assert found[0].offset == len(members[0]) and found[-1].offset == sum(map(len, (members[0], broken, members[2])))
+
+
+def test_damaged_archive_is_converted_and_reported(spark, tmp_path):
+    blocks = [b"HTTP/1.1 200 OK\r\nX-Page-Id: %s\r\n\r\nsame" % k for k in (b"5", b"none", b"9", b"99999999999999999999")]
+    data = arc(1, blocks).replace(b"http://x/0 0.0.0.0 19990102030405", b"http://x/0 0.0.0.0 never")
+    (tmp_path / "bad.arc").write_bytes(data)
+    (tmp_path / "empty.arc").write_bytes(b"")
+    (tmp_path / "none.arc").write_bytes(b"what is this")
+    scratch = Scratch(spark)
+    arcs = spark.createDataFrame([(str(tmp_path / n),) for n in ("bad.arc", "empty.arc", "none.arc")], "path string")
+    got = warc.read_warc(warc.convert(spark, arcs, f"{scratch.folder}/warc", scratch)).collect()
+    assert sorted(((r.uri, r.page_id, r.record_type, r.refers_to) for r in got), key=str) == [
+        ("http://x/1", None, "revisit", 9), ("http://x/2", 9, "response", None), ("http://x/3", None, "revisit", 9)
+    ]
+    listed = sorted((r.path.rsplit("/", 1)[-1], r.packed, r.reason) for r in warc.damages(arcs).collect())
+    assert listed == [("bad.arc", False, "no archive date"), ("none.arc", False, "no version block")]
