@@ -167,9 +167,9 @@ def bounded_sample(df: DataFrame, group: str, key: str, most: int, seed: int = 7
     counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("rows")).limit(MOST_GROUPS + 1).collect()
     if len(counts) > MOST_GROUPS:
         raise ValueError(f"{group} has more than {MOST_GROUPS} values")
-    limit = F.lit(None).cast("double")
+    limit = F.when(F.lit(False), F.lit(None).cast("double"))
     for row in counts:
-        limit = F.when(F.col(group) == F.lit(row[group]), F.lit(2.0 * most / row["rows"])).otherwise(limit)
+        limit = limit.when(F.col(group) == F.lit(row[group]), F.lit(2.0 * most / row["rows"]))
     h = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
     order = F.row_number().over(Window.partitionBy(group).orderBy("_h", key))
     return (

@@ -11,7 +11,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adgrove.llm.common import bounded_sample, id_crc, map_rows, table
+from adgrove.llm.common import MOST_GROUPS, bounded_sample, id_crc, map_rows, table
 
 #: Training documents taken of each language.
 SAMPLE = 400
@@ -37,9 +37,13 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     """Raw-content dictionary of each language, the most frequent first, from a bounded sample of at most ``SAMPLE`` rows a language.
 
     Rows with NULL language, NULL text or a text without letters teach nothing. A language's texts are dealt out in
-    equal pieces until its content is full, so one long text cannot fill it alone.
+    equal pieces until its content is full, so one long text cannot fill it alone. Of more than ``MOST_GROUPS`` languages
+    the most frequent are learned, ties to the first name: each costs a dictionary in every task.
     """
-    usable = labelled.select(key, text, lang).where(F.col(text).rlike(r"\p{L}"))
+    usable = labelled.select(key, text, lang).where(F.col(text).rlike(r"\p{L}") & F.col(lang).isNotNull())
+    counts = usable.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST_GROUPS).collect()
+    common = {r[lang]: r["count"] for r in counts}
+    usable = usable.where(F.col(lang).isin(list(common)))
     by_lang: dict[str, list[tuple[int, bytes]]] = {}
     for row in bounded_sample(usable, lang, key, SAMPLE).toLocalIterator():
         by_lang.setdefault(row[lang], []).append((row[key] if row[key] is not None else -1, normal(row[text])))
@@ -54,7 +58,6 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
             spare -= more
             parts.append(t[: share + more])
         content[name] = b"".join(parts)
-    common = {r[lang]: r["count"] for r in usable.where(F.col(lang).isin(list(content))).groupBy(lang).count().collect()}
     return {name: content[name] for name in sorted(content, key=lambda n: (-common[n], n))}
 
 

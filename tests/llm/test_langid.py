@@ -36,3 +36,12 @@ def test_nothing_learned_and_no_rows(spark):
     assert predict(spark, [(1, EN, "")], {}) == [(1, "und", 0.0, False)]
     assert predict(spark, [], {"en": b"x"}) == []
     assert predict(spark, [(1, EN, "")], {"en": b"the house"}) == [(1, "en", 1.0, True)]
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    rows = [(i, f"word{'abcdefghij'[i % 10]} text", f"l{i:04d}") for i in range(1100)]
+    rows += [(2000 + i, "more of it", f"l{i:04d}") for i in range(1050, 1100)] + [(3000, "no label", None), (3001, "12", "l9999")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    content = langid.learn(df)
+    assert list(content) == [f"l{i:04d}" for i in [*range(1050, 1100), *range(950)]]
+    assert content["l1050"] == b" worda text  more of it " and content["l0001"] == b" wordb text "
