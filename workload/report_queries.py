@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adgrove.functions import predicates as p
+from adgrove.functions.buckets import EDUCATION_AD_THRESHOLDS
 from adgrove.operators.scratch import Scratch
 from adgrove.plans import history, jobs, new_reach, retention
 from adgrove.sources import schemas
@@ -71,9 +72,15 @@ def _sub_brand(which: str, by_bucket: bool = False):
     )
 
 
-def _detail_extract(spark, d):
+def _detail_extract(spark, d, overrides=None):
     names = {"reach_rate_target": "reach", "below_rate_target": "below"}
-    return rounded(detail(spark, d).withColumnsRenamed(names).select(*s.DETAIL_KEEP, *s.DETAIL_RATES, "costs", "gmvc"))
+    ads = new_reach.ad_detail(new_reach.ad_rows_gen1(*_inputs(spark, d)), 1, threshold_overrides=overrides)
+    return rounded(ads.withColumnsRenamed(names).select(*s.DETAIL_KEEP, *s.DETAIL_RATES, "costs", "gmvc"))
+
+
+def _detail_education(spark, d):
+    """Ads with the education thresholds, which the reports leave off."""
+    return _detail_extract(spark, d, {s.EDUCATION: EDUCATION_AD_THRESHOLDS})
 
 
 RETENTION_KEYS = ("process_date", "industry", "sub_industry", "advertiser_id", "adgroup_id", "first_goal", "second_goal",
@@ -160,6 +167,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {
     "retention_detail": (_retention_detail, s.retention_detail()),
     "ad_count_bitmaps": (_ad_counts, s.ad_counts()),
     "ad_detail": (_detail_extract, s.detail()),
+    "ad_detail_education": (_detail_education, s.detail(education=True)),
     "key_advertiser_mapping": (
         lambda spark, d: new_reach.key_advertisers(detail(spark, d)), s.key_mapping()),
     "achieve_cost_by_key": (

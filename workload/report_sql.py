@@ -403,8 +403,17 @@ DETAIL_KEEP = ["partition_date", "op_industry", "op_industry2", "advertiser_id",
 DETAIL_RATES = ["target_cpa", "pcvr", "pctr", "ad_cpa_bias", "ac_cpa_bias", "ad_achieve_interval", "ac_achieve_interval"]
 
 
-def detail() -> str:
-    body = with_base(f", {_detail(_gen1_rows(), False)} select * replace (cast(click as bigint) as click, "
+#: An industry whose ads have thresholds of their own, if that is asked for.
+EDUCATION = "教育"
+
+
+def detail(education: bool = False) -> str:
+    common = "(case active_interval when 1 then"
+    own = f"(case when op_industry = '{EDUCATION}' and active_interval between 1 and 4 then 999999.99 else {common}"
+    ads = _detail(_gen1_rows(), False)
+    if education:
+        ads = ads.replace(common, own).replace("else 0 end)::double as ad_achieve_interval", "else 0 end) end)::double as ad_achieve_interval")
+    body = with_base(f", {ads} select * replace (cast(click as bigint) as click, "
                      "cast(exposure as bigint) as exposure, cast(conversions as bigint) as conversions) from detail"
                      ).replace("\n, raw", ",\nraw")
     return rounded(body, DETAIL_KEEP, DETAIL_RATES, ["costs", "gmvc"])
