@@ -385,3 +385,37 @@ def test_numbering_is_dense_within_groups(spark):
         mine = [r for r in got if r.g == g]
         assert [r.n for r in mine] == list(range(size))
         assert [(r.k, r.i) for r in mine] == sorted((r.k, r.i) for r in mine)
+
+
+def test_dense_clusters_are_not_searched_again(spark):
+    from adgrove.operators.dbscan import outside_largest
+
+    rng = random.Random(4)
+    centre, lone = rng.getrandbits(60), [rng.getrandbits(60) for _ in range(40)]
+    ball = list({centre ^ (1 << rng.randrange(30, 60)) ^ (1 << rng.randrange(30, 60)) for _ in range(300)} - {centre})
+    df = spark.createDataFrame(list(enumerate(ball + lone)), "idx bigint, hash bigint")
+    scratch, space = Scratch(spark), HashSpace(0.1, 60)
+    keys, seen = scratch.cut(distinct_keys(df, space), rows=F.count(F.lit(1)))
+    search = prepare_pairs(keys, seen["rows"], space, scratch)
+    close = {(p.a, p.b) for p in search.neighbours(keys, [], "true").collect()}
+    assert {(p.a, p.b) for p in search.hints(keys).collect()} <= close
+    proven = {p.a for p in search.hints(keys).collect()}
+    assert len(proven) > 0.8 * len(ball)
+    label = F.when(F.col("kid") < len(ball), F.lit(0)).cast("long")
+    rows = search.space.left(keys.withColumns({"label": label, "size": F.lit(len(ball)).cast("long")}))
+    left = outside_largest(search, rows)
+    assert left.where("label = 0").isEmpty() and left.select("kid").distinct().count() == len(lone)
+
+
+def test_near_copies_are_assigned_in_the_first_round(spark):
+    from adgrove.operators.assign import first_rounds
+
+    rng = random.Random(5)
+    base = rng.getrandbits(60)
+    items = [base ^ (1 << k) for k in range(40, 60)] + [rng.getrandbits(60) for _ in range(5)]
+    keys = spark.createDataFrame([(i, h, int(i > 0)) for i, h in enumerate(items)], "kid bigint, hash bigint, late int")
+    rows = {r.kid: r for r in first_rounds(keys, len(items), HashSpace(0.12, 60), Scratch(spark)).collect()}
+    assert {k for k in rows if rows[k].open} == set(range(20, 25))
+    for k in range(1, 20):
+        want = min((seq.hash_distance(items[k], items[j]), j) for j in range(k))
+        assert (rows[k].best.d, rows[k].best.other) == want
