@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,10 @@ from adgrove.operators.skew import join_spread
 from adgrove.operators.spaces import HashSpace
 
 
+#: Differing bits of the first rounds of a search for the nearest, before it goes as far as eps.
+ROUNDS = (2, 4)
+
+
 @dataclass(frozen=True)
 class Assignment:
     """``points``: idx, cluster_id. ``bounds``: start_id (first new id) and next_id."""
@@ -57,11 +61,13 @@ def assign_incremental(
         F.min(F.struct("kid", "late", "cluster_id")).alias("first"), F.sum("late").alias("weight")
     ).select(h, "first.*", "weight")
     keys, seen = scratch.cut(spread_keys(keys), rows=F.count(F.lit(1)))
+    looked = first_rounds(keys, seen["rows"], space, scratch, bucket_limit)
     # The later key of a pair is the larger one, and only keys of the batch look for a nearest: the right side.
-    pairs = prepare_pairs(keys, seen["rows"], space, scratch, (), bucket_limit).close_pairs(keys, ["late"], larger="late = 1")
-    nearest = pairs.select(
-        F.greatest("a", "b").alias("kid"), "d", F.least("a", "b").alias("other")
-    ).groupBy("kid").agg(F.min(F.struct("d", "other"))["other"].alias("target"))
+    pairs = prepare_pairs(keys, seen["rows"], space, scratch, (), bucket_limit).close_pairs(looked, ["open"], larger="open")
+    nearest = (
+        nearest_of(pairs).unionByName(looked.where("best is not null").select("kid", "best"))
+        .groupBy("kid").agg(F.min("best")["other"].alias("target"))
+    )
     fresh = keys.where("late = 1").select("kid")
     opened, count = resolve(
         fresh.join(nearest, "kid", "left"), keys.where("late = 0").select("kid", "cluster_id"), start_id, scratch
@@ -74,6 +80,30 @@ def assign_incremental(
     return Assignment(points, bounds)
 
 
+def nearest_of(pairs: DataFrame) -> DataFrame:
+    """(kid, best) with the distance and kid of the nearest earlier key, for the later key of each pair."""
+    return pairs.groupBy(F.greatest("a", "b").alias("kid")).agg(F.min(F.struct("d", F.least("a", "b").alias("other"))).alias("best"))
+
+
+def first_rounds(keys: DataFrame, n_keys: int, space: HashSpace, scratch: Scratch, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+    """``keys`` (kid, hash, late) with ``best``, the nearest earlier key so far, and ``open`` where a nearer one can exist.
+
+    Hashes that differ in few bits are looked for first, in much finer blocks. All others are at least one bit more apart,
+    so a key that has a nearest below that distance is done: in dense places nearly all are.
+    """
+    looked = keys.withColumns({"open": F.col("late") == 1, "best": F.lit(None).cast("struct<d: double, other: bigint>")})
+    for reach in ROUNDS:
+        if reach >= space.slack:
+            break
+        pairs = prepare_pairs(keys, n_keys, replace(space, reach=reach, blocks=None), scratch, (), bucket_limit)
+        found = nearest_of(pairs.close_pairs(looked, ["open"], larger="open")).withColumnRenamed("best", "found")
+        looked, _ = scratch.cut(
+            looked.join(found, "kid", "left").withColumn("best", F.least("best", "found")).drop("found")
+            .withColumn("open", F.col("open") & ~F.coalesce(F.col("best.d") < (reach + 1) / space.bits, F.lit(False)))
+        )
+    return looked
+
+
 def resolve(pointers: DataFrame, known: DataFrame, start_id: int, scratch: Scratch) -> tuple[DataFrame, int]:
     """((kid, cluster_id) of every key, number of ids opened). Chains of (kid, target) end at a key of ``known``, which is no
     kid of them, or at one without a target, which opens the next id in order of kids."""

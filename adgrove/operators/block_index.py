@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adgrove.operators.assign import Assignment, resolve
+from adgrove.operators.assign import Assignment, first_rounds, nearest_of, resolve
 from adgrove.operators.pairs import BUCKET_LIMIT, PairSearch, meeting, prepare_pairs, spread_keys
 from adgrove.operators.scratch import Scratch
 from adgrove.operators.skew import join_spread
@@ -129,15 +129,19 @@ def assign_batch(index: BlockIndex, batch: DataFrame, name: str, bucket_limit: i
     shift = now["next_pos"] - (seen["first"] or 0)
     keys = batch.groupBy(h).agg((F.min("idx") + shift).alias("kid"), F.count(F.lit(1)).alias("weight"))
     keys, made = scratch.cut(spread_keys(keys), rows=F.count(F.lit(1)))
-    known, _ = scratch.cut(_known(index, keys, number, scratch, bucket_limit))
-    inside = prepare_pairs(keys, made["rows"], space, scratch, (), bucket_limit).close_pairs(keys)
-    later = inside.select(
-        F.greatest("a", "b").alias("kid"), "d", F.least("a", "b").alias("other"), F.lit(None).cast("bigint").alias("cluster_id")
-    )
-    hits = known.unionByName(later)
-    nearest, _ = scratch.cut(hits.groupBy("kid").agg(F.min(F.struct("d", "other", "cluster_id")).alias("n")).select("kid", "n.*"))
+    held, mine = touched(index, keys.select("kid", h), number, scratch)
+    held, _ = scratch.cut(held)
+    owners, owned = scratch.cut(held.select("kid", h, "cluster_id").distinct(), rows=F.count(F.lit(1)))
+    both = owners.select("kid", h, F.lit(0).alias("late")).unionByName(keys.select("kid", h, F.lit(1).alias("late")))
+    looked = first_rounds(spread_keys(both), owned["rows"] + made["rows"], space, scratch, bucket_limit).where("late = 1")
+    known = _known(index, held, mine.join(looked.where("open").select("kid"), "kid", "left_semi"), scratch, bucket_limit)
+    inside = prepare_pairs(keys, made["rows"], space, scratch, (), bucket_limit).close_pairs(looked, ["open"], larger="open")
+    hits = nearest_of(known).unionByName(nearest_of(inside)).unionByName(looked.where("best is not null").select("kid", "best"))
+    nearest, met = scratch.cut(hits.groupBy("kid").agg(F.min("best").alias("n")).select("kid", "n.*"), rows=F.count(F.lit(1)))
     first = now["next_pos"]
-    old = nearest.where(F.col("other") < first)
+    meant = nearest.where(F.col("other") < first)
+    owner = owners.select(F.col("kid").alias("other"), "cluster_id").join(meant.groupBy("other").agg(F.count(F.lit(1)).alias("weight")), "other")
+    old, _ = scratch.cut(join_spread(meant, owner, ["other"], "weight", max(1, met["rows"])))
     free = keys.select("kid").join(old.select("kid"), "kid", "left_anti")
     pointers = free.join(nearest.where(F.col("other") >= first).select("kid", F.col("other").alias("target")), "kid", "left")
     ids, opened = resolve(pointers, old.select("kid", "cluster_id"), now["next_id"], scratch)
@@ -167,14 +171,10 @@ def touched(index: BlockIndex, keys: DataFrame, number: int, scratch: Scratch) -
     return held.join(values.hint("merge"), ["choice", "value"], "left_semi").drop("batch", "slot"), mine.drop("slot")
 
 
-def _known(index: BlockIndex, keys: DataFrame, number: int, scratch: Scratch, bucket_limit: int) -> DataFrame:
-    """(kid, d, other, cluster_id): known hashes closer than eps to a key of the batch."""
-    held, mine = touched(index, keys.select("kid", index.space.column), number, scratch)
-    held, _ = scratch.cut(held)
-    mine = mine.withColumn("cluster_id", F.lit(None).cast("bigint"))
+def _known(index: BlockIndex, held: DataFrame, mine: DataFrame, scratch: Scratch, bucket_limit: int) -> DataFrame:
+    """(a, b, d): known hashes closer than eps to a key of the batch; both are in their blocks."""
     search: PairSearch = meeting(held, mine, index.space, (), scratch, bucket_limit)
-    met = search.meet(held, mine, ["cluster_id"])
-    return met.select(F.col("b").alias("kid"), "d", F.col("a").alias("other"), F.col("cluster_id_a").alias("cluster_id"))
+    return search.meet(held, mine)
 
 
 def compact(index: BlockIndex, spark: SparkSession, path: str) -> BlockIndex:
