@@ -73,3 +73,21 @@ def test_thresholds():
     assert p[59] < toxicity.best_threshold(p, y) <= p[60]
     assert toxicity.best_threshold(p, np.zeros(100), 0.7) == 0.7
     assert toxicity.bend(np.array([0.0, 0.2, 1.0]), np.array([0.2] * 3)).tolist() == [0, 0.5, 1]
+
+
+def test_all_labelled_texts_teach(spark):
+    rows = texts(4000, 4)
+    rows = [(d, t, f"rare{d}" if d % 130 == 1 else "en", y) for d, t, _, y in rows]
+    docs = spark.createDataFrame([r[:3] for r in rows] + [(d + 10_000, "bako ri", "en") for d in range(3000)], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows] + [(d + 10_000, 0) for d in range(3000)], "doc_id bigint, toxic int")
+    model = toxicity.learn(docs.repartition(3), labels)
+    assert model.languages == sorted({r[2] for r in rows})
+    new = spark.createDataFrame([(d, t, y) for d, t, _, y in texts(400, 5)], "doc_id bigint, text string, y int")
+    got = toxicity.classify(new, model, ["y"]).collect()
+    assert np.mean([r.predicted == r.y for r in got]) > 0.95
+
+
+def test_counted_scores_give_the_same_threshold():
+    p, y = np.array([0.1, 0.1, 0.3, 0.6, 0.6]), np.array([0, 1, 0, 1, 0])
+    n = np.array([50, 3, 20, 40, 2])
+    assert toxicity.best_threshold(p, y, n=n) == pytest.approx(toxicity.best_threshold(np.repeat(p, n), np.repeat(y, n))) == pytest.approx(0.45)
