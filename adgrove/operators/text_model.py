@@ -26,7 +26,9 @@ GRID, FINE = 1 << 20, 1 << 16
 #: Largest absolute value of a model entry, so that products of two stay exact.
 LARGEST = 64.0
 #: Entries of the gradient in one row, rows that one task merges, and texts at once.
-SLICE, FAN, BATCH = 1 << 15, 64, 1024
+SLICE, FAN, BATCH = 1 << 15, 64, 512
+#: A word is frequent if it comes at least once in this many texts of a batch.
+COMMON = 64
 #: Rows of one step: sums of as many fit 64 bits.
 MOST_ROWS = 1 << 24
 MOST_LABELS = 10_000
@@ -37,32 +39,54 @@ def buckets_of(words: Column, buckets: int) -> Column:
     return F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
 
 
+def _split(words: np.ndarray, offsets: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of frequent words, how often each text has them, and number and text of every other word.
+
+    Frequent words go through matrix products, the others one by one. All sums are exact, so the split changes nothing.
+    """
+    texts = len(offsets) - 1
+    text = np.repeat(np.arange(texts), np.diff(offsets))
+    common = np.bincount(words, minlength=buckets) * COMMON >= texts
+    ids, column, often = np.flatnonzero(common), np.cumsum(common) - 1, common[words]
+    cells = text[often] * len(ids) + column[words[often]]
+    counts = np.bincount(cells, minlength=texts * len(ids)).reshape(texts, len(ids)).astype(np.float64)
+    return ids, counts, words[~often], text[~often]
+
+
+def _means(parts: tuple, n: np.ndarray, embeddings: np.ndarray) -> np.ndarray:
+    ids, counts, rest, text = parts
+    out = counts @ embeddings[ids]
+    if len(rest):
+        first = np.flatnonzero(np.diff(text, prepend=-1))
+        out[text[first]] += np.add.reduceat(embeddings[rest], first)
+    return np.rint(out / np.maximum(n, 1)[:, None] * GRID) / GRID
+
+
 def means(words: np.ndarray, offsets: np.ndarray, embeddings: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(mean embedding of each text on the grid, number of its words); without words it is zero."""
     n = np.diff(offsets)
-    out = np.zeros((len(n), embeddings.shape[1]))
-    full = np.flatnonzero(n)
-    if len(full):
-        out[full] = np.add.reduceat(embeddings[words], offsets[:-1][full], axis=0) / n[full][:, None]
-    return np.rint(out * GRID) / GRID, n
+    return _means(_split(words, offsets, len(embeddings)), n, embeddings), n
 
 
 def gradient(
     words: np.ndarray, offsets: np.ndarray, labels: np.ndarray, embeddings: np.ndarray, weights: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, float]:
     """Sums over the texts of the loss's gradient by embeddings and weights, as integers, and of the loss."""
-    text, n = means(words, offsets, embeddings)
+    n, parts = np.diff(offsets), _split(words, offsets, len(embeddings))
+    text = _means(parts, n, embeddings)
     p = probabilities(text, weights)
     loss = float(-np.log(np.maximum(p[np.arange(len(labels)), labels], 1e-12)).sum())
     p[np.arange(len(labels)), labels] -= 1
     p = np.rint(p * FINE) / FINE
     by_weights = np.rint(p.T @ text * FINE * GRID).astype(np.int64)
-    each = np.rint((p @ weights) / np.maximum(n, 1)[:, None] * GRID).astype(np.int64)
+    each = np.rint((p @ weights) / np.maximum(n, 1)[:, None] * GRID)
     by_words = np.zeros(embeddings.shape, np.int64)
-    if len(words):
-        order = np.argsort(words, kind="stable")
-        first = np.flatnonzero(np.diff(words[order], prepend=-1))
-        by_words[words[order][first]] = np.add.reduceat(np.repeat(each, n, axis=0)[order], first, axis=0)
+    ids, counts, rest, at = parts
+    by_words[ids] = (counts.T @ each).astype(np.int64)
+    if len(rest):
+        order = np.argsort(rest, kind="stable")
+        first = np.flatnonzero(np.diff(rest[order], prepend=-1))
+        by_words[rest[order][first]] += np.add.reduceat(each[at[order]], first, axis=0).astype(np.int64)
     return by_words, by_weights, loss
 
 

@@ -93,3 +93,25 @@ def test_held_out_quality_shares_and_odd_rows(spark):
 def test_no_rows(spark):
     model = m.train(frame(spark, []), dim=4, buckets=8, epochs=2)
     assert model.labels == () and model.losses == ()
+
+
+def test_frequent_words_go_through_products():
+    from adgrove.operators import text_model as t
+
+    rng = np.random.default_rng(2)
+    offsets = np.concatenate([[0], np.cumsum(rng.integers(0, 40, 200))])
+    words = np.minimum(rng.geometric(0.02, offsets[-1]), 499).astype(np.int32)
+    ids, counts, rest, text = t._split(words, offsets, 500)
+    assert 0 < len(ids) < 500 and 0 < len(rest) < len(words) / 4
+    embeddings = np.rint(rng.normal(0, 1, (500, 8)) * t.GRID) / t.GRID
+    weights = np.rint(rng.normal(0, 1, (3, 8)) * t.GRID) / t.GRID
+    labels = rng.integers(0, 3, 200)
+    found, n = t.means(words, offsets, embeddings)
+    want = [embeddings[words[a:b]].sum(0) / max(1, b - a) for a, b in zip(offsets, offsets[1:])]
+    assert np.array_equal(found, np.rint(np.array(want) * t.GRID) / t.GRID) and n.sum() == len(words)
+    p = t.probabilities(found, weights)
+    p[np.arange(200), labels] -= 1
+    each = np.rint((np.rint(p * t.FINE) / t.FINE) @ weights / np.maximum(n, 1)[:, None] * t.GRID).astype(np.int64)
+    by_words = np.zeros((500, 8), np.int64)
+    np.add.at(by_words, words, np.repeat(each, n, axis=0))
+    assert np.array_equal(t.gradient(words, offsets, labels, embeddings, weights)[0], by_words)
