@@ -419,3 +419,20 @@ def test_near_copies_are_assigned_in_the_first_round(spark):
     for k in range(1, 20):
         want = min((seq.hash_distance(items[k], items[j]), j) for j in range(k))
         assert (rows[k].best.d, rows[k].best.other) == want
+
+
+def test_large_cells_copy_a_vector_a_bounded_number_of_times(spark, monkeypatch):
+    from adgrove.operators import vectors
+
+    monkeypatch.setattr(vectors, "BLOCK", 8)
+    rng = random.Random(5)
+    rows = [(i, [rng.randint(-3, 3) for _ in range(4)]) for i in range(400)]
+    keys = spark.createDataFrame(rows, "kid bigint, vector array<bigint>").repartition(3)
+    space = VectorSpace(2.5, 4)
+    search = vectors.prepare_vectors(keys, len(rows), space, Scratch(spark))
+    cut = search.cuts.first()
+    assert cut["cut_left"] == cut["cut_right"] == vectors.MOST_CHUNKS
+    limit = (space.eps * space.scale) ** 2
+    want = {(i, j) for i, v in rows for j, w in rows if i < j and sum((x - y) ** 2 for x, y in zip(v, w)) < limit}
+    got = [(r.a, r.b) for r in search.close_pairs(keys).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and want
