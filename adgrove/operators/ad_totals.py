@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adgrove.operators.scratch import wide_tasks
+
 #: Column that day tables are bucketed by, for each day column that can meet the snapshot's.
 STORED_KEYS = {"partition_date": "account_day", "process_date": "account_cohort"}
 ACCOUNT_COLUMNS = {"industry": "industry_group", "sub_industry": "industry_team_level2", "sub_brand": "op_sub_brand"}
@@ -52,10 +54,16 @@ def ad_totals(
         *(join_keys if len(join_keys) == 1 else [F.col("imp_date").alias(day), F.col("account_id").alias("advertiser_id")]),
         *[F.col(ACCOUNT_COLUMNS[k]).alias(k) for k in account_keys],
     )
+    # Large inputs are dealt over more tasks than the session has for a shuffle. Day tables stay where they lie.
+    tasks = None if join_keys == [stored] else wide_tasks(fact)
+    if tasks:
+        per_account, snapshot = per_account.repartition(tasks, *join_keys), snapshot.repartition(tasks, *join_keys)
     joined = per_account.join(snapshot, join_keys, "inner")
     if reshape is not None:
         joined = reshape(joined)
     keys = [k for k in [*extra_keys, *fact_keys, *account_keys] if k not in drop_keys]
+    if tasks and not set(join_keys) <= set(keys):
+        joined = joined.repartition(tasks, *keys)
     return joined.groupBy(*keys).agg(
         *[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxes]
     )

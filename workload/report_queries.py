@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from adgrove.functions import predicates as p
 from adgrove.functions.buckets import EDUCATION_AD_THRESHOLDS
-from adgrove.operators.scratch import Scratch
+from adgrove.operators.scratch import Scratch, wide_tasks
 from adgrove.plans import history, jobs, new_reach, retention
 from adgrove.sources import schemas
 from workload import report_sql as s
-from workload.views import accounts, ad_fact
+from workload.views import accounts, ad_fact, table
 
 BRANDS = ["NATION_3", "NATION_8", "NATION_12", "NATION_17", "NATION_21"]
 MONEY = {
@@ -35,6 +35,13 @@ def _inputs(spark: SparkSession, d: str, monthly: bool = True, day: str = "parti
     return ad_fact(spark, d, monthly), accounts(spark, d, monthly, day)
 
 
+def _both_days(spark: SparkSession, d: str) -> DataFrame:
+    """Account days by either day of the fact."""
+    both = accounts(spark, d, False).union(accounts(spark, d, False, "process_date"))
+    tasks = wide_tasks(table(spark, d, "lineitem"))
+    return (both.repartition(tasks, "imp_date", "account_id") if tasks else both).distinct()
+
+
 def _same_day(gen: int, channel: str):
     return lambda spark, d: rounded(history.same_day_history(*_inputs(spark, d), gen, channel))
 
@@ -44,7 +51,7 @@ def _retro(gen: int, channel: str):
 
 
 def _multi_trace(spark, d):
-    both_days = accounts(spark, d, False).union(accounts(spark, d, False, "process_date")).distinct()
+    both_days = _both_days(spark, d)
     return rounded(history.multi_trace(ad_fact(spark, d, False), both_days))
 
 
@@ -99,7 +106,7 @@ def _daily(spark, d):
 
 
 def _history_job(spark, d):
-    both_days = accounts(spark, d, False).union(accounts(spark, d, False, "process_date")).distinct()
+    both_days = _both_days(spark, d)
     return rounded(history.named_history(jobs.history_day(ad_fact(spark, d, False), both_days)))
 
 
