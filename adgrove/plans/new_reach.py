@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adgrove.functions import buckets as b
@@ -170,18 +170,23 @@ def ad_detail(
     advertiser key alone, so an advertiser listed in two industries on one day fans out, as in the original
     report. Generation 2 counts a missing bias as 0.
 
-    The ads feed both sides of that join with different columns, so Spark could not share their plan and would
-    scan and aggregate the fact twice; they are written once to the shared folder instead (one row per ad).
+    Ads come dealt out by day and advertiser, and an advertiser key has one advertiser, so the biases are found by windows where
+    the ads lie: the fact is read once, and no ad is written or moved for them.
     """
     c = F.col
-    ads, _ = Scratch(ads.sparkSession).cut(ads)
-    account_bias = (
-        ads.groupBy("partition_date", "op_industry", "op_industry2", "t_advertiser")
-        .agg(total(c("cost_micros")).alias("cost_micros"), F.sum(c("gmvc").cast("decimal(28,6)")).cast("double").alias("gmvc"))
-        .select("partition_date", "t_advertiser", b.cost_bias(c("gmvc"), _currency("cost_micros")).alias("ac_cpa_bias"))
-    )
-    wanted = ads if sub_brands is None else ads.where(c("sub_brand").isin(*sub_brands))
-    joined = wanted.join(account_bias, ["partition_date", "t_advertiser"], "left").withColumns(
+    own = ["partition_date", "advertiser_id", "t_advertiser"]
+    each = Window.partitionBy(*own, "op_industry", "op_industry2")
+    costs = total(c("cost_micros")).over(each)
+    gmvc = F.sum(c("gmvc").cast("decimal(28,6)")).over(each).cast("double")
+    staged = ads.withColumns({"_costs": costs, "_gmvc": gmvc})
+    bias = b.cost_bias(c("_gmvc"), c("_costs").cast("double") / m.MICROS)
+    named = F.struct("op_industry", "op_industry2", bias.alias("ac_cpa_bias"))
+    # As many as the advertiser has industries that day; a key with NULL meets nothing.
+    met = F.when(c("partition_date").isNotNull() & c("t_advertiser").isNotNull(), F.collect_set(named).over(Window.partitionBy(*own)))
+    staged = staged.withColumn("_biases", met).drop("_costs", "_gmvc")
+    wanted = staged if sub_brands is None else staged.where(c("sub_brand").isin(*sub_brands))
+    fanned = wanted.withColumn("_bias", F.explode_outer("_biases")).withColumn("ac_cpa_bias", c("_bias.ac_cpa_bias")).drop("_biases", "_bias")
+    joined = fanned.withColumns(
         {
             "active_interval": b.conversion_interval(c("costs"), c("target_cpa"), c("click")),
             "ad_cpa_bias": b.cost_bias(c("gmvc"), c("costs")),

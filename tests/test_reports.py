@@ -215,3 +215,30 @@ def test_a_day_is_written_by_several_tasks(spark, tmp_path):
     files = [p for p in (tmp_path / "fact" / "partition_date=20210910").iterdir() if p.suffix == ".parquet"]
     assert 2 <= len(files) <= 4
     assert spark.read.parquet(f"{tmp_path}/fact").count() == 200
+
+
+def test_account_bias_is_found_where_the_ads_lie(spark, monkeypatch):
+    from adgrove.operators.scratch import Scratch
+
+    rows = new_reach.ad_rows_gen1(fact(spark, {}, {"adgroup_id": 2, "conv1": 0}), accounts(spark, EDU, (20210910, 1, "医药", "贷款", "b")))
+    joins = rows._jdf.queryExecution().optimizedPlan().toString().count("Join")
+    monkeypatch.setattr(Scratch, "cut", None)  # nothing is written
+    found = new_reach.ad_detail(rows, 1)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == joins
+    assert found.count() == 8 and len({r.ac_cpa_bias for r in found.collect()}) == 1
+
+
+def test_large_inputs_are_dealt_over_more_tasks(spark, monkeypatch, tmp_path):
+    from adgrove.operators import scratch
+
+    f = fact(spark, *[{"adgroup_id": k, "advertiser_id": k % 5} for k in range(50)])
+    f.write.parquet(f"{tmp_path}/fact")
+    stored, a = spark.read.parquet(f"{tmp_path}/fact"), accounts(spark, *[(20210910, k, "教育", "k", "b") for k in range(5)])
+    want = history.same_day_history(f, a).collect()
+    assert scratch.wide_tasks(stored) is None
+    monkeypatch.setattr(scratch.wide_tasks, "__defaults__", (64,))
+    tasks = scratch.wide_tasks(stored)
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    dealt = history.same_day_history(stored, a)
+    assert f", {tasks})" in dealt._jdf.queryExecution().toString()
+    assert dealt.collect() == want
