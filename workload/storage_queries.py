@@ -7,20 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adgrove.operators.scratch import Scratch
+from adgrove.operators.scratch import Scratch, wide_tasks
 from adgrove.plans import accrual, history
 from adgrove.sources import bucketed
 from workload import report_sql as s
 from workload.report_queries import rounded
-from workload.views import FOLDED, accounts, ad_fact
+from workload.views import FOLDED, accounts, ad_fact, table
 
-BUCKETS = 8
+#: Fewest buckets, and stored bytes of delivery records for each.
+BUCKETS, BUCKET_BYTES = 8, 16 << 20
+
+
+def _buckets(spark: SparkSession, d: str) -> int:
+    """Buckets grow with the records, so that none does."""
+    return max(BUCKETS, wide_tasks(table(spark, d, "lineitem"), BUCKET_BYTES) or 0)
 
 
 def _stored(spark: SparkSession, d: str):
     """Same-day reach from day tables, one day written anew."""
     fact, snapshot = ad_fact(spark, d, FOLDED), accounts(spark, d, FOLDED)
-    tables = bucketed.create_day_tables(fact, snapshot, Scratch(spark).folder, BUCKETS)
+    tables = bucketed.create_day_tables(fact, snapshot, Scratch(spark).folder, _buckets(spark, d))
     bucketed.replace_day(tables, fact, snapshot, AGAIN)
     return rounded(history.same_day_history(*tables.read(spark)))
 
@@ -28,7 +34,7 @@ def _stored(spark: SparkSession, d: str):
 def _stored_cohorts(spark: SparkSession, d: str):
     """Retrospective reach from tables bucketed by cohort day and account."""
     fact, snapshot = ad_fact(spark, d, FOLDED), accounts(spark, d, FOLDED, "process_date")
-    tables = bucketed.create_day_tables(fact, snapshot, Scratch(spark).folder, BUCKETS, "process_date")
+    tables = bucketed.create_day_tables(fact, snapshot, Scratch(spark).folder, _buckets(spark, d), "process_date")
     return rounded(history.retro_history(*tables.read(spark)))
 
 
