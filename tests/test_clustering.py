@@ -14,7 +14,7 @@ from adgrove.operators.components import connected_components, follow_pointers,
 from adgrove.operators.dbscan import dbscan
 from adgrove.operators.directed import lowest_reaching
 from adgrove.operators.numbering import number_rows
-from adgrove.operators.pairs import distinct_keys, prepare_pairs
+from adgrove.operators.pairs import PairSearch, distinct_keys, prepare_pairs
 from adgrove.operators.scratch import Scratch
 from adgrove.operators.spaces import HashSpace, MixedSpace, VectorSpace
 
@@ -298,6 +298,19 @@ def test_one_sided_clusters(spark, which, noise, monkeypatch):
     check(spark, cases, space, one_sided(space), rng.choice([2, 3, 4]), noise, columns, start_id=5, start_noise=2)
 
 
+def test_one_sided_clusters_need_no_pass_over_all_pairs(spark, monkeypatch):
+    def all_pairs(*_, **__):
+        raise AssertionError("all close pairs are looked at")
+
+    monkeypatch.setattr(PairSearch, "close_pairs", all_pairs)
+    rng, space = random.Random(11), ONE_SIDED[0]
+    cases = [
+        [(h, rng.choice("00ab"), "x", "") for h in random_hashes(rng, rng.randint(20, 60), 12)] for _ in range(12)
+    ]
+    columns = "hash bigint, uname string, coname string, city string"
+    check(spark, cases, space, one_sided(space), 3, "singleton", columns, bucket_limit=4)
+
+
 def test_lowest_label_follows_directed_links(spark):
     arcs = [(9, 4), (4, 7), (7, 8), (8, 4), (2, 8), (5, 2), (3, 1), (11, 12), (12, 13), (13, 14), (14, 10)]
     got = lowest_reaching(spark.createDataFrame(arcs, "src long, dst long"), Scratch(spark))
