@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -449,3 +450,48 @@ def test_large_cells_copy_a_vector_a_bounded_number_of_times(spark, monkeypatch)
     want = {(i, j) for i, v in rows for j, w in rows if i < j and sum((x - y) ** 2 for x, y in zip(v, w)) < limit}
     got = [(r.a, r.b) for r in search.close_pairs(keys).collect()]
     assert len(got) == len(set(got)) and set(got) == want and want
+
+
+@pytest.mark.parametrize("limit", [1, 4096])
+def test_hash_blocks_give_each_wanted_pair_once(spark, limit, monkeypatch):
+    """Looking keys meet all others, ranked ones those of higher ranks, also in buckets that are cut and in small steps."""
+    from adgrove.operators import hash_blocks
+
+    monkeypatch.setattr(hash_blocks, "MATRIX", 8)
+    rng, bits = random.Random(31), 40
+    centres = [rng.getrandbits(bits) for _ in range(3)]
+    hashes = {c ^ (1 << rng.randrange(bits)) ^ (1 << rng.randrange(bits)) for c in centres for _ in range(25)} | {rng.getrandbits(bits) for _ in range(9)}
+    items = [(p, h, rng.random() < 0.4, rng.choice((0, 0, 1, 2, 3))) for p in "xy" for h in sorted(hashes)]
+    # The same hash in another part is no neighbour.
+    keys = spark.createDataFrame([(k, *i) for k, i in enumerate(items)], "kid bigint, p string, hash bigint, looks boolean, rank int")
+    space = HashSpace(0.1, bits)
+    search = hash_blocks.prepare_blocks(keys, len(items), space, Scratch(spark), ["p"], limit)
+    assert (search.hot is not None) == (limit == 1)
+    close = {
+        (a, b): seq.hash_distance(x[1], y[1]) for a, x in enumerate(items) for b, y in enumerate(items)
+        if a != b and x[0] == y[0] and seq.hash_distance(x[1], y[1]) < 0.1
+    }
+    got = search.neighbours(keys, ["rank", "looks"], "looks").collect()
+    assert len(got) == len({(p.a, p.b) for p in got})
+    assert {(p.a, p.b): p.d for p in got} == {k: d for k, d in close.items() if items[k[0]][2]}
+    assert all((p.rank_a, p.looks_b) == (items[p.a][3], items[p.b][2]) for p in got)
+    out = [(p.a, p.b) for p in search.outward(keys, [], "rank").collect()]
+    assert sorted(out) == sorted((a, b) for a, b in close if items[a][3] == 0 or items[a][3] < items[b][3])
+
+
+def test_hash_blocks_hold_no_candidate_rows(spark):
+    """Keys that agree in a bucket and are far apart leave no row behind the bucket rows, of which a key has few."""
+    from adgrove.operators.hash_blocks import bit_lengths, candidates, prepare_blocks
+
+    n = 3000
+    keys = spark.createDataFrame([(k, (k * 2654435761) % (1 << 30)) for k in range(n)], "kid bigint, hash bigint")
+    search = prepare_blocks(keys, n, HashSpace(0.1, 60), Scratch(spark))
+    pairs = search.neighbours(keys, [], "true")
+    assert "Join" not in pairs._jdf.queryExecution().sparkPlan().toString()
+    assert search.space.left(keys).count() <= 21 * n
+    values = np.array([0, 1, 2, 3, (1 << 53) - 1, 1 << 53, (1 << 60) - 1, 1 << 60], np.int64)
+    assert bit_lengths(values).tolist() == [int(v).bit_length() for v in values]
+    left, right = np.arange(40), np.arange(90)
+    low, high = np.where(left < 20, 0, left), np.where(left % 2, 90, 50)
+    got = [(int(x), int(y)) for xs, ys in candidates(left, right, low, high, 2) for x, y in zip(xs, ys)]
+    assert sorted(got) == [(x, y) for x in range(40) for y in range(low[x], high[x]) if (x ^ y).bit_count() <= 2]
