@@ -3,13 +3,13 @@
 Texts fall apart into units that no piece can cross: runs of letters, and runs of other characters, each with the word
 marks before it. Only distinct units are encoded:
 
-1. One pass writes each block of texts as a list of its distinct units and the texts as numbers into that list.
+1. One pass writes each block of texts as a list of its distinct units, and a file with the texts as numbers into that list.
 2. Distinct units of all blocks are cut into all substrings up to the longest piece, joined with the piece table on
    equality, and the edges found are grouped by unit again.
 3. A higher-order ``aggregate`` folds each unit's edges. For a unigram model that is Viterbi: the best score that
    reaches each position. For a BPE model scores are merge ranks, whose sums mean nothing; the same edges are then
    folded in rank order, an edge being taken if it joins exactly two neighbours, which gives the merges.
-4. Ids go back to the blocks, where the numbers are replaced.
+4. Ids go back to the blocks, whose files are read where the numbers are replaced: texts are written once and never shuffled.
 
 Everything that grows with the corpus moves as units of blocks, never as words of texts, so no frequent word makes a
 large group: a unit has one row a block, and its blocks are listed together for a bounded number of tasks only.
@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adgrove.llm.common import arrow_schema, delete, map_arrow, setting, table
+from adgrove.llm.files import read_all, write_new
 from adgrove.llm.substrings import free_shuffles
 from adgrove.operators.scratch import Scratch
 
@@ -125,13 +126,14 @@ SHARE = BLOCK_BITS + 12
 #: Units of a partition whose edges are grouped at once, in a hash table and without a sort.
 GROUPED = 50_000
 
-PACKED = ("kind int, block bigint, first bigint, units array<string>, doc_ids array<bigint>, counts array<bigint>, "
-          "crcs array<bigint>, codes binary")
+PACKED = "kind int, block bigint, first bigint, units array<string>, path string"
+#: Texts of a block, in the file of its row's ``path``.
+TEXTS = "doc_ids array<bigint>, counts array<bigint>, crcs array<bigint>, codes binary"
 
 
-def pack(docs: DataFrame, pieces: Pieces, block_bytes: int) -> DataFrame:
-    """Blocks of texts: rows with distinct units (from number ``first`` on), rows with texts as numbers."""
-    schema = arrow_schema(PACKED)
+def pack(docs: DataFrame, pieces: Pieces, block_bytes: int, folder: str) -> DataFrame:
+    """Blocks of texts: rows with distinct units (from number ``first`` on), a row with the file in ``folder`` of texts as numbers."""
+    schema, inner = arrow_schema(PACKED), arrow_schema(TEXTS)
     pattern = pieces.units
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,13 +141,20 @@ def pack(docs: DataFrame, pieces: Pieces, block_bytes: int) -> DataFrame:
 
         cut = re.compile(pattern)
         task, number = TaskContext.get().partitionId(), 0
-        index, size = Index(), 0
+        index, size, texts_ = Index(), 0, []
 
         def row(**values) -> pa.RecordBatch:
-            full = {"kind": int("codes" in values), "block": (task << BLOCK_BITS) + number, **values}
+            full = {"kind": int("path" in values), "block": (task << BLOCK_BITS) + number, **values}
             return pa.RecordBatch.from_arrays([pa.array([full.get(f.name)], f.type) for f in schema], schema=schema)
 
-        def units() -> Iterator[pa.RecordBatch]:
+        def written() -> Iterator[pa.RecordBatch]:
+            if not texts_:
+                return
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, inner) as stream:
+                for batch in texts_:
+                    stream.write_batch(batch)
+            yield row(path=write_new(folder, f"block-{(task << BLOCK_BITS) + number}", ".arrow", out.getvalue()))
             names = list(index)
             for low in range(0, len(names), 1 << 15):
                 yield row(first=low, units=names[low: low + (1 << 15)])
@@ -159,12 +168,12 @@ def pack(docs: DataFrame, pieces: Pieces, block_bytes: int) -> DataFrame:
                 codes = np.fromiter(map(index.__getitem__, chain.from_iterable(cuts)), np.uint32, sum(counts))
                 raw = [t.encode() for t in texts]
                 size += sum(map(len, raw))
-                yield row(doc_ids=some.column("doc_id").to_pylist(), counts=counts, crcs=[zlib.crc32(r) for r in raw],
-                          codes=pack_codes(codes))
+                values = (some.column("doc_id").to_pylist(), counts, [zlib.crc32(r) for r in raw], pack_codes(codes))
+                texts_.append(pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, inner)], schema=inner))
                 if size >= block_bytes and number + 1 < 1 << BLOCK_BITS:
-                    yield from units()
-                    index, size, number = Index(), 0, number + 1
-        yield from units()
+                    yield from written()
+                    index, size, texts_, number = Index(), 0, [], number + 1
+        yield from written()
 
     return docs.select("doc_id", "text").mapInArrow(run, PACKED)
 
@@ -388,7 +397,9 @@ def _unpack(texts: pa.Table, answers: pa.Table) -> pa.Table:
     begin[number] = np.cumsum(size) - size
     length[number] = size
     made = []
-    for doc_ids, counts, crcs, codes in zip(*(texts.column(n).to_pylist() for n in ("doc_ids", "counts", "crcs", "codes"))):
+    # One row a block, so one file.
+    rows = (r for path in texts.column("path").to_pylist() for b in pa.ipc.open_stream(read_all(path)) for r in b.to_pylist())
+    for doc_ids, counts, crcs, codes in (r.values() for r in rows):
         code = unpack_codes(codes)
         n = length[code]
         ends = np.concatenate([[0], np.cumsum(n)])
@@ -411,7 +422,7 @@ def encode(docs: DataFrame, pieces: Pieces, scratch: Scratch | None = None, bloc
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark)
     path = f"{scratch.folder}/packed"
-    pack(docs, pieces, block_bytes).write.partitionBy("kind").parquet(path)
+    pack(docs, pieces, block_bytes, f"{scratch.folder}/texts").write.partitionBy("kind").parquet(path)
     packed = spark.read.schema(PACKED).parquet(path)
     listed = (
         packed.where("kind = 0")
@@ -436,7 +447,7 @@ def encode(docs: DataFrame, pieces: Pieces, scratch: Scratch | None = None, bloc
         answers, _ = scratch.cut(found.mapInArrow(_collect, ANSWERS))
     delete(spark, f"{scratch.folder}/listed")
     free_shuffles(spark)
-    texts = packed.where("kind = 1").select("block", "doc_ids", "counts", "crcs", "codes")
+    texts = packed.where("kind = 1").select("block", "path")
     out = texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_unpack, ENCODED)
     if pieces.byte_ids:
         return out

@@ -81,3 +81,13 @@ def test_codes_and_units():
     assert pieces.unpack_codes(pieces.pack_codes(codes[:0])).tolist() == []
     model = pieces.load(PROTO)
     assert model.units == pieces.unit_patterns([p for p, _, _ in model.rows])[0]
+
+
+def test_texts_of_blocks_are_not_shuffled(spark):
+    """Of a block's texts only the name of their file goes to the ids; every block's file is read."""
+    rows = [(k, f"some words {k} and more of them " * 20) for k in range(600)] + [(600, None), (601, "")]
+    model, library = pieces.load(PROTO), sentencepiece.SentencePieceProcessor(model_proto=PROTO)
+    out = pieces.encode(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), model, block_bytes=3000)
+    moved = [line for line in out._jdf.queryExecution().executedPlan().toString().splitlines() if "Project" in line or "Scan" in line]
+    assert any("path" in line for line in moved) and not any("codes" in line for line in moved)
+    assert {r.doc_id: r.ids for r in out.collect()} == {d: library.encode(t or "") for d, t in rows}
