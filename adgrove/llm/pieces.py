@@ -438,6 +438,8 @@ def encode(docs: DataFrame, pieces: Pieces, scratch: Scratch | None = None, bloc
     delete(spark, f"{path}/kind=0")
     free_shuffles(spark)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-listed.count() // GROUPED))
+    # Again: what the first call found in use may be done with now.
+    free_shuffles(spark)
     encoded = encode_units(listed.select("unit").distinct(), pieces)
     found = listed.hint("merge").join(encoded, "unit").select("refs", "ids")
     # One partitioning by unit, of bounded parts, carries the lattice and both sides of the join.
