@@ -35,17 +35,22 @@ def _merge_terms(generation: int, channel: str) -> tuple[Column, dict, dict, int
     return F.lit(True), {n: F.col(n) for n in sums}, {n: F.col(n) for n in maxes}, scale
 
 
-def _publish(ads: DataFrame, generation: int, gmv_scale: int, table_id: int) -> DataFrame:
+def _lag() -> Column:
+    """Days by which the run comes after the day of ``table_id``'s rows."""
+    return F.when(F.col("table_id") == RETRO, p.industry_lag(F.col("industry"))).otherwise(F.lit(0))
+
+
+def _publish(ads: DataFrame, generation: int, gmv_scale: int, table_id: int | None = None) -> DataFrame:
+    """Rows of one table, or of those that the ads name in ``table_id``."""
     if generation == 1:
         ads = ads.where(has_valid_target())
-    flagged = with_classic_flags(ads)
-    keys = ["run_date", "industry"]
+    flagged = with_classic_flags(ads if table_id is None else ads.withColumn("table_id", F.lit(table_id)))
+    keys = ["table_id", "run_date", "industry"]
     out = classic_rollup(flagged, keys, gmv_scale, count_spending_only=generation == 2)
-    lag = p.industry_lag(F.col("industry")) if table_id == RETRO else F.lit(0)
     return out.select(
         F.col("run_date").alias("partition_date"),
-        dates.add_days(F.col("run_date"), -lag).alias("process_date"),
-        F.lit(table_id).alias("table_id"),
+        dates.add_days(F.col("run_date"), -_lag()).alias("process_date"),
+        "table_id",
         p.lookup(F.col("industry"), p.INDUSTRY_CODES).alias("op_industry"),
         *CLASSIC_METRICS,
     )
@@ -107,6 +112,50 @@ def retro_history(
     return _publish(ads, generation, scale, RETRO)
 
 
+def both_histories(
+    fact: DataFrame, accounts: DataFrame, generation: int = 1, channel: str = "gdt",
+    first_day: int | None = None, last_day: int | None = None,
+) -> DataFrame:
+    """The rows of :func:`retro_history` and :func:`same_day_history` from one pass over both inputs.
+
+    A record stands once under its cohort's day and once under its report day. Bucketed day tables hold the key of one of
+    the two days and are read for each table on its own.
+    """
+    if any(k in fact.columns and k in accounts.columns for k in t.STORED_KEYS.values()):
+        args = (fact, accounts, generation, channel, first_day, last_day)
+        return retro_history(*args).unionByName(same_day_history(*args))
+    keep, sums, maxes, scale = generation_terms(generation, channel)
+    cohort_first = None if first_day is None else dates.shift_day(first_day, -MAX_LAG)
+    accrual = dates.days_between(F.col("partition_date"), F.col("process_date"))
+    accrued = (accrual >= 0) & (accrual <= MAX_LAG) & p.between_days("process_date", cohort_first, last_day)
+    no_days = F.lit(0).cast("int")
+
+    def use(table_id: int, on_day: str, days: Column) -> Column:
+        return F.struct(F.lit(table_id).alias("table_id"), F.col(on_day).alias("history_day"), days.alias("accrual_days"))
+
+    uses = F.array(
+        F.when(accrued, use(RETRO, "process_date", accrual)),
+        F.when(p.between_days("partition_date", first_day, last_day), use(SAME_DAY, "partition_date", no_days)),
+    )
+    records = fact.where(keep & p.between_days("partition_date", cohort_first, last_day)).select(
+        "*", F.inline(F.filter(uses, lambda u: u.isNotNull()))
+    )
+
+    def to_runs(df: DataFrame) -> DataFrame:
+        run = F.when(F.col("table_id") == RETRO, dates.add_days(F.col("history_day"), _lag())).otherwise(F.col("history_day"))
+        return df.where(F.col("accrual_days") <= _lag()).withColumn("run_date", run).where(p.between_days("run_date", first_day, last_day))
+
+    ads = t.ad_totals(
+        records, accounts,
+        keep=F.lit(True),
+        accounts_keep=p.in_industries(p.INDUSTRY_CODES) & p.between_days("imp_date", cohort_first, last_day),
+        fact_keys=["table_id", "history_day", "accrual_days", "adgroup_id", "second_goal"], account_keys=["industry"],
+        sums=sums, maxes=maxes, day="history_day", reshape=to_runs,
+        extra_keys=["run_date"], drop_keys=["history_day", "accrual_days"],
+    )
+    return _publish(ads, generation, scale)
+
+
 def named_history(history: DataFrame, day: int | None = None) -> DataFrame:
     """History rows with industry codes turned back into display names; an unknown code becomes NULL."""
     names = {code: name for name, code in p.INDUSTRY_CODES.items()}
@@ -119,8 +168,7 @@ def multi_trace(
     first_day: int | None = None, last_day: int | None = None,
 ) -> DataFrame:
     """Same-day and retrospective rows of a range of days, published under industry names."""
-    args = (fact, accounts_same_day, generation, channel, first_day, last_day)
-    return named_history(retro_history(*args).unionByName(same_day_history(*args)))
+    return named_history(both_histories(fact, accounts_same_day, generation, channel, first_day, last_day))
 
 
 def sub_industry_buckets(

@@ -40,6 +40,5 @@ def history_day(
     first_day: int | None = None, last_day: int | None = None,
 ) -> DataFrame:
     """Both history tables (retrospective and same day) of a day or range, in publication column order."""
-    args = (fact, accounts, generation, channel, first_day, last_day)
-    both = history.retro_history(*args).unionByName(history.same_day_history(*args))
+    both = history.both_histories(fact, accounts, generation, channel, first_day, last_day)
     return both.select(*history.HISTORY_COLUMNS)

@@ -1,3 +1,5 @@
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,6 +151,42 @@ def test_totals_are_additive_over_industries(spark):
     assert sum(r.cost for r in new_reach.industry_report(d, 1).collect()) == total
 
 
+@pytest.mark.parametrize("generation,days", [(1, {}), (2, {}), (1, {"first_day": 20210910, "last_day": 20210911})])
+def test_both_histories_come_from_one_pass(spark, generation, days):
+    f = fact(spark, *[
+        {"partition_date": 20210909 + n % 4, "process_date": 20210909 + n % 4 - n % 5, "advertiser_id": n % 5 or None, "adgroup_id": n % 7,
+         "second_goal": 5 * (n % 2), "real_cost_micros": 1_000_000 * n} for n in range(1, 120)
+    ], {"process_date": None, "adgroup_id": 70}, {"partition_date": None, "adgroup_id": 71})
+    names = ("金融", "教育", "医药", "other")
+    a = accounts(spark, *[(20210900 + d, k, names[k - 1], "s", "b") for d in range(1, 15) for k in range(1, 5)], (20210910, 2, "旅游", "s", "b"))
+    args = (f, a, generation, "gdt")
+    want = history.retro_history(*args, **days).unionByName(history.same_day_history(*args, **days))
+    for got in (history.both_histories(*args, **days), jobs.history_day(*args, **days)):
+        assert got.dtypes == want.dtypes
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1
+    assert {r.table_id for r in want.collect()} == {history.SAME_DAY, history.RETRO}
+
+
+def test_account_days_are_found_in_one_pass(spark, tmp_path):
+    from workload import views
+
+    tables = {
+        "lineitem": ("l_orderkey bigint, l_shipdate date", [(k, datetime.date(2021, 9, 1 + k % 3)) for k in range(12)] + [(3, None), (None, None)]),
+        "orders": ("o_orderkey bigint, o_custkey bigint", [(k, k % 4 or None) for k in range(12)] + [(5, 1)]),
+        "customer": ("c_custkey bigint, c_mktsegment string, c_nationkey int", [(k, "BUILDING", 1) for k in (1, 2, 2, 3)]),
+        "nation": ("n_nationkey int, n_name string, n_regionkey int", [(1, "n", 1)]),
+        "region": ("r_regionkey int, r_name string", [(1, "ASIA")]),
+    }
+    for name, (schema, some) in tables.items():
+        spark.createDataFrame(some, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    ship, cohort = (views.accounts(spark, str(tmp_path), False, day) for day in ("partition_date", "process_date"))
+    both = views.accounts(spark, str(tmp_path), False, "partition_date", "process_date")
+    assert sorted(map(str, both.collect())) == sorted(map(str, ship.union(cohort).distinct().collect()))
+    assert len({r.imp_date for r in both.collect()}) > 3
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 5  # each table once
+
+
 def test_named_history_blanks_unknown_codes(spark):
     df = spark.createDataFrame([(1, "finance"), (1, "nope")], "partition_date int, op_industry string")
     assert [r.op_industry for r in history.named_history(df).collect()] == ["金融", None]

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from adgrove.functions import predicates as p
 from adgrove.functions.buckets import EDUCATION_AD_THRESHOLDS
-from adgrove.operators.scratch import Scratch, wide_tasks
+from adgrove.operators.scratch import Scratch
 from adgrove.plans import history, jobs, new_reach, retention
 from adgrove.sources import schemas
 from workload import report_sql as s
-from workload.views import accounts, ad_fact, table
+from workload.views import accounts, ad_fact
 
 BRANDS = ["NATION_3", "NATION_8", "NATION_12", "NATION_17", "NATION_21"]
 MONEY = {
@@ -37,9 +37,7 @@ def _inputs(spark: SparkSession, d: str, monthly: bool = True, day: str = "parti
 
 def _both_days(spark: SparkSession, d: str) -> DataFrame:
     """Account days by either day of the fact."""
-    both = accounts(spark, d, False).union(accounts(spark, d, False, "process_date"))
-    tasks = wide_tasks(table(spark, d, "lineitem"))
-    return (both.repartition(tasks, "imp_date", "account_id") if tasks else both).distinct()
+    return accounts(spark, d, False, "partition_date", "process_date")
 
 
 def _same_day(gen: int, channel: str):
