@@ -12,12 +12,14 @@ for a bucket.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from adgrove.operators.ad_totals import STORED_KEYS
+from adgrove.operators.scratch import Scratch
 
 #: Records of an account and day that are always left together.
 PART_ROWS = 100_000
@@ -55,7 +57,8 @@ class DayTables(NamedTuple):
 def _with_keys(
     fact: DataFrame, accounts: DataFrame, day: str, part_rows: int, shares: int
 ) -> tuple[DataFrame, DataFrame]:
-    hot = hot_accounts(fact, day, part_rows, shares)
+    # Found once for both sides; a table that the fact's size doesn't touch.
+    hot, _ = Scratch(fact.sparkSession).cut(hot_accounts(fact, day, part_rows, shares))
     parts = F.coalesce("_parts", F.lit(1))
     spread = F.when(parts > 1, F.pmod(F.xxhash64("adgroup_id"), parts)).otherwise(0)
 
@@ -64,23 +67,34 @@ def _with_keys(
         # ``SHARES`` rows for each day of the call.
         return df.join(F.broadcast(hot), on, "left")
 
-    name, drop = STORED_KEYS[day], ("_day", "_account", "_parts")
-    keyed = met(fact, day, "advertiser_id").withColumn(name, _key(F.col(day), F.col("advertiser_id"), spread)).drop(*drop)
+    drop = ("_day", "_account", "_parts")
+    keyed = met(fact, day, "advertiser_id").withColumn("_part", spread.cast("int")).drop(*drop)
     each = met(accounts, "imp_date", "account_id").withColumn("_part", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return keyed, each.withColumn(name, _key(F.col("imp_date"), F.col("account_id"), F.col("_part"))).drop(*drop, "_part")
+    return keyed, each.drop(*drop)
 
 
-def _dealt(df: DataFrame, key: str, buckets: int) -> DataFrame:
-    """One task, so one file of a day, for each bucket: the tasks deal rows as buckets do."""
-    return df.repartition(buckets, key).sortWithinPartitions(key)
+def _dealt(
+    df: DataFrame, key: str, day: str, account: str, buckets: int, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """One task, so one file of a day, for each bucket: the tasks deal rows as buckets do.
+
+    The stored key and ``columns`` are made after that, so only what they are made from travels.
+    """
+    value = _key(F.col(day), F.col(account), F.col("_part"))
+    dealt = df.repartition(buckets, value)
+    made = dealt if columns is None else dealt.selectExpr(*columns, "_part")
+    return made.withColumn(key, value).drop("_part").sortWithinPartitions(key)
 
 
 def create_day_tables(
     fact: DataFrame, accounts: DataFrame, folder: str, buckets: int, day: str = "partition_date", name: str | None = None,
-    part_rows: int = PART_ROWS, shares: int = SHARES,
+    part_rows: int = PART_ROWS, shares: int = SHARES, columns: Sequence[str] | None = None,
 ) -> DayTables:
     """New tables under ``folder`` with all days of ``fact`` and ``accounts``.
 
+    ``columns`` are SQL expressions for the stored fact where ``fact`` holds what they are made from: wide facts are then moved
+    narrow. ``fact`` has its day, advertiser_id and adgroup_id in any case.
+
     ``day`` is the fact's column that meets the snapshot's day: the report day, or the cohort day for retrospective reports.
     A record without a day or account is kept and meets nothing.
     """
@@ -88,16 +102,20 @@ def create_day_tables(
         raise ValueError(f"no stored key for {day}")
     name = name or f"day_{uuid.uuid4().hex}"
     tables = DayTables(f"{name}_fact", f"{name}_accounts", day, buckets)
-    for df, table, column in zip(_with_keys(fact, accounts, day, part_rows, shares), (tables.fact, tables.accounts), (day, "imp_date")):
+    sides = _with_keys(fact, accounts, day, part_rows, shares)
+    for df, table, column, account, made in zip(
+        sides, (tables.fact, tables.accounts), (day, "imp_date"), ("advertiser_id", "account_id"), (columns, None)
+    ):
         (
-            _dealt(df, STORED_KEYS[day], buckets).write.partitionBy(column)
-            .bucketBy(buckets, STORED_KEYS[day]).option("path", f"{folder}/{table}").saveAsTable(table)
+            _dealt(df, STORED_KEYS[day], column, account, buckets, made).write.partitionBy(column)
+            .bucketBy(buckets, STORED_KEYS[day]).option("compression", "zstd").option("path", f"{folder}/{table}").saveAsTable(table)
         )
     return tables
 
 
 def replace_day(
-    tables: DayTables, fact: DataFrame, accounts: DataFrame, value: int, part_rows: int = PART_ROWS, shares: int = SHARES
+    tables: DayTables, fact: DataFrame, accounts: DataFrame, value: int, part_rows: int = PART_ROWS, shares: int = SHARES,
+    columns: Sequence[str] | None = None,
 ) -> None:
     """One day of both tables anew, in two static overwrites; other days stay as they are.
 
@@ -107,10 +125,12 @@ def replace_day(
     sides = _with_keys(
         fact.where(F.col(tables.day) == value), accounts.where(F.col("imp_date") == value), tables.day, part_rows, shares
     )
-    for df, table, column in [*zip(sides, (tables.fact, tables.accounts), (tables.day, "imp_date"))][::-1]:
-        columns = [c for c in spark.table(table).columns if c != column]
+    for df, table, column, account, made in [*zip(
+        sides, (tables.fact, tables.accounts), (tables.day, "imp_date"), ("advertiser_id", "account_id"), (columns, None)
+    )][::-1]:
         view = f"_{uuid.uuid4().hex}"
-        _dealt(df.select(*columns), key, tables.buckets).createOrReplaceTempView(view)
+        stored = [c for c in spark.table(table).columns if c != column]
+        _dealt(df, key, column, account, tables.buckets, made).select(*stored).createOrReplaceTempView(view)
         spark.sql(f"insert overwrite table {table} partition ({column} = {int(value)}) select * from {view}")
         spark.catalog.dropTempView(view)
 

@@ -90,6 +90,23 @@ def test_report_moves_no_row_before_the_join(spark, inputs):
         bucketed.drop_day_tables(spark, t)
 
 
+def test_wide_columns_are_made_after_rows_are_dealt(spark, inputs, monkeypatch):
+    f, a = inputs
+    columns = ["conv1 * 1000 as gmv", "conv2 * 1000 as second_gmv", *(c for c in f.columns if c not in ("gmv", "second_gmv"))]
+    dealt, real = [], bucketed._dealt
+    monkeypatch.setattr(bucketed, "_dealt", lambda *args: dealt.append(real(*args)) or dealt[-1])
+    t = bucketed.create_day_tables(f.drop("gmv", "second_gmv"), a, Scratch(spark).folder, 4, part_rows=5, shares=4, columns=columns)
+    plan = dealt[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("AS gmv#") < plan.index("RepartitionByExpression")
+    want = f.selectExpr(*columns)
+    assert rows(t.read(spark)[0].select(*f.columns)) == rows(want.select(*f.columns))
+    newer = f.drop("gmv", "second_gmv").withColumn("conv1", F.col("conv1") + 1)
+    bucketed.replace_day(t, newer, a, 20210901, part_rows=5, shares=4, columns=columns)
+    again = want.where("not partition_date <=> 20210901").union(newer.selectExpr(*columns).where("partition_date = 20210901"))
+    assert rows(t.read(spark)[0].select(*f.columns)) == rows(again.select(*f.columns))
+    bucketed.drop_day_tables(spark, t)
+
+
 def test_a_day_is_replaced_in_both_tables(spark, inputs):
     t = tables(inputs, spark)
     newer = inputs[0].withColumn("real_cost_micros", F.col("real_cost_micros") * 3)

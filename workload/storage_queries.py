@@ -12,7 +12,7 @@ from adgrove.plans import accrual, history
 from adgrove.sources import bucketed
 from workload import report_sql as s
 from workload.report_queries import rounded
-from workload.views import FOLDED, accounts, ad_fact, table
+from workload.views import FOLDED, accounts, ad_fact, ad_sources, table
 
 #: Fewest buckets, and stored bytes of delivery records for each.
 BUCKETS, BUCKET_BYTES = 8, 16 << 20
@@ -25,9 +25,9 @@ def _buckets(spark: SparkSession, d: str) -> int:
 
 def _stored(spark: SparkSession, d: str):
     """Same-day reach from day tables, one day written anew."""
-    fact, snapshot = ad_fact(spark, d, FOLDED), accounts(spark, d, FOLDED)
-    tables = bucketed.create_day_tables(fact, snapshot, Scratch(spark).folder, _buckets(spark, d))
-    bucketed.replace_day(tables, fact, snapshot, AGAIN)
+    (fact, columns), snapshot = ad_sources(spark, d, FOLDED), accounts(spark, d, FOLDED)
+    tables = bucketed.create_day_tables(fact, snapshot, Scratch(spark).folder, _buckets(spark, d), columns=columns)
+    bucketed.replace_day(tables, fact, snapshot, AGAIN, columns=columns)
     return rounded(history.same_day_history(*tables.read(spark)))
 
 
