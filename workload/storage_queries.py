@@ -33,8 +33,8 @@ def _stored(spark: SparkSession, d: str):
 
 def _stored_cohorts(spark: SparkSession, d: str):
     """Retrospective reach from tables bucketed by cohort day and account."""
-    fact, snapshot = ad_fact(spark, d, FOLDED), accounts(spark, d, FOLDED, "process_date")
-    tables = bucketed.create_day_tables(fact, snapshot, Scratch(spark).folder, _buckets(spark, d), "process_date")
+    (fact, columns), snapshot = ad_sources(spark, d, FOLDED), accounts(spark, d, FOLDED, "process_date")
+    tables = bucketed.create_day_tables(fact, snapshot, Scratch(spark).folder, _buckets(spark, d), "process_date", columns=columns)
     return rounded(history.retro_history(*tables.read(spark)))
 
 
