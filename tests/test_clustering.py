@@ -195,6 +195,34 @@ def test_mixed_clusters_with_bonus_for_equal_names(spark):
     check(spark, cases, space, dist, 3, "singleton", "hash bigint, coname string")
 
 
+@pytest.mark.parametrize("limit,which", [(4096, 0), (1, 1)])
+def test_mixes_with_hashes_make_no_pair_rows(spark, limit, which, monkeypatch):
+    """Tasks add up weights and links themselves, also in buckets that are cut and for texts without a table of distances."""
+    from adgrove.operators import block_folds
+
+    def pairs(*_, **__):
+        raise AssertionError("pairs are rows")
+
+    monkeypatch.setattr(PairSearch, "meet", pairs)
+    monkeypatch.setattr(PairSearch, "hints", pairs)
+    monkeypatch.setattr(block_folds, "TABLE", (1 << 22, 0)[which])
+    rng = random.Random(21 + which)
+    space = MixedSpace(0.31, url_weight=0.0613, user_weight=0.0471, company_weight=0.0371, city_weight=0.1137, near=-1, clamp=not which,
+                       use_hash=True, bits=12)
+    parts = mix(space)
+
+    def dist(a, b):
+        d = seq.hash_distance(a[0], b[0]) + parts(a[1:], b[1:])
+        return d if which else max(d, 0.0)
+
+    urls = ["http://a.com/x/y", "http://a.com/x/z", "http://a.com/u/v", "http://b.com/x", "http://mp.weixin.qq.com/x/y", "none", ""]
+    cases = [
+        [(h, rng.choice(urls), rng.choice("0ab"), rng.choice("xy"), rng.choice(["", "c1", "c1,c2", "c2,c3,c1", "c4,"]))
+         for h in random_hashes(rng, rng.randint(4, 40), 12)] for _ in range(25)
+    ]
+    check(spark, cases, space, dist, 3, "singleton", "hash bigint, url string, uname string, coname string, city string", bucket_limit=limit)
+
+
 def test_weights_without_exact_blocking_are_refused(spark):
     df = spark.createDataFrame([(0, "http://a/b")], "idx bigint, url string")
     for space in (MixedSpace(1.5, url_weight=1), MixedSpace(3, url_weight=1, user_weight=1), MixedSpace(0.5, url_weight=-1)):
