@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adgrove.operators.components import follow_pointers
+from adgrove.operators.hash_blocks import prepare_blocks
 from adgrove.operators.numbering import number_rows
-from adgrove.operators.pairs import BUCKET_LIMIT, prepare_pairs, spread_keys
+from adgrove.operators.pairs import BUCKET_LIMIT, spread_keys
 from adgrove.operators.scratch import Scratch
 from adgrove.operators.skew import join_spread
 from adgrove.operators.spaces import HashSpace
@@ -62,10 +63,9 @@ def assign_incremental(
     ).select(h, "first.*", "weight")
     keys, seen = scratch.cut(spread_keys(keys), rows=F.count(F.lit(1)))
     looked = first_rounds(keys, seen["rows"], space, scratch, bucket_limit)
-    # The later key of a pair is the larger one, and only keys of the batch look for a nearest: the right side.
-    pairs = prepare_pairs(keys, seen["rows"], space, scratch, (), bucket_limit).close_pairs(looked, ["open"], larger="open")
+    # The later key of a pair is the larger one, and only keys of the batch look for a nearest.
     nearest = (
-        nearest_of(pairs).unionByName(looked.where("best is not null").select("kid", "best"))
+        nearest_of(looked, seen["rows"], space, scratch, bucket_limit).unionByName(looked.where("best is not null").select("kid", "best"))
         .groupBy("kid").agg(F.min("best")["other"].alias("target"))
     )
     fresh = keys.where("late = 1").select("kid")
@@ -80,9 +80,10 @@ def assign_incremental(
     return Assignment(points, bounds)
 
 
-def nearest_of(pairs: DataFrame) -> DataFrame:
-    """(kid, best) with the distance and kid of the nearest earlier key, for the later key of each pair."""
-    return pairs.groupBy(F.greatest("a", "b").alias("kid")).agg(F.min(F.struct("d", F.least("a", "b").alias("other"))).alias("best"))
+def nearest_of(looked: DataFrame, n_keys: int, space: HashSpace, scratch: Scratch, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
+    """(kid, best): for each ``open`` key its nearest earlier one and the distance, as parts whose least is right."""
+    search = prepare_blocks(looked, n_keys, space, scratch, (), bucket_limit)
+    return search.nearest(search.bucketed(looked, [], F.col("open")))
 
 
 def first_rounds(keys: DataFrame, n_keys: int, space: HashSpace, scratch: Scratch, bucket_limit: int = BUCKET_LIMIT) -> DataFrame:
@@ -95,8 +96,8 @@ def first_rounds(keys: DataFrame, n_keys: int, space: HashSpace, scratch: Scratc
     for reach in ROUNDS:
         if reach >= space.slack:
             break
-        pairs = prepare_pairs(keys, n_keys, replace(space, reach=reach, blocks=None), scratch, (), bucket_limit)
-        found = nearest_of(pairs.close_pairs(looked, ["open"], larger="open")).withColumnRenamed("best", "found")
+        parts = nearest_of(looked, n_keys, replace(space, reach=reach, blocks=None), scratch, bucket_limit)
+        found = parts.groupBy("kid").agg(F.min("best").alias("found"))
         looked, _ = scratch.cut(
             looked.join(found, "kid", "left").withColumn("best", F.least("best", "found")).drop("found")
             .withColumn("open", F.col("open") & ~F.coalesce(F.col("best.d") < (reach + 1) / space.bits, F.lit(False)))

@@ -398,6 +398,25 @@ def test_assignment(spark, seed):
     assert tuple(result.bounds.first()) == (start, next_id)
 
 
+def test_assignment_makes_no_pair_rows(spark, monkeypatch):
+    from adgrove.operators import block_index
+
+    def pairs(*_, **__):
+        raise AssertionError("pairs are rows")
+
+    monkeypatch.setattr(PairSearch, "meet", pairs)
+    rng = random.Random(9)
+    pool = random_hashes(rng, 90, 12)
+    known, batch, space = [(h, rng.randint(1, 9)) for h in pool[:40]], pool[40:], HashSpace(0.3, 12)
+    history = spark.createDataFrame([(i, h, c) for i, (h, c) in enumerate(known)], "pos bigint, hash bigint, cluster_id int")
+    df = spark.createDataFrame(list(enumerate(batch)), "idx bigint, hash bigint")
+    want, _, _ = seq.assign(batch, known, seq.hash_distance, 0.3)
+    assert [r.cluster_id for r in assign_incremental(df, history, space, bucket_limit=1).points.orderBy("idx").collect()] == want
+    index = block_index.create_index(spark, Scratch(spark).folder, space, 60, slots=4)
+    block_index.load_history(index, history)
+    assert [r.cluster_id for r in block_index.assign_batch(index, df, "one", 1).points.orderBy("idx").collect()] == want
+
+
 def test_components_of_long_and_hub_graphs(spark, monkeypatch):
     edges = [(i, i + 1) for i in range(300)] + [(1000, 1000 + k) for k in range(1, 200)] + [(5000, 4000)]
     random.Random(0).shuffle(edges)
