@@ -9,13 +9,14 @@ and are replaced when the batch is run again.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adgrove.operators.assign import Assignment, first_rounds, nearest_of, resolve
-from adgrove.operators.pairs import BUCKET_LIMIT, PairSearch, meeting, prepare_pairs, spread_keys
+from adgrove.operators.assign import Assignment, first_rounds, resolve
+from adgrove.operators.hash_blocks import COPY_COST, WIDER, met_blocks, some_keys
+from adgrove.operators.pairs import BUCKET_LIMIT, spread_keys
 from adgrove.operators.scratch import Scratch
 from adgrove.operators.skew import join_spread
 from adgrove.operators.spaces import HashSpace
@@ -62,7 +63,7 @@ def create_index(spark: SparkSession, path: str, space: HashSpace, expected: int
     More slots mean that a small batch reads less, and more files. With more hashes than expected everything stays exact and
     blocks get larger; build a new index then.
     """
-    index = BlockIndex(path, space.tuned(expected), slots)
+    index = BlockIndex(path, space.tuned(expected, COPY_COST), slots)
     _commit(index, spark, 0, "", 0, 1)
     return index
 
@@ -134,9 +135,8 @@ def assign_batch(index: BlockIndex, batch: DataFrame, name: str, bucket_limit: i
     owners, owned = scratch.cut(held.select("kid", h, "cluster_id").distinct(), rows=F.count(F.lit(1)))
     both = owners.select("kid", h, F.lit(0).alias("late")).unionByName(keys.select("kid", h, F.lit(1).alias("late")))
     looked = first_rounds(spread_keys(both), owned["rows"] + made["rows"], space, scratch, bucket_limit).where("late = 1")
-    known = _known(index, held, mine.join(looked.where("open").select("kid"), "kid", "left_semi"), scratch, bucket_limit)
-    inside = prepare_pairs(keys, made["rows"], space, scratch, (), bucket_limit).close_pairs(looked, ["open"], larger="open")
-    hits = nearest_of(known).unionByName(nearest_of(inside)).unionByName(looked.where("best is not null").select("kid", "best"))
+    found = _nearest(index, held, mine.join(looked.select("kid", "open"), "kid"), owned["rows"] + made["rows"], scratch, bucket_limit)
+    hits = found.unionByName(looked.where("best is not null").select("kid", "best"))
     nearest, met = scratch.cut(hits.groupBy("kid").agg(F.min("best").alias("n")).select("kid", "n.*"), rows=F.count(F.lit(1)))
     first = now["next_pos"]
     meant = nearest.where(F.col("other") < first)
@@ -171,10 +171,16 @@ def touched(index: BlockIndex, keys: DataFrame, number: int, scratch: Scratch) -
     return held.join(values.hint("merge"), ["choice", "value"], "left_semi").drop("batch", "slot"), mine.drop("slot")
 
 
-def _known(index: BlockIndex, held: DataFrame, mine: DataFrame, scratch: Scratch, bucket_limit: int) -> DataFrame:
-    """(a, b, d): known hashes closer than eps to a key of the batch; both are in their blocks."""
-    search: PairSearch = meeting(held, mine, index.space, (), scratch, bucket_limit)
-    return search.meet(held, mine)
+def _nearest(index: BlockIndex, held: DataFrame, mine: DataFrame, n_keys: int, scratch: Scratch, bucket_limit: int) -> DataFrame:
+    """(kid, best): for each ``open`` key of the batch its nearest earlier one, known or new, in parts; all are in their blocks.
+
+    Keys of the batch come after all known ones.
+    """
+    columns = ["kid", index.space.column, "choice", "value"]
+    rows = held.select(*columns, F.lit(False).alias("looks_")).unionByName(mine.select(*columns, F.col("open").alias("looks_")))
+    limit = WIDER * bucket_limit
+    search = met_blocks(rows.where(some_keys(limit)), index.space, (), scratch, limit)
+    return replace(search, n_keys=n_keys).nearest(rows)
 
 
 def compact(index: BlockIndex, spark: SparkSession, path: str) -> BlockIndex:
