@@ -340,6 +340,19 @@ def test_one_sided_clusters_need_no_pass_over_all_pairs(spark, monkeypatch):
     check(spark, cases, space, one_sided(space), 3, "singleton", columns, bucket_limit=4)
 
 
+@pytest.mark.parametrize("which", [0, 3])
+def test_one_sided_clusters_make_no_pair_rows(spark, which, monkeypatch):
+    def pairs(*_, **__):
+        raise AssertionError("pairs are rows")
+
+    monkeypatch.setattr(PairSearch, "meet", pairs)
+    monkeypatch.setattr(PairSearch, "hints", pairs)
+    rng, space = random.Random(31), ONE_SIDED[which]
+    cases = [[(h, rng.choice("00ab"), "x", "") for h in random_hashes(rng, rng.randint(20, 60), 12)] for _ in range(12)]
+    columns = "hash bigint, uname string, coname string, city string"
+    check(spark, cases, space, one_sided(space), 3, "shared", columns, bucket_limit=1)
+
+
 def test_lowest_label_follows_directed_links(spark):
     arcs = [(9, 4), (4, 7), (7, 8), (8, 4), (2, 8), (5, 2), (3, 1), (11, 12), (12, 13), (13, 14), (14, 10)]
     got = lowest_reaching(spark.createDataFrame(arcs, "src long, dst long"), Scratch(spark))
